@@ -49,11 +49,14 @@ def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
 
     sampled = (df.select(F.col(key).alias("_hk"), t_ms.alias("_ht"))
                  .sample(fraction=sample_fraction, seed=seed))
-    sample_rows = sampled.agg(F.count(F.lit(1))).scalar()
+    per_key = (sampled.groupBy("_hk")
+               .agg(F.count(F.lit(1)).alias("_hn"), F.min("_ht").alias("_lo"),
+                    F.max("_ht").alias("_hi")))
+    # The total is summed from the same per-key aggregate, so the subquery and
+    # the main plan share one shuffle (AQE reuses the stage).
+    sample_rows = per_key.agg(F.sum("_hn")).scalar()
     n = F.col("_hn")
-    hot = (sampled.groupBy("_hk")
-           .agg(F.count(F.lit(1)).alias("_hn"), F.min("_ht").alias("_lo"),
-                F.max("_ht").alias("_hi"))
+    hot = (per_key
            .where((n >= sample_rows * F.lit(hot_share))
                   & (n >= F.lit(min_hot_rows * sample_fraction)))
            .select("_hk", "_lo", "_hi",

@@ -24,7 +24,7 @@ from clickweave.functions import (
     when_count,
 )
 
-ONE = F.lit(1)
+
 
 
 def _is(event_type: str):
@@ -32,7 +32,7 @@ def _is(event_type: str):
 
 
 def _count():
-    return F.count(ONE)
+    return F.count(F.lit(1))
 
 
 def _ratio(num, den):
@@ -273,7 +273,7 @@ def classify_new_returning(df: DataFrame) -> DataFrame:
     joined = t.join(first, F.col("t.user_id") == F.col("_fu"), "inner")
     kind = (F.when(F.col("t.timestamp") == F.col("first_event_time"), F.lit("New User"))
              .otherwise(F.lit("Returning User")))
-    return joined.select("t.*", kind.alias("user_type"))
+    return joined.select("t.*", "first_event_time", kind.alias("user_type"))
 
 
 def q11_new_vs_returning(df: DataFrame, as_of=None) -> DataFrame:

@@ -52,6 +52,7 @@ def get_session(master: str | None = None, app: str = "clickweave",
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf.setdefault("spark.ui.enabled", "false")
+    conf.setdefault("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:

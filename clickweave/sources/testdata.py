@@ -51,17 +51,29 @@ def _pick(index: F.Column, values: list[str]) -> F.Column:
     return expr
 
 
-def raw_events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw event (16 string/number fields) per ``events`` row."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Give a source with fewer splits than task slots (one small file is one
+    split) a round-robin spread over the slots, so the per-row mapping runs
+    on every core. Large inputs already have many splits and pass unchanged."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
+def raw_events_from_tables(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
+    """One raw event (16 string/number fields) per ``events`` row; with
+    ``keep_key`` also the mapping key ``_k`` and the source time ``_ts``."""
+    ev = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     part = (spark.read.parquet(f"{sf_dir}/part.parquet")
             .select("p_partkey", "p_name", "p_type", "p_retailprice"))
 
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
-    base = ev.select(
-        F.col("event_id").alias("_e"), F.col("user_id").alias("_u"),
-        F.col("ts").alias("_ts"), k.alias("_k"),
-        _event_type(F.col("event_type"), k).alias("event_type"))
+    # ``k`` is extracted once; the type rules then work on the integer column.
+    base = (ev.select(
+                F.col("event_id").alias("_e"), F.col("user_id").alias("_u"),
+                F.col("ts").alias("_ts"), F.col("event_type").alias("_src"),
+                F.get_json_object(F.col("props"), "$.k").try_cast("int").alias("_k"))
+              .withColumn("event_type", _event_type(F.col("_src"), F.col("_k"))))
 
     joined = lookup_join(base, part, F.col("_k").cast("bigint") == F.col("p_partkey"), "left")
 
@@ -88,4 +100,38 @@ def raw_events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "referrer": _pick(F.col("_e") % 5, REFERRERS),
         "additional_data": F.lit(None).cast("string"),
     }
-    return joined.select(*[cols[name].cast(t).alias(name) for name, t in RAW_FIELDS])
+    out = [cols[name].cast(t).alias(name) for name, t in RAW_FIELDS]
+    if keep_key:
+        out += [F.col("_k"), F.col("_ts")]
+    return joined.select(*out)
+
+
+# Rows of the JSON fixture that arrive damaged, chosen by k.
+BROKEN_LINE_K = 13       # the line loses its last character (not valid JSON)
+NO_USER_K = 42           # user_id is not sent
+NO_TYPE_NO_USER_K = 57   # neither event_type nor user_id is sent
+BAD_TIME_K = 71          # timestamp is sent as the text "garbage"
+BAD_TIME_TEXT = "garbage"
+
+
+def json_lines_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw events as producers would send them: one JSON text per event
+    (``value``), with the damaged rows above, plus ``year/month/day`` of the
+    event time to file them under arrival-style folders."""
+    m = raw_events_from_tables(spark, sf_dir, keep_key=True)
+    k = F.col("_k")
+    replaced = {
+        "user_id": F.when(k.isin(NO_USER_K, NO_TYPE_NO_USER_K), F.lit(None).cast("string"))
+                    .otherwise(F.col("user_id")),
+        "event_type": F.when(k == NO_TYPE_NO_USER_K, F.lit(None).cast("string"))
+                       .otherwise(F.col("event_type")),
+        "timestamp": F.when(k == BAD_TIME_K, F.lit(BAD_TIME_TEXT)).otherwise(F.col("timestamp")),
+    }
+    fields = [replaced.get(name, F.col(name)).alias(name) for name, _ in RAW_FIELDS]
+    line = F.when(k == BROKEN_LINE_K, F.expr("substring(_line, 1, length(_line) - 1)")) \
+            .otherwise(F.col("_line"))
+    return (m.select(F.to_json(F.struct(*fields)).alias("_line"), k, F.col("_ts"))
+             .select(line.alias("value"),
+                     F.date_format("_ts", "yyyy").alias("year"),
+                     F.date_format("_ts", "MM").alias("month"),
+                     F.date_format("_ts", "dd").alias("day")))
