@@ -28,16 +28,19 @@ PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLU
 LINE_COLUMN = "value"
 
 
-def parse_json_lines(lines: DataFrame, text_col: str = LINE_COLUMN) -> DataFrame:
+def parse_json_lines(lines: DataFrame, text_col: str = LINE_COLUMN,
+                     keep_line: bool = False) -> DataFrame:
     """One landing row per non-blank line: the 16 fields as text plus
-    ``_corrupt_record`` (the line itself when it is not a JSON object)."""
+    ``_corrupt_record`` (the line itself when it is not a JSON object);
+    with ``keep_line`` also the original text as ``_line``."""
     parsed = (lines.where(F.trim(F.col(text_col)) != F.lit(""))
                    .select(F.from_json(F.col(text_col), LANDING_SCHEMA, PARSE_OPTIONS).alias("_j"),
                            F.col(text_col).alias("_line")))
     fields = [F.col(f"_j.{f.name}").alias(f.name) for f in LANDING_SCHEMA.fields
               if f.name != CORRUPT_COLUMN]
     bad = F.col("_j").isNull() | F.col(f"_j.{CORRUPT_COLUMN}").isNotNull()
-    return parsed.select(*fields, F.when(bad, F.col("_line")).alias(CORRUPT_COLUMN))
+    extra = [F.col("_line")] if keep_line else []
+    return parsed.select(*fields, F.when(bad, F.col("_line")).alias(CORRUPT_COLUMN), *extra)
 
 
 def read_json_lines_text(spark: SparkSession, path: str) -> DataFrame:
