@@ -65,8 +65,8 @@ def read_raw_events(spark: SparkSession, path: str, layout: str = "lines") -> Da
     if layout == "lines":
         return parse_json_lines(read_json_lines_text(spark, path))
     if layout == "array":
-        files = (spark.read.option("recursiveFileLookup", "true")
-                 .option("wholetext", "true").text(path))
+        # ``text()`` sets its own ``wholetext`` keyword; pass it there.
+        files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
         return parse_json_lines(array_file_elements(files))
     raise ValueError(f"unknown layout {layout!r}; use 'lines' or 'array'")
 

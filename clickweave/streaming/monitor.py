@@ -19,7 +19,10 @@ from clickweave.sources.json_events import parse_json_lines
 
 LATEST_COLUMNS = ["timestamp", "event_type", "user_id", "session_id", "product_id",
                   "product_name", "price", "device_type", "page_url"]
-_ORDER = [F.desc_nulls_last("_t"), F.asc_nulls_last("event_id")]
+
+
+def _order():
+    return [F.desc_nulls_last("_t"), F.asc_nulls_last("event_id")]
 
 
 def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, str]]:
@@ -42,7 +45,7 @@ def read_latest(spark: SparkSession, root: str, with_keys: bool = False) -> Data
     if not snaps:
         return None
     df = spark.read.parquet(snaps[-1][1])
-    return df if with_keys else df.orderBy(*_ORDER).select(*LATEST_COLUMNS)
+    return df if with_keys else df.orderBy(*_order()).select(*LATEST_COLUMNS)
 
 
 def latest_events_sink(root: str, n: int = 100):
@@ -51,11 +54,11 @@ def latest_events_sink(root: str, n: int = 100):
         spark = batch.sparkSession
         events = quality.require_fields(quality.drop_corrupt(parse_json_lines(batch)))
         events = events.withColumn("_t", F.try_to_timestamp("timestamp"))
-        top = events.orderBy(*_ORDER).limit(n).select("event_id", "_t", *LATEST_COLUMNS)
+        top = events.orderBy(*_order()).limit(n).select("event_id", "_t", *LATEST_COLUMNS)
         top = top.withColumn("price", F.col("price").try_cast("double"))
         previous = read_latest(spark, root, with_keys=True)
         merged = top if previous is None else top.unionByName(previous)
-        (merged.orderBy(*_ORDER).limit(n).coalesce(1)
+        (merged.orderBy(*_order()).limit(n).coalesce(1)
          .write.mode("overwrite").parquet(os.path.join(root, f"v={batch_id}")))
     return run
 
