@@ -163,6 +163,10 @@ SELECT event_id, user_id, first_event_time, user_type FROM uc""",
        CAST({half_up_div('c', 'n')} AS DOUBLE) / 100.0 AS avg_amount
        FROM (SELECT event_type, CAST(SUM({cents()}) AS BIGINT) AS c, COUNT(*) AS n FROM transformed
              WHERE price IS NOT NULL AND quantity IS NOT NULL GROUP BY event_type) g""",
+    "avg_product": f"""SELECT event_type,
+       CAST({half_up_div('c', 'n')} AS DOUBLE) / 100.0 AS avg_amount
+       FROM (SELECT event_type, CAST(SUM({cents()}) AS BIGINT) AS c, COUNT(*) AS n FROM transformed
+             WHERE price IS NOT NULL AND quantity IS NOT NULL GROUP BY event_type) g""",
     "avg_numeric": f"""SELECT device_type, {r2('AVG(event_sequence)')} AS avg_sequence
        FROM transformed GROUP BY device_type""",
     "min_max_timestamp": """SELECT user_id, MIN(timestamp) AS first_seen, MAX(timestamp) AS last_seen

@@ -387,6 +387,12 @@ def sum_product(spark, sf):
                       (avg_cents.cast("double") / 100.0).alias("avg_amount"))
 
 
+def avg_product(spark, sf):
+    """A8. ``ROUND(AVG(price × quantity), 2)`` per event type (whole cents,
+    half-up)."""
+    return sum_product(spark, sf).select("event_type", "avg_amount")
+
+
 def avg_numeric(spark, sf):
     """A9."""
     return (_cur(spark, sf).groupBy("device_type")
