@@ -34,6 +34,7 @@ DEFAULT_HOT_SHARE = 0.001
 DEFAULT_SAMPLE_FRACTION = 0.01
 DEFAULT_BUCKET_BUDGET = 1 << 16
 DEFAULT_MIN_HOT_ROWS = 2_000_000
+DEFAULT_SEED = 17
 
 
 def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
@@ -42,13 +43,19 @@ def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
                     sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
                     bucket_budget: int = DEFAULT_BUCKET_BUDGET,
                     min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
-                    seed: int = 17) -> DataFrame:
+                    seed: int = DEFAULT_SEED,
+                    sample: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of the row within ``key``, ordered by
-    ``time_col`` (NULLs first) then ``tie_col``. NULL keys form one group."""
+    ``time_col`` (NULLs first) then ``tie_col``. NULL keys form one group.
+
+    ``sample``: optional rows with ``key`` and ``time_col`` already drawn at
+    ``sample_fraction`` — e.g. sampled from the raw input before parsing, so
+    hot-key detection parses only the sampled records."""
     t_ms = F.unix_millis(F.col(time_col))
 
-    sampled = (df.select(F.col(key).alias("_hk"), t_ms.alias("_ht"))
-                 .sample(fraction=sample_fraction, seed=seed))
+    if sample is None:
+        sample = df.sample(fraction=sample_fraction, seed=seed)
+    sampled = sample.select(F.col(key).alias("_hk"), t_ms.alias("_ht"))
     per_key = (sampled.groupBy("_hk")
                .agg(F.count(F.lit(1)).alias("_hn"), F.min("_ht").alias("_lo"),
                     F.max("_ht").alias("_hi")))

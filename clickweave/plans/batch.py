@@ -57,10 +57,10 @@ def enrich_events(df: DataFrame, processed_at: _dt.datetime | None = None) -> Da
     return enrich.with_event_category(df)
 
 
-def add_sequence(df: DataFrame, **seq_opts) -> DataFrame:
+def add_sequence(df: DataFrame, sample: DataFrame | None = None, **seq_opts) -> DataFrame:
     """W1 + W2 on a frame that still has the parsed time column."""
     df = sequence_within(df, "session_id", enrich.PARSED_TIME, "event_id",
-                         "event_sequence", **seq_opts)
+                         "event_sequence", sample=sample, **seq_opts)
     return df.withColumn("is_session_start", session_start("event_sequence"))
 
 
@@ -68,12 +68,22 @@ def to_curated(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in CURATED_FIELDS])
 
 
+def sequence_sample(sample_raw: DataFrame) -> DataFrame:
+    """Session key and parsed time of raw rows drawn for hot-key detection."""
+    return enrich.with_event_time(clean(sample_raw)).select("session_id", enrich.PARSED_TIME)
+
+
 def transform(raw: DataFrame, processed_at: _dt.datetime | None = None,
-              **seq_opts) -> DataFrame:
+              sample_raw: DataFrame | None = None, **seq_opts) -> DataFrame:
     """E8. Raw events (any subset of the 16 fields, optionally with
-    ``_corrupt_record``) → curated rows in table column order."""
+    ``_corrupt_record``) → curated rows in table column order.
+
+    ``sample_raw``: the same input sampled at ``seq_opts['sample_fraction']``
+    (default ``DEFAULT_SAMPLE_FRACTION``) before any parsing; hot-key
+    detection then reads it instead of re-deriving every row."""
     df = enrich_events(clean(raw), processed_at)
-    return to_curated(add_sequence(df, **seq_opts))
+    sample = sequence_sample(sample_raw) if sample_raw is not None else None
+    return to_curated(add_sequence(df, sample=sample, **seq_opts))
 
 
 def resequence(curated: DataFrame, **seq_opts) -> DataFrame:

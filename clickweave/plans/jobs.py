@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from clickweave.operators.quality import observe_run
 from clickweave.plans.batch import run_stamp, transform
 from clickweave.sources import catalog
-from clickweave.sources.json_events import read_raw_events, write_corrupt
+from clickweave.operators.sequence import DEFAULT_SAMPLE_FRACTION, DEFAULT_SEED
+from clickweave.sources.json_events import (
+    parse_json_lines, read_json_lines_text, read_raw_events, write_corrupt,
+)
 from clickweave.sources.sinks import read_curated, write_curated
 
 
@@ -48,7 +51,14 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
     stamp = processed_at or run_stamp()
     landing = read_raw_events(spark, source, layout)
     observed, obs = observe_run(landing)
-    curated = transform(observed, processed_at=stamp, **seq_opts)
+    sample_raw = None
+    if layout == "lines":
+        # Hot-key detection parses only sampled lines (the text is sampled first).
+        fraction = seq_opts.get("sample_fraction", DEFAULT_SAMPLE_FRACTION)
+        seed = seq_opts.get("seed", DEFAULT_SEED)
+        sample_raw = parse_json_lines(read_json_lines_text(spark, source)
+                                      .sample(fraction=fraction, seed=seed))
+    curated = transform(observed, processed_at=stamp, sample_raw=sample_raw, **seq_opts)
     write_curated(curated, target)
     counters = dict(obs.get)
     if errors_path and counters.get("corrupt_records", 0) > 0:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickweave.plans import library
+from clickweave.operators.sequence import DEFAULT_SAMPLE_FRACTION, DEFAULT_SEED
 from clickweave.plans.batch import transform
 from clickweave.session import configure
 from clickweave.sources.testdata import raw_events_from_tables
@@ -27,8 +28,13 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated(spark: SparkSession, sf_dir: str, **seq_opts) -> DataFrame:
-    """The curated table built lazily from the test tables."""
-    return transform(raw_events(spark, sf_dir), processed_at=FIXED_STAMP, **seq_opts)
+    """The curated table built lazily from the test tables. Hot-key detection
+    for the session sequence reads a sample drawn right after the scan."""
+    fraction = seq_opts.get("sample_fraction", DEFAULT_SAMPLE_FRACTION)
+    seed = seq_opts.get("seed", DEFAULT_SEED)
+    sample = raw_events_from_tables(spark, sf_dir, sample_fraction=fraction, seed=seed)
+    return transform(raw_events(spark, sf_dir), processed_at=FIXED_STAMP, sample_raw=sample,
+                     **seq_opts)
 
 
 def _library_entry(fn) -> Callable[[SparkSession, str], DataFrame]:

@@ -61,12 +61,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def raw_events_from_tables(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
+def raw_events_from_tables(spark: SparkSession, sf_dir: str, keep_key: bool = False,
+                           sample_fraction: float | None = None, seed: int = 17) -> DataFrame:
     """One raw event (16 string/number fields) per ``events`` row; with
-    ``keep_key`` also the mapping key ``_k`` and the source time ``_ts``."""
-    ev = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    part = (spark.read.parquet(f"{sf_dir}/part.parquet")
-            .select("p_partkey", "p_name", "p_type", "p_retailprice"))
+    ``keep_key`` also the mapping key ``_k`` and the source time ``_ts``.
+
+    With ``sample_fraction`` only a seeded sample of ``events`` is mapped,
+    without the product lookup (product fields NULL): the input for hot-key
+    detection, drawn right after the scan."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if sample_fraction is not None:
+        ev = ev.sample(fraction=sample_fraction, seed=seed)
+    else:
+        ev = spread(ev)
 
     # ``k`` is extracted once; the type rules then work on the integer column.
     base = (ev.select(
@@ -75,7 +82,14 @@ def raw_events_from_tables(spark: SparkSession, sf_dir: str, keep_key: bool = Fa
                 F.get_json_object(F.col("props"), "$.k").try_cast("int").alias("_k"))
               .withColumn("event_type", _event_type(F.col("_src"), F.col("_k"))))
 
-    joined = lookup_join(base, part, F.col("_k").cast("bigint") == F.col("p_partkey"), "left")
+    if sample_fraction is None:
+        part = (spark.read.parquet(f"{sf_dir}/part.parquet")
+                .select("p_partkey", "p_name", "p_type", "p_retailprice"))
+        joined = lookup_join(base, part, F.col("_k").cast("bigint") == F.col("p_partkey"), "left")
+    else:
+        joined = base.select("*", *[F.lit(None).cast(t).alias(c) for c, t in
+                                    [("p_name", "string"), ("p_type", "string"),
+                                     ("p_retailprice", "double")]])
 
     is_product = F.col("event_type").isin(PRODUCT_TYPES)
     cols = {
