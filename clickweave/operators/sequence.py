@@ -6,23 +6,24 @@ key may hold a large share of all rows (every event without a session id
 shares the NULL key; a bot can flood one session), so the plain window does
 not survive scale. This operator gives exactly the same numbers:
 
-1. From a seeded sample of ``(key, time)`` it finds the hot keys — keys whose
-   share of the sample is at least ``hot_share`` (so there are at most
-   ``1 / hot_share`` of them: a size bound known before running) — together
-   with their sampled time range and a bucket count proportional to their
-   share (at most ``bucket_budget`` buckets over all keys).
+1. From a seeded sample of ``(key, time)`` it takes the hot keys: keys whose
+   estimated size is at least ``min_hot_rows``, the ``max_hot_keys`` largest
+   at most (a size bound known before running). Each gets its sampled time
+   range and a number of time buckets: about ``rows_per_bucket`` rows each,
+   and at most ``bucket_budget`` buckets over all hot keys together.
 2. Every row gets a sub-key: 0 for ordinary keys; for hot keys, the time
    bucket — a monotone function of the event time, so rows of a lower bucket
-   always sort first. The window then runs over ``(key, bucket)``.
-3. Per hot ``(key, bucket)`` the row counts are summed cumulatively (at most
-   ``bucket_budget + 1 / hot_share`` rows, broadcast) and added to the local
-   numbers.
+   always sort first. The window runs over ``(key, bucket)``.
+3. Rows per hot ``(key, bucket)`` are counted by a partial aggregation (a tiny
+   shuffle), summed cumulatively per key — at most ``bucket_budget`` plus two
+   per hot key rows, broadcast — and added to the local numbers.
 
 The sample only decides where work is split, never the result: a key taken
-for cold is numbered by the plain window, a bucket range taken from the
-sample is clamped at both ends, and every count comes from the full data.
-All steps are lazy DataFrame operations; the hot-key table is cut by a scalar
-subquery, so nothing passes through the driver.
+for cold is numbered by the plain window, bucket ranges taken from the sample
+are clamped at both ends, and every count comes from the full data. When no
+key is hot, the broadcast hot-key table is empty and adaptive execution drops
+the counting branch. All steps are lazy DataFrame operations; nothing passes
+through the driver.
 """
 
 from __future__ import annotations
@@ -30,19 +31,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_SHARE = 0.001
 DEFAULT_SAMPLE_FRACTION = 0.01
-DEFAULT_BUCKET_BUDGET = 1 << 16
 DEFAULT_MIN_HOT_ROWS = 2_000_000
+DEFAULT_ROWS_PER_BUCKET = 1_000_000
+DEFAULT_MAX_HOT_KEYS = 1024
+DEFAULT_BUCKET_BUDGET = 1 << 16
 DEFAULT_SEED = 17
 
 
+def hot_keys(sample: DataFrame, key: str, time_col: str, *,
+             sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
+             min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
+             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+             max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+             bucket_budget: int = DEFAULT_BUCKET_BUDGET) -> DataFrame:
+    """At most ``max_hot_keys`` rows: ``_hk`` (key), ``_lo``/``_hi`` (sampled
+    time range in ms) and ``_nb`` (number of time buckets)."""
+    per_key = (sample.select(F.col(key).alias("_hk"),
+                             F.unix_millis(F.col(time_col)).alias("_ht"))
+                     .groupBy("_hk")
+                     .agg(F.count(F.lit(1)).alias("_hn"), F.min("_ht").alias("_lo"),
+                          F.max("_ht").alias("_hi")))
+    top = (per_key.where(F.col("_hn") >= F.lit(min_hot_rows * sample_fraction))
+                  .orderBy(F.desc("_hn"), F.asc_nulls_first("_hk"))
+                  .limit(max_hot_keys))
+    n = F.col("_hn").cast("double")
+    by_size = F.ceil(n / F.lit(sample_fraction * rows_per_bucket))
+    # Share of the budget: the window runs over at most ``max_hot_keys`` rows.
+    by_budget = F.floor(n * F.lit(float(bucket_budget)) / F.sum("_hn").over(Window.partitionBy()))
+    nb = F.greatest(F.lit(1), F.least(by_size, by_budget)).cast("int")
+    return top.select("_hk", "_lo", "_hi", nb.alias("_nb"))
+
+
 def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
                     out: str = "event_sequence", *,
-                    hot_share: float = DEFAULT_HOT_SHARE,
                     sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-                    bucket_budget: int = DEFAULT_BUCKET_BUDGET,
                     min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
+                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+                    bucket_budget: int = DEFAULT_BUCKET_BUDGET,
                     seed: int = DEFAULT_SEED,
                     sample: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of the row within ``key``, ordered by
@@ -51,26 +78,13 @@ def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
     ``sample``: optional rows with ``key`` and ``time_col`` already drawn at
     ``sample_fraction`` — e.g. sampled from the raw input before parsing, so
     hot-key detection parses only the sampled records."""
-    t_ms = F.unix_millis(F.col(time_col))
-
     if sample is None:
         sample = df.sample(fraction=sample_fraction, seed=seed)
-    sampled = sample.select(F.col(key).alias("_hk"), t_ms.alias("_ht"))
-    per_key = (sampled.groupBy("_hk")
-               .agg(F.count(F.lit(1)).alias("_hn"), F.min("_ht").alias("_lo"),
-                    F.max("_ht").alias("_hi")))
-    # The total is summed from the same per-key aggregate, so the subquery and
-    # the main plan share one shuffle (AQE reuses the stage).
-    sample_rows = per_key.agg(F.sum("_hn")).scalar()
-    n = F.col("_hn")
-    hot = (per_key
-           .where((n >= sample_rows * F.lit(hot_share))
-                  & (n >= F.lit(min_hot_rows * sample_fraction)))
-           .select("_hk", "_lo", "_hi",
-                   F.greatest(F.lit(1),
-                              F.ceil(n * F.lit(float(bucket_budget)) / sample_rows)
-                              .cast("int")).alias("_nb")))
+    hot = hot_keys(sample, key, time_col, sample_fraction=sample_fraction,
+                   min_hot_rows=min_hot_rows, rows_per_bucket=rows_per_bucket,
+                   max_hot_keys=max_hot_keys, bucket_budget=bucket_budget)
 
+    t_ms = F.unix_millis(F.col(time_col))
     span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
     raw_bucket = F.floor((t_ms - F.col("_lo")).cast("double") / span * F.col("_nb"))
     bucket = (F.when(F.col("_nb").isNull(), F.lit(0))
@@ -87,8 +101,8 @@ def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
          .orderBy(F.col(time_col).asc_nulls_first(), F.col(tie_col).asc_nulls_first()))
     numbered = bucketed.withColumn("_rn", F.row_number().over(w))
 
-    per_bucket = (numbered.where(F.col("_hot"))
-                  .groupBy(key, "_bucket").agg(F.max("_rn").alias("_cnt")))
+    per_bucket = (bucketed.where(F.col("_hot"))
+                  .groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt")))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = per_bucket.select(

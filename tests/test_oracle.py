@@ -47,8 +47,8 @@ def test_forced_hot_path_matches_oracle(spark, duck):
     """Every sampled session taken as hot (the NULL session holds ~1%): the
     bucketed numbering still equals the plain window of the oracle."""
     from clickweave.plans import registry
-    cur = registry.curated(spark, SF, min_hot_rows=1, hot_share=0.001, sample_fraction=0.2,
-                           bucket_budget=256)
+    cur = registry.curated(spark, SF, min_hot_rows=1, sample_fraction=0.2, rows_per_bucket=5,
+                           bucket_budget=256, max_hot_keys=64)
     fn = lambda s, sf: cur.select("event_id", "session_id", "event_sequence")
     s_cols, s_rows = run_spark(spark, fn, SF)
     o_cols, o_rows = run_oracle(duck, ORACLES["event_sequence"])

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from clickweave.operators.sequence import plain_sequence, sequence_within
 
-HOT = dict(min_hot_rows=1, hot_share=0.05, sample_fraction=1.0, bucket_budget=64)
+HOT = dict(min_hot_rows=1, sample_fraction=1.0, rows_per_bucket=50, bucket_budget=64,
+           max_hot_keys=8)
 
 
 def _skewed(spark, n=20000):
