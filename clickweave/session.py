@@ -6,8 +6,9 @@ Settings every job relies on:
   the machine;
 * partition column type inference off, so ``year/month/day`` stay the
   zero-padded strings the queries compare against;
-* AQE on, with partition coalescing and skew-join splitting, so shuffle sizes
-  are planned from runtime statistics rather than guessed.
+* AQE on, with partition coalescing to the advisory size and skew-join
+  splitting, so shuffle sizes are planned from runtime statistics rather
+  than guessed.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ BASE_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce shuffle partitions to the advisory size rather than keeping
+    # the configured count: partitions follow data volume at any scale.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
