@@ -94,6 +94,7 @@ def resequence(curated: DataFrame, **seq_opts) -> DataFrame:
 
 
 def run_stamp() -> _dt.datetime:
-    """Job time stamp fixed once per run (UTC, whole microseconds)."""
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    """Job time stamp fixed once per run (time-zone aware UTC, so the driver's
+    local zone cannot shift it)."""
+    return _dt.datetime.now(_dt.timezone.utc)
 

@@ -43,13 +43,13 @@ class RunResult:
 def run_batch(spark: SparkSession, source: str, target: str, database: str | None = None,
               table: str = catalog.DEFAULT_TABLE, layout: str = "lines",
               errors_path: str | None = None, processed_at: _dt.datetime | None = None,
-              **seq_opts) -> RunResult:
+              spread_lines: bool = False, **seq_opts) -> RunResult:
     """S5. Transform every raw file under ``source`` and append the result to
     the partitioned table at ``target``; register it in ``database`` when
     given. Malformed records go to ``errors_path`` when given (a second,
     filtered pass over the input)."""
     stamp = processed_at or run_stamp()
-    landing = read_raw_events(spark, source, layout)
+    landing = read_raw_events(spark, source, layout, spread_lines=spread_lines)
     observed, obs = observe_run(landing)
     sample_raw = None
     if layout == "lines":

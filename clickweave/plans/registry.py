@@ -19,7 +19,7 @@ from clickweave.sources.testdata import raw_events_from_tables
 
 AS_OF = _dt.date(2024, 1, 15)
 # Fixed job stamp for registered queries, so repeated runs give equal rows.
-FIXED_STAMP = _dt.datetime(2024, 2, 1, 0, 0, 0)
+FIXED_STAMP = _dt.datetime(2024, 2, 1, 0, 0, 0, tzinfo=_dt.timezone.utc)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

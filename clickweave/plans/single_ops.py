@@ -8,7 +8,6 @@ the table the batch job wrote and registered (``_stored``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions import (
@@ -20,7 +19,6 @@ from clickweave.plans.batch import conform, typed_numbers
 from clickweave.plans.registry import AS_OF, curated
 from clickweave.session import scratch_path
 from clickweave.sources import catalog, sinks
-from clickweave.sources.json_events import corrupt_lines
 from clickweave.sources.schema import CORRUPT_COLUMN, CURATED_COLUMNS
 
 NO_STAMP = [c for c in CURATED_COLUMNS if c != "processed_timestamp"]

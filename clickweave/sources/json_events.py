@@ -60,10 +60,20 @@ def array_file_elements(files: DataFrame, text_col: str = LINE_COLUMN) -> DataFr
                       .otherwise(F.col("_items"))).alias(LINE_COLUMN)))
 
 
-def read_raw_events(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """S1 + S3. Landing rows (text fields + ``_corrupt_record``)."""
+def read_raw_events(spark: SparkSession, path: str, layout: str = "lines",
+                    spread_lines: bool = False) -> DataFrame:
+    """S1 + S3. Landing rows (text fields + ``_corrupt_record``).
+
+    Plain text files are split by Spark; a gzip file is not, so one huge gzip
+    file is decompressed by one task. ``spread_lines`` then rebalances the
+    decompressed lines (AQE sizes the partitions) before parsing, so parsing
+    and everything after it runs wide. It costs a shuffle of the raw text, so
+    it is off by default: delivered files are small (buffered delivery)."""
     if layout == "lines":
-        return parse_json_lines(read_json_lines_text(spark, path))
+        lines = read_json_lines_text(spark, path)
+        if spread_lines:
+            lines = lines.hint("rebalance")
+        return parse_json_lines(lines)
     if layout == "array":
         # ``text()`` sets its own ``wholetext`` keyword; pass it there.
         files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)

@@ -5,33 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.sources.schema import PARTITION_COLUMNS
+from clickweave.sources.schema import CURATED_SCHEMA, PARTITION_COLUMNS
 
 
-def write_curated(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_curated(df: DataFrame, path: str, mode: str = "append", compact: bool = True) -> None:
     """K1. Parquet (snappy), partitioned by ``year/month/day``.
 
-    ``REBALANCE`` on the partition columns lets AQE cut the rows into
-    advisory-size tasks: a day never becomes one giant task (hot days are
-    split across several files), and small days are coalesced instead of
-    producing one file per task and day."""
-    (df.hint("rebalance", *PARTITION_COLUMNS)
-       .write.mode(mode)
+    ``compact``: ``REBALANCE`` on the partition columns lets AQE cut the rows
+    into advisory-size tasks per day: a hot day is split over several files
+    (never one giant task) and small days are coalesced, instead of every
+    task writing one small file per day it saw. It costs one shuffle of the
+    output; a run that covers one or two days with large tasks can skip it."""
+    if compact:
+        df = df.hint("rebalance", *PARTITION_COLUMNS)
+    (df.write.mode(mode)
        .partitionBy(*PARTITION_COLUMNS)
        .option("compression", "snappy")
        .parquet(path))
 
 
-def read_curated(spark, path: str) -> DataFrame:
-    """S4. The stored table; partition values stay zero-padded strings."""
-    return (spark.read.option("mergeSchema", "true")
-            .option("basePath", path).parquet(path))
+def read_curated(spark, path: str, merge_schema: bool = False) -> DataFrame:
+    """S4. The stored table with its declared schema: no footer is read to
+    infer or merge schemas (that costs one read per file on a large table),
+    and the partition values stay zero-padded strings. Columns added later
+    by schema evolution are read through the catalog table, or here with
+    ``merge_schema=True``."""
+    reader = spark.read.option("basePath", path)
+    if merge_schema:
+        return reader.option("mergeSchema", "true").parquet(path)
+    return reader.schema(CURATED_SCHEMA).parquet(path)
 
 
 def write_result_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3. A query result as CSV with a header line. Results are small
-    aggregates, so they are written as one file."""
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    """K3. A query result as CSV files with a header line (one file per
+    output task; a result is not assumed to be small)."""
+    df.write.mode(mode).option("header", True).csv(path)
 
 
 def read_result_csv(spark, path: str, schema) -> DataFrame:

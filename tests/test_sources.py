@@ -119,3 +119,11 @@ def test_required_fields_sequential_counts(spark, tmp_dir):
     assert (c.null_event_id, c.null_user_id, c.null_event_type, c.null_timestamp) == (1, 2, 0, 0)
     kept = quality.require_fields(df).collect()
     assert [r.event_id for r in kept] == ["c"]  # empty strings pass
+
+
+def test_spread_lines_gives_same_rows(spark, tmp_dir):
+    big = "\n".join(json.dumps(dict(GOOD[0], event_id=f"e{i}")) for i in range(500))
+    _write(tmp_dir, "big", big, gz=True)
+    a = read_raw_events(spark, tmp_dir)
+    b = read_raw_events(spark, tmp_dir, spread_lines=True)
+    assert sorted(r.event_id for r in a.collect()) == sorted(r.event_id for r in b.collect())

@@ -101,3 +101,22 @@ def test_repair_and_schema_evolution(spark):
     assert (counts.n, counts.c) == (60, 30)
     stats = catalog.compute_statistics(spark, name).first()
     assert stats.row_count == 60
+
+
+def test_resequence_across_runs(spark):
+    """Two runs of one session each number from 1; resequence renumbers the
+    stored rows as one session."""
+    from clickweave.plans.batch import resequence
+    raw1, raw2 = scratch_path(spark, "t-r1"), scratch_path(spark, "t-r2")
+    _drop(raw1, "a.json", _lines(6)[:-1])
+    _drop(raw2, "b.json", [ln.replace('"e0', '"g0').replace("2025-05-05", "2025-05-06")
+                           for ln in _lines(6)[:-1]])
+    path = scratch_path(spark, "t-reseq")
+    for raw in (raw1, raw2):
+        sinks.write_curated(transform(read_raw_events(spark, raw), processed_at=STAMP), path)
+    stored = sinks.read_curated(spark, path)
+    per_run_starts = stored.where("is_session_start").count()
+    again = resequence(stored)
+    assert per_run_starts == 2 * again.where("is_session_start").count()
+    seqs = sorted(r.event_sequence for r in again.where("session_id = 's1'").collect())
+    assert seqs == list(range(1, len(seqs) + 1))
