@@ -22,6 +22,14 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
 
+def _sf_number(path: str):
+    name = os.path.basename(path.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def timed(fn):
     t0 = time.perf_counter()
     out = fn()
@@ -84,7 +92,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "query_library_seconds": round(query_total, 3),
         "rows": rows,
-        "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
+        "sf": _sf_number(SF_DIR),
         "cpus": CPUS,
         "cold_first_etl_sec": round(cold, 3),
         "repeat": REPEAT,

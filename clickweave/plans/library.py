@@ -27,6 +27,13 @@ from clickweave.functions import (
 
 
 
+# Labels that appear in query output.
+LABEL_CONVERTED = "Converted"
+LABEL_NOT_CONVERTED = "Not Converted"
+LABEL_NEW_USER = "New User"
+LABEL_RETURNING_USER = "Returning User"
+
+
 def _is(event_type: str):
     return F.col("event_type") == F.lit(event_type)
 
@@ -233,7 +240,8 @@ def q09_session_duration(df: DataFrame, as_of=None) -> DataFrame:
              .agg(_count().alias("session_count"),
                   round2(F.avg("event_count")).alias("avg_events"),
                   round2(F.avg(secs)).alias("avg_duration_seconds")))
-    status = F.when(F.col("has_purchase") == 1, F.lit("Converted")).otherwise(F.lit("Not Converted"))
+    status = (F.when(F.col("has_purchase") == 1, F.lit(LABEL_CONVERTED))
+               .otherwise(F.lit(LABEL_NOT_CONVERTED)))
     return (agg.select(status.alias("conversion_status"), "session_count", "avg_events",
                        "avg_duration_seconds")
                .orderBy(F.asc_nulls_last("conversion_status")))
@@ -271,8 +279,8 @@ def classify_new_returning(df: DataFrame) -> DataFrame:
     first = first_event_per_user(df).withColumnRenamed("user_id", "_fu")
     t = df.alias("t")
     joined = t.join(first, F.col("t.user_id") == F.col("_fu"), "inner")
-    kind = (F.when(F.col("t.timestamp") == F.col("first_event_time"), F.lit("New User"))
-             .otherwise(F.lit("Returning User")))
+    kind = (F.when(F.col("t.timestamp") == F.col("first_event_time"), F.lit(LABEL_NEW_USER))
+             .otherwise(F.lit(LABEL_RETURNING_USER)))
     return joined.select("t.*", "first_event_time", kind.alias("user_type"))
 
 

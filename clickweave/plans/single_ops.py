@@ -438,7 +438,8 @@ def multi_key_group(spark, sf):
 def group_key_expression(spark, sf):
     """A15. Group by a flag, output a label computed from it."""
     st = library.session_times(_cur(spark, sf))
-    label = F.when(F.col("has_purchase") == 1, F.lit("Converted")).otherwise(F.lit("Not Converted"))
+    label = (F.when(F.col("has_purchase") == 1, F.lit(library.LABEL_CONVERTED))
+             .otherwise(F.lit(library.LABEL_NOT_CONVERTED)))
     return (st.groupBy("has_purchase").agg(_count().alias("session_count"))
               .select(label.alias("conversion_status"), "session_count"))
 

@@ -95,3 +95,27 @@ def test_every_library_query_runs_on_tiny_input(spark, fn):
                             quantity=2, device_type="mobile", referrer="https://x")])
     out = library.LIBRARY[fn](df, _dt.date(2025, 3, 4)).collect()
     assert isinstance(out, list)
+
+
+def test_edge_rows_from_fixture_list(spark):
+    rows = [
+        _ev(1, "teleport", session="a", t=0),                       # unknown type
+        _ev(2, "purchase", session="a", t=1, product_id="p", product_category="c",
+            price=None, quantity=1),                                # purchase without price
+        _ev(3, "purchase", session="b", t=2, product_id="p", product_category="c",
+            price=2.5, quantity=2, referrer=""),                    # empty referrer
+        _ev(3, "purchase", session="b", t=3, product_id="p", product_category="c",
+            price=2.5, quantity=2),                                 # duplicate event id
+        _ev(5, "page_view", session="solo", t=4),                   # one-event session
+    ]
+    df = _frame(spark, rows)
+    cats = {r.event_id: r.event_category for r in df.collect()}
+    assert cats["e01"] == "other"
+    (cat,) = library.q10_category_performance(df).collect()
+    assert cat.revenue == 10.0 and cat.purchases == 3  # the NULL price adds nothing
+    assert library.q06_top_referrers(df).count() == 0  # '' is not a referrer
+    dq = library.dq_check(df).first()
+    assert (dq.total_records, dq.unique_events, dq.duplicate_events) == (5, 4, 1)
+    sessions = {r.conversion_status: r.session_count
+                for r in library.q09_session_duration(df).collect()}
+    assert sessions == {"Converted": 2}  # 'solo' has one event: start == end, left out
