@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.operators.quality import observe_run
+from clickweave.operators.quality import observe_days, observe_run
 from clickweave.plans.batch import run_stamp, transform
 from clickweave.sources import catalog
 from clickweave.operators.sequence import DEFAULT_SAMPLE_FRACTION, DEFAULT_SEED
@@ -59,11 +59,14 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
         sample_raw = parse_json_lines(read_json_lines_text(spark, source)
                                       .sample(fraction=fraction, seed=seed))
     curated = transform(observed, processed_at=stamp, sample_raw=sample_raw, **seq_opts)
+    curated, day_obs = observe_days(curated)
     write_curated(curated, target)
     counters = dict(obs.get)
+    days = [tuple(r) for r in day_obs.get.get("days", [])]
     if errors_path and counters.get("corrupt_records", 0) > 0:
         write_corrupt(landing, errors_path)
-    name = catalog.register_table(spark, target, database, table) if database else None
+    name = (catalog.register_table(spark, target, database, table, days=days)
+            if database else None)
     written = read_curated(spark, target).where(F.col("processed_timestamp") == F.lit(stamp))
     return RunResult(stamp=stamp, counters=counters, table=name, written=written)
 

@@ -22,18 +22,48 @@ def create_database(spark: SparkSession, database: str = DEFAULT_DATABASE) -> No
 
 
 def register_table(spark: SparkSession, location: str, database: str = DEFAULT_DATABASE,
-                   table: str = DEFAULT_TABLE, replace: bool = False) -> str:
+                   table: str = DEFAULT_TABLE, replace: bool = False,
+                   days: list[tuple] | None = None) -> str:
     """K5 + K7. External partitioned Parquet table over ``location`` with the
-    curated columns, then its partitions discovered. Returns the qualified name."""
+    curated columns. A table created now has its partitions discovered by a
+    full repair; an existing one only gets the ``days`` just written (when
+    known), so a run's cost does not grow with the table's history.
+    Returns the qualified name."""
     create_database(spark, database)
     name = f"{database}.{table}"
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: files stay
+    existed = spark.catalog.tableExists(name)
     spark.sql(curated_ddl(name, location))
-    repair_partitions(spark, name)
+    if existed and days is not None:
+        add_partitions(spark, name, days)
+    else:
+        repair_partitions(spark, name)
     return name
 
 
+def _partition_spec(day: tuple) -> str:
+    y, m, d = day
+    return f"PARTITION (year='{y}', month='{m}', day='{d}')"
+
+
+def add_partitions(spark: SparkSession, name: str, days: list[tuple]) -> list[tuple]:
+    """Register the given ``(year, month, day)`` partitions that the catalog
+    does not know yet; returns them. A day with a NULL part (events whose
+    time did not parse) lives in the default partition folder, which only a
+    repair registers."""
+    known = {r[0] for r in show_partitions(spark, name).collect()}
+    wanted = sorted({tuple(d) for d in days})
+    if any(p is None for d in wanted for p in d):
+        repair_partitions(spark, name)
+        return wanted
+    new = [d for d in wanted if f"year={d[0]}/month={d[1]}/day={d[2]}" not in known]
+    if new:
+        specs = " ".join(_partition_spec(d) for d in new)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    return new
+
+
 def repair_partitions(spark: SparkSession, name: str) -> None:
     """K7. Register partition folders written since the last repair."""
     spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.operators.enrich import PARSED_TIME
+from clickweave.operators.quality import observe_days
 from clickweave.plans.batch import transform
 from clickweave.sources import catalog
 from clickweave.sources.json_events import parse_json_lines
@@ -111,7 +112,10 @@ def transform_batches(target: str, database: str | None = None,
             return  # written before a restart: do not append twice
         landing = parse_json_lines(batch).persist()
         try:
-            write_curated(transform(landing, processed_at=processed_at, **seq_opts), target)
+            curated, day_obs = observe_days(
+                transform(landing, processed_at=processed_at, **seq_opts))
+            write_curated(curated, target)
+            days = [tuple(r) for r in day_obs.get.get("days", [])]
             if errors_path:
                 (landing.where(F.col(CORRUPT_COLUMN).isNotNull())
                  .select(F.col(CORRUPT_COLUMN).alias("value"))
@@ -120,7 +124,7 @@ def transform_batches(target: str, database: str | None = None,
             landing.unpersist()
         _write_marker(spark, marker)
         if database:
-            catalog.register_table(spark, target, database, table)
+            catalog.register_table(spark, target, database, table, days=days)
     return run
 
 

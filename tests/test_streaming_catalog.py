@@ -120,3 +120,21 @@ def test_resequence_across_runs(spark):
     assert per_run_starts == 2 * again.where("is_session_start").count()
     seqs = sorted(r.event_sequence for r in again.where("session_id = 's1'").collect())
     assert seqs == list(range(1, len(seqs) + 1))
+
+
+def test_runs_register_only_new_days(spark):
+    from clickweave.plans.jobs import run_batch
+    raw1, raw2 = scratch_path(spark, "t-d1"), scratch_path(spark, "t-d2")
+    _drop(raw1, "a.json", _lines(8, day=7))
+    _drop(raw2, "b.json", [ln.replace('"e0', '"h0') for ln in _lines(8, day=8)])
+    target = scratch_path(spark, "t-days")
+    spark.sql(f"DROP TABLE IF EXISTS {catalog.DEFAULT_DATABASE}.t_days")
+    r1 = run_batch(spark, raw1, target, database=catalog.DEFAULT_DATABASE, table="t_days",
+                   processed_at=STAMP)
+    assert catalog.show_partitions(spark, r1.table).count() == 1
+    r2 = run_batch(spark, raw2, target, database=catalog.DEFAULT_DATABASE, table="t_days",
+                   processed_at=STAMP)
+    parts = sorted(r[0] for r in catalog.show_partitions(spark, r2.table).collect())
+    assert parts == ["year=2025/month=05/day=07", "year=2025/month=05/day=08"]
+    assert spark.table(r2.table).count() == 16
+    assert r2.counters["corrupt_records"] == 1
