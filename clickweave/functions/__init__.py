@@ -6,7 +6,6 @@ from clickweave.functions.columns import (  # noqa: F401
     flag,
     parse_event_time,
     pct,
-    pct_rounded,
     rate,
     round2,
     today_parts,

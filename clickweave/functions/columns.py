@@ -65,11 +65,6 @@ def rate(num: Column, den: Column) -> Column:
     return round2(pct(num, den))
 
 
-def pct_rounded(num: Column, den: Column) -> Column:
-    """Alias of :func:`rate` for readability in ratio-of-sums columns."""
-    return rate(num, den)
-
-
 def cents(price: Column, quantity: Column) -> Column:
     """Line amount in whole cents (BIGINT), so sums are exact and do not
     depend on the order in which partitions are added up."""

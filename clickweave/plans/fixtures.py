@@ -61,7 +61,5 @@ def stored_run(spark: SparkSession, sf_dir: str) -> RunResult:
         spark.sql(f"DROP TABLE IF EXISTS {catalog.DEFAULT_DATABASE}.{catalog.DEFAULT_TABLE}")
         result = run_batch(spark, source, target, database=catalog.DEFAULT_DATABASE,
                            errors_path=errors, processed_at=FIXED_STAMP)
-        result.target = target
-        result.errors = errors
         _CACHE[key] = result
     return _CACHE[key]

@@ -32,6 +32,8 @@ class RunResult:
     counters: dict = field(default_factory=dict)
     table: str | None = None
     written: DataFrame | None = None
+    target: str | None = None
+    errors: str | None = None
 
     def summary(self) -> DataFrame:
         return run_summary(self.written)
@@ -68,7 +70,8 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
     name = (catalog.register_table(spark, target, database, table, days=days)
             if database else None)
     written = read_curated(spark, target).where(F.col("processed_timestamp") == F.lit(stamp))
-    return RunResult(stamp=stamp, counters=counters, table=name, written=written)
+    return RunResult(stamp=stamp, counters=counters, table=name, written=written,
+                     target=target, errors=errors_path)
 
 
 def run_summary(written: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions import (
-    elapsed_seconds, flag, parse_event_time, rate, round2, today_filter, today_parts,
+    cents, elapsed_seconds, flag, parse_event_time, rate, round2, today_filter, today_parts,
     when_count,
 )
 
@@ -61,10 +61,6 @@ def _half_up_div(num, den):
     return F.try_divide(F.lit(2) * num + den, F.lit(2) * den).cast("bigint")
 
 
-def _cents(price, quantity):
-    return F.round(price * F.lit(100.0)).cast("bigint") * quantity.cast("bigint")
-
-
 def share_of_total(agg: DataFrame, count_col: str, out: str = "percentage") -> DataFrame:
     """W3. ``count * 100 / SUM(count) OVER ()`` on an aggregated frame.
 
@@ -210,7 +206,7 @@ def q08_daily_revenue(df: DataFrame, as_of=None) -> DataFrame:
              .groupBy("year", "month", "day")
              .agg(F.count_distinct("user_id").alias("purchasing_users"),
                   _count().alias("total_purchases"),
-                  F.sum(_cents(F.col("price"), F.col("quantity"))).alias("_cents")))
+                  F.sum(cents(F.col("price"), F.col("quantity"))).alias("_cents")))
     c = F.col("_cents")
     return (agg.select(
                 "year", "month", "day", _date_label().alias("date"),
@@ -250,7 +246,7 @@ def q09_session_duration(df: DataFrame, as_of=None) -> DataFrame:
 def q10_category_performance(df: DataFrame, as_of=None) -> DataFrame:
     """Per category: products, users, views, cart adds, purchases, revenue,
     purchase-per-view rate."""
-    purchase_cents = F.when(_is("purchase"), _cents(F.col("price"), F.col("quantity"))).otherwise(F.lit(0))
+    purchase_cents = F.when(_is("purchase"), cents(F.col("price"), F.col("quantity"))).otherwise(F.lit(0))
     agg = (df.where(F.col("product_category").isNotNull())
              .groupBy("product_category")
              .agg(F.count_distinct("product_id").alias("unique_products"),

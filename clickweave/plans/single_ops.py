@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickweave.functions import (
-    elapsed_seconds, flag, parse_event_time, rate, round2, today_filter, when_count,
+    cents, elapsed_seconds, flag, parse_event_time, rate, round2, today_filter, when_count,
 )
 from clickweave.operators import quality
 from clickweave.plans import fixtures, library
@@ -44,8 +44,8 @@ def _is(t):
     return F.col("event_type") == F.lit(t)
 
 
-def _cents(price="price", qty="quantity"):
-    return F.round(F.col(price) * F.lit(100.0)).cast("bigint") * F.col(qty).cast("bigint")
+def _cents():
+    return cents(F.col("price"), F.col("quantity"))
 
 
 # ---- §2.1 sources --------------------------------------------------------
