@@ -32,7 +32,10 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> str:
     if key not in _CACHE:
         configure(spark)
         path = scratch_path(spark, "raw")
+        # Delivery buffers a few MB per file: at these sizes about one
+        # file per day, as a buffered delivery stream would write.
         (json_lines_from_tables(spark, sf_dir)
+            .repartition("year", "month", "day")
             .write.mode("overwrite").partitionBy("year", "month", "day")
             .option("compression", "gzip").text(path))
         _CACHE[key] = path
