@@ -81,6 +81,8 @@ def observe_run(df: DataFrame, name: str = "run_counters") -> tuple[DataFrame, O
         metrics.append(F.count_if(earlier & F.col(f).isNull()).alias(f"null_{f}"))
         earlier = earlier & F.col(f).isNotNull()
     metrics.append(F.count_if(earlier).alias("valid_records"))
+    bad_time = earlier & F.try_to_timestamp(F.col("timestamp")).isNull()
+    metrics.append(F.count_if(bad_time).alias("bad_time_records"))
     return df.observe(obs, *metrics), obs
 
 

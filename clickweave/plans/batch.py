@@ -74,14 +74,23 @@ def sequence_sample(sample_raw: DataFrame) -> DataFrame:
 
 
 def transform(raw: DataFrame, processed_at: _dt.datetime | None = None,
-              sample_raw: DataFrame | None = None, **seq_opts) -> DataFrame:
+              sample_raw: DataFrame | None = None, on_bad_time: str = "keep",
+              **seq_opts) -> DataFrame:
     """E8. Raw events (any subset of the 16 fields, optionally with
     ``_corrupt_record``) → curated rows in table column order.
 
+    ``on_bad_time``: ``"keep"`` (default) keeps an event whose time does not
+    parse, with NULL date parts (it lands in the default partition);
+    ``"reject"`` drops it.
+
     ``sample_raw``: the same input sampled at ``seq_opts['sample_fraction']``
     (default ``DEFAULT_SAMPLE_FRACTION``) before any parsing; hot-key
     detection then reads it instead of re-deriving every row."""
+    if on_bad_time not in ("keep", "reject"):
+        raise ValueError("on_bad_time must be 'keep' or 'reject'")
     df = enrich_events(clean(raw), processed_at)
+    if on_bad_time == "reject":
+        df = df.where(F.col(enrich.PARSED_TIME).isNotNull())
     sample = sequence_sample(sample_raw) if sample_raw is not None else None
     return to_curated(add_sequence(df, sample=sample, **seq_opts))
 

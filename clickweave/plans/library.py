@@ -11,7 +11,8 @@ Conventions (SURVEY §2.15):
 * money is summed in whole cents (BIGINT) so totals do not depend on the
   order partitions are added;
 * every ORDER BY … LIMIT ends in a unique key, so top-k results are stable;
-* NULLs sort last in both directions.
+* NULLs sort last in both directions;
+* distinct counts are exact unless ``exact=False`` is passed.
 """
 
 from __future__ import annotations
@@ -42,6 +43,13 @@ def _count():
     return F.count(F.lit(1))
 
 
+def _distinct(col: str, exact: bool = True):
+    """``COUNT(DISTINCT col)``; with ``exact=False`` a HyperLogLog++ estimate
+    (2% relative error) that needs no ``Expand`` and no shuffle of distinct
+    values — an option for very large tables, never the default."""
+    return F.count_distinct(col) if exact else F.approx_count_distinct(col, rsd=0.02)
+
+
 def _ratio(num, den):
     """``ROUND(num * 1.0 / den, 2)`` in DOUBLE; NULL on a zero denominator."""
     return round2(F.try_divide(num.cast("double"), den.cast("double")))
@@ -74,23 +82,23 @@ def share_of_total(agg: DataFrame, count_col: str, out: str = "percentage") -> D
 # Main library (q01 … q12)
 # --------------------------------------------------------------------------
 
-def q01_event_distribution(df: DataFrame, as_of=None) -> DataFrame:
+def q01_event_distribution(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per event type today: events, users, sessions and share of events."""
     agg = (df.where(today_filter(as_of))
              .groupBy("event_type")
              .agg(_count().alias("event_count"),
-                  F.count_distinct("user_id").alias("unique_users"),
-                  F.count_distinct("session_id").alias("unique_sessions")))
+                  _distinct("user_id", exact).alias("unique_users"),
+                  _distinct("session_id", exact).alias("unique_sessions")))
     return (share_of_total(agg, "event_count")
             .orderBy(F.desc("event_count"), F.asc_nulls_last("event_type")))
 
 
-def q02_daily_active_users(df: DataFrame, as_of=None) -> DataFrame:
+def q02_daily_active_users(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per day: DAU, events, sessions, events per user / session; last 30."""
     agg = (df.groupBy("year", "month", "day")
-             .agg(F.count_distinct("user_id").alias("daily_active_users"),
+             .agg(_distinct("user_id", exact).alias("daily_active_users"),
                   _count().alias("total_events"),
-                  F.count_distinct("session_id").alias("total_sessions")))
+                  _distinct("session_id", exact).alias("total_sessions")))
     return (agg.select(
                 "year", "month", "day", _date_label().alias("date"),
                 "daily_active_users", "total_events", "total_sessions",
@@ -107,7 +115,7 @@ def _funnel_counts(df: DataFrame, keys: list[str]) -> DataFrame:
                    when_count(_is("purchase")).alias("purchases")))
 
 
-def q03_product_performance(df: DataFrame, as_of=None) -> DataFrame:
+def q03_product_performance(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per product: views, cart adds, purchases and three rates; views > 5."""
     keys = ["product_id", "product_name", "product_category"]
     agg = _funnel_counts(df.where(F.col("product_id").isNotNull()), keys)
@@ -122,14 +130,14 @@ def q03_product_performance(df: DataFrame, as_of=None) -> DataFrame:
                .limit(50))
 
 
-def q04_hourly_activity(df: DataFrame, as_of=None) -> DataFrame:
+def q04_hourly_activity(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per hour of today: events, users, sessions, purchase share."""
     purchase = F.when(_is("purchase"), F.lit(1.0)).otherwise(F.lit(0.0))
     return (df.where(today_filter(as_of))
               .groupBy("hour")
               .agg(_count().alias("event_count"),
-                   F.count_distinct("user_id").alias("unique_users"),
-                   F.count_distinct("session_id").alias("unique_sessions"),
+                   _distinct("user_id", exact).alias("unique_users"),
+                   _distinct("session_id", exact).alias("unique_sessions"),
                    round2(F.avg(purchase) * F.lit(100.0)).alias("purchase_rate"))
               .orderBy(F.asc_nulls_last("hour")))
 
@@ -149,7 +157,7 @@ def session_funnel_flags(df: DataFrame) -> DataFrame:
               .agg(*[flag(_is(t)).alias(f"_s{i}") for i, (_, t) in enumerate(FUNNEL_STAGES)]))
 
 
-def q05_session_funnel(df: DataFrame, as_of=None) -> DataFrame:
+def q05_session_funnel(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Four funnel stages today: sessions, % of first stage, % lost against
     the previous stage. One aggregate, then four rows — one scan."""
     flags = session_funnel_flags(df.where(today_filter(as_of)))
@@ -172,12 +180,12 @@ def q05_session_funnel(df: DataFrame, as_of=None) -> DataFrame:
     return sums.select(F.inline(F.array(*rows)))
 
 
-def q06_top_referrers(df: DataFrame, as_of=None) -> DataFrame:
+def q06_top_referrers(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per non-empty referrer: users, sessions, events, purchases, rate; top 20."""
     agg = (df.where(F.col("referrer").isNotNull() & (F.col("referrer") != F.lit("")))
              .groupBy("referrer")
-             .agg(F.count_distinct("user_id").alias("unique_users"),
-                  F.count_distinct("session_id").alias("sessions"),
+             .agg(_distinct("user_id", exact).alias("unique_users"),
+                  _distinct("session_id", exact).alias("sessions"),
                   _count().alias("total_events"),
                   when_count(_is("purchase")).alias("purchases")))
     return (agg.withColumn("conversion_rate", rate(F.col("purchases"), F.col("sessions")))
@@ -185,13 +193,13 @@ def q06_top_referrers(df: DataFrame, as_of=None) -> DataFrame:
                .limit(20))
 
 
-def q07_device_analysis(df: DataFrame, as_of=None) -> DataFrame:
+def q07_device_analysis(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per device type: users, sessions, events, mean position in session
     (named avg_events_per_session, D16), purchases, session conversion."""
     agg = (df.where(F.col("device_type").isNotNull())
              .groupBy("device_type")
-             .agg(F.count_distinct("user_id").alias("unique_users"),
-                  F.count_distinct("session_id").alias("sessions"),
+             .agg(_distinct("user_id", exact).alias("unique_users"),
+                  _distinct("session_id", exact).alias("sessions"),
                   _count().alias("total_events"),
                   round2(F.avg("event_sequence")).alias("avg_events_per_session"),
                   when_count(_is("purchase")).alias("purchases")))
@@ -199,12 +207,12 @@ def q07_device_analysis(df: DataFrame, as_of=None) -> DataFrame:
                .orderBy(F.desc("unique_users"), F.asc_nulls_last("device_type")))
 
 
-def q08_daily_revenue(df: DataFrame, as_of=None) -> DataFrame:
+def q08_daily_revenue(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per day of purchases: buyers, purchases, revenue, average order value,
     revenue per buyer; last 30 days."""
     agg = (df.where(_is("purchase") & F.col("price").isNotNull() & F.col("quantity").isNotNull())
              .groupBy("year", "month", "day")
-             .agg(F.count_distinct("user_id").alias("purchasing_users"),
+             .agg(_distinct("user_id", exact).alias("purchasing_users"),
                   _count().alias("total_purchases"),
                   F.sum(cents(F.col("price"), F.col("quantity"))).alias("_cents")))
     c = F.col("_cents")
@@ -227,7 +235,7 @@ def session_times(df: DataFrame) -> DataFrame:
                    flag(_is("purchase")).alias("has_purchase")))
 
 
-def q09_session_duration(df: DataFrame, as_of=None) -> DataFrame:
+def q09_session_duration(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Converted vs not: sessions, mean events, mean whole seconds from first
     to last event; sessions whose first and last time are equal are left out."""
     st = session_times(df).where(F.col("session_start") != F.col("session_end"))
@@ -243,14 +251,14 @@ def q09_session_duration(df: DataFrame, as_of=None) -> DataFrame:
                .orderBy(F.asc_nulls_last("conversion_status")))
 
 
-def q10_category_performance(df: DataFrame, as_of=None) -> DataFrame:
+def q10_category_performance(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per category: products, users, views, cart adds, purchases, revenue,
     purchase-per-view rate."""
     purchase_cents = F.when(_is("purchase"), cents(F.col("price"), F.col("quantity"))).otherwise(F.lit(0))
     agg = (df.where(F.col("product_category").isNotNull())
              .groupBy("product_category")
-             .agg(F.count_distinct("product_id").alias("unique_products"),
-                  F.count_distinct("user_id").alias("unique_users"),
+             .agg(_distinct("product_id", exact).alias("unique_products"),
+                  _distinct("user_id", exact).alias("unique_users"),
                   when_count(_is("product_view")).alias("views"),
                   when_count(_is("add_to_cart")).alias("cart_adds"),
                   when_count(_is("purchase")).alias("purchases"),
@@ -280,16 +288,16 @@ def classify_new_returning(df: DataFrame) -> DataFrame:
     return joined.select("t.*", "first_event_time", kind.alias("user_type"))
 
 
-def q11_new_vs_returning(df: DataFrame, as_of=None) -> DataFrame:
+def q11_new_vs_returning(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """First-event rows against the rest: users, events, mean position,
     purchases, purchases per session."""
     agg = (classify_new_returning(df)
            .groupBy("user_type")
-           .agg(F.count_distinct("user_id").alias("users"),
+           .agg(_distinct("user_id", exact).alias("users"),
                 _count().alias("total_events"),
                 round2(F.avg("event_sequence")).alias("avg_events_per_session"),
                 when_count(_is("purchase")).alias("purchases"),
-                F.count_distinct("session_id").alias("_sessions")))
+                _distinct("session_id", exact).alias("_sessions")))
     return agg.select("user_type", "users", "total_events", "avg_events_per_session",
                       "purchases", rate(F.col("purchases"), F.col("_sessions")).alias("conversion_rate"))
 
@@ -298,7 +306,7 @@ LATEST_COLUMNS = ["timestamp", "event_type", "user_id", "session_id", "product_i
                   "product_name", "price", "device_type", "page_url"]
 
 
-def q12_latest_events(df: DataFrame, as_of=None, n: int = 100) -> DataFrame:
+def q12_latest_events(df: DataFrame, as_of=None, exact: bool = True, n: int = 100) -> DataFrame:
     """The latest ``n`` events of today (top-k, ties broken by event id)."""
     return (df.where(today_filter(as_of))
               .orderBy(F.desc_nulls_last("timestamp"), F.asc_nulls_last("event_id"))
@@ -306,14 +314,14 @@ def q12_latest_events(df: DataFrame, as_of=None, n: int = 100) -> DataFrame:
               .select(*LATEST_COLUMNS))
 
 
-def dq_check(df: DataFrame, as_of=None) -> DataFrame:
+def dq_check(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Seven data-quality counters over the whole table."""
     return df.agg(
         _count().alias("total_records"),
-        F.count_distinct("event_id").alias("unique_events"),
-        (_count() - F.count_distinct("event_id")).alias("duplicate_events"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("session_id").alias("unique_sessions"),
+        _distinct("event_id", exact).alias("unique_events"),
+        (_count() - _distinct("event_id", exact)).alias("duplicate_events"),
+        _distinct("user_id", exact).alias("unique_users"),
+        _distinct("session_id", exact).alias("unique_sessions"),
         when_count(F.col("product_id").isNull()).alias("missing_product_id"),
         when_count(F.col("price").isNull()).alias("missing_price"))
 
@@ -322,18 +330,18 @@ def dq_check(df: DataFrame, as_of=None) -> DataFrame:
 # Saved (named) queries and the short forms shown in the documentation
 # --------------------------------------------------------------------------
 
-def nq1_event_distribution(df: DataFrame, as_of=None) -> DataFrame:
+def nq1_event_distribution(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Saved query "Event Type Distribution": events and users per type today."""
     return (df.where(today_filter(as_of))
               .groupBy("event_type")
-              .agg(_count().alias("event_count"), F.count_distinct("user_id").alias("unique_users"))
+              .agg(_count().alias("event_count"), _distinct("user_id", exact).alias("unique_users"))
               .orderBy(F.desc("event_count"), F.asc_nulls_last("event_type")))
 
 
-def nq2_daily_active_users(df: DataFrame, as_of=None) -> DataFrame:
+def nq2_daily_active_users(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Saved query "Daily Active Users"."""
     agg = (df.groupBy("year", "month", "day")
-             .agg(F.count_distinct("user_id").alias("daily_active_users"),
+             .agg(_distinct("user_id", exact).alias("daily_active_users"),
                   _count().alias("total_events")))
     return (agg.withColumn("avg_events_per_user",
                            _ratio(F.col("total_events"), F.col("daily_active_users")))
@@ -342,7 +350,7 @@ def nq2_daily_active_users(df: DataFrame, as_of=None) -> DataFrame:
                .limit(30))
 
 
-def nq3_product_performance(df: DataFrame, as_of=None) -> DataFrame:
+def nq3_product_performance(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Saved query "Product Performance": by product id, views > 10, top 20."""
     agg = (df.where(F.col("product_id").isNotNull())
              .groupBy("product_id")
@@ -354,22 +362,22 @@ def nq3_product_performance(df: DataFrame, as_of=None) -> DataFrame:
                .limit(20))
 
 
-def rq1_event_counts(df: DataFrame, as_of=None) -> DataFrame:
+def rq1_event_counts(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Events per type over the whole table, largest first."""
     return (df.groupBy("event_type").agg(_count().alias("event_count"))
               .orderBy(F.desc("event_count"), F.asc_nulls_last("event_type")))
 
 
-def rq2_daily_users(df: DataFrame, as_of=None) -> DataFrame:
+def rq2_daily_users(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """DAU and events per day, newest first."""
     return (df.groupBy("year", "month", "day")
-              .agg(F.count_distinct("user_id").alias("daily_active_users"),
+              .agg(_distinct("user_id", exact).alias("daily_active_users"),
                    _count().alias("total_events"))
               .orderBy(F.desc_nulls_last("year"), F.desc_nulls_last("month"),
                        F.desc_nulls_last("day")))
 
 
-def rq3_product_views(df: DataFrame, as_of=None) -> DataFrame:
+def rq3_product_views(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Views and purchases per product id and name (no threshold)."""
     return (df.where(F.col("product_id").isNotNull())
               .groupBy("product_id", "product_name")
@@ -377,12 +385,13 @@ def rq3_product_views(df: DataFrame, as_of=None) -> DataFrame:
                    when_count(_is("purchase")).alias("purchases")))
 
 
-def rq4_event_counts_unsorted(df: DataFrame, as_of=None) -> DataFrame:
+def rq4_event_counts_unsorted(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Smoke query: rows per event type."""
     return df.groupBy("event_type").count()
 
 
-def rq5_product_counts_year(df: DataFrame, as_of=None, year: str | None = None) -> DataFrame:
+def rq5_product_counts_year(df: DataFrame, as_of=None, exact: bool = True,
+                            year: str | None = None) -> DataFrame:
     """Rows per product within one year partition (default: the year of
     ``as_of``, else the current year)."""
     if year is None:
@@ -393,11 +402,11 @@ def rq5_product_counts_year(df: DataFrame, as_of=None, year: str | None = None)
               .groupBy("product_id").agg(_count().alias("event_count")))
 
 
-def rq6_quality_short(df: DataFrame, as_of=None) -> DataFrame:
+def rq6_quality_short(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Three-counter form of the quality check."""
     return df.agg(_count().alias("total_records"),
-                  F.count_distinct("event_id").alias("unique_events"),
-                  F.count_distinct("user_id").alias("unique_users"))
+                  _distinct("event_id", exact).alias("unique_events"),
+                  _distinct("user_id", exact).alias("unique_users"))
 
 
 LIBRARY = {

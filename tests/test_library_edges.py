@@ -119,3 +119,22 @@ def test_edge_rows_from_fixture_list(spark):
     sessions = {r.conversion_status: r.session_count
                 for r in library.q09_session_duration(df).collect()}
     assert sessions == {"Converted": 2}  # 'solo' has one event: start == end, left out
+
+
+def test_bad_time_keep_or_reject(spark):
+    rows = [_ev(1, "page_view"), dict(_ev(2, "page_view"), timestamp="garbage")]
+    full = [tuple(r.get(f.name) for f in RAW_SCHEMA.fields) for r in rows]
+    raw = spark.createDataFrame(full, RAW_SCHEMA)
+    assert transform(raw, processed_at=STAMP).count() == 2
+    kept = transform(raw, processed_at=STAMP, on_bad_time="reject").collect()
+    assert [r.event_id for r in kept] == ["e01"]
+
+
+def test_approximate_distinct_option(spark):
+    rows = [_ev(i, "page_view", user=f"u{i % 7}", session=f"s{i % 5}", t=i) for i in range(40)]
+    df = _frame(spark, rows)
+    exact = library.q02_daily_active_users(df).first()
+    approx = library.q02_daily_active_users(df, exact=False).first()
+    assert exact.daily_active_users == 7 and abs(approx.daily_active_users - 7) <= 1
+    for name, fn in library.LIBRARY.items():
+        fn(df, _dt.date(2025, 3, 4), exact=False).collect()
