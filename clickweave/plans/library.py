@@ -1,4 +1,4 @@
-"""Query library over the curated table: ``fn(df, as_of=None) -> DataFrame``.
+"""Query library over the curated table: ``fn(df, as_of=None, exact=True) -> DataFrame``.
 
 ``df`` is the curated table (``spark.table("transformed")`` or the lazy
 output of :func:`clickweave.plans.batch.transform`). ``as_of`` replaces
@@ -25,9 +25,6 @@ from clickweave.functions import (
     when_count,
 )
 
-
-
-
 # Labels that appear in query output.
 LABEL_CONVERTED = "Converted"
 LABEL_NOT_CONVERTED = "Not Converted"

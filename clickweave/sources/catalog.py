@@ -113,3 +113,13 @@ def create_saved_views(spark: SparkSession, df: DataFrame, as_of=None) -> dict[s
         fn(df, as_of=as_of).createOrReplaceTempView(view)
         out[view] = description
     return out
+
+
+def create_library_views(spark: SparkSession, df: DataFrame, as_of=None,
+                         exact: bool = True) -> list[str]:
+    """Every query of the library as a temporary view named after it, so the
+    queries can also be run as SQL (``SELECT * FROM q05_session_funnel``)."""
+    from clickweave.plans.library import LIBRARY
+    for view, fn in LIBRARY.items():
+        fn(df, as_of=as_of, exact=exact).createOrReplaceTempView(view)
+    return list(LIBRARY)

@@ -144,3 +144,12 @@ def test_saved_queries(day):
     from clickweave.plans.library import nq1_event_distribution, nq3_product_performance
     assert {r.event_type: r.event_count for r in nq1_event_distribution(day, AS_OF).collect()}["page_view"] == 6
     assert nq3_product_performance(day).count() == 0
+
+
+def test_library_as_sql_views(spark, day):
+    from clickweave.sources.catalog import create_library_views
+    views = create_library_views(spark, day, as_of=AS_OF)
+    assert "q09_session_duration" in views
+    got = {r.conversion_status: r.session_count
+           for r in spark.sql("SELECT * FROM q09_session_duration").collect()}
+    assert got == {"Converted": 2, "Not Converted": 4}
