@@ -138,3 +138,20 @@ def test_runs_register_only_new_days(spark):
     assert parts == ["year=2025/month=05/day=07", "year=2025/month=05/day=08"]
     assert spark.table(r2.table).count() == 16
     assert r2.counters["corrupt_records"] == 1
+
+
+def test_run_counters_with_hot_keys(spark):
+    """With hot keys the observed input feeds two plan branches; the run
+    counters must still count each input line once."""
+    from clickweave.plans.jobs import run_batch
+    raw = scratch_path(spark, "t-hot")
+    _drop(raw, "a.json", _lines(120))
+    normal = run_batch(spark, raw, scratch_path(spark, "t-hot-a"), processed_at=STAMP)
+    forced = run_batch(spark, raw, scratch_path(spark, "t-hot-b"), processed_at=STAMP,
+                       min_hot_rows=1, sample_fraction=1.0, rows_per_bucket=3,
+                       max_hot_keys=4)
+    assert normal.counters == forced.counters
+    assert forced.counters["rows_read"] == 121 and forced.counters["corrupt_records"] == 1
+    cols = ["event_id", "event_sequence"]
+    assert sorted(map(tuple, normal.written.select(cols).collect())) == \
+        sorted(map(tuple, forced.written.select(cols).collect()))
