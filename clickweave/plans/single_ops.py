@@ -277,7 +277,7 @@ def qualified_star(spark, sf):
 # ---- §2.4 enrichment -----------------------------------------------------
 
 def processed_timestamp(spark, sf):
-    """E1 (fixed per run)."""
+    """E1. Job stamp (fixed per run)."""
     return _cur(spark, sf).select("event_id", "processed_timestamp")
 
 
@@ -398,7 +398,7 @@ def avg_numeric(spark, sf):
 
 
 def min_max_timestamp(spark, sf):
-    """A10 (text order of the ISO strings)."""
+    """A10. First and last time per user (text order of the ISO strings)."""
     return (_cur(spark, sf).groupBy("user_id")
             .agg(F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")))
 
@@ -554,7 +554,7 @@ def cte(spark, sf):
 # ---- §2.10 scalar functions -------------------------------------------------
 
 def scalar_dates(spark, sf):
-    """X1-X6 on the parsed event time (bad time → NULL everywhere)."""
+    """X1-X6. Date parts of the parsed event time (bad time → NULL everywhere)."""
     df = quality.drop_corrupt(_landing(spark, sf))
     t = parse_event_time("timestamp")
     return df.select("event_id", F.year(t).alias("y"), F.month(t).alias("m"),
