@@ -150,3 +150,36 @@ def dedup_stream(lines: DataFrame, delay: str = "1 hour") -> DataFrame:
              .where(F.col(PARSED_TIME).isNotNull()))
     return (timed.withWatermark(PARSED_TIME, delay)
                  .dropDuplicatesWithinWatermark(["event_id"]))
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line for the incremental transform::
+
+        python -m clickweave.streaming.ingest --raw <raw folder> --target <table folder> \\
+            --checkpoint <checkpoint folder> [--database clickstream_db] [--trigger "300 seconds"]
+
+    With the default ``availableNow`` trigger it processes the files not seen
+    yet and stops; with a processing-time trigger it keeps running."""
+    import argparse
+
+    from clickweave.session import get_session
+
+    ap = argparse.ArgumentParser(description="raw JSON files -> curated table, incrementally")
+    ap.add_argument("--raw", required=True)
+    ap.add_argument("--target", required=True)
+    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--database", default=None)
+    ap.add_argument("--errors-path", default=None)
+    ap.add_argument("--trigger", default="availableNow")
+    args = ap.parse_args(argv)
+    spark = get_session(app="clickweave-stream")
+    query = incremental_transform(spark, args.raw, args.target, args.checkpoint,
+                                  database=args.database, trigger=args.trigger,
+                                  errors_path=args.errors_path)
+    query.awaitTermination()
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main())
