@@ -155,3 +155,18 @@ def test_run_counters_with_hot_keys(spark):
     cols = ["event_id", "event_sequence"]
     assert sorted(map(tuple, normal.written.select(cols).collect())) == \
         sorted(map(tuple, forced.written.select(cols).collect()))
+
+
+def test_command_lines(spark, capsys):
+    from clickweave.plans import jobs
+    raw = scratch_path(spark, "t-cli")
+    _drop(raw, "a.json", _lines(12))
+    target = scratch_path(spark, "t-cli-out")
+    assert jobs.main(["--source", raw, "--target", target, "--errors-path",
+                      scratch_path(spark, "t-cli-err")]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["counters"]["valid_records"] == 12 and out["summary"]["total_records"] == 12
+    stream_target = scratch_path(spark, "t-cli-stream")
+    assert ingest.main(["--raw", raw, "--target", stream_target,
+                        "--checkpoint", scratch_path(spark, "t-cli-ck")]) == 0
+    assert sinks.read_curated(spark, stream_target).count() == 12
