@@ -70,6 +70,13 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
     name = (catalog.register_table(spark, target, database, table, days=days)
             if database else None)
     written = read_curated(spark, target).where(F.col("processed_timestamp") == F.lit(stamp))
+    if days and all(p is not None for d in days for p in d):
+        # Only the partitions this run wrote are listed and read.
+        in_run = None
+        for y, m, d in days:
+            one = (F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d)
+            in_run = one if in_run is None else in_run | one
+        written = written.where(in_run)
     return RunResult(stamp=stamp, counters=counters, table=name, written=written,
                      target=target, errors=errors_path)
 

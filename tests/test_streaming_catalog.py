@@ -138,6 +138,10 @@ def test_runs_register_only_new_days(spark):
     assert parts == ["year=2025/month=05/day=07", "year=2025/month=05/day=08"]
     assert spark.table(r2.table).count() == 16
     assert r2.counters["corrupt_records"] == 1
+    # the summary of a run reads only the partitions that run wrote
+    assert r2.summary().first().total_records == 8
+    plan = r2.written._jdf.queryExecution().executedPlan().toString()
+    assert "day#" in plan and "08" in plan
 
 
 def test_run_counters_with_hot_keys(spark):
