@@ -33,9 +33,14 @@ def parse_json_lines(lines: DataFrame, text_col: str = LINE_COLUMN,
     """One landing row per non-blank line: the 16 fields as text plus
     ``_corrupt_record`` (the line itself when it is not a JSON object);
     with ``keep_line`` also the original text as ``_line``."""
+    # The parse sits inside a generator (``inline`` of a one-element array):
+    # later filters on parsed fields (corrupt, required) cannot be pushed
+    # below a generator, so each line is parsed exactly once. Under a plain
+    # projection the optimizer would copy the parse into every pushed filter.
     parsed = (lines.where(F.trim(F.col(text_col)) != F.lit(""))
-                   .select(F.from_json(F.col(text_col), LANDING_SCHEMA, PARSE_OPTIONS).alias("_j"),
-                           F.col(text_col).alias("_line")))
+                   .select(F.inline(F.array(F.struct(
+                       F.from_json(F.col(text_col), LANDING_SCHEMA, PARSE_OPTIONS).alias("_j"),
+                       F.col(text_col).alias("_line"))))))
     fields = [F.col(f"_j.{f.name}").alias(f.name) for f in LANDING_SCHEMA.fields
               if f.name != CORRUPT_COLUMN]
     bad = F.col("_j").isNull() | F.col(f"_j.{CORRUPT_COLUMN}").isNotNull()
