@@ -31,6 +31,7 @@ def summarize(plan: str) -> dict:
         "pushed": sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", final))),
         "scan_cols": cols,
         "codegen": len(re.findall(r"\*\(\d+\)", final)),
+        "json_parses": final.count("from_json("),
     }
 
 
@@ -48,6 +49,15 @@ def main(argv) -> int:
     etl = curated(spark, sf)
     write_curated(etl, target)
     rows = [("ETL (tables → curated, before the write)", summarize(_final_plan(curated(spark, sf))))]
+    from clickweave.plans.jobs import prepare_batch
+    from clickweave.plans.registry import FIXED_STAMP
+    from clickweave.sources.testdata import json_lines_from_tables
+    raw = scratch_path(spark, "plans-raw")
+    (json_lines_from_tables(spark, sf).repartition("year", "month", "day")
+     .write.partitionBy("year", "month", "day").option("compression", "gzip").text(raw))
+    _, batch_df, _, _ = prepare_batch(spark, raw, FIXED_STAMP)
+    rows.append(("batch job (gzip JSON lines → curated, before the write)",
+                 summarize(_final_plan(batch_df))))
     for name, fn in library.LIBRARY.items():
         rows.append((name, summarize(_final_plan(fn(read_curated(spark, target), as_of=AS_OF)))))
     print("| query | shuffles | BHJ | SMJ | Expand | Window | top-k | partition filter | "

@@ -42,15 +42,10 @@ class RunResult:
         return run_type_counts(self.written)
 
 
-def run_batch(spark: SparkSession, source: str, target: str, database: str | None = None,
-              table: str = catalog.DEFAULT_TABLE, layout: str = "lines",
-              errors_path: str | None = None, processed_at: _dt.datetime | None = None,
-              spread_lines: bool = False, **seq_opts) -> RunResult:
-    """S5. Transform every raw file under ``source`` and append the result to
-    the partitioned table at ``target``; register it in ``database`` when
-    given. Malformed records go to ``errors_path`` when given (a second,
-    filtered pass over the input)."""
-    stamp = processed_at or run_stamp()
+def prepare_batch(spark: SparkSession, source: str, stamp: _dt.datetime, layout: str = "lines",
+                  spread_lines: bool = False, **seq_opts):
+    """The lazy plan of one run: ``(landing, curated, run_counters, written_days)``.
+    Nothing is executed; the write in :func:`run_batch` is the one action."""
     landing = read_raw_events(spark, source, layout, spread_lines=spread_lines)
     observed, obs = observe_run(landing)
     sample_raw = None
@@ -62,6 +57,20 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
                                       .sample(fraction=fraction, seed=seed))
     curated = transform(observed, processed_at=stamp, sample_raw=sample_raw, **seq_opts)
     curated, day_obs = observe_days(curated)
+    return landing, curated, obs, day_obs
+
+
+def run_batch(spark: SparkSession, source: str, target: str, database: str | None = None,
+              table: str = catalog.DEFAULT_TABLE, layout: str = "lines",
+              errors_path: str | None = None, processed_at: _dt.datetime | None = None,
+              spread_lines: bool = False, **seq_opts) -> RunResult:
+    """S5. Transform every raw file under ``source`` and append the result to
+    the partitioned table at ``target``; register it in ``database`` when
+    given. Malformed records go to ``errors_path`` when given (a second,
+    filtered pass over the input)."""
+    stamp = processed_at or run_stamp()
+    landing, curated, obs, day_obs = prepare_batch(spark, source, stamp, layout=layout,
+                                                   spread_lines=spread_lines, **seq_opts)
     write_curated(curated, target)
     counters = dict(obs.get)
     days = [tuple(r) for r in day_obs.get.get("days", [])]
