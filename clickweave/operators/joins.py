@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A dimension side is broadcast only when its row count, taken before the
-# join, is at most this many rows; otherwise the join shuffles both sides and
-# AQE splits skewed fact partitions (spark.sql.adaptive.skewJoin.enabled).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# join, is at most this many rows (about 50 MB for the ~100-byte projected
+# product rows used here); otherwise the join shuffles both sides and AQE
+# splits skewed fact partitions (spark.sql.adaptive.skewJoin.enabled).
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, cond: Column | list | str,
