@@ -97,6 +97,8 @@ def main() -> None:
         "sf": _sf_number(SF_DIR),
         "cpus": CPUS,
         "cold_first_etl_sec": round(cold, 3),
+        "etl_runs_sec": [round(x, 3) for x in etl_runs],
+        "json_job_runs_sec": [round(x, 3) for x in json_runs],
         "repeat": REPEAT,
         "query_repeat": QUERY_REPEAT,
     }))

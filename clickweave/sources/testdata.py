@@ -75,11 +75,14 @@ def raw_events_from_tables(spark: SparkSession, sf_dir: str, keep_key: bool = Fa
     else:
         ev = spread(ev)
 
-    # ``k`` is extracted once; the type rules then work on the integer column.
-    base = (ev.select(
+    # ``k`` is extracted once, inside a generator (``inline`` of a one-element
+    # array): filters on mapped fields cannot be pushed below it, so the
+    # extraction stays after the spread and runs on every core. The type
+    # rules then work on the integer column.
+    base = (ev.select(F.inline(F.array(F.struct(
                 F.col("event_id").alias("_e"), F.col("user_id").alias("_u"),
                 F.col("ts").alias("_ts"), F.col("event_type").alias("_src"),
-                F.get_json_object(F.col("props"), "$.k").try_cast("int").alias("_k"))
+                F.get_json_object(F.col("props"), "$.k").try_cast("int").alias("_k")))))
               .withColumn("event_type", _event_type(F.col("_src"), F.col("_k"))))
 
     if sample_fraction is None:
