@@ -25,11 +25,19 @@ def _key(spark: SparkSession, *parts) -> tuple:
     return (spark.sparkContext.applicationId, *parts)
 
 
+def once(spark: SparkSession, name: str, sf_dir: str, build):
+    """``build()`` run once per session, name and test-table folder; later
+    calls return the first result (a written path, a run result)."""
+    key = _key(spark, name, os.path.abspath(sf_dir))
+    if key not in _CACHE:
+        _CACHE[key] = build()
+    return _CACHE[key]
+
+
 def raw_zone(spark: SparkSession, sf_dir: str) -> str:
     """The JSON fixture as gzip JSON-lines files under arrival-style folders
     ``raw/year=/month=/day=`` (written once)."""
-    key = _key(spark, "raw_zone", os.path.abspath(sf_dir))
-    if key not in _CACHE:
+    def build():
         configure(spark)
         path = scratch_path(spark, "raw")
         # Delivery buffers a few MB per file: at these sizes about one
@@ -38,8 +46,8 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> str:
             .repartition("year", "month", "day")
             .write.mode("overwrite").partitionBy("year", "month", "day")
             .option("compression", "gzip").text(path))
-        _CACHE[key] = path
-    return _CACHE[key]
+        return path
+    return once(spark, "raw_zone", sf_dir, build)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,14 +63,12 @@ def json_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_run(spark: SparkSession, sf_dir: str) -> RunResult:
     """The batch job run once over the raw zone into a fresh table folder,
     registered as ``clickstream_db.transformed``."""
-    key = _key(spark, "stored", os.path.abspath(sf_dir))
-    if key not in _CACHE:
+    from clickweave.sources import catalog
+
+    def build():
         source = raw_zone(spark, sf_dir)
-        target = scratch_path(spark, "transformed")
-        errors = scratch_path(spark, "errors")
-        from clickweave.sources import catalog
         spark.sql(f"DROP TABLE IF EXISTS {catalog.DEFAULT_DATABASE}.{catalog.DEFAULT_TABLE}")
-        result = run_batch(spark, source, target, database=catalog.DEFAULT_DATABASE,
-                           errors_path=errors, processed_at=FIXED_STAMP)
-        _CACHE[key] = result
-    return _CACHE[key]
+        return run_batch(spark, source, scratch_path(spark, "transformed"),
+                         database=catalog.DEFAULT_DATABASE,
+                         errors_path=scratch_path(spark, "errors"), processed_at=FIXED_STAMP)
+    return once(spark, "stored", sf_dir, build)

@@ -109,12 +109,12 @@ def query_result_sink(spark, sf):
 
 def _direct_table(spark, sf) -> str:
     """The curated table of the test tables written and registered."""
-    key = fixtures._key(spark, "direct", sf)
-    if key not in fixtures._CACHE:
+    def build():
         path = scratch_path(spark, "direct")
         sinks.write_curated(_cur(spark, sf), path)
-        fixtures._CACHE[key] = path
-    return catalog.register_table(spark, fixtures._CACHE[key], replace=True)
+        return path
+    path = fixtures.once(spark, "direct", sf, build)
+    return catalog.register_table(spark, path, replace=True)
 
 
 def catalog_database(spark, sf):

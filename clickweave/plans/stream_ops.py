@@ -26,13 +26,12 @@ def _count():
 
 def _inbox(spark, sf) -> str:
     """Producer output: the JSON lines as plain text files, no folders."""
-    key = fixtures._key(spark, "inbox", sf)
-    if key not in fixtures._CACHE:
+    def build():
         path = scratch_path(spark, "inbox")
         (json_lines_from_tables(spark, sf).select("value")
          .repartition(INBOX_FILES).write.mode("overwrite").text(path))
-        fixtures._CACHE[key] = path
-    return fixtures._CACHE[key]
+        return path
+    return fixtures.once(spark, "inbox", sf, build)
 
 
 def stream_deliver_raw(spark, sf):
