@@ -130,12 +130,14 @@ def transform_batches(target: str, database: str | None = None,
 
 def incremental_transform(spark: SparkSession, raw_zone: str, target: str, checkpoint: str,
                           database: str | None = None, trigger: str | None = "availableNow",
-                          processed_at=None, errors_path: str | None = None, **seq_opts):
+                          processed_at=None, errors_path: str | None = None,
+                          table: str = catalog.DEFAULT_TABLE, **seq_opts):
     """T3. Process every raw file not yet seen into the curated table."""
     lines = read_lines_stream(spark, raw_zone)
     writer = (lines.writeStream
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(transform_batches(target, database, processed_at=processed_at,
+              .foreachBatch(transform_batches(target, database, table=table,
+                                              processed_at=processed_at,
                                               errors_path=errors_path, **seq_opts)))
     return _trigger(writer, trigger).start()
 

@@ -176,3 +176,21 @@ def test_command_lines(spark, capsys):
     assert ingest.main(["--raw", raw, "--target", stream_target,
                         "--checkpoint", scratch_path(spark, "t-cli-ck")]) == 0
     assert sinks.read_curated(spark, stream_target).count() == 12
+
+
+def test_stream_registers_new_days(spark):
+    raw = scratch_path(spark, "t-sreg")
+    _drop(raw, "a.json", _lines(10, day=3))
+    target, ck = scratch_path(spark, "t-sreg-out"), scratch_path(spark, "t-sreg-ck")
+    name = f"{catalog.DEFAULT_DATABASE}.t_stream"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ingest.incremental_transform(spark, raw, target, ck, database=catalog.DEFAULT_DATABASE,
+                                 table="t_stream", processed_at=STAMP).awaitTermination()
+    assert [r[0] for r in catalog.show_partitions(spark, name).collect()] == \
+        ["year=2025/month=05/day=03"]
+    _drop(raw, "b.json", [ln.replace('"e0', '"k0') for ln in _lines(10, day=4)[:-1]])
+    ingest.incremental_transform(spark, raw, target, ck, database=catalog.DEFAULT_DATABASE,
+                                 table="t_stream", processed_at=STAMP).awaitTermination()
+    parts = sorted(r[0] for r in catalog.show_partitions(spark, name).collect())
+    assert parts == ["year=2025/month=05/day=03", "year=2025/month=05/day=04"]
+    assert spark.table(name).count() == 20
