@@ -171,13 +171,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--target", required=True)
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--database", default=None)
+    ap.add_argument("--table", default=catalog.DEFAULT_TABLE)
     ap.add_argument("--errors-path", default=None)
     ap.add_argument("--trigger", default="availableNow")
     args = ap.parse_args(argv)
     spark = get_session(app="clickweave-stream")
     query = incremental_transform(spark, args.raw, args.target, args.checkpoint,
-                                  database=args.database, trigger=args.trigger,
-                                  errors_path=args.errors_path)
+                                  database=args.database, table=args.table,
+                                  trigger=args.trigger, errors_path=args.errors_path)
     query.awaitTermination()
     return 0
 
