@@ -3,6 +3,9 @@ broadcasts and vectorised word hashing over Arrow string batches."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +25,31 @@ LOWER[65:91] += 32
 BROADCAST_BYTES = 16 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would, so that Python
+    functions run wherever the package is not installed. Once a context."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if not os.path.isdir(top):  # already inside an archive
+        return
+    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(top)}_package.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -125,6 +152,8 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
 
 def batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` over record batches with one function per batch."""
+    ship(df.sparkSession)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             if part.num_rows:

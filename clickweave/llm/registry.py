@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import bpe_chunks, mixing, toxicity
 from .common import documents
 
 
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """Sampling weights of documents: 2 where labelled good, 0.5 where poor."""
+    return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("quality"))
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), quality_weights(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     scored = toxicity.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), score_col="score")
@@ -18,8 +28,23 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file (never copied into the repository)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    return bpe_chunks.encode(documents(spark, sf_dir), path, ["doc_id"],
+                             lambda ids, text: bpe_chunks.digests(ids, path),
+                             "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op7_toxicity": op7_toxicity,
+    "op10_bpe_chunks": op10_bpe_chunks,
 }
 
 

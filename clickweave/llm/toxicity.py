@@ -46,9 +46,9 @@ _SEPARATOR[list(b".,;:!?\"'()[]{}<>")] = True
 @dataclass(frozen=True)
 class SampleBound:
     """Bound of the training sample."""
-    toxic: int = 1500
-    clean: int = 3000
-    max_bytes: int = 1 << 14
+    toxic: int = 1200
+    clean: int = 2400
+    max_bytes: int = 1 << 13
 
 
 def held_out(doc_id: Column) -> Column:
