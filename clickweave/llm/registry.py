@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, mixing, toxicity
+from . import bpe_chunks, jaccard_tiles, mixing, rans, token_counts, toxicity
 from .common import documents
 
 
@@ -34,6 +34,19 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), limit=2048)
+
+
+def op3_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = rans.round_trip(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=1)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_tiles.join(documents(spark, sf_dir))
+
+
 def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
     return bpe_chunks.encode(documents(spark, sf_dir), path, ["doc_id"],
@@ -43,7 +56,10 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_token_counts": op2_token_counts,
+    "op3_rans": op3_rans,
     "op7_toxicity": op7_toxicity,
+    "op9_jaccard_tiles": op9_jaccard_tiles,
     "op10_bpe_chunks": op10_bpe_chunks,
 }
 
