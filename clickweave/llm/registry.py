@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, jaccard_tiles, mixing, rans, token_counts, toxicity
+from . import bpe_chunks, chaining, jaccard_tiles, mixing, rans, token_counts, toxicity
 from .common import documents
 
 
@@ -43,6 +43,10 @@ def op3_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(documents(spark, sf_dir)).drop("text_hash")
+
+
 def op9_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tiles.join(documents(spark, sf_dir))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
     "op3_rans": op3_rans,
+    "op5_chaining": op5_chaining,
     "op7_toxicity": op7_toxicity,
     "op9_jaccard_tiles": op9_jaccard_tiles,
     "op10_bpe_chunks": op10_bpe_chunks,
