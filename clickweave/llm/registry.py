@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, chaining, jaccard_tiles, mixing, rans, token_counts, toxicity
+from . import bpe_chunks, chaining, jaccard_tiles, maglev, mixing, rans, simhash, token_counts, topk, toxicity
 from .common import documents
 
 
@@ -43,6 +43,23 @@ def op3_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+#: Shards of the sharding query.
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+
+
+def op6_maglev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maglev.place(documents(spark, sf_dir).select("doc_id", "text"), SHARDS).select("doc_id", "slot", "shard")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_likeness(documents(spark, sf_dir))
+
+
 def op5_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(documents(spark, sf_dir)).drop("text_hash")
 
@@ -62,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
     "op3_rans": op3_rans,
+    "op4_topk": op4_topk,
+    "op6_maglev": op6_maglev,
+    "op8_simhash": op8_simhash,
     "op5_chaining": op5_chaining,
     "op7_toxicity": op7_toxicity,
     "op9_jaccard_tiles": op9_jaccard_tiles,
