@@ -7,10 +7,12 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweave.llm import toxicity
+from clickweave.llm import bpe_chunks, chaining, jaccard_tiles, mixing, toxicity
 from clickweave.llm.common import documents, stored
+from clickweave.llm.registry import quality_weights, tokenizer
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +20,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: of each group of documents linked by Jaccard similarity of
+    0.75 and more, the one with the smallest doc_id stays."""
+    return jaccard_tiles.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: passages of 50 and more words that an earlier document
+    holds are cut out; a document left without words goes."""
+    return chaining.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents as often as the mix of sources takes them."""
+    return mixing.repeated(docs, quality_weights(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: token ids of every document of the mix."""
+    return bpe_chunks.encode(docs, tokenizer("byte_bpe_50k.json"), ["doc_id", "source"],
+                             lambda ids, text: (len(ids) // 4, np.frombuffer(ids, "<u4").astype(np.int32)),
+                             "n_tokens long, ids array<int>")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("substring dedup", cut_repeats),
+    ("mixing sources", mix_sources),
+    ("BPE encoding", encode),
 ]
 
 #: No SQL expresses the trained classifier or the tokenizer: tests hold every
