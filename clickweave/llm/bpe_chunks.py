@@ -17,7 +17,8 @@ occur more than once; (2) a second pass encodes in place every document none
 of whose chunks is shared - nothing to reuse - and sets the others aside,
 compressed; a bitmap of fixed size tells the two apart, a false alarm only
 takes the longer way; (3) the shared chunks of the documents set aside are
-encoded once each, joined back by hash and assembled per document. Chunk hashes are 128 bits of a cryptographic hash.
+encoded once each, joined back by hash and assembled per document, where the
+chunks that nothing shares are encoded. Texts and ids travel compressed. Chunk hashes are 128 bits of a cryptographic hash.
 
 Edge cases: null and empty texts have no ids and decode to the empty text;
 repeated rows and null doc_id are fine, a row is its own unit; very long texts
@@ -140,9 +141,11 @@ def chunk_hash(part: bytes) -> bytes:
     return hashlib.blake2b(part, digest_size=16).digest()
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    """Bitmap places of the first eight bytes of 16-byte hashes."""
-    return hashes >> np.uint64(64 - MAP_BITS)
+def _marked(hashes: list[bytes], bits: np.ndarray) -> np.ndarray:
+    """Which chunk hashes the map of shared ones holds."""
+    head = np.frombuffer(b"".join(hashes), ">u8")[::2].astype(np.uint64)
+    bit = head >> np.uint64(64 - MAP_BITS)
+    return ((bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
 def digests(ids: bytes, path: str) -> tuple[int, str, str]:
@@ -200,13 +203,10 @@ def encode(docs: DataFrame, path: str, keep: list[str], per_document=None, schem
             raw = (text or "").encode()
             ends = cuts(np.frombuffer(raw, np.uint8))
             parts = [raw[a:b] for a, b in zip([0, *ends], ends)]
-            if parts:
-                head = np.frombuffer(b"".join(map(chunk_hash, parts)), ">u8")[::2].astype(np.uint64)
-                bit = _slots(head)
-                if ((bits.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).any():
-                    aside.append(squeeze.compress(raw))
-                    result.append((None,) * len(out_names))
-                    continue
+            if parts and _marked([chunk_hash(p) for p in parts], bits.value).any():
+                aside.append(squeeze.compress(raw))
+                result.append((None,) * len(out_names))
+                continue
             aside.append(None)
             result.append(per_document(repair(path, parts, [c.encode(p.decode()) for p in parts]) if parts else b"", text or ""))
         columns = [pa.array([r[i] for r in result], t) for i, t in enumerate(out_types)]
@@ -220,27 +220,29 @@ def encode(docs: DataFrame, path: str, keep: list[str], per_document=None, schem
     done = stored(done.withColumn("_c_row", F.monotonically_increasing_id()), "bpe-pass")
 
     def pieces(part: pa.RecordBatch):
-        open_ = zstandard.ZstdDecompressor()
-        rows, at, text = [], [], []
+        open_, squeeze = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        rows, at, name, text = [], [], [], []
         for row, packed in zip(part.column("_c_row").to_pylist(), part.column("_c_aside").to_pylist()):
-            raw, last = open_.decompress(packed), 0
-            for k, end in enumerate(cuts(np.frombuffer(raw, np.uint8))):
+            raw = open_.decompress(packed)
+            ends = cuts(np.frombuffer(raw, np.uint8))
+            own = [raw[a:b] for a, b in zip([0, *ends], ends)]
+            hashes = [chunk_hash(p) for p in own]
+            for k in np.flatnonzero(_marked(hashes, bits.value)).tolist():
                 rows.append(row)
                 at.append(k)
-                text.append(raw[last:end])
-                last = end
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(at, pa.int32()), pa.array([chunk_hash(t) for t in text], pa.binary()),
+                name.append(hashes[k])
+                text.append(squeeze.compress(own[k]))
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(at, pa.int32()), pa.array(name, pa.binary()),
                                           pa.array(text, pa.binary())], names=["_c_row", "_c_at", "_c_hash", "_c_part"])
 
     def once(part: pa.RecordBatch):
-        c = codec(path)
-        text = part.column("_c_part").to_pylist()
-        yield pa.RecordBatch.from_arrays([part.column("_c_hash"), pa.array(text, pa.binary()), pa.array([c.encode(t.decode()) for t in text], pa.binary())],
-                                         names=["_c_hash", "_c_of", "_c_ids"])
+        c, open_, squeeze = codec(path), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        ids = [squeeze.compress(c.encode(open_.decompress(t).decode())) for t in part.column("_c_part").to_pylist()]
+        yield pa.RecordBatch.from_arrays([part.column("_c_hash"), pa.array(ids, pa.binary())], names=["_c_hash", "_c_ids"])
 
     aside = done.where("_c_aside IS NOT NULL").select("_c_row", "_c_aside")
     parts = batches(aside, pieces, "_c_row long, _c_at int, _c_hash binary, _c_part binary")
-    table = batches(parts.groupBy("_c_hash").agg(F.first("_c_part").alias("_c_part")), once, "_c_hash binary, _c_of binary, _c_ids binary")
+    table = batches(parts.groupBy("_c_hash").agg(F.first("_c_part").alias("_c_part")), once, "_c_hash binary, _c_ids binary")
     table = stored(table, "bpe-chunks")
     thin = parts.select("_c_row", "_c_at", "_c_hash")
     joined = (thin.join(table.select("_c_hash", "_c_ids"), "_c_hash")
@@ -249,12 +251,12 @@ def encode(docs: DataFrame, path: str, keep: list[str], per_document=None, schem
     def assemble(part: pa.RecordBatch):
         open_, c = zstandard.ZstdDecompressor(), codec(path)
         result = []
-        for packed, all_ids in zip(part.column("_c_aside").to_pylist(), part.column("_c_all").to_pylist()):
-            raw, last, own = open_.decompress(packed), 0, []
-            for end in cuts(np.frombuffer(raw, np.uint8)):
-                own.append(raw[last:end])
-                last = end
-            ids = repair(path, own, [x["_c_ids"] for x in all_ids])
+        for packed, found in zip(part.column("_c_aside").to_pylist(), part.column("_c_all").to_pylist()):
+            raw = open_.decompress(packed)
+            ends = cuts(np.frombuffer(raw, np.uint8))
+            own = [raw[a:b] for a, b in zip([0, *ends], ends)]
+            shared = {x["_c_at"]: open_.decompress(x["_c_ids"]) for x in found}
+            ids = repair(path, own, [v if (v := shared.get(k)) is not None else c.encode(p.decode()) for k, p in enumerate(own)])
             result.append(per_document(ids, raw.decode()))
         columns = [pa.array([r[i] for r in result], t) for i, t in enumerate(out_types)]
         yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *columns], names=[*names, *out_names])
