@@ -150,12 +150,19 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
         return mix(total), np.arange(n) + k <= last
 
 
+#: Bytes of a record batch that a function sees at once; array work takes some
+#: fifty times that in a task.
+PIECE_BYTES = 2 << 20
+
+
 def batches(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` over record batches with one function per batch."""
+    """``mapInArrow`` with one function call per piece of a record batch, so
+    memory follows ``PIECE_BYTES`` (or the longest row), not the batch."""
     ship(df.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            if part.num_rows:
-                yield from fn(part)
+            rows = max(1, int(part.num_rows * PIECE_BYTES / max(1, part.nbytes)))
+            for at in range(0, part.num_rows, rows):
+                yield from fn(part.slice(at, rows))
     return df.mapInArrow(run, schema)

@@ -285,11 +285,9 @@ def score(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound()
     sent = spark.sparkContext.broadcast(model)
 
     def run(part: pa.RecordBatch):
-        for at in range(0, part.num_rows, 500):
-            piece = part.slice(at, 500)
-            yield pa.RecordBatch.from_arrays(
-                [*piece.columns, pa.array(scores(piece.column(text_col), *sent.value), pa.float64())],
-                names=[*piece.schema.names, score_col])
+        yield pa.RecordBatch.from_arrays(
+            [*part.columns, pa.array(scores(part.column(text_col), *sent.value), pa.float64())],
+            names=[*part.schema.names, score_col])
 
     schema = T.StructType([*base.schema.fields, T.StructField(score_col, T.DoubleType())])
     return batches(base, run, schema)
