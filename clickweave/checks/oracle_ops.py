@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clickweave.checks.oracle import (
-    CNT, LIBRARY_SQL, TODAY, cd, cents, flag, half_up_div, library_sql,
+    CNT, LIBRARY_SQL, TODAY, amount, cd, flag, library_sql, money, money_per,
     over_json, over_transformed, r2, rate, when_count,
 )
 
@@ -12,19 +12,20 @@ NO_STAMP = ("event_id, user_id, session_id, event_type, timestamp, page_url, pro
             "event_date, event_category, event_sequence, is_session_start, has_product_data, "
             "has_price_data, year, month, day")
 
-SESSION_TIMES = f"""
-, st AS (
-  SELECT session_id, MIN(timestamp) AS session_start, MAX(timestamp) AS session_end,
-         CAST(COUNT(*) AS BIGINT) AS event_count, {flag("event_type = 'purchase'")} AS has_purchase
-  FROM transformed GROUP BY session_id
+# Sessions by window functions: each session's rows with its extreme times.
+SPANS = """
+, spans AS (
+  SELECT DISTINCT session_id, MIN(timestamp) OVER s AS opened_at, MAX(timestamp) OVER s AS closed_at,
+         COUNT(*) OVER s AS n, COUNT(*) FILTER (event_type = 'purchase') OVER s > 0 AS buys
+  FROM transformed WINDOW s AS (PARTITION BY session_id)
 )"""
 
-FIRST_EVENT = """
-, uf AS (SELECT user_id AS _fu, MIN(timestamp) AS first_event_time FROM transformed GROUP BY user_id),
-uc AS (
-  SELECT t.*, uf.first_event_time,
-         CASE WHEN t.timestamp = uf.first_event_time THEN 'New User' ELSE 'Returning User' END AS user_type
-  FROM transformed t JOIN uf ON t.user_id = uf._fu
+# Events marked new or returning by their rank inside the user's events.
+MARKED = """
+, marked AS (
+  SELECT *, FIRST_VALUE(timestamp) OVER u AS earliest,
+         IF(rank() OVER u = 1, 'New User', 'Returning User') AS user_type
+  FROM transformed WINDOW u AS (PARTITION BY user_id ORDER BY timestamp)
 )"""
 
 # Oracles over the JSON fixture (``landing``/``landed``/``transformed``).
@@ -107,7 +108,7 @@ JSON_SQL.update({
 CURATED_SQL = {
     "preview_limit": f"SELECT {NO_STAMP} FROM transformed ORDER BY event_id LIMIT 10",
     "query_result_sink": LIBRARY_SQL["q06_top_referrers"],
-    "catalog_database": f"SELECT 'clickstream_db' AS namespace, {CNT} AS total_rows FROM transformed",
+    "catalog_database": f"SELECT 'clickweave_fixture' AS namespace, {CNT} AS total_rows FROM transformed",
     "catalog_register": f"SELECT event_type, {CNT} AS event_count FROM transformed GROUP BY event_type",
     "schema_evolve": f"""SELECT event_type,
        CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END * COUNT(*) AS BIGINT) AS row_count,
@@ -118,22 +119,22 @@ CURATED_SQL = {
     "show_partitions": """SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day
        AS partition FROM transformed""",
     "table_statistics": f"SELECT {CNT} AS row_count FROM transformed",
-    "show_tables": f"SELECT 'transformed' AS tableName, {CNT} AS row_count FROM transformed",
+    "show_tables": f"SELECT 'direct' AS tableName, {CNT} AS row_count FROM transformed",
     "saved_queries": LIBRARY_SQL["nq3_product_performance"],
     "select_columns": "SELECT user_id, event_type, timestamp FROM transformed",
     "not_null_filter": "SELECT event_id, session_id FROM transformed WHERE session_id IS NOT NULL",
     "non_empty_filter": "SELECT event_id, referrer FROM transformed WHERE referrer <> ''",
     "equality_filter": "SELECT event_id, user_id, price FROM transformed WHERE event_type = 'purchase'",
-    "column_inequality": SESSION_TIMES + """
-SELECT session_id, session_start, session_end FROM st WHERE session_start <> session_end""",
+    "column_inequality": SPANS + """
+SELECT session_id, opened_at, closed_at FROM spans WHERE opened_at <> closed_at""",
     "having_filter": f"""SELECT product_id, views FROM (
        SELECT product_id, {when_count("event_type = 'product_view'")} AS views
        FROM transformed WHERE product_id IS NOT NULL GROUP BY product_id) g WHERE views > 5""",
     "today_partition_filter": f"SELECT event_id, year, month, day FROM transformed WHERE {TODAY}",
     "literal_partition_filter": """SELECT event_id, event_type FROM transformed
        WHERE year = '2024' AND month = '01' AND day = '23'""",
-    "qualified_star": FIRST_EVENT + f"""
-SELECT {NO_STAMP}, user_type FROM uc""",
+    "qualified_star": MARKED + f"""
+SELECT {NO_STAMP}, user_type FROM marked""",
     "processed_timestamp": """SELECT event_id, TIMESTAMP '2024-02-01 00:00:00' AS processed_timestamp
        FROM transformed""",
     "date_partitions": "SELECT event_id, year, month, day FROM transformed",
@@ -142,8 +143,8 @@ SELECT {NO_STAMP}, user_type FROM uc""",
     "quality_flags": "SELECT event_id, has_product_data, has_price_data FROM transformed",
     "event_category": f"""SELECT event_type, event_category, {CNT} AS event_count
        FROM transformed GROUP BY event_type, event_category""",
-    "join_first_event": FIRST_EVENT + """
-SELECT event_id, user_id, first_event_time, user_type FROM uc""",
+    "join_first_event": MARKED + """
+SELECT event_id, user_id, earliest, user_type FROM marked""",
     "group_count": f"SELECT device_type, {CNT} AS event_count FROM transformed GROUP BY device_type",
     "count_distinct": f"""SELECT event_category, {cd('user_id')} AS unique_users,
        {cd('session_id')} AS unique_sessions, {cd('product_id')} AS unique_products
@@ -157,15 +158,15 @@ SELECT event_id, user_id, first_event_time, user_type FROM uc""",
        {r2("AVG(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END::DOUBLE) * 100.0")} AS purchase_rate
        FROM transformed GROUP BY hour""",
     "conditional_revenue_sum": f"""SELECT product_category,
-       CAST(SUM(CASE WHEN event_type = 'purchase' THEN {cents()} ELSE 0 END) AS DOUBLE) / 100.0 AS revenue
+       {money("SUM(CASE WHEN event_type = 'purchase' THEN " + amount() + " ELSE 0 END)")} AS revenue
        FROM transformed GROUP BY product_category""",
-    "sum_product": f"""SELECT event_type, CAST(c AS DOUBLE) / 100.0 AS total_amount,
-       CAST({half_up_div('c', 'n')} AS DOUBLE) / 100.0 AS avg_amount
-       FROM (SELECT event_type, CAST(SUM({cents()}) AS BIGINT) AS c, COUNT(*) AS n FROM transformed
+    "sum_product": f"""SELECT event_type, {money('c')} AS total_amount,
+       {money_per('c', 'n')} AS avg_amount
+       FROM (SELECT event_type, SUM({amount()}) AS c, COUNT(*) AS n FROM transformed
              WHERE price IS NOT NULL AND quantity IS NOT NULL GROUP BY event_type) g""",
     "avg_product": f"""SELECT event_type,
-       CAST({half_up_div('c', 'n')} AS DOUBLE) / 100.0 AS avg_amount
-       FROM (SELECT event_type, CAST(SUM({cents()}) AS BIGINT) AS c, COUNT(*) AS n FROM transformed
+       {money_per('c', 'n')} AS avg_amount
+       FROM (SELECT event_type, SUM({amount()}) AS c, COUNT(*) AS n FROM transformed
              WHERE price IS NOT NULL AND quantity IS NOT NULL GROUP BY event_type) g""",
     "avg_numeric": f"""SELECT device_type, {r2('AVG(event_sequence)')} AS avg_sequence
        FROM transformed GROUP BY device_type""",
@@ -179,13 +180,13 @@ SELECT event_id, user_id, first_event_time, user_type FROM uc""",
        {r2('CAST(COUNT(*) AS DOUBLE) / NULLIF(CAST(COUNT(DISTINCT session_id) AS DOUBLE), 0)')}
          AS events_per_session FROM transformed GROUP BY referrer""",
     "global_aggregate": f"""SELECT {CNT} AS total_records, {cd('user_id')} AS unique_users,
-       CAST(SUM({cents()}) AS DOUBLE) / 100.0 AS total_amount,
+       {money('SUM(' + amount() + ')')} AS total_amount,
        {r2('AVG(event_sequence)')} AS avg_sequence FROM transformed""",
     "multi_key_group": f"""SELECT year, month, day, {CNT} AS event_count FROM transformed
        GROUP BY year, month, day""",
-    "group_key_expression": SESSION_TIMES + f"""
-SELECT CASE WHEN has_purchase = 1 THEN 'Converted' ELSE 'Not Converted' END AS conversion_status,
-       {CNT} AS session_count FROM st GROUP BY has_purchase""",
+    "group_key_expression": SPANS + f"""
+SELECT IF(buys, 'Converted', 'Not Converted') AS conversion_status, {CNT} AS session_count
+FROM spans GROUP BY buys""",
     "duplicate_count": f"""
 , doubled AS (SELECT event_id FROM transformed
               UNION ALL SELECT event_id FROM transformed WHERE product_id = 'prod_023')
@@ -203,16 +204,16 @@ SELECT {CNT} AS total_records, {cd('event_id')} AS unique_events,
        ORDER BY event_count DESC, user_id ASC LIMIT 20""",
     "union_all": LIBRARY_SQL["q05_session_funnel"],
     "distinct_rows": "SELECT DISTINCT user_id, device_type FROM transformed",
-    "cte": SESSION_TIMES + f"""
-SELECT has_purchase, {CNT} AS session_count, {r2('AVG(event_count)')} AS avg_events
-FROM st WHERE session_start <> session_end GROUP BY has_purchase""",
+    "cte": SPANS + f"""
+SELECT CAST(buys AS INTEGER) AS bought, {CNT} AS session_count, {r2('AVG(n)')} AS avg_events
+FROM spans WHERE opened_at <> closed_at GROUP BY buys""",
     "scalar_strings": """SELECT event_id,
        lpad(CAST(month(event_date) AS VARCHAR), 2, '0') AS padded_month,
        CAST(hour AS VARCHAR) AS hour_text,
        session_id || '/' || product_id AS session_product FROM transformed""",
-    "scalar_elapsed_seconds": SESSION_TIMES + """
-SELECT session_id, date_sub('second', TRY_CAST(session_start AS TIMESTAMP),
-                            TRY_CAST(session_end AS TIMESTAMP)) AS elapsed_seconds FROM st""",
+    "scalar_elapsed_seconds": SPANS + """
+SELECT session_id, date_sub('second', TRY_CAST(opened_at AS TIMESTAMP),
+                            TRY_CAST(closed_at AS TIMESTAMP)) AS elapsed_seconds FROM spans""",
     "scalar_null_safe": f"""SELECT product_id, NULLIF(adds, 0) AS adds_or_null,
        {rate('purchases', 'adds')} AS cart_to_purchase_rate,
        CASE WHEN purchases > 0 THEN 'sold' ELSE 'unsold' END AS status

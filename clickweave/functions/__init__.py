@@ -1,9 +1,11 @@
 """Column-level helpers (JVM-side built-ins only, no Python UDFs)."""
 
 from clickweave.functions.columns import (  # noqa: F401
-    cents,
+    amount,
     elapsed_seconds,
+    finite_number,
     flag,
+    money,
     parse_event_time,
     pct,
     rate,

@@ -65,10 +65,30 @@ def rate(num: Column, den: Column) -> Column:
     return round2(pct(num, den))
 
 
-def cents(price: Column, quantity: Column) -> Column:
-    """Line amount in whole cents (BIGINT), so sums are exact and do not
-    depend on the order in which partitions are added up."""
-    return F.round(price * F.lit(100.0)).cast("bigint") * quantity.cast("bigint")
+#: Prices at and beyond this magnitude are not money; they count as bad values.
+PRICE_LIMIT = 1e12
+
+
+def finite_number(col: str | Column) -> Column:
+    """Text or number to DOUBLE; what is not a finite number of sensible size
+    becomes NULL, the row stays."""
+    x = (F.col(col) if isinstance(col, str) else col).try_cast("double")
+    return F.when(F.abs(x) < F.lit(PRICE_LIMIT), x)
+
+
+def amount(price: Column, quantity: Column) -> Column:
+    """Line amount ``price * quantity`` as DECIMAL(38,6): sums are exact and do
+    not depend on the order in which partitions are added up. A bad price
+    (see ``finite_number``) gives NULL."""
+    return (finite_number(price).cast("decimal(19,6)") * quantity.cast("decimal(10,0)")).cast("decimal(38,6)")
+
+
+def money(total: Column, divisor: Column | None = None) -> Column:
+    """A DECIMAL total, or its exact quotient, rounded half away from zero to
+    two places, as DOUBLE; NULL on a zero divisor."""
+    if divisor is not None:
+        total = F.try_divide(total, divisor.cast("decimal(20,0)"))
+    return F.round(total, 2).cast("double")
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:

@@ -84,11 +84,3 @@ def observe_run(df: DataFrame, name: str = "run_counters") -> tuple[DataFrame, O
     bad_time = earlier & F.try_to_timestamp(F.col("timestamp")).isNull()
     metrics.append(F.count_if(bad_time).alias("bad_time_records"))
     return df.observe(obs, *metrics), obs
-
-
-def observe_days(df: DataFrame, name: str = "written_days") -> tuple[DataFrame, Observation]:
-    """The set of ``(year, month, day)`` partitions a write touches, collected
-    while writing (bounded by the days one run covers)."""
-    obs = Observation(name)
-    days = F.collect_set(F.struct("year", "month", "day")).alias("days")
-    return df.observe(obs, days), obs

@@ -6,24 +6,24 @@ key may hold a large share of all rows (every event without a session id
 shares the NULL key; a bot can flood one session), so the plain window does
 not survive scale. This operator gives exactly the same numbers:
 
-1. From a seeded sample of ``(key, time)`` it takes the hot keys: keys whose
-   estimated size is at least ``min_hot_rows``, the ``max_hot_keys`` largest
-   at most (a size bound known before running). Each gets its sampled time
-   range and a number of time buckets: about ``rows_per_bucket`` rows each,
-   and at most ``bucket_budget`` buckets over all hot keys together.
-2. Every row gets a sub-key: 0 for ordinary keys; for hot keys, the time
-   bucket — a monotone function of the event time, so rows of a lower bucket
-   always sort first. The window runs over ``(key, bucket)``.
-3. Rows per hot ``(key, bucket)`` are counted by a partial aggregation (a tiny
-   shuffle), summed cumulatively per key — at most ``bucket_budget`` plus two
-   per hot key rows, broadcast — and added to the local numbers.
-
-The sample only decides where work is split, never the result: a key taken
-for cold is numbered by the plain window, bucket ranges taken from the sample
-are clamped at both ends, and every count comes from the full data. When no
-key is hot, the broadcast hot-key table is empty and adaptive execution drops
-the counting branch. All steps are lazy DataFrame operations; nothing passes
-through the driver.
+1. A seeded sample of the keys gives the hot ones: keys whose estimated size
+   is at least ``min_hot_rows``. Their number is at most rows / min_hot_rows,
+   so it follows the data and needs no cap. Without a hot key the plain window
+   is the plan.
+2. Each hot key gets bucket edges: quantiles of ``(time, tie)`` over sampled
+   rows, ``PER_BUCKET`` of them per bucket of about ``rows_per_bucket`` rows. They
+   follow the rows, not the clock: one wrong date, a burst inside one
+   millisecond or times that do not parse (NULL sorts first, then by tie) all
+   give even buckets.
+3. Every row gets its bucket by binary search in the key's edges - a monotone
+   function of the sort order - and the window runs over ``(key, bucket)``.
+4. Rows per hot ``(key, bucket)`` are counted by a partial aggregation, summed
+   cumulatively per key and added to the local numbers.
+
+The sample only decides where work is split, never the result. The table of hot
+keys is written to the shared folder and broadcast only when its measured size
+allows. Rows that agree in key, time and tie stay together: their order is
+arbitrary in the plain window too.
 """
 
 from __future__ import annotations
@@ -31,36 +31,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickweave.operators.joins import MAX_BROADCAST_BYTES
+from clickweave.session import stored
+
 DEFAULT_SAMPLE_FRACTION = 0.01
 DEFAULT_MIN_HOT_ROWS = 2_000_000
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 1024
-DEFAULT_BUCKET_BUDGET = 1 << 16
 DEFAULT_SEED = 17
+#: Sampled rows per bucket edge.
+PER_BUCKET = 32
 
 
-def hot_keys(sample: DataFrame, key: str, time_col: str, *,
+def hot_keys(sample: DataFrame, key: str, time_col: str, tie_col: str, *,
              sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
              min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-             max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-             bucket_budget: int = DEFAULT_BUCKET_BUDGET) -> DataFrame:
-    """At most ``max_hot_keys`` rows: ``_hk`` (key), ``_lo``/``_hi`` (sampled
-    time range in ms) and ``_nb`` (number of time buckets)."""
-    per_key = (sample.select(F.col(key).alias("_hk"),
-                             F.unix_millis(F.col(time_col)).alias("_ht"))
-                     .groupBy("_hk")
-                     .agg(F.count(F.lit(1)).alias("_hn"), F.min("_ht").alias("_lo"),
-                          F.max("_ht").alias("_hi")))
-    top = (per_key.where(F.col("_hn") >= F.lit(min_hot_rows * sample_fraction))
-                  .orderBy(F.desc("_hn"), F.asc_nulls_first("_hk"))
-                  .limit(max_hot_keys))
-    n = F.col("_hn").cast("double")
-    by_size = F.ceil(n / F.lit(sample_fraction * rows_per_bucket))
-    # Share of the budget: the window runs over at most ``max_hot_keys`` rows.
-    by_budget = F.floor(n * F.lit(float(bucket_budget)) / F.sum("_hn").over(Window.partitionBy()))
-    nb = F.greatest(F.lit(1), F.least(by_size, by_budget)).cast("int")
-    return top.select("_hk", "_lo", "_hi", nb.alias("_nb"))
+             seed: int = DEFAULT_SEED) -> DataFrame:
+    """``_hk`` (hot key) and ``_edges`` (sorted ``(time, tie)`` lower bounds of
+    buckets 1, 2, ...), stored."""
+    rows = sample.select(F.col(key).alias("_hk"), F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("k")).alias("_at"))
+    big = (rows.groupBy("_hk").agg(F.count(F.lit(1)).alias("_hn"))
+           .where(F.col("_hn") >= F.lit(min_hot_rows * sample_fraction))
+           .withColumn("_nb", F.ceil(F.col("_hn") / F.lit(sample_fraction * rows_per_bucket))))
+    big = stored(big.withColumnRenamed("_hk", "_bk"), "sequence-keys")
+    # the sample is thinned to PER_BUCKET rows a bucket before it is gathered
+    rate = F.col("_nb") * F.lit(float(PER_BUCKET)) / F.col("_hn")
+    thin = (rows.join(big, F.col("_hk").eqNullSafe(F.col("_bk")))
+            .where(F.rand(seed) < rate).groupBy("_hk").agg(F.sort_array(F.collect_list("_at")).alias("_s"), F.first("_nb").alias("_nb")))
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_nb") - 1, F.lit(1))),
+                      lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_nb")).cast("int")))
+    edges = F.when(F.col("_nb") > 1, F.array_distinct(F.filter(cut, lambda e: e.isNotNull()))).otherwise(F.array().cast(f"array<{dict(rows.dtypes)['_at']}>"))
+    return stored(thin.select("_hk", edges.alias("_edges")), "sequence-edges")
+
+
+def bucket_of(time_col: str, tie_col: str, most: int) -> Column:
+    """Number of edges at or below the row's ``(time, tie)``: binary search in
+    at most ``most`` edges; 0 without edges."""
+    at = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("k"))
+    steps = F.array(*[F.lit(1 << i) for i in range(max(1, most.bit_length()) - 1, -1, -1)])
+    found = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        (n + step <= F.size("_edges")) & (F.get("_edges", n + step - 1) <= at), n + step).otherwise(n))
+    return F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(found)
+
+
+def bucketed(df: DataFrame, hot: DataFrame, key: str, time_col: str, tie_col: str) -> DataFrame:
+    """``df`` with ``_bucket`` and ``_hot``."""
+    size, most = hot.agg(F.sum(F.size("_edges") * 64 + 64), F.max(F.size("_edges"))).first()
+    side = F.broadcast(hot) if (size or 0) <= MAX_BROADCAST_BYTES else hot
+    return (df.join(side, F.col(key).eqNullSafe(F.col("_hk")), "left")
+              .withColumn("_bucket", bucket_of(time_col, tie_col, most or 1))
+              .withColumn("_hot", F.col("_edges").isNotNull()).drop("_hk", "_edges"))
 
 
 def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
@@ -68,54 +88,44 @@ def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
                     sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
                     min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                    bucket_budget: int = DEFAULT_BUCKET_BUDGET,
                     seed: int = DEFAULT_SEED,
+                    null_key: str = "group",
                     sample: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of the row within ``key``, ordered by
-    ``time_col`` (NULLs first) then ``tie_col``. NULL keys form one group.
-
-    ``sample``: optional rows with ``key`` and ``time_col`` already drawn at
-    ``sample_fraction`` — e.g. sampled from the raw input before parsing, so
-    hot-key detection parses only the sampled records."""
+    ``time_col`` (NULLs first) then ``tie_col``. NULL keys form one group
+    (``null_key="group"``) or get NULL (``null_key="null"``).
+
+    ``sample``: optional rows with key, time and tie already drawn at
+    ``sample_fraction``."""
+    if null_key not in ("group", "null"):
+        raise ValueError("null_key must be 'group' or 'null'")
+    if null_key == "null":
+        some = None if sample is None else sample.where(F.col(key).isNotNull())
+        rest = sequence_within(df.where(F.col(key).isNotNull()), key, time_col, tie_col, out, sample_fraction=sample_fraction,
+                               min_hot_rows=min_hot_rows, rows_per_bucket=rows_per_bucket, seed=seed, sample=some)
+        return rest.unionByName(df.where(F.col(key).isNull()).withColumn(out, F.lit(None).cast("int")))
     if sample is None:
         sample = df.sample(fraction=sample_fraction, seed=seed)
-    hot = hot_keys(sample, key, time_col, sample_fraction=sample_fraction,
-                   min_hot_rows=min_hot_rows, rows_per_bucket=rows_per_bucket,
-                   max_hot_keys=max_hot_keys, bucket_budget=bucket_budget)
-
-    t_ms = F.unix_millis(F.col(time_col))
-    span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-    raw_bucket = F.floor((t_ms - F.col("_lo")).cast("double") / span * F.col("_nb"))
-    bucket = (F.when(F.col("_nb").isNull(), F.lit(0))
-               .when(t_ms.isNull(), F.lit(-1))
-               .otherwise(F.least(F.col("_nb") - 1, F.greatest(F.lit(0), raw_bucket)))
-               .cast("int"))
-
-    bucketed = (df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hk")), "left")
-                  .withColumn("_bucket", bucket)
-                  .withColumn("_hot", F.col("_nb").isNotNull())
-                  .drop("_hk", "_lo", "_hi", "_nb"))
+    hot = hot_keys(sample, key, time_col, tie_col, sample_fraction=sample_fraction, min_hot_rows=min_hot_rows,
+                   rows_per_bucket=rows_per_bucket, seed=seed)
+    if hot.isEmpty():
+        return plain_sequence(df, key, time_col, tie_col, out)
 
+    rows = bucketed(df, hot, key, time_col, tie_col)
     w = (Window.partitionBy(key, "_bucket")
          .orderBy(F.col(time_col).asc_nulls_first(), F.col(tie_col).asc_nulls_first()))
-    numbered = bucketed.withColumn("_rn", F.row_number().over(w))
-
-    per_bucket = (bucketed.where(F.col("_hot"))
-                  .groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt")))
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
+    numbered = rows.withColumn("_rn", F.row_number().over(w))
+    per_bucket = rows.where(F.col("_hot")).groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         F.col(key).alias("_ok"), F.col("_bucket").alias("_ob"),
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-
+    buckets = hot.agg(F.sum(F.size("_edges") + 1)).first()[0]
+    side = F.broadcast(offsets) if buckets * 128 <= MAX_BROADCAST_BYTES else offsets
     joined = numbered.join(
-        F.broadcast(offsets),
-        F.col(key).eqNullSafe(F.col("_ok")) & (F.col("_bucket") == F.col("_ob")),
-        "left")
+        side, F.col(key).eqNullSafe(F.col("_ok")) & (F.col("_bucket") == F.col("_ob")), "left")
     seq = (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int")
-    return (joined.withColumn(out, seq)
-                  .drop("_ok", "_ob", "_off", "_rn", "_bucket", "_hot"))
+    return (joined.withColumn(out, seq).drop("_ok", "_ob", "_off", "_rn", "_bucket", "_hot"))
 
 
 def plain_sequence(df: DataFrame, key: str, time_col: str, tie_col: str,

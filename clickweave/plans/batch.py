@@ -16,17 +16,21 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.functions import finite_number
 from clickweave.operators import enrich, quality
 from clickweave.operators.sequence import sequence_within, session_start
-from clickweave.sources.schema import CURATED_FIELDS, DROPPED_FIELDS, RAW_FIELDS
+from clickweave.sources.schema import (
+    CURATED_FIELDS, DROPPED_FIELDS, EXTRA_COLUMN, PARTITION_COLUMNS, RAW_FIELDS, curated_schema,
+    extra_column,
+)
 
 
 def typed_numbers(df: DataFrame) -> DataFrame:
-    """``price`` → DOUBLE, ``quantity`` → INT. Text that is not a number
+    """``price`` → DOUBLE, ``quantity`` → INT. What is not a finite number
     becomes NULL; the row is kept. ``"1.0"`` gives quantity 1."""
     types = dict(df.dtypes)
-    if types.get("price") == "string":
-        df = df.withColumn("price", F.col("price").try_cast("double"))
+    if "price" in types:
+        df = df.withColumn("price", finite_number("price"))
     if types.get("quantity") == "string":
         df = df.withColumn("quantity", F.col("quantity").try_cast("double").try_cast("int"))
     return df
@@ -64,18 +68,30 @@ def add_sequence(df: DataFrame, sample: DataFrame | None = None, **seq_opts) ->
     return df.withColumn("is_session_start", session_start("event_sequence"))
 
 
-def to_curated(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(n).cast(t).alias(n) for n, t in CURATED_FIELDS])
+def to_curated(df: DataFrame, extra: list[str] = ()) -> DataFrame:
+    """Table column order; ``extra`` producer fields come from ``_extra``."""
+    own = {extra_column(n): F.col(EXTRA_COLUMN)[n] for n in extra}
+    return df.select(*[own.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in curated_schema(extra).fields]) \
+        if extra else df.select(*[F.col(n).cast(t).alias(n) for n, t in CURATED_FIELDS])
 
 
 def sequence_sample(sample_raw: DataFrame) -> DataFrame:
-    """Session key and parsed time of raw rows drawn for hot-key detection."""
-    return enrich.with_event_time(clean(sample_raw)).select("session_id", enrich.PARSED_TIME)
+    """Session key, parsed time and event id of raw rows drawn for hot-key
+    detection."""
+    return enrich.with_event_time(clean(sample_raw)).select("session_id", enrich.PARSED_TIME, "event_id")
+
+
+def written_days(landing: DataFrame) -> list[tuple]:
+    """The ``(year, month, day)`` partitions a run writes, ascending, a NULL day
+    for times that do not parse. At most the days of the calendar."""
+    timed = enrich.with_time_parts(enrich.with_event_time(clean(landing)))
+    days = timed.select(*PARTITION_COLUMNS).distinct().collect()
+    return sorted((tuple(r) for r in days), key=lambda d: tuple(x or "" for x in d))
 
 
 def transform(raw: DataFrame, processed_at: _dt.datetime | None = None,
               sample_raw: DataFrame | None = None, on_bad_time: str = "keep",
-              **seq_opts) -> DataFrame:
+              extra: list[str] = (), **seq_opts) -> DataFrame:
     """E8. Raw events (any subset of the 16 fields, optionally with
     ``_corrupt_record``) → curated rows in table column order.
 
@@ -85,14 +101,16 @@ def transform(raw: DataFrame, processed_at: _dt.datetime | None = None,
 
     ``sample_raw``: the same input sampled at ``seq_opts['sample_fraction']``
     (default ``DEFAULT_SAMPLE_FRACTION``) before any parsing; hot-key
-    detection then reads it instead of re-deriving every row."""
+    detection then reads it instead of re-deriving every row.
+
+    ``extra``: new producer fields to keep as text columns."""
     if on_bad_time not in ("keep", "reject"):
         raise ValueError("on_bad_time must be 'keep' or 'reject'")
     df = enrich_events(clean(raw), processed_at)
     if on_bad_time == "reject":
         df = df.where(F.col(enrich.PARSED_TIME).isNotNull())
     sample = sequence_sample(sample_raw) if sample_raw is not None else None
-    return to_curated(add_sequence(df, sample=sample, **seq_opts))
+    return to_curated(add_sequence(df, sample=sample, **seq_opts), extra)
 
 
 def resequence(curated: DataFrame, **seq_opts) -> DataFrame:

@@ -8,6 +8,7 @@ Each is written once per session and ``sf_dir`` under the shared work folder
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,9 @@ from clickweave.session import configure, scratch_path
 from clickweave.sources.json_events import read_raw_events
 from clickweave.sources.testdata import json_lines_from_tables
 
+#: Database of the registered entries.
+FIXTURE_DATABASE = "clickweave_fixture"
+
 _CACHE: dict[tuple, object] = {}
 
 
@@ -62,13 +66,13 @@ def json_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_run(spark: SparkSession, sf_dir: str) -> RunResult:
     """The batch job run once over the raw zone into a fresh table folder,
-    registered as ``clickstream_db.transformed``."""
-    from clickweave.sources import catalog
+    registered under a name of its own (``clickweave_fixture``), so a user's
+    table of the production name is never touched."""
 
     def build():
         source = raw_zone(spark, sf_dir)
-        spark.sql(f"DROP TABLE IF EXISTS {catalog.DEFAULT_DATABASE}.{catalog.DEFAULT_TABLE}")
+        table = f"run_{uuid.uuid4().hex[:12]}"
         return run_batch(spark, source, scratch_path(spark, "transformed"),
-                         database=catalog.DEFAULT_DATABASE,
+                         database=FIXTURE_DATABASE, table=table,
                          errors_path=scratch_path(spark, "errors"), processed_at=FIXED_STAMP)
     return once(spark, "stored", sf_dir, build)

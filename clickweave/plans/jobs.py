@@ -2,10 +2,11 @@
 
     run_batch(spark, source, target, database)
 
-One parse of the input feeds the write; the run counters (rows read,
-corrupt, NULL per required field, valid) ride along on that write through
-``observe``; the summary is computed from the rows just written (selected by
-this run's stamp), not by re-running the transform.
+The raw text is read and parsed once: typed rows go to the shared work
+folder, and the run counters (rows read, corrupt, NULL per required field,
+valid) ride along on that write through ``observe``. The hot-key sample, the
+transform, the malformed lines, the days and the new fields all come from the
+stored rows. The summary is computed from the rows just written.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.operators.quality import observe_days, observe_run
-from clickweave.plans.batch import run_stamp, transform
-from clickweave.sources import catalog
+from clickweave.operators.quality import observe_run
 from clickweave.operators.sequence import DEFAULT_SAMPLE_FRACTION, DEFAULT_SEED
-from clickweave.sources.json_events import (
-    parse_json_lines, read_json_lines_text, read_raw_events, write_corrupt,
-)
+from clickweave.plans.batch import run_stamp, transform, written_days
+from clickweave.session import stored
+from clickweave.sources import catalog
+from clickweave.sources.json_events import new_fields, read_raw_events, write_corrupt
 from clickweave.sources.sinks import read_curated, write_curated
 
+#: Event types printed by the command line.
+TYPES_SHOWN = 100
+
 
 @dataclass
 class RunResult:
@@ -42,22 +45,28 @@ class RunResult:
         return run_type_counts(self.written)
 
 
-def prepare_batch(spark: SparkSession, source: str, stamp: _dt.datetime, layout: str = "lines",
-                  spread_lines: bool = False, **seq_opts):
-    """The lazy plan of one run: ``(landing, curated, run_counters, written_days)``.
-    Nothing is executed; the write in :func:`run_batch` is the one action."""
-    landing = read_raw_events(spark, source, layout, spread_lines=spread_lines)
-    observed, obs = observe_run(landing)
-    sample_raw = None
-    if layout == "lines":
-        # Hot-key detection parses only sampled lines (the text is sampled first).
-        fraction = seq_opts.get("sample_fraction", DEFAULT_SAMPLE_FRACTION)
-        seed = seq_opts.get("seed", DEFAULT_SEED)
-        sample_raw = parse_json_lines(read_json_lines_text(spark, source)
-                                      .sample(fraction=fraction, seed=seed))
-    curated = transform(observed, processed_at=stamp, sample_raw=sample_raw, **seq_opts)
-    curated, day_obs = observe_days(curated)
-    return landing, curated, obs, day_obs
+def land(spark: SparkSession, source: str, layout: str = "lines",
+         spread_lines: bool = False) -> tuple[DataFrame, dict]:
+    """Parse the input once into the shared work folder: ``(landing, counters)``."""
+    observed, obs = observe_run(read_raw_events(spark, source, layout, spread_lines=spread_lines))
+    landing = stored(observed, "landed")
+    return landing, dict(obs.get)
+
+
+def prepare_batch(landing: DataFrame, stamp: _dt.datetime, extra: list[str] = (), **seq_opts) -> DataFrame:
+    """The curated rows of one run, from its landed rows."""
+    fraction = seq_opts.get("sample_fraction", DEFAULT_SAMPLE_FRACTION)
+    seed = seq_opts.get("seed", DEFAULT_SEED)
+    return transform(landing, processed_at=stamp, extra=extra,
+                     sample_raw=landing.sample(fraction=fraction, seed=seed), **seq_opts)
+
+
+def in_days(days: list[tuple]):
+    """Filter on partition columns only (so it prunes): one membership test of
+    the day's text, and the default partition when a day is NULL."""
+    known = ["-".join(d) for d in days if None not in d]
+    cond = F.concat("year", F.lit("-"), "month", F.lit("-"), "day").isin(known)
+    return cond | F.col("year").isNull() if len(known) < len(days) else cond
 
 
 def run_batch(spark: SparkSession, source: str, target: str, database: str | None = None,
@@ -66,26 +75,24 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
               spread_lines: bool = False, **seq_opts) -> RunResult:
     """S5. Transform every raw file under ``source`` and append the result to
     the partitioned table at ``target``; register it in ``database`` when
-    given. Malformed records go to ``errors_path`` when given (a second,
-    filtered pass over the input)."""
+    given. Malformed records go to ``errors_path`` when given. Fields that
+    producers added become text columns of the files and of the table."""
     stamp = processed_at or run_stamp()
-    landing, curated, obs, day_obs = prepare_batch(spark, source, stamp, layout=layout,
-                                                   spread_lines=spread_lines, **seq_opts)
-    write_curated(curated, target)
-    counters = dict(obs.get)
-    days = [tuple(r) for r in day_obs.get.get("days", [])]
+    landing, counters = land(spark, source, layout, spread_lines)
+    extra = new_fields(landing)
+    curated = prepare_batch(landing, stamp, extra, **seq_opts)
+    days = written_days(landing)
     if errors_path and counters.get("corrupt_records", 0) > 0:
         write_corrupt(landing, errors_path)
-    name = (catalog.register_table(spark, target, database, table, days=days)
-            if database else None)
-    written = read_curated(spark, target).where(F.col("processed_timestamp") == F.lit(stamp))
-    if days and all(p is not None for d in days for p in d):
-        # Only the partitions this run wrote are listed and read.
-        in_run = None
-        for y, m, d in days:
-            one = (F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d)
-            in_run = one if in_run is None else in_run | one
-        written = written.where(in_run)
+    write_curated(curated, target)
+    name = None
+    if database:
+        name = catalog.register_table(spark, target, database, table, days=days)
+        catalog.evolve_schema(spark, name, curated)
+        if extra:
+            spark.catalog.refreshTable(name)
+    written = (read_curated(spark, target, extra=extra).where(in_days(days))
+               .where(F.col("processed_timestamp") == F.lit(stamp)))
     return RunResult(stamp=stamp, counters=counters, table=name, written=written,
                      target=target, errors=errors_path)
 
@@ -114,6 +121,7 @@ def main(argv: list[str] | None = None) -> int:
     """
     import argparse
     import json
+    import sys
 
     from clickweave.session import get_session
 
@@ -125,15 +133,23 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--layout", choices=["lines", "array"], default="lines")
     ap.add_argument("--errors-path", default=None)
     ap.add_argument("--spread-lines", action="store_true")
+    ap.add_argument("--catalog", choices=["session", "hive"], default="session",
+                    help="hive: use the metastore that the cluster configures")
     args = ap.parse_args(argv)
-    spark = get_session(app="clickweave-batch")
+    extra = {"spark.sql.catalogImplementation": "hive"} if args.catalog == "hive" else None
+    spark = get_session(app="clickweave-batch", extra=extra)
     run = run_batch(spark, args.source, args.target, database=args.database, table=args.table,
                     layout=args.layout, errors_path=args.errors_path,
                     spread_lines=args.spread_lines)
     summary = run.summary().first().asDict()
-    types = {r.event_type: r["count"] for r in run.type_counts().collect()}
+    # event types are free text: the most frequent ones, and how many there are
+    counts = run.type_counts()
+    types = {r.event_type: r["count"] for r in counts.orderBy(F.desc("count"), "event_type").limit(TYPES_SHOWN).collect()}
+    if args.database and not catalog.is_durable(spark):
+        print("note: this session's catalog is in memory; the table's registration ends with the process "
+              "(give --catalog hive, or run under a session with a persistent catalog)", file=sys.stderr)
     print(json.dumps({"stamp": run.stamp.isoformat(), "counters": run.counters,
-                      "summary": summary, "event_types": types}, default=str))
+                      "summary": summary, "event_types": types, "n_event_types": counts.count()}, default=str))
     return 0
 
 

@@ -8,8 +8,8 @@ so on the stored table only that day's files are read.
 Conventions (SURVEY §2.15):
 * ratios are DOUBLE rounded half-up to 2 decimals; a zero denominator gives
   NULL instead of an error;
-* money is summed in whole cents (BIGINT) so totals do not depend on the
-  order partitions are added;
+* money is summed and divided in DECIMAL (price to six places), so totals do
+  not depend on the order partitions are added; DOUBLE at the end;
 * every ORDER BY … LIMIT ends in a unique key, so top-k results are stable;
 * NULLs sort last in both directions;
 * distinct counts are exact unless ``exact=False`` is passed.
@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from clickweave.functions import (
-    cents, elapsed_seconds, flag, parse_event_time, rate, round2, today_filter, today_parts,
+    amount, elapsed_seconds, flag, money, parse_event_time, rate, round2, today_filter, today_parts,
     when_count,
 )
 
@@ -56,22 +57,11 @@ def _date_label():
     return F.concat(F.col("year"), F.lit("-"), F.col("month"), F.lit("-"), F.col("day"))
 
 
-def _cents_total(cents_col):
-    """Whole cents → DOUBLE currency units."""
-    return cents_col.cast("double") / F.lit(100.0)
-
-
-def _half_up_div(num, den):
-    """``round(num / den)`` half-up for non-negative BIGINTs, exact."""
-    return F.try_divide(F.lit(2) * num + den, F.lit(2) * den).cast("bigint")
-
-
 def share_of_total(agg: DataFrame, count_col: str, out: str = "percentage") -> DataFrame:
-    """W3. ``count * 100 / SUM(count) OVER ()`` on an aggregated frame.
-
-    The total is a scalar subquery over the aggregate instead of an unkeyed
-    window, so no single task ever holds all groups."""
-    total = agg.agg(F.sum(count_col)).scalar()
+    """W3. ``count * 100 / SUM(count) OVER ()`` on an aggregated frame: the
+    unkeyed window sees one row per group, not the events, and the table is
+    scanned once."""
+    total = F.sum(count_col).over(W.partitionBy())
     return agg.withColumn(out, rate(F.col(count_col), total))
 
 
@@ -211,14 +201,14 @@ def q08_daily_revenue(df: DataFrame, as_of=None, exact: bool = True) -> DataFram
              .groupBy("year", "month", "day")
              .agg(_distinct("user_id", exact).alias("purchasing_users"),
                   _count().alias("total_purchases"),
-                  F.sum(cents(F.col("price"), F.col("quantity"))).alias("_cents")))
-    c = F.col("_cents")
+                  F.sum(amount(F.col("price"), F.col("quantity"))).alias("_amount")))
+    total = F.col("_amount")
     return (agg.select(
                 "year", "month", "day", _date_label().alias("date"),
                 "purchasing_users", "total_purchases",
-                _cents_total(c).alias("total_revenue"),
-                _cents_total(_half_up_div(c, F.col("total_purchases"))).alias("avg_order_value"),
-                _cents_total(_half_up_div(c, F.col("purchasing_users"))).alias("revenue_per_user"))
+                money(total).alias("total_revenue"),
+                money(total, F.col("total_purchases")).alias("avg_order_value"),
+                money(total, F.col("purchasing_users")).alias("revenue_per_user"))
             .orderBy(F.desc_nulls_last("year"), F.desc_nulls_last("month"), F.desc_nulls_last("day"))
             .limit(30))
 
@@ -226,22 +216,22 @@ def q08_daily_revenue(df: DataFrame, as_of=None, exact: bool = True) -> DataFram
 def session_times(df: DataFrame) -> DataFrame:
     """Per session: first and last time (text order), events, purchase flag."""
     return (df.groupBy("session_id")
-              .agg(F.min("timestamp").alias("session_start"),
-                   F.max("timestamp").alias("session_end"),
+              .agg(F.min("timestamp").alias("opened_at"),
+                   F.max("timestamp").alias("closed_at"),
                    _count().alias("event_count"),
-                   flag(_is("purchase")).alias("has_purchase")))
+                   flag(_is("purchase")).alias("bought")))
 
 
 def q09_session_duration(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Converted vs not: sessions, mean events, mean whole seconds from first
     to last event; sessions whose first and last time are equal are left out."""
-    st = session_times(df).where(F.col("session_start") != F.col("session_end"))
-    secs = elapsed_seconds(parse_event_time("session_start"), parse_event_time("session_end"))
-    agg = (st.groupBy("has_purchase")
+    st = session_times(df).where(F.col("opened_at") != F.col("closed_at"))
+    secs = elapsed_seconds(parse_event_time("opened_at"), parse_event_time("closed_at"))
+    agg = (st.groupBy("bought")
              .agg(_count().alias("session_count"),
                   round2(F.avg("event_count")).alias("avg_events"),
                   round2(F.avg(secs)).alias("avg_duration_seconds")))
-    status = (F.when(F.col("has_purchase") == 1, F.lit(LABEL_CONVERTED))
+    status = (F.when(F.col("bought") == 1, F.lit(LABEL_CONVERTED))
                .otherwise(F.lit(LABEL_NOT_CONVERTED)))
     return (agg.select(status.alias("conversion_status"), "session_count", "avg_events",
                        "avg_duration_seconds")
@@ -251,7 +241,7 @@ def q09_session_duration(df: DataFrame, as_of=None, exact: bool = True) -> DataF
 def q10_category_performance(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """Per category: products, users, views, cart adds, purchases, revenue,
     purchase-per-view rate."""
-    purchase_cents = F.when(_is("purchase"), cents(F.col("price"), F.col("quantity"))).otherwise(F.lit(0))
+    bought = F.when(_is("purchase"), amount(F.col("price"), F.col("quantity"))).otherwise(F.lit(0))
     agg = (df.where(F.col("product_category").isNotNull())
              .groupBy("product_category")
              .agg(_distinct("product_id", exact).alias("unique_products"),
@@ -259,16 +249,16 @@ def q10_category_performance(df: DataFrame, as_of=None, exact: bool = True) -> D
                   when_count(_is("product_view")).alias("views"),
                   when_count(_is("add_to_cart")).alias("cart_adds"),
                   when_count(_is("purchase")).alias("purchases"),
-                  F.sum(purchase_cents).alias("_cents")))
+                  F.sum(bought).alias("_amount")))
     return (agg.select("product_category", "unique_products", "unique_users", "views",
-                       "cart_adds", "purchases", _cents_total(F.col("_cents")).alias("revenue"),
+                       "cart_adds", "purchases", money(F.col("_amount")).alias("revenue"),
                        rate(F.col("purchases"), F.col("views")).alias("conversion_rate"))
                .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("product_category")))
 
 
 def first_event_per_user(df: DataFrame) -> DataFrame:
     """Per user: the earliest event time (text order)."""
-    return df.groupBy("user_id").agg(F.min("timestamp").alias("first_event_time"))
+    return df.groupBy("user_id").agg(F.min("timestamp").alias("earliest"))
 
 
 def classify_new_returning(df: DataFrame) -> DataFrame:
@@ -278,11 +268,11 @@ def classify_new_returning(df: DataFrame) -> DataFrame:
     An equi-join on the per-user aggregate: AQE broadcasts the aggregate when
     its measured size allows, else sort-merge with hot users split."""
     first = first_event_per_user(df).withColumnRenamed("user_id", "_fu")
-    t = df.alias("t")
-    joined = t.join(first, F.col("t.user_id") == F.col("_fu"), "inner")
-    kind = (F.when(F.col("t.timestamp") == F.col("first_event_time"), F.lit(LABEL_NEW_USER))
+    event = df.alias("event")
+    joined = event.join(first, F.col("event.user_id") == F.col("_fu"), "inner")
+    kind = (F.when(F.col("event.timestamp") == F.col("earliest"), F.lit(LABEL_NEW_USER))
              .otherwise(F.lit(LABEL_RETURNING_USER)))
-    return joined.select("t.*", "first_event_time", kind.alias("user_type"))
+    return joined.select("event.*", "earliest", kind.alias("user_type"))
 
 
 def q11_new_vs_returning(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:

@@ -37,9 +37,24 @@ def curated(spark: SparkSession, sf_dir: str, **seq_opts) -> DataFrame:
                      **seq_opts)
 
 
+def stored_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated table as it is stored: written once per session and test
+    folder, partitioned by day, then read with its declared schema. Day filters
+    prune its partitions."""
+    from clickweave.plans import fixtures
+    from clickweave.session import scratch_path
+    from clickweave.sources.sinks import read_curated, write_curated
+
+    def build():
+        path = scratch_path(spark, "curated")
+        write_curated(curated(spark, sf_dir), path)
+        return path
+    return read_curated(spark, fixtures.once(spark, "curated", sf_dir, build))
+
+
 def _library_entry(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(curated(spark, sf_dir), as_of=AS_OF)
+        return fn(stored_curated(spark, sf_dir), as_of=AS_OF)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

@@ -8,24 +8,26 @@ the table the batch job wrote and registered (``_stored``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from clickweave.functions import (
-    cents, elapsed_seconds, flag, parse_event_time, rate, round2, today_filter, when_count,
+    amount, elapsed_seconds, flag, money, parse_event_time, rate, round2, today_filter, when_count,
 )
 from clickweave.operators import quality
 from clickweave.plans import fixtures, library
 from clickweave.plans.batch import conform, typed_numbers
-from clickweave.plans.registry import AS_OF, curated
-from clickweave.session import scratch_path
+from clickweave.plans.registry import AS_OF, stored_curated
+from clickweave.session import scratch_path, stored
 from clickweave.sources import catalog, sinks
-from clickweave.sources.schema import CORRUPT_COLUMN, CURATED_COLUMNS
+from clickweave.sources.schema import CORRUPT_COLUMN, CURATED_COLUMNS, EXTRA_COLUMN
 
 NO_STAMP = [c for c in CURATED_COLUMNS if c != "processed_timestamp"]
 
 
 def _cur(spark, sf):
-    return curated(spark, sf)
+    return stored_curated(spark, sf)
 
 
 def _landing(spark, sf):
@@ -44,8 +46,8 @@ def _is(t):
     return F.col("event_type") == F.lit(t)
 
 
-def _cents():
-    return cents(F.col("price"), F.col("quantity"))
+def _amount():
+    return amount(F.col("price"), F.col("quantity"))
 
 
 # ---- §2.1 sources --------------------------------------------------------
@@ -108,22 +110,24 @@ def query_result_sink(spark, sf):
 
 
 def _direct_table(spark, sf) -> str:
-    """The curated table of the test tables written and registered."""
+    """The curated table of the test tables, registered under a name of its own."""
     def build():
         path = scratch_path(spark, "direct")
         sinks.write_curated(_cur(spark, sf), path)
-        return path
-    path = fixtures.once(spark, "direct", sf, build)
-    return catalog.register_table(spark, path, replace=True)
+        return catalog.register_table(spark, path, fixtures.FIXTURE_DATABASE, f"direct_{uuid.uuid4().hex[:12]}")
+    return fixtures.once(spark, "direct", sf, build)
+
+
+def _plain(name):
+    """A generated table name without its random ending."""
+    return F.regexp_replace(name, "_[0-9a-f]{12}$", "")
 
 
 def catalog_database(spark, sf):
-    """K4. The database (created if absent) and the rows its table holds."""
+    """K4. The database as the catalog lists it, and the rows of its table."""
     name = _direct_table(spark, sf)
-    db = catalog.DEFAULT_DATABASE
-    if not spark.catalog.databaseExists(db):
-        raise RuntimeError(f"database {db} was not created")
-    return spark.table(name).agg(F.lit(db).alias("namespace"), _count().alias("total_rows"))
+    listed = spark.sql(f"SHOW DATABASES LIKE '{fixtures.FIXTURE_DATABASE}'").select("namespace")
+    return listed.withColumn("total_rows", spark.table(name).agg(_count()).scalar())
 
 
 def catalog_register(spark, sf):
@@ -138,7 +142,7 @@ def schema_evolve(spark, sf):
     path = scratch_path(spark, "evolve")
     base = _cur(spark, sf)
     sinks.write_curated(base, path)
-    name = catalog.register_table(spark, path, table="transformed_evolve", replace=True)
+    name = catalog.register_table(spark, path, fixtures.FIXTURE_DATABASE, f"evolve_{uuid.uuid4().hex[:12]}")
     extra = (base.where(_is("purchase"))
                  .withColumn("campaign", F.col("referrer")))
     extra = extra.select(*[c for c in extra.columns if c not in ("year", "month", "day")],
@@ -154,9 +158,8 @@ def schema_evolve(spark, sf):
 def repair_partitions(spark, sf):
     """K7. Partitions known before and after ``MSCK REPAIR TABLE``."""
     path = scratch_path(spark, "repair")
-    name = f"{catalog.DEFAULT_DATABASE}.transformed_repair"
-    catalog.create_database(spark)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"{fixtures.FIXTURE_DATABASE}.repair_{uuid.uuid4().hex[:12]}"
+    catalog.create_database(spark, fixtures.FIXTURE_DATABASE)
     from clickweave.sources.schema import curated_ddl
     spark.sql(curated_ddl(name, path))
     before = catalog.show_partitions(spark, name).count()
@@ -177,13 +180,11 @@ def table_statistics(spark, sf):
 
 
 def show_tables(spark, sf):
-    """K10. The registered table (as listed by the catalog) and its rows."""
+    """K10. The listing of the registered table, with its rows."""
     name = _direct_table(spark, sf)
-    listed = [r.tableName for r in catalog.list_tables(spark).collect()]
-    if catalog.DEFAULT_TABLE not in listed:
-        raise RuntimeError(f"{name} is not listed")
-    return spark.table(name).agg(F.lit(catalog.DEFAULT_TABLE).alias("tableName"),
-                                 _count().alias("row_count"))
+    listed = (catalog.list_tables(spark, fixtures.FIXTURE_DATABASE)
+              .where(F.col("tableName") == name.split(".")[1]).select(_plain("tableName").alias("tableName")))
+    return listed.withColumn("row_count", spark.table(name).agg(_count()).scalar())
 
 
 def saved_queries(spark, sf):
@@ -218,8 +219,7 @@ def null_counts(spark, sf):
 
 def drop_columns(spark, sf):
     """F5. Personal fields removed (missing ones ignored)."""
-    df = typed_numbers(quality.drop_columns(conform(quality.drop_corrupt(_landing(spark, sf)))))
-    return df
+    return typed_numbers(quality.drop_columns(conform(quality.drop_corrupt(_landing(spark, sf))))).drop(EXTRA_COLUMN)
 
 
 def select_columns(spark, sf):
@@ -245,8 +245,8 @@ def equality_filter(spark, sf):
 def column_inequality(spark, sf):
     """F10."""
     st = library.session_times(_cur(spark, sf))
-    return (st.where(F.col("session_start") != F.col("session_end"))
-              .select("session_id", "session_start", "session_end"))
+    return (st.where(F.col("opened_at") != F.col("closed_at"))
+              .select("session_id", "opened_at", "closed_at"))
 
 
 def having_filter(spark, sf):
@@ -271,7 +271,7 @@ def literal_partition_filter(spark, sf):
 def qualified_star(spark, sf):
     """F14. ``t.*`` plus a computed column."""
     return (library.classify_new_returning(_cur(spark, sf))
-            .drop("processed_timestamp", "first_event_time"))
+            .drop("processed_timestamp", "earliest"))
 
 
 # ---- §2.4 enrichment -----------------------------------------------------
@@ -323,7 +323,7 @@ def batch_transform(spark, sf):
 def join_first_event(spark, sf):
     """J1. Events joined to their user's first event time."""
     df = library.classify_new_returning(_cur(spark, sf))
-    return df.select("event_id", "user_id", "first_event_time", "user_type")
+    return df.select("event_id", "user_id", "earliest", "user_type")
 
 
 # ---- §2.6 aggregation -------------------------------------------------------
@@ -370,24 +370,21 @@ def conditional_avg_rate(spark, sf):
 
 def conditional_revenue_sum(spark, sf):
     """A7. A purchase without a price adds nothing."""
-    c = F.when(_is("purchase"), _cents()).otherwise(F.lit(0))
-    return (_cur(spark, sf).groupBy("product_category")
-            .agg((F.sum(c).cast("double") / F.lit(100.0)).alias("revenue")))
+    c = F.when(_is("purchase"), _amount()).otherwise(F.lit(0))
+    return _cur(spark, sf).groupBy("product_category").agg(money(F.sum(c)).alias("revenue"))
 
 
 def sum_product(spark, sf):
-    """A8. ``SUM`` and ``AVG`` of price × quantity (whole cents)."""
+    """A8. ``SUM`` and ``AVG`` of price × quantity (DECIMAL)."""
     df = _cur(spark, sf).where(F.col("price").isNotNull() & F.col("quantity").isNotNull())
-    agg = df.groupBy("event_type").agg(F.sum(_cents()).alias("_c"), _count().alias("_n"))
-    c, n = F.col("_c"), F.col("_n")
-    avg_cents = F.try_divide(F.lit(2) * c + n, F.lit(2) * n).cast("bigint")
-    return agg.select("event_type", (c.cast("double") / 100.0).alias("total_amount"),
-                      (avg_cents.cast("double") / 100.0).alias("avg_amount"))
+    agg = df.groupBy("event_type").agg(F.sum(_amount()).alias("_c"), _count().alias("_n"))
+    return agg.select("event_type", money(F.col("_c")).alias("total_amount"),
+                      money(F.col("_c"), F.col("_n")).alias("avg_amount"))
 
 
 def avg_product(spark, sf):
-    """A8. ``ROUND(AVG(price × quantity), 2)`` per event type (whole cents,
-    half-up)."""
+    """A8. ``ROUND(AVG(price × quantity), 2)`` per event type
+    (DECIMAL)."""
     return sum_product(spark, sf).select("event_type", "avg_amount")
 
 
@@ -426,7 +423,7 @@ def global_aggregate(spark, sf):
     return _cur(spark, sf).agg(
         _count().alias("total_records"),
         F.count_distinct("user_id").alias("unique_users"),
-        (F.sum(_cents()).cast("double") / F.lit(100.0)).alias("total_amount"),
+        money(F.sum(_amount())).alias("total_amount"),
         round2(F.avg("event_sequence")).alias("avg_sequence"))
 
 
@@ -438,9 +435,9 @@ def multi_key_group(spark, sf):
 def group_key_expression(spark, sf):
     """A15. Group by a flag, output a label computed from it."""
     st = library.session_times(_cur(spark, sf))
-    label = (F.when(F.col("has_purchase") == 1, F.lit(library.LABEL_CONVERTED))
+    label = (F.when(F.col("bought") == 1, F.lit(library.LABEL_CONVERTED))
              .otherwise(F.lit(library.LABEL_NOT_CONVERTED)))
-    return (st.groupBy("has_purchase").agg(_count().alias("session_count"))
+    return (st.groupBy("bought").agg(_count().alias("session_count"))
               .select(label.alias("conversion_status"), "session_count"))
 
 
@@ -513,27 +510,22 @@ def top_k(spark, sf):
 # ---- §2.9 set operations, CTEs ---------------------------------------------
 
 def union_all(spark, sf):
-    """U1. The funnel as four aggregate branches glued with UNION ALL (the
-    library's q05 computes the same rows from one aggregate)."""
+    """U1. The funnel as four branches glued with UNION ALL over one stored
+    row of sums, so the table is scanned once."""
     flags = library.session_funnel_flags(_cur(spark, sf).where(today_filter(AS_OF)))
-    n = [F.sum(f"_s{i}").cast("bigint") for i in range(4)]
+    n = [F.col(f"n{i}") for i in range(4)]
+    sums = stored(flags.agg(*[F.sum(f"_s{i}").cast("bigint").alias(f"n{i}") for i in range(4)]), "funnel-sums")
 
     def pct_of(i, j):
         return F.try_divide(n[i].cast("double") * 100.0, n[j].cast("double"))
 
-    branches = [
-        flags.agg(F.lit("Product View").alias("stage"), n[0].alias("sessions"),
-                  F.lit(100.0).alias("percentage"), F.lit(0.0).alias("drop_off_rate")),
-    ]
-    labels = ["Add to Cart", "Checkout Start", "Purchase"]
-    for i, label in enumerate(labels, start=1):
-        branches.append(flags.agg(
+    out = sums.select(F.lit("Product View").alias("stage"), n[0].alias("sessions"),
+                      F.lit(100.0).alias("percentage"), F.lit(0.0).alias("drop_off_rate"))
+    for i, label in enumerate(["Add to Cart", "Checkout Start", "Purchase"], start=1):
+        out = out.unionByName(sums.select(
             F.lit(label).alias("stage"), n[i].alias("sessions"),
             round2(pct_of(i, 0)).alias("percentage"),
             round2(F.lit(100.0) - pct_of(i, i - 1)).alias("drop_off_rate")))
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
     return out
 
 
@@ -545,8 +537,8 @@ def distinct_rows(spark, sf):
 def cte(spark, sf):
     """U3. Chained intermediate results (per session → per outcome)."""
     st = library.session_times(_cur(spark, sf))
-    multi = st.where(F.col("session_start") != F.col("session_end"))
-    return (multi.groupBy("has_purchase")
+    multi = st.where(F.col("opened_at") != F.col("closed_at"))
+    return (multi.groupBy("bought")
                  .agg(_count().alias("session_count"),
                       round2(F.avg("event_count")).alias("avg_events")))
 
@@ -575,7 +567,7 @@ def scalar_strings(spark, sf):
 def scalar_elapsed_seconds(spark, sf):
     """X17-X18. Whole seconds between a session's first and last event."""
     st = library.session_times(_cur(spark, sf))
-    secs = elapsed_seconds(parse_event_time("session_start"), parse_event_time("session_end"))
+    secs = elapsed_seconds(parse_event_time("opened_at"), parse_event_time("closed_at"))
     return st.select("session_id", secs.alias("elapsed_seconds"))
 
 

@@ -45,7 +45,7 @@ def stream_deliver_raw(spark, sf):
 def stream_error_route(spark, sf):
     """T2. Each micro-batch split into well-formed and malformed lines."""
     good, errors = scratch_path(spark, "good"), scratch_path(spark, "errors")
-    lines = ingest.read_lines_stream(spark, fixtures.raw_zone(spark, sf))
+    lines = ingest.read_lines_stream(spark, fixtures.raw_zone(spark, sf), max_files_per_trigger=32)
     q = (lines.writeStream.option("checkpointLocation", scratch_path(spark, "ck-route"))
          .foreachBatch(ingest.route_errors(good, errors)).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -100,7 +100,10 @@ def stream_dedup(spark, sf):
     (lines.where(F.col("value").contains('"product_id":"prod_023"'))
      .write.mode("overwrite").text(os.path.join(root, "again")))
     out = scratch_path(spark, "dedup-out")
-    deduped = ingest.dedup_stream(ingest.read_lines_stream(spark, root)).select("event_id", "event_type")
+    # one file a micro-batch, so repeats meet state of earlier batches; the files
+    # hold all days in no order, so the delay spans them
+    lines = ingest.read_lines_stream(spark, root, max_files_per_trigger=2)
+    deduped = ingest.dedup_stream(lines, delay="1000 days").select("event_id", "event_type")
     q = (deduped.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", scratch_path(spark, "ck-dedup"))
          .trigger(availableNow=True).start())

@@ -17,7 +17,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,13 +33,18 @@ BASE_CONF = {
 }
 
 
+#: Settings without which results would be wrong.
+REQUIRED = ("spark.sql.session.timeZone", "spark.sql.sources.partitionColumnTypeInference.enabled")
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to an existing session."""
+    """Apply the runtime settings above to an existing session. A setting that
+    the session refuses is left as it is, unless results depend on it."""
     for key, value in BASE_CONF.items():
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave as set
-            pass
+        if key in REQUIRED and spark.conf.get(key) != value:
+            raise RuntimeError(f"the session refuses {key}={value}")
     return spark
 
 
@@ -73,8 +78,8 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` as the cluster names it. Only when it is
-    unset (local tests, the bench) a fresh folder is made, so that
-    ``DataFrame.checkpoint()`` and written intermediates land in one place.
+    unset and the master is local (tests, the bench) a fresh folder is made; on
+    a cluster each machine would see a folder of its own, so that is an error.
     """
     current = spark.conf.get("clickweave.work.dir", None)
     if current:
@@ -83,6 +88,8 @@ def work_dir(spark: SparkSession) -> str:
     current = (spark.conf.get("spark.checkpoint.dir", None)
                or sc.getConf().get("spark.checkpoint.dir", None))
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="clickweave-work-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
@@ -93,3 +100,11 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared work folder."""
     return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared work folder and read it back: computed once,
+    and safe against lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

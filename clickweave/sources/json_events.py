@@ -10,10 +10,11 @@ Two layouts:
   format). A file is read whole (``wholetext``), its elements are turned back
   into JSON texts and then parsed exactly like lines. Meant for small files.
 
-Parsing is ``from_json`` with the landing schema (every field as text) in
-PERMISSIVE mode: a malformed line keeps its text in ``_corrupt_record``,
-independent of which columns a later step reads (the JSON file reader would
-re-parse per projection and count differently).
+Parsing is ``from_json`` of the line as the only element of an array of
+text maps. A line that is not exactly one JSON object - broken, or with
+anything after the object - becomes NULL or another length, keeps its text in
+``_corrupt_record`` and is counted, independent of which columns a later step
+reads. Fields outside the known ones are kept as text in the map ``_extra``.
 """
 
 from __future__ import annotations
@@ -22,30 +23,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweave.sources.schema import CORRUPT_COLUMN, LANDING_SCHEMA
+from clickweave.sources.schema import CORRUPT_COLUMN, EXTRA_COLUMN, RAW_FIELDS
 
-PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+PARSE_OPTIONS = {"mode": "PERMISSIVE"}
 LINE_COLUMN = "value"
+#: New fields that one run may add as columns; more is an error, not a cut.
+MAX_NEW_FIELDS = 1000
 
 
 def parse_json_lines(lines: DataFrame, text_col: str = LINE_COLUMN,
                      keep_line: bool = False) -> DataFrame:
-    """One landing row per non-blank line: the 16 fields as text plus
-    ``_corrupt_record`` (the line itself when it is not a JSON object);
-    with ``keep_line`` also the original text as ``_line``."""
+    """One landing row per non-blank line: the 16 fields as text,
+    ``_corrupt_record`` (the line itself when it is not exactly one JSON object)
+    and ``_extra`` (other fields, NULL when there are none); with ``keep_line``
+    also the original text as ``_line``."""
     # The parse sits inside a generator (``inline`` of a one-element array):
     # later filters on parsed fields (corrupt, required) cannot be pushed
     # below a generator, so each line is parsed exactly once. Under a plain
     # projection the optimizer would copy the parse into every pushed filter.
+    as_array = F.concat(F.lit("["), F.col(text_col), F.lit("]"))
+    items = F.from_json(as_array, T.ArrayType(T.MapType(T.StringType(), T.StringType())), PARSE_OPTIONS)
     parsed = (lines.where(F.trim(F.col(text_col)) != F.lit(""))
-                   .select(F.inline(F.array(F.struct(
-                       F.from_json(F.col(text_col), LANDING_SCHEMA, PARSE_OPTIONS).alias("_j"),
-                       F.col(text_col).alias("_line"))))))
-    fields = [F.col(f"_j.{f.name}").alias(f.name) for f in LANDING_SCHEMA.fields
-              if f.name != CORRUPT_COLUMN]
-    bad = F.col("_j").isNull() | F.col(f"_j.{CORRUPT_COLUMN}").isNotNull()
+                   .select(F.inline(F.array(F.struct(items.alias("_items"), F.col(text_col).alias("_line")))))
+                   .select("_line", F.when(F.size("_items") == 1, F.get("_items", F.lit(0))).alias("_j")))
+    known = [name for name, _ in RAW_FIELDS]
+    fields = [F.col("_j")[name].alias(name) for name in known]
+    other = F.map_filter("_j", lambda k, v: ~k.isin(known))
     extra = [F.col("_line")] if keep_line else []
-    return parsed.select(*fields, F.when(bad, F.col("_line")).alias(CORRUPT_COLUMN), *extra)
+    return parsed.select(*fields, F.when(F.col("_j").isNull(), F.col("_line")).alias(CORRUPT_COLUMN),
+                         F.when(F.size(other) > 0, other).alias(EXTRA_COLUMN), *extra)
+
+
+def new_fields(landing: DataFrame) -> list[str]:
+    """Names of the fields in ``_extra``, sorted. Producers control them, so
+    more than ``MAX_NEW_FIELDS`` raise an error."""
+    if EXTRA_COLUMN not in landing.columns:
+        return []
+    names = (landing.where(F.col(EXTRA_COLUMN).isNotNull() & F.col(CORRUPT_COLUMN).isNull())
+             .select(F.explode(F.map_keys(EXTRA_COLUMN)).alias("name")).distinct()
+             .limit(MAX_NEW_FIELDS + 1).collect())
+    if len(names) > MAX_NEW_FIELDS:
+        raise ValueError(f"more than {MAX_NEW_FIELDS} new field names in one run")
+    return sorted(r["name"] for r in names)
 
 
 def read_json_lines_text(spark: SparkSession, path: str) -> DataFrame:

@@ -31,6 +31,8 @@ REQUIRED_FIELDS = ["event_id", "user_id", "event_type", "timestamp"]
 DROPPED_FIELDS = ["user_agent", "ip_address", "additional_data"]
 
 CORRUPT_COLUMN = "_corrupt_record"
+# Fields that producers send beside the known ones, as a map of texts.
+EXTRA_COLUMN = "_extra"
 
 RAW_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in RAW_FIELDS])
 
@@ -39,7 +41,8 @@ RAW_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in RAW_FIELDS])
 # cast afterwards with try_cast, so a bad value becomes NULL and the row stays.
 LANDING_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType(), True) for n, _ in RAW_FIELDS]
-    + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
+    + [T.StructField(CORRUPT_COLUMN, T.StringType(), True),
+       T.StructField(EXTRA_COLUMN, T.MapType(T.StringType(), T.StringType()), True)]
 )
 
 PARTITION_COLUMNS = ["year", "month", "day"]
@@ -76,6 +79,20 @@ CURATED_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in CURATED_FIE
 CURATED_COLUMNS = [n for n, _ in CURATED_FIELDS]
 
 
+def extra_column(field: str) -> str:
+    """Table column of a new producer field; a name that a table column has
+    already is prefixed."""
+    taken = {n.lower() for n, _ in CURATED_FIELDS}
+    return f"raw_{field}" if field.lower() in taken else field
+
+
+def curated_schema(extra: list[str] = ()) -> T.StructType:
+    """Table columns with new fields (text) before the partition columns."""
+    stored = [f for f in CURATED_SCHEMA.fields if f.name not in PARTITION_COLUMNS]
+    parts = [f for f in CURATED_SCHEMA.fields if f.name in PARTITION_COLUMNS]
+    return T.StructType([*stored, *[T.StructField(extra_column(n), T.StringType(), True) for n in extra], *parts])
+
+
 def curated_ddl(table: str, location: str) -> str:
     """CREATE TABLE statement for the curated table at ``location``."""
     cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"

@@ -5,35 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.sources.schema import CURATED_SCHEMA, PARTITION_COLUMNS
+from clickweave.sources.schema import PARTITION_COLUMNS, curated_schema
 
 
-def write_curated(df: DataFrame, path: str, mode: str = "append", compact: bool = True) -> None:
+def write_curated(df: DataFrame, path: str, mode: str = "append", compact: bool = True,
+                  writer=None) -> None:
     """K1. Parquet (snappy), partitioned by ``year/month/day``.
 
     ``compact``: ``REBALANCE`` on the partition columns lets AQE cut the rows
     into advisory-size tasks per day: a hot day is split over several files
     (never one giant task) and small days are coalesced, instead of every
     task writing one small file per day it saw. It costs one shuffle of the
-    output; a run that covers one or two days with large tasks can skip it."""
+    output; a run that covers one or two days with large tasks can skip it.
+
+    ``writer`` (frame → writer) replaces ``df.write.mode(mode)``: the streaming
+    sink names files by batch there."""
     if compact:
         df = df.hint("rebalance", *PARTITION_COLUMNS)
-    (df.write.mode(mode)
+    ((writer(df) if writer else df.write.mode(mode))
        .partitionBy(*PARTITION_COLUMNS)
        .option("compression", "snappy")
        .parquet(path))
 
 
-def read_curated(spark, path: str, merge_schema: bool = False) -> DataFrame:
+def read_curated(spark, path: str, merge_schema: bool = False, extra: list[str] = ()) -> DataFrame:
     """S4. The stored table with its declared schema: no footer is read to
     infer or merge schemas (that costs one read per file on a large table),
     and the partition values stay zero-padded strings. Columns added later
-    by schema evolution are read through the catalog table, or here with
-    ``merge_schema=True``."""
+    by schema evolution are read through the catalog table, or here by naming
+    their producer fields (``extra``) or with ``merge_schema=True``."""
     reader = spark.read.option("basePath", path)
     if merge_schema:
         return reader.option("mergeSchema", "true").parquet(path)
-    return reader.schema(CURATED_SCHEMA).parquet(path)
+    return reader.schema(curated_schema(extra)).parquet(path)
 
 
 def write_result_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

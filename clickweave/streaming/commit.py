@@ -1,0 +1,72 @@
+"""Exactly-once appends from ``foreachBatch``.
+
+A batch is known by its query (the id kept in the checkpoint, so another stream
+or a new checkpoint is another query) and its batch id. Its files carry that
+key in their names, and three states are kept as marker files beside the table:
+
+* no marker: the batch has not begun;
+* ``begin``: an attempt may have left files; they are found by name and deleted
+  before the batch is written again;
+* ``done``: written *and* registered; the batch is skipped.
+
+So a crash at any point, before or after the append or the registration, ends
+in each row stored once when the batch is replayed.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERY_PROPERTY = "sql.streaming.queryId"
+#: Markers of this many last batches are kept; older ones are never replayed.
+KEPT_MARKERS = 10
+
+
+def query_id(spark: SparkSession) -> str:
+    """Id of the streaming query that runs this batch ("direct" outside one)."""
+    return spark.sparkContext.getLocalProperty(QUERY_PROPERTY) or "direct"
+
+
+class BatchCommit:
+    """One batch's append to ``target``."""
+
+    def __init__(self, spark: SparkSession, target: str, batch_id: int, query: str | None = None):
+        self.spark, self.target, self.batch_id = spark, target, batch_id
+        self.query = query or query_id(spark)
+        self.basename = f"part-{self.query}-{batch_id}"
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path(target).getFileSystem(self._conf)
+
+    def _path(self, *parts: str):
+        return self._jvm.org.apache.hadoop.fs.Path(os.path.join(*parts))
+
+    def _marker(self, state: str, batch_id: int | None = None):
+        batch = self.batch_id if batch_id is None else batch_id
+        return self._path(self.target, "_batches", self.query, f"{batch}.{state}")
+
+    def done(self) -> bool:
+        return self._fs.exists(self._marker("done"))
+
+    def begin(self, depth: int) -> None:
+        """Mark the attempt; remove what an earlier one left. ``depth`` is the
+        number of partition columns (files lie that many folders down)."""
+        if self._fs.exists(self._marker("begin")):
+            pattern = os.path.join(self.target, *["[!_]*=*"] * depth, f"{self.basename}-*")
+            for status in self._fs.globStatus(self._jvm.org.apache.hadoop.fs.Path(pattern)) or []:
+                self._fs.delete(status.getPath(), False)
+        else:
+            self._fs.create(self._marker("begin"), True).close()
+
+    def named(self, df: DataFrame):
+        """A writer of ``df`` whose files carry the batch's key."""
+        return df.write.mode("append").option("mapreduce.output.basename", self.basename)
+
+    def finish(self) -> None:
+        self._fs.create(self._marker("done"), True).close()
+        old = self.batch_id - KEPT_MARKERS
+        if old >= 0:
+            for state in ("begin", "done"):
+                self._fs.delete(self._marker(state, old), False)

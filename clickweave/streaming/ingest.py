@@ -5,25 +5,24 @@ gzip). Every query keeps its progress in a checkpoint folder, so a restart —
 or a second run with ``availableNow`` — only processes files it has not
 committed yet (the "job bookmark" of the batch world).
 
-``foreachBatch`` sinks write with the batch id in mind: a batch whose output
-was already written before a crash is recognised by its marker file and not
-appended twice.
+``foreachBatch`` sinks append through ``streaming.commit``: a replayed batch
+replaces what an earlier attempt left and never repeats or loses rows, whatever
+stream or checkpoint writes to the same table.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.operators.enrich import PARSED_TIME
-from clickweave.operators.quality import observe_days
-from clickweave.plans.batch import transform
+from clickweave.plans.batch import transform, written_days
+from clickweave.session import stored
 from clickweave.sources import catalog
-from clickweave.sources.json_events import parse_json_lines
+from clickweave.sources.json_events import corrupt_lines, new_fields, parse_json_lines
 from clickweave.sources.schema import CORRUPT_COLUMN, PARTITION_COLUMNS
 from clickweave.sources.sinks import write_curated
+from clickweave.streaming.commit import BatchCommit
 
 
 def _trigger(writer, trigger: str | None):
@@ -61,40 +60,31 @@ def deliver_raw(spark: SparkSession, inbox: str, raw_zone: str, checkpoint: str,
     return _trigger(writer, trigger).start(raw_zone)
 
 
-def _done_marker(path: str, batch_id: int) -> str:
-    return os.path.join(path, "_batches", f"batch-{batch_id}")
-
-
-def _marker_exists(spark: SparkSession, marker: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(marker)
-    return p.getFileSystem(conf).exists(p)
-
-
-def _write_marker(spark: SparkSession, marker: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(marker)
-    p.getFileSystem(conf).create(p, True).close()
+#: Error type of a line that is not one JSON object (a fixed label).
+MALFORMED = "malformed-json"
 
 
 def route_errors(good_path: str, error_path: str):
-    """T2. ``foreachBatch`` function: parse each line once (persisted for the
-    two writes), well-formed lines to ``good_path/batch=<id>``, malformed ones
-    to ``error_path/batch=<id>``. Both writes overwrite their batch folder, so
-    a retried batch replaces rather than duplicates its output."""
+    """T2. ``foreachBatch`` function: each line is parsed once (typed rows go to
+    the shared work folder); well-formed lines are appended under
+    ``good_path/year=/month=/day=`` of their arrival date, malformed ones under
+    ``error_path/error_type=/year=/month=/day=``."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json_lines(batch, keep_line=True)
-        tagged = parsed.select(F.col("_line").alias("value"),
-                               F.col(CORRUPT_COLUMN).isNotNull().alias("_bad")).persist()
-        try:
-            (tagged.where(~F.col("_bad")).select("value")
-             .write.mode("overwrite").text(os.path.join(good_path, f"batch={batch_id}")))
-            (tagged.where(F.col("_bad")).select("value")
-             .write.mode("overwrite").text(os.path.join(error_path, f"batch={batch_id}")))
-        finally:
-            tagged.unpersist()
+        spark = batch.sparkSession
+        good, bad = (BatchCommit(spark, path, batch_id) for path in (good_path, error_path))
+        if good.done() and bad.done():
+            return
+        parsed = parse_json_lines(batch, keep_line=True).select(
+            F.col("_line").alias("value"), F.col(CORRUPT_COLUMN).isNotNull().alias("_bad"),
+            *[F.date_format(F.current_date(), f).alias(c) for c, f in zip(PARTITION_COLUMNS, ("yyyy", "MM", "dd"))])
+        tagged = stored(parsed, "routed")
+        for commit, rows, columns in (
+                (good, tagged.where(~F.col("_bad")), PARTITION_COLUMNS),
+                (bad, tagged.where("_bad").withColumn("error_type", F.lit(MALFORMED)), ["error_type", *PARTITION_COLUMNS])):
+            if not commit.done():
+                commit.begin(len(columns))
+                commit.named(rows.select("value", *columns)).partitionBy(*columns).text(commit.target)
+                commit.finish()
     return run
 
 
@@ -107,33 +97,36 @@ def transform_batches(target: str, database: str | None = None,
     numbered within the batch, as a batch run numbers within its run."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marker = _done_marker(target, batch_id)
-        if _marker_exists(spark, marker):
-            return  # written before a restart: do not append twice
-        landing = parse_json_lines(batch).persist()
-        try:
-            curated, day_obs = observe_days(
-                transform(landing, processed_at=processed_at, **seq_opts))
-            write_curated(curated, target)
-            days = [tuple(r) for r in day_obs.get.get("days", [])]
-            if errors_path:
-                (landing.where(F.col(CORRUPT_COLUMN).isNotNull())
-                 .select(F.col(CORRUPT_COLUMN).alias("value"))
-                 .write.mode("overwrite").text(os.path.join(errors_path, f"batch={batch_id}")))
-        finally:
-            landing.unpersist()
-        _write_marker(spark, marker)
+        commit = BatchCommit(spark, target, batch_id)
+        if commit.done():
+            return
+        landing = stored(parse_json_lines(batch), "landed")
+        extra = new_fields(landing)
+        curated = transform(landing, processed_at=processed_at, extra=extra, **seq_opts)
+        commit.begin(len(PARTITION_COLUMNS))
+        write_curated(curated, target, writer=commit.named)
+        if errors_path:
+            errors = BatchCommit(spark, errors_path, batch_id, commit.query)
+            errors.begin(0)
+            errors.named(corrupt_lines(landing)).text(errors_path)
+            errors.finish()
         if database:
-            catalog.register_table(spark, target, database, table, days=days)
+            days = written_days(landing)
+            name = catalog.register_table(spark, target, database, table, days=days)
+            catalog.evolve_schema(spark, name, curated)
+        commit.finish()
     return run
 
 
 def incremental_transform(spark: SparkSession, raw_zone: str, target: str, checkpoint: str,
                           database: str | None = None, trigger: str | None = "availableNow",
                           processed_at=None, errors_path: str | None = None,
-                          table: str = catalog.DEFAULT_TABLE, **seq_opts):
-    """T3. Process every raw file not yet seen into the curated table."""
-    lines = read_lines_stream(spark, raw_zone)
+                          table: str = catalog.DEFAULT_TABLE,
+                          max_files_per_trigger: int | None = None, **seq_opts):
+    """T3. Process every raw file not yet seen into the curated table.
+    ``max_files_per_trigger`` bounds a micro-batch; set it when the first run
+    meets a backlog."""
+    lines = read_lines_stream(spark, raw_zone, max_files_per_trigger)
     writer = (lines.writeStream
               .option("checkpointLocation", checkpoint)
               .foreachBatch(transform_batches(target, database, table=table,
@@ -145,15 +138,26 @@ def incremental_transform(spark: SparkSession, raw_zone: str, target: str, check
 def dedup_stream(lines: DataFrame, delay: str = "1 hour") -> DataFrame:
     """T6. Well-formed events with a valid time, a repeated ``event_id``
     dropped when it arrives within ``delay`` of the first (state is kept only
-    for the watermark delay, so it stays bounded)."""
+    for the watermark delay, so it stays bounded).
+
+    Events later than ``delay`` are dropped by the watermark. Events whose time
+    does not parse cannot be placed in it: ``untimed_events`` of the same lines
+    gives them, and the query's progress counts them (``dedup_input``)."""
     landing = parse_json_lines(lines)
     timed = (landing.where(F.col(CORRUPT_COLUMN).isNull())
              .withColumn(PARSED_TIME, F.try_to_timestamp("timestamp"))
-             .where(F.col(PARSED_TIME).isNotNull()))
-    return (timed.withWatermark(PARSED_TIME, delay)
+             .observe("dedup_input", F.count(F.lit(1)).alias("events"),
+                      F.count_if(F.col(PARSED_TIME).isNull()).alias("untimed")))
+    return (timed.where(F.col(PARSED_TIME).isNotNull()).withWatermark(PARSED_TIME, delay)
                  .dropDuplicatesWithinWatermark(["event_id"]))
 
 
+def untimed_events(lines: DataFrame) -> DataFrame:
+    """Well-formed events that ``dedup_stream`` leaves out: no valid time."""
+    landing = parse_json_lines(lines)
+    return landing.where(F.col(CORRUPT_COLUMN).isNull() & F.try_to_timestamp("timestamp").isNull())
+
+
 def main(argv: list[str] | None = None) -> int:
     """Command line for the incremental transform::
 
@@ -174,11 +178,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--table", default=catalog.DEFAULT_TABLE)
     ap.add_argument("--errors-path", default=None)
     ap.add_argument("--trigger", default="availableNow")
+    ap.add_argument("--max-files-per-trigger", type=int, default=None)
     args = ap.parse_args(argv)
     spark = get_session(app="clickweave-stream")
     query = incremental_transform(spark, args.raw, args.target, args.checkpoint,
                                   database=args.database, table=args.table,
-                                  trigger=args.trigger, errors_path=args.errors_path)
+                                  trigger=args.trigger, errors_path=args.errors_path,
+                                  max_files_per_trigger=args.max_files_per_trigger)
     query.awaitTermination()
     return 0
 

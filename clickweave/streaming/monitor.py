@@ -2,9 +2,14 @@
 
 Sorting a whole append stream is not allowed, and it is not needed: each
 micro-batch contributes at most its own ``n`` latest events (a top-k, bounded
-memory per task), which are merged with the previous snapshot of ``n`` rows.
-Every batch writes a new snapshot folder ``v=<batch id>``; readers take the
-highest complete one. State is therefore always ``n`` rows.
+memory per task), which are merged with the newest snapshot of ``n`` rows and
+de-duplicated by event id. State is therefore always ``n`` rows.
+
+Snapshots are folders ``v=<number>-<query>-<batch>``; readers take the highest
+complete number. A batch builds on the newest snapshot *below its own*, so a
+replayed batch rewrites its own folder from the same input and gives the same
+rows; a new checkpoint (another query) goes on from the newest snapshot of all.
+The two newest snapshots are kept.
 """
 
 from __future__ import annotations
@@ -14,8 +19,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickweave.functions import finite_number
 from clickweave.operators import quality
 from clickweave.sources.json_events import parse_json_lines
+from clickweave.streaming.commit import query_id
 
 LATEST_COLUMNS = ["timestamp", "event_type", "user_id", "session_id", "product_id",
                   "product_name", "price", "device_type", "page_url"]
@@ -25,7 +32,11 @@ def _order():
     return [F.desc_nulls_last("_t"), F.asc_nulls_last("event_id")]
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+KEPT_SNAPSHOTS = 2
+
+
+def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, str, str]]:
+    """(number, query-batch key, path) of the complete snapshots, ascending."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = jvm.org.apache.hadoop.fs.Path(root)
@@ -36,30 +47,51 @@ def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     for st in fs.listStatus(base):
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append((int(name[2:]), st.getPath().toString()))
+            number, key = name[2:].split("-", 1)
+            out.append((int(number), key, st.getPath().toString()))
     return sorted(out)
 
 
-def read_latest(spark: SparkSession, root: str, with_keys: bool = False) -> DataFrame | None:
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    """The view: the rows of the newest complete snapshot, latest first."""
     snaps = _snapshots(spark, root)
     if not snaps:
         return None
-    df = spark.read.parquet(snaps[-1][1])
-    return df if with_keys else df.orderBy(*_order()).select(*LATEST_COLUMNS)
+    return spark.read.parquet(snaps[-1][2]).orderBy(*_order()).select(*LATEST_COLUMNS)
+
+
+def _one_per_event(df: DataFrame) -> DataFrame:
+    """One row per ``event_id`` (the latest; combined before the shuffle)."""
+    rest = [c for c in df.columns if c != "event_id"]
+    key = F.struct(F.col("_t"), F.to_json(F.struct(*rest)))
+    best = df.groupBy("event_id").agg(F.max_by(F.struct(*rest), key).alias("_row"))
+    return best.select("event_id", *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def latest_events_sink(root: str, n: int = 100):
     """``foreachBatch`` function maintaining the ``n`` latest valid events."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        key = f"{query_id(spark)}-{batch_id}"
+        snaps = _snapshots(spark, root)
+        own = [s for s in snaps if s[1] == key]
+        number = own[-1][0] if own else (snaps[-1][0] + 1 if snaps else 0)
+        below = [s for s in snaps if s[0] < number]
         events = quality.require_fields(quality.drop_corrupt(parse_json_lines(batch)))
-        events = events.withColumn("_t", F.try_to_timestamp("timestamp"))
-        top = events.orderBy(*_order()).limit(n).select("event_id", "_t", *LATEST_COLUMNS)
-        top = top.withColumn("price", F.col("price").try_cast("double"))
-        previous = read_latest(spark, root, with_keys=True)
-        merged = top if previous is None else top.unionByName(previous)
-        (merged.orderBy(*_order()).limit(n).coalesce(1)
-         .write.mode("overwrite").parquet(os.path.join(root, f"v={batch_id}")))
+        events = (events.withColumn("_t", F.try_to_timestamp("timestamp"))
+                  .withColumn("price", finite_number("price"))
+                  .select("event_id", "_t", *LATEST_COLUMNS))
+        top = _one_per_event(events).orderBy(*_order()).limit(n)
+        if below:
+            top = _one_per_event(top.unionByName(spark.read.parquet(below[-1][2]))).orderBy(*_order()).limit(n)
+        top.coalesce(1).write.mode("overwrite").parquet(os.path.join(root, f"v={number}-{key}"))
+        for _, _, path in below[: -(KEPT_SNAPSHOTS - 1)]:
+            _delete(spark, path)
     return run
 
 

@@ -14,11 +14,11 @@ import datetime as _dt
 BASE = _dt.datetime(2025, 12, 23, 10, 15, 30, 123000)
 AS_OF = _dt.date(2025, 12, 23)
 
-P1 = ("prod_001", "Laptop", "Electronics", 1299.99)
-P2 = ("prod_002", "Headphones", "Electronics", 199.99)
-P3 = ("prod_003", "T-Shirt", "Clothing", 24.99)
-P4 = ("prod_004", "Jeans", "Clothing", 79.99)
-P5 = ("prod_005", "Chair", "Furniture", 149.99)
+P1 = ("kit-kettle", "Enamel kettle", "Kitchen", 45.25)
+P2 = ("kit-sieve", "Wire sieve", "Kitchen", 8.60)
+P3 = ("gar-twine", "Jute twine", "Garden", 3.15)
+P4 = ("gar-trowel", "Hand trowel", "Garden", 12.40)
+P5 = ("book-atlas", "Pocket atlas", "Books", 19.95)
 
 SESSIONS = [
     ("sess_1", "user_1", "desktop", "https://example.com/", 0, 600, [

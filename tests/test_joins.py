@@ -10,7 +10,7 @@ def test_lookup_join_paths_agree(spark):
     dim = spark.range(40).select(F.col("id").alias("dk"), (F.col("id") * 10).alias("v"))
     cond = F.col("k") == F.col("dk")
     small = lookup_join(fact, dim, cond, "left")
-    big = lookup_join(fact, dim, cond, "left", max_broadcast_rows=0)
+    big = lookup_join(fact, dim, cond, "left", max_broadcast_bytes=0)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
     hinted = small._jdf.queryExecution().optimizedPlan().toString()
     unhinted = big._jdf.queryExecution().optimizedPlan().toString()

@@ -1,7 +1,5 @@
 """Registered queries against their DuckDB oracles on the smallest tables.
-
-By default the query library, the streaming entries and a sample of the
-single operators run; ``CLICKWEAVE_FULL_ORACLE=1`` runs every entry."""
+"""
 
 import os
 
@@ -13,10 +11,8 @@ from clickweave.checks.compare import digest, duck_connection, run_oracle, run_s
 SF = "/root/testdata/sf0.001"
 ALL = list(entry.queries())
 ORACLES = entry.oracle_sql()
-DEFAULT = [k for k in ALL if k.startswith(("q", "nq", "rq", "dq", "stream", "incremental",
-                                           "newline", "live", "batch_transform", "event_sequence",
-                                           "run_", "scan_", "sink_", "show_", "schema_"))]
-KEYS = ALL if os.environ.get("CLICKWEAVE_FULL_ORACLE") else DEFAULT
+#: Queries that SQL cannot express; their own tests hold them against brute force.
+KEYS = [k for k in ALL if k in ORACLES and not k.startswith("op") and k != "pipeline"]
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +21,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ALL) == set(ORACLES)
+    own = {k for k in ALL if not k.startswith("op") and k != "pipeline"}
+    assert own <= set(ORACLES) <= set(ALL)
 
 
 def test_entry_smoke(spark):
@@ -47,8 +44,7 @@ def test_forced_hot_path_matches_oracle(spark, duck):
     """Every sampled session taken as hot (the NULL session holds ~1%): the
     bucketed numbering still equals the plain window of the oracle."""
     from clickweave.plans import registry
-    cur = registry.curated(spark, SF, min_hot_rows=1, sample_fraction=0.2, rows_per_bucket=5,
-                           bucket_budget=256, max_hot_keys=64)
+    cur = registry.curated(spark, SF, min_hot_rows=1, sample_fraction=0.2, rows_per_bucket=5)
     fn = lambda s, sf: cur.select("event_id", "session_id", "event_sequence")
     s_cols, s_rows = run_spark(spark, fn, SF)
     o_cols, o_rows = run_oracle(duck, ORACLES["event_sequence"])

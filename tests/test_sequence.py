@@ -4,10 +4,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from clickweave.operators.sequence import plain_sequence, sequence_within
+import pytest
 
-HOT = dict(min_hot_rows=1, sample_fraction=1.0, rows_per_bucket=50, bucket_budget=64,
-           max_hot_keys=8)
+from clickweave.operators.sequence import bucketed, hot_keys, plain_sequence, sequence_within
+
+HOT = dict(min_hot_rows=1, sample_fraction=1.0, rows_per_bucket=50)
 
 
 def _skewed(spark, n=20000):
@@ -40,15 +41,38 @@ def test_hot_path_matches_plain_window(spark):
     assert n == 20000 and bad == 0
 
 
-def test_hot_path_really_splits(spark):
-    """With the hot settings the big keys are bucketed (more than one window
-    partition per key), so no task holds a whole hot session."""
-    from clickweave.operators import sequence as seq_mod
-    df = _skewed(spark, 5000)
-    plan = sequence_within(df, "session_id", "t", "event_id", "seq", **HOT)
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "_bucket" in text
-    assert seq_mod.DEFAULT_MIN_HOT_ROWS > 1  # production default only triggers on big keys
+TIMES = {
+    "even": lambda: F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")),
+    "one wrong clock": lambda: F.timestamp_seconds(F.when(F.col("id") == 7, 0).otherwise(F.lit(1_700_000_000) + F.col("id"))),
+    "no valid time": lambda: F.lit(None).cast("timestamp"),
+    "one millisecond": lambda: F.timestamp_millis(F.lit(1_700_000_000_123)),
+}
+
+
+@pytest.mark.parametrize("case", list(TIMES))
+def test_hot_key_is_split_evenly(spark, case):
+    """Rows per bucket of one hot key: at most twice the target, however its
+    times lie, and the numbers of the plain window."""
+    n, target = 40_000, 2_000
+    df = spark.range(n).select(F.format_string("evt_%06d", "id").alias("event_id"),
+                               F.lit(None).cast("string").alias("session_id"), TIMES[case]().alias("t")).cache()
+    opts = dict(min_hot_rows=1000, sample_fraction=0.2, rows_per_bucket=target)
+    hot = hot_keys(df.sample(fraction=0.2, seed=17), "session_id", "t", "event_id", **opts)
+    rows = bucketed(df, hot, "session_id", "t", "event_id").groupBy("_bucket").count().collect()
+    assert sum(r["count"] for r in rows) == n
+    assert max(r["count"] for r in rows) <= 2 * target
+    fast = sequence_within(df, "session_id", "t", "event_id", "seq", **opts)
+    bad, m = _compare(fast, plain_sequence(df, "session_id", "t", "event_id", "seq"))
+    assert bad == 0 and m == n
+    df.unpersist()
+
+
+def test_null_session_option(spark):
+    df = _skewed(spark, 2000)
+    out = sequence_within(df, "session_id", "t", "event_id", "seq", null_key="null")
+    assert out.count() == 2000
+    assert out.where("session_id IS NULL AND seq IS NOT NULL").isEmpty()
+    assert out.where("session_id IS NOT NULL AND seq IS NULL").isEmpty()
 
 
 def test_default_settings_match_plain_window(spark):

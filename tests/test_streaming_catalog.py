@@ -143,7 +143,7 @@ def test_runs_register_only_new_days(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     plan = r2.written._jdf.queryExecution().executedPlan().toString()
     partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "= 08" in partition_filters and "= 07" not in partition_filters
+    assert "2025-05-08" in partition_filters and "2025-05-07" not in partition_filters
 
 
 def test_run_counters_with_hot_keys(spark):
@@ -154,8 +154,7 @@ def test_run_counters_with_hot_keys(spark):
     _drop(raw, "a.json", _lines(120))
     normal = run_batch(spark, raw, scratch_path(spark, "t-hot-a"), processed_at=STAMP)
     forced = run_batch(spark, raw, scratch_path(spark, "t-hot-b"), processed_at=STAMP,
-                       min_hot_rows=1, sample_fraction=1.0, rows_per_bucket=3,
-                       max_hot_keys=4)
+                       min_hot_rows=1, sample_fraction=1.0, rows_per_bucket=3)
     assert normal.counters == forced.counters
     assert forced.counters["rows_read"] == 121 and forced.counters["corrupt_records"] == 1
     cols = ["event_id", "event_sequence"]
@@ -194,3 +193,181 @@ def test_stream_registers_new_days(spark):
     parts = sorted(r[0] for r in catalog.show_partitions(spark, name).collect())
     assert parts == ["year=2025/month=05/day=03", "year=2025/month=05/day=04"]
     assert spark.table(name).count() == 20
+
+
+def _events(prefix, n, day=5, **more):
+    return [json.dumps({"event_id": f"{prefix}{i}", "user_id": "u", "session_id": f"s{i}", "event_type": "page_view",
+                        "timestamp": f"2025-05-{day:02d}T10:{i:02d}:00.000Z"} | more) for i in range(n)]
+
+
+def test_two_streams_and_a_new_checkpoint_share_a_target(spark):
+    raw, target = scratch_path(spark, "t-two"), scratch_path(spark, "t-two-out")
+    _drop(raw, "a.json", _events("a", 10))
+    ingest.incremental_transform(spark, raw, target, scratch_path(spark, "ck-1"), processed_at=STAMP).awaitTermination()
+    other = scratch_path(spark, "t-two-b")
+    _drop(other, "b.json", _events("b", 7))
+    ingest.incremental_transform(spark, other, target, scratch_path(spark, "ck-2"), processed_at=STAMP).awaitTermination()
+    ids = sorted(r.event_id for r in sinks.read_curated(spark, target).collect())
+    assert ids == sorted([f"a{i}" for i in range(10)] + [f"b{i}" for i in range(7)])
+
+
+def test_replay_after_a_crash_repeats_nothing(spark, monkeypatch):
+    """A batch that fails after its append, before it is registered and marked,
+    is written once when it is replayed, and registered."""
+    target = scratch_path(spark, "t-crash")
+    batch = spark.createDataFrame([(x,) for x in _events("c", 10)], "value string")
+    name = f"{catalog.DEFAULT_DATABASE}.t_crash"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    run = ingest.transform_batches(target, database=catalog.DEFAULT_DATABASE, table="t_crash", processed_at=STAMP)
+    real = catalog.register_table
+    def crash(*a, **k):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(catalog, "register_table", crash)
+    for _ in range(2):
+        try:
+            run(batch, 0)
+            raise AssertionError("the crash was swallowed")
+        except RuntimeError:
+            pass
+    monkeypatch.setattr(catalog, "register_table", real)
+    run(batch, 0)
+    run(batch, 0)  # done: skipped
+    assert sinks.read_curated(spark, target).count() == 10
+    assert spark.table(name).count() == 10
+
+
+def test_errors_lie_under_type_and_date_and_survive_new_checkpoints(spark):
+    good, bad = scratch_path(spark, "t-g"), scratch_path(spark, "t-b")
+    for k in range(2):
+        raw = scratch_path(spark, "t-er")
+        _drop(raw, "a.json", _events(f"x{k}", 5) + ["{broken", json.dumps({"a": 1}) + json.dumps({"b": 2})])
+        (ingest.read_lines_stream(spark, raw).writeStream.option("checkpointLocation", scratch_path(spark, "ck-er"))
+         .foreachBatch(ingest.route_errors(good, bad)).trigger(availableNow=True).start()).awaitTermination()
+    assert spark.read.text(good).count() == 10
+    errors = spark.read.text(bad)
+    assert errors.columns == ["value", "error_type", "year", "month", "day"] and errors.count() == 4
+    assert errors.select("error_type").distinct().collect()[0][0] == ingest.MALFORMED
+
+
+def test_monitor_replay_and_repeats(spark):
+    root = scratch_path(spark, "t-mon")
+    one = spark.createDataFrame([(x,) for x in _events("m", 6)], "value string")
+    sink = monitor.latest_events_sink(root, n=4)
+    sink(one, 0)
+    first = [tuple(r) for r in monitor.read_latest(spark, root).collect()]
+    sink(one, 0)  # replay of the newest batch
+    assert [tuple(r) for r in monitor.read_latest(spark, root).collect()] == first and len(first) == 4
+    sink(one, 1)  # the same rows in a later batch
+    assert [tuple(r) for r in monitor.read_latest(spark, root).collect()] == first
+    for k in range(2, 5):
+        sink(spark.createDataFrame([(x,) for x in _events(f"n{k}", 2, day=5 + k)], "value string"), k)
+    assert len(monitor._snapshots(spark, root)) == monitor.KEPT_SNAPSHOTS
+    assert len(monitor.read_latest(spark, root).collect()) == 4
+
+
+def test_dedup_state_crosses_batches_and_untimed_events_are_given(spark):
+    raw, out = scratch_path(spark, "t-dd"), scratch_path(spark, "t-dd-out")
+    _drop(raw, "a.json", _events("d", 5) + _events("bad", 2, timestamp="garbage"))
+    _drop(raw, "b.json", _events("d", 5))
+    lines = ingest.read_lines_stream(spark, raw, max_files_per_trigger=1)
+    q = (ingest.dedup_stream(lines).select("event_id").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "ck-dd")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [f"d{i}" for i in range(5)]
+    assert ingest.untimed_events(spark.read.text(raw)).count() == 2
+
+
+def test_new_fields_reach_the_table(spark):
+    from clickweave.plans.jobs import run_batch
+    raw, target = scratch_path(spark, "t-new"), scratch_path(spark, "t-new-out")
+    _drop(raw, "a.json", _events("o", 3))
+    name = f"{catalog.DEFAULT_DATABASE}.t_new"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    run_batch(spark, raw, target, database=catalog.DEFAULT_DATABASE, table="t_new", processed_at=STAMP)
+    later = scratch_path(spark, "t-new2")
+    _drop(later, "b.json", _events("p", 2, day=6, campaign="spring", hour="late"))
+    run = run_batch(spark, later, target, database=catalog.DEFAULT_DATABASE, table="t_new", processed_at=_dt.datetime(2025, 6, 2))
+    rows = {r.event_id: (r.campaign, r.raw_hour, r.hour) for r in spark.table(name).collect()}
+    assert rows["o0"] == (None, None, 10) and rows["p0"] == ("spring", "late", 10) and len(rows) == 5
+    assert run.written.select("campaign").distinct().collect()[0][0] == "spring"
+    stream = scratch_path(spark, "t-new3")
+    _drop(stream, "c.json", _events("q", 1, day=7, coupon="x"))
+    ingest.incremental_transform(spark, stream, target, scratch_path(spark, "ck-new"), database=catalog.DEFAULT_DATABASE,
+                                 table="t_new", processed_at=STAMP).awaitTermination()
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).where("coupon = 'x'").count() == 1
+
+
+def test_run_over_many_days_with_a_bad_time(spark):
+    """3,000 days and one unparsable time in one run: it ends, the default
+    partition is registered, and the summary reads pruned partitions."""
+    from clickweave.plans.jobs import in_days, run_batch
+    raw, target = scratch_path(spark, "t-many"), scratch_path(spark, "t-many-out")
+    start = _dt.date(2010, 1, 1)
+    _drop(raw, "a.json", [json.dumps({"event_id": f"e{i}", "user_id": "u", "event_type": "login",
+                                      "timestamp": f"{start + _dt.timedelta(days=i)}T00:00:00Z"}) for i in range(300)]
+          + _events("bad", 1, timestamp="garbage"))
+    name = f"{catalog.DEFAULT_DATABASE}.t_many"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    run = run_batch(spark, raw, target, database=catalog.DEFAULT_DATABASE, table="t_many", processed_at=STAMP)
+    again = scratch_path(spark, "t-many2")
+    _drop(again, "a.json", _events("z", 1, timestamp="garbage", ) + _events("y", 1, day=9))
+    run = run_batch(spark, again, target, database=catalog.DEFAULT_DATABASE, table="t_many", processed_at=_dt.datetime(2025, 6, 3))
+    assert run.summary().first().total_records == 2
+    plan = run.written._jdf.queryExecution().executedPlan().toString()
+    assert "2025-05-09" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert spark.table(name).where("year IS NULL").count() == 2
+    # the filter itself, at the size of a long backfill
+    days = [(f"{y:04d}", f"{m:02d}", f"{d:02d}") for y in range(1990, 2000) for m in range(1, 13) for d in range(1, 26)]
+    assert sinks.read_curated(spark, target).where(in_days([*days, (None, None, None)])).count() == 2
+
+
+def test_money_and_bad_prices(spark):
+    from clickweave.plans.library import q08_daily_revenue, q10_category_performance
+    def bought(i, price, quantity):
+        return json.dumps({"event_id": f"p{i}", "user_id": "u", "session_id": "s", "event_type": "purchase", "product_category": "c",
+                           "timestamp": "2025-05-05T10:00:00Z", "product_id": "x", "price": price, "quantity": quantity})
+    def day(lines):
+        from clickweave.sources.json_events import parse_json_lines
+        return transform(parse_json_lines(spark.createDataFrame([(x,) for x in lines], "value string")), processed_at=STAMP)
+    r = q08_daily_revenue(day([bought(i, 0.125, 1000) for i in range(4)])).first()
+    assert (r.total_revenue, r.avg_order_value) == (500.0, 125.0)
+    r = q08_daily_revenue(day([bought(0, -10.01, 1), bought(1, -10.02, 1)])).first()
+    assert (r.total_revenue, r.avg_order_value) == (-20.03, -10.02)
+    bad = day([bought(0, "NaN", 1), bought(1, "Infinity", 1), bought(2, 1e300, 1), bought(3, 2.5, 2)])
+    assert q08_daily_revenue(bad).first().total_revenue == 5.0
+    assert q10_category_performance(bad).first().revenue == 5.0
+    assert bad.count() == 4
+
+
+def test_trailing_content_is_corrupt(spark):
+    from clickweave.sources.json_events import parse_json_lines
+    lines = ['{"event_id": "a"}{"event_id": "b"}', '{"event_id": "c"} x', '{"event_id": "d"}, {"event_id": "e"}', '{"event_id": "f"}', "[1]", "null", "5"]
+    rows = parse_json_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [r.event_id for r in rows if r._corrupt_record is None] == ["f"]
+    assert sorted(r._corrupt_record for r in rows if r._corrupt_record) == sorted(set(lines) - {'{"event_id": "f"}'})
+
+
+def test_default_stamp_and_day(spark):
+    """Without a fixed stamp or day: the run's own stamp and today's partition."""
+    from clickweave.functions import today_filter
+    from clickweave.plans.jobs import run_batch
+    now = _dt.datetime.now(_dt.timezone.utc)
+    raw = scratch_path(spark, "t-now")
+    _drop(raw, "a.json", _events("t", 2, timestamp=now.strftime("%Y-%m-%dT%H:%M:%SZ")))
+    run = run_batch(spark, raw, scratch_path(spark, "t-now-out"))
+    stamps = [r[0] for r in run.written.select("processed_timestamp").distinct().collect()]
+    assert len(stamps) == 1 and abs((stamps[0].replace(tzinfo=_dt.timezone.utc) - now).total_seconds()) < 600
+    assert run.written.where(today_filter()).count() == 2
+
+
+def test_day_queries_prune_partitions(spark):
+    import __spark_entry__ as entry
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    queries = entry.queries()
+    for key in ("today_partition_filter", "literal_partition_filter", "q01_event_distribution", "q04_hourly_activity",
+                "q05_session_funnel", "q12_latest_events", "nq1_event_distribution"):
+        plan = queries[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "year" in plan.split("PartitionFilters: [")[1].split("]")[0], key
+        if key == "q01_event_distribution":
+            assert plan.count("FileScan parquet") == 1
