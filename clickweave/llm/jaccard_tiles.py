@@ -21,8 +21,14 @@ in blocks, so a large group of near copies costs about one test a class
 instead of one a pair, and no link between components is missed. A tile with many
 classes is cut into chunks by hash and chunk pairs go to different tasks.
 
-Sets are 64-bit shingle hashes; only sets of classes that share a tile are
-gathered, by a second pass over the texts.
+Sets are 64-bit shingle hashes. Bitmaps are kept for every document; whole sets
+are gathered, by another pass over the texts, only for classes of pairs that
+the bit bound lets through.
+
+Most elements are in one class only. They are told apart by counting 32-bit
+keys of elements in one thin shuffle; a bitmap of fixed size of the keys that
+occur again then picks the rows that can share a tile (a false alarm makes a
+row too many, never one too few). Tiles with the same members count once.
 
 Edge cases: null or blank texts have an empty set and link with nothing; a text
 of fewer than five words is one shingle; a row with null doc_id takes part, and
@@ -37,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, mix, stored, utf8, words, shingles
+from .common import batches, maybe_broadcast, mix, shingles, stored, utf8, words
 from .components import components
 
 K = 5
@@ -48,8 +54,8 @@ PERCENT, OF = 75, 100
 SAMPLE, COMMON = 16, 100_000
 #: Classes of a tile chunk.
 CHUNK = 2048
-#: Bits of the map that tells the second pass which sets to gather (8 MB).
-MAP_BITS = 26
+#: Bits of the maps that pick rows in a pass (8 and 32 MB, whatever the input).
+MAP_BITS, KEY_BITS = 26, 28
 
 
 def sets_of(texts: pa.Array) -> list[np.ndarray]:
@@ -146,107 +152,150 @@ def _common(docs: DataFrame) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), sid (set id), prefix (first n/4 + 1 elements)."""
+    """doc_id, n (set size), sid (set id), prefix (first n/4 + 1 elements),
+    bits (bitmap)."""
     common = docs.sparkSession.sparkContext.broadcast(_common(docs))
 
     def run(part: pa.RecordBatch):
-        ids, sizes, prefix = [], [], []
+        ids, sizes, prefix, maps = [], [], [], []
         for s in sets_of(part.column("text")):
             ids.append(set_id(s) if len(s) else None)
+            maps.append(bitmap(s).tobytes() if len(s) else None)
             sizes.append(len(s))
             often = np.isin(s, common.value, assume_unique=True) if len(common.value) else np.zeros(len(s), bool)
             p = len(s) - -(-PERCENT * len(s) // OF) + 1 if len(s) else 0
             prefix.append(np.concatenate((s[~often], s[often]))[:p].view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-            names=["doc_id", "n", "sid", "prefix"])
-    return batches(docs.select("doc_id", "text"), run, "doc_id long, n long, sid long, prefix array<long>")
+            [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
+             pa.array(maps, pa.binary())], names=["doc_id", "n", "sid", "prefix", "bits"])
+    return batches(docs.select("doc_id", "text"), run, "doc_id long, n long, sid long, prefix array<long>, bits binary")
 
 
-def _gathered(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, n, elements, bits) of the wanted classes, one row each. A bitmap of
-    fixed size picks them in the scan; extra ones do no harm."""
-    spark = docs.sparkSession
-    rows = (wanted.select(F.shiftrightunsigned("sid", 64 - MAP_BITS).alias("bit"))
-            .select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("b"))
+def _map(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of the column ``bit`` (values under ``1 << bits``). Bits are merged
+    into words on the executors; the driver gets a map of fixed size."""
+    rows = (keys.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("b"))
             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    bits = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out = np.zeros(1 << (bits - 6), np.uint64)
     if rows.num_rows:
-        bits[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
-    sent = spark.sparkContext.broadcast(bits)
+        out[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
+    return out
+
+
+def _members(sigs: DataFrame) -> DataFrame:
+    """(h, sid, n, lo, k): classes of each tile, its smallest class and how many
+    equal tiles it stands for; one class a row, tiles of two classes and more."""
+    spark = sigs.sparkSession
+    some = sigs.where("n > 0")
+    key = F.explode(F.transform("prefix", lambda h: F.shiftright(h, 32).cast("int")))
+    again = some.select(key.alias("key")).groupBy("key").count().where("count > 1")
+    again = again.select(F.shiftrightunsigned(F.col("key"), 32 - KEY_BITS).cast("long").alias("bit"))
+    seen = spark.sparkContext.broadcast(_map(again, KEY_BITS))
 
     def run(part: pa.RecordBatch):
-        ids, sizes, elements, maps = [], [], [], []
-        done = set()
-        for s in sets_of(part.column("text")):
-            if not len(s):
-                continue
-            sid = set_id(s)
-            bit = (sid & 0xFFFFFFFFFFFFFFFF) >> (64 - MAP_BITS)
-            if sid not in done and int(sent.value[bit >> 6]) >> (bit & 63) & 1:
-                done.add(sid)
-                ids.append(sid)
-                sizes.append(len(s))
-                elements.append(s.tobytes())
-                maps.append(bitmap(s).tobytes())
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(elements, pa.binary()), pa.array(maps, pa.binary())],
-                                             names=["sid", "n", "elements", "bits"])
-    found = batches(docs.select("text"), run, "sid long, n long, elements binary, bits binary")
-    return stored(found.groupBy("sid").agg(F.first("n").alias("n"), F.first("elements").alias("elements"), F.first("bits").alias("bits")), "jaccard-sets")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: bit bound first, then exact intersection."""
+        lists = part.column("prefix")
+        size = np.diff(lists.offsets.to_numpy())
+        h = lists.flatten().to_numpy()
+        bit = h.view(np.uint64) >> np.uint64(64 - KEY_BITS)
+        hit = ((seen.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+        row = np.repeat(np.arange(part.num_rows), size)[hit]
+        sid, n = part.column("sid").to_numpy(), part.column("n").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(h[hit]), pa.array(sid[row]), pa.array(n[row])], names=["h", "sid", "n"])
+
+    rows = batches(some.select("sid", "n", "prefix"), run, "h long, sid long, n long")
+    rows = stored(rows.groupBy("h", "sid").agg(F.first("n").alias("n")), "jaccard-rows")
+    x = [F.bit_xor(F.xxhash64("sid", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    tiles = rows.groupBy("h").agg(F.count("*").alias("m"), *x, F.min("sid").alias("lo")).where("m > 1")
+    tiles = tiles.groupBy("m", "x0", "x1", "lo").agg(F.min("h").alias("h"), F.count("*").alias("k")).select("h", "m", "lo", "k")
+    return rows.join(tiles, "h")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sid, elements) of the wanted classes, one row each. A bitmap of fixed
+    size picks them in the scan; extra ones do no harm."""
+    sent = docs.sparkSession.sparkContext.broadcast(
+        _map(wanted.select(F.shiftrightunsigned("sid", 64 - MAP_BITS).alias("bit")), MAP_BITS))
+
     def run(part: pa.RecordBatch):
+        done: dict[int, bytes] = {}
+        for s in sets_of(part.column("text")):
+            if len(s):
+                sid = set_id(s)
+                bit = (sid & 0xFFFFFFFFFFFFFFFF) >> (64 - MAP_BITS)
+                if sid not in done and int(sent.value[bit >> 6]) >> (bit & 63) & 1:
+                    done[sid] = s.tobytes()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(list(done), pa.int64()), pa.array(list(done.values()), pa.binary())], names=["sid", "elements"])
+    found = batches(docs.select("text"), run, "sid long, elements binary")
+    # copies are left out before the sets move
+    return found.groupBy("sid").agg(F.first("elements").alias("elements"))
+
+
+def verified(pairs: DataFrame, bits: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, stored: bit bound first, then the exact
+    intersection of the sets of the pairs that are left."""
+    def bound(part: pa.RecordBatch):
         keep = []
-        for ma, mb, ea, eb in zip(*(part.column(c).to_pylist() for c in ("bits_a", "bits_b", "elements_a", "elements_b"))):
-            x, y = np.frombuffer(ma, np.uint64), np.frombuffer(mb, np.uint64)
+        for x, y, na, nb in zip(*(part.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b"))):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             size = min(len(x), len(y))
             x, y = folded(x, size), folded(y, size)
-            na, nb = len(ea) // 8, len(eb) // 8
-            ok = reachable(na, nb, int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum()))
-            keep.append(bool(ok) and linked(np.frombuffer(ea, np.uint64), np.frombuffer(eb, np.uint64)))
+            keep.append(bool(reachable(na, nb, int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum()))))
+        mask = pa.array(keep, pa.bool_())
+        yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
+
+    def exact(part: pa.RecordBatch):
+        keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+                for x, y in zip(part.column("elements_a").to_pylist(), part.column("elements_b").to_pylist())]
         mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
 
-    def side(x):
-        return sets.select(F.col("sid").alias(x), F.col("elements").alias(f"elements_{x}"), F.col("bits").alias(f"bits_{x}"))
-    return batches(pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a"), run, "a long, b long")
+    def side(x, table):
+        return table.withColumnsRenamed({"sid": x} | {c: f"{c}_{x}" for c in table.columns if c != "sid"})
+    near = pairs.select("a", "b").join(side("b", bits), "b").join(side("a", bits), "a")
+    near = near.where(f"{OF} * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    left = stored(batches(near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), bound, "a long, b long"), "jaccard-near")
+    if left.isEmpty():
+        return left
+    sets = _sets(docs, left.select(F.col("a").alias("sid")).union(left.select(F.col("b").alias("sid"))))
+    whole = left.join(side("b", sets), "b").join(side("a", sets), "a")
+    return stored(batches(whole.select("a", "b", "elements_a", "elements_b"), exact, "a long, b long"), "jaccard-links")
 
 
 def class_labels(sigs: DataFrame, docs: DataFrame) -> DataFrame | None:
     """(sid, label) of the classes that share a tile; label is the smallest sid
     of the component. ``sigs`` is the stored result of ``signatures(docs)``."""
-    rows = sigs.where("n > 0").select(F.explode("prefix").alias("h"), "sid", "n")
-    tiles = rows.groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("h", "lo")
-    members = stored(rows.join(tiles, "h").groupBy("h", "sid").agg(F.first("n").alias("n"), F.first("lo").alias("lo")), "jaccard-tiles")
+    members = stored(_members(sigs), "jaccard-tiles")
     if members.isEmpty():
         return None
-    sets = _gathered(docs, members.select("sid").distinct())
+    inside = members.select("sid").distinct()
+    bits = stored(sigs.where("n > 0").select("sid", "n", "bits").join(inside, "sid", "left_semi")
+                  .groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-bits")
 
     # star rounds: each class against the tile pivot it shares most tiles with
     def star(members: DataFrame, pivot: str) -> DataFrame:
-        shared = members.where(F.col(pivot) != F.col("sid")).groupBy("sid", pivot).count()
-        best = shared.groupBy("sid").agg(F.max(F.struct("count", pivot)).alias("best"))
+        shared = members.where(F.col(pivot) != F.col("sid")).groupBy("sid", pivot).agg(F.sum("k").alias("k"))
+        best = shared.groupBy("sid").agg(F.max(F.struct("k", pivot)).alias("best"))
         return best.select(F.col(f"best.{pivot}").alias("a"), F.col("sid").alias("b"))
 
-    edges = stored(verified(star(members, "lo"), sets), "jaccard-star1")
-    labels = components(edges)
-
-    def mixed(labels: DataFrame) -> DataFrame:
+    def mixed(tiles: DataFrame, labels: DataFrame) -> DataFrame:
         """Members of tiles that still hold several components."""
-        now = members.join(labels.select(F.col("v").alias("sid"), "label"), "sid", "left").select("h", "sid", "n", F.coalesce("label", "sid").alias("comp"))
-        now = stored(now, "jaccard-mixed")
-        spread = (now.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("m"),
+        known = maybe_broadcast(labels.withColumnRenamed("v", "sid"), 16)
+        now = (tiles.select("h", "sid", "n", "k", "m").join(known, "sid", "left")
+               .select("h", "sid", "n", "k", "m", F.coalesce("label", "sid").alias("comp")))
+        spread = (now.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                        F.max(F.struct(F.xxhash64("comp"), "sid")).alias("p"))
-                  .where("c0 <> c1").select("h", "m", F.col("p.sid").alias("pivot")))
+                  .where("c0 <> c1").select("h", F.col("p.sid").alias("pivot")))
         return stored(now.join(spread, "h"), "jaccard-open")
 
-    open_ = mixed(labels)
-    edges = stored(edges.union(verified(star(open_, "pivot"), sets)), "jaccard-star2")
+    edges = verified(star(members, "lo"), bits, docs)
+    labels = components(edges)
+    open_ = mixed(members, labels)
+    if open_.isEmpty():
+        return labels.select(F.col("v").alias("sid"), "label")
+    edges = edges.union(verified(star(open_, "pivot"), bits, docs))
     labels = components(edges)
-    open_ = mixed(labels)
+    open_ = mixed(open_, labels)
 
     # every pair of different components in a tile, in chunk pairs
     k = F.ceil(F.col("m") / CHUNK).cast("int")
@@ -254,7 +303,7 @@ def class_labels(sigs: DataFrame, docs: DataFrame) -> DataFrame | None:
     dealt = (open_.withColumn("k", k).withColumn("x", chunk)
              .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
              .select("h", F.least("x", "y").alias("u"), F.greatest("x", "y").alias("w"), "sid", "n", "comp")
-             .join(sets.select("sid", "bits"), "sid"))
+             .join(bits.select("sid", "bits"), "sid"))
 
     def run(parts):
         key, held = None, []
@@ -279,7 +328,7 @@ def class_labels(sigs: DataFrame, docs: DataFrame) -> DataFrame | None:
 
     pairs = (dealt.select("h", "u", "w", "sid", "n", "comp", "bits").repartition("h", "u", "w")
              .sortWithinPartitions("h", "u", "w").mapInArrow(run, "a long, b long").distinct())
-    more = stored(verified(stored(pairs, "jaccard-pairs"), sets), "jaccard-links")
+    more = verified(stored(pairs, "jaccard-pairs"), bits, docs)
     if not more.isEmpty():
         labels = components(edges.union(more))
     return labels.select(F.col("v").alias("sid"), "label")
