@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, chaining, jaccard_tiles, maglev, mixing, rans, simhash, token_counts, topk, toxicity
+from . import bpe_chunks, chaining, jaccard_tiles, maglev, mixing, oracle, rans, simhash, token_counts, topk, toxicity
 from .common import documents
 
 
@@ -90,4 +90,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
