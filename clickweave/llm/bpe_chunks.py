@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, batches, mix, stored
+from .common import SPACE, batches, bit_map, marked, mix, stored
 from .tokens import codec, decoder
 
 #: Average chunk: about 5 * 2**CUT_BITS bytes of prose. Longest: LONGEST.
@@ -144,8 +144,7 @@ def chunk_hash(part: bytes) -> bytes:
 def _marked(hashes: list[bytes], bits: np.ndarray) -> np.ndarray:
     """Which chunk hashes the map of shared ones holds."""
     head = np.frombuffer(b"".join(hashes), ">u8")[::2].astype(np.uint64)
-    bit = head >> np.uint64(64 - MAP_BITS)
-    return ((bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+    return marked(bits, head >> np.uint64(64 - MAP_BITS))
 
 
 def digests(ids: bytes, path: str) -> tuple[int, str, str]:
@@ -154,19 +153,6 @@ def digests(ids: bytes, path: str) -> tuple[int, str, str]:
     return len(numbers), hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()
 
 
-def _map_of(shared: DataFrame) -> np.ndarray:
-    """Bitmap of shared chunk hashes; bits are merged per task first, so the
-    driver receives words of a map of fixed size, not hashes."""
-    rows = (shared.select(F.shiftrightunsigned(F.col("_c_head"), 64 - MAP_BITS).alias("bit"))
-            .select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("b"))
-            .groupBy("w").agg(F.bit_or("b").alias("b")))
-    table = rows.toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    if table.num_rows:
-        out[table["w"].to_numpy()] = table["b"].to_numpy().view(np.uint64)
-    return out
-
-
 def encode(docs: DataFrame, path: str, keep: list[str], per_document=None, schema: str | None = None) -> DataFrame:
     """One row per document: the ``keep`` columns and the columns that
     ``per_document(ids, text) -> tuple`` gives, of types ``schema`` (default:
@@ -193,7 +179,7 @@ def encode(docs: DataFrame, path: str, keep: list[str], per_document=None, schem
 
     seen = batches(kept.select("_c_text"), hashes, "_c_hash binary, _c_head long")
     shared = seen.groupBy("_c_hash", "_c_head").count().where("count > 1").select("_c_head")
-    bits = spark.sparkContext.broadcast(_map_of(shared))
+    bits = spark.sparkContext.broadcast(bit_map(shared.select(F.shiftrightunsigned("_c_head", 64 - MAP_BITS).alias("bit")), MAP_BITS))
 
     def first(part: pa.RecordBatch):
         """Encode documents without shared chunks; set the others aside."""

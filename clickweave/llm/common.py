@@ -166,3 +166,27 @@ def batches(df: DataFrame, fn, schema: str) -> DataFrame:
             for at in range(0, part.num_rows, rows):
                 yield from fn(part.slice(at, rows))
     return df.mapInArrow(run, schema)
+
+
+def bit_map(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap (words of 64 bits) of the column ``bit``, values under
+    ``1 << bits``. Bits are merged into words on the executors; the driver gets
+    a map of fixed size, whatever the input."""
+    rows = (keys.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("b"))
+            .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    if rows.num_rows:
+        out[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
+    return out
+
+
+def marked(words_: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Which bits of a bitmap are set."""
+    return ((words_[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def repeated_keys(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of the top ``bits`` bits of the 32-bit ``key`` values that occur
+    more than once: one thin shuffle of counts."""
+    again = keys.groupBy("key").count().where("count > 1")
+    return bit_map(again.select(F.shiftrightunsigned(F.col("key"), 32 - bits).cast("long").alias("bit")), bits)

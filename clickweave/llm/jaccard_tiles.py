@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, maybe_broadcast, mix, shingles, stored, utf8, words
+from .common import batches, bit_map, marked, maybe_broadcast, mix, repeated_keys, shingles, stored, utf8, words
 from .components import components
 
 K = 5
@@ -171,33 +171,19 @@ def signatures(docs: DataFrame) -> DataFrame:
     return batches(docs.select("doc_id", "text"), run, "doc_id long, n long, sid long, prefix array<long>, bits binary")
 
 
-def _map(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of the column ``bit`` (values under ``1 << bits``). Bits are merged
-    into words on the executors; the driver gets a map of fixed size."""
-    rows = (keys.select(F.shiftright("bit", 6).alias("w"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("b"))
-            .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    if rows.num_rows:
-        out[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
-    return out
-
-
 def _members(sigs: DataFrame) -> DataFrame:
     """(h, sid, n, lo, k): classes of each tile, its smallest class and how many
     equal tiles it stands for; one class a row, tiles of two classes and more."""
     spark = sigs.sparkSession
     some = sigs.where("n > 0")
     key = F.explode(F.transform("prefix", lambda h: F.shiftright(h, 32).cast("int")))
-    again = some.select(key.alias("key")).groupBy("key").count().where("count > 1")
-    again = again.select(F.shiftrightunsigned(F.col("key"), 32 - KEY_BITS).cast("long").alias("bit"))
-    seen = spark.sparkContext.broadcast(_map(again, KEY_BITS))
+    seen = spark.sparkContext.broadcast(repeated_keys(some.select(key.alias("key")), KEY_BITS))
 
     def run(part: pa.RecordBatch):
         lists = part.column("prefix")
         size = np.diff(lists.offsets.to_numpy())
         h = lists.flatten().to_numpy()
-        bit = h.view(np.uint64) >> np.uint64(64 - KEY_BITS)
-        hit = ((seen.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
+        hit = marked(seen.value, h.view(np.uint64) >> np.uint64(64 - KEY_BITS))
         row = np.repeat(np.arange(part.num_rows), size)[hit]
         sid, n = part.column("sid").to_numpy(), part.column("n").to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(h[hit]), pa.array(sid[row]), pa.array(n[row])], names=["h", "sid", "n"])
@@ -214,7 +200,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(sid, elements) of the wanted classes, one row each. A bitmap of fixed
     size picks them in the scan; extra ones do no harm."""
     sent = docs.sparkSession.sparkContext.broadcast(
-        _map(wanted.select(F.shiftrightunsigned("sid", 64 - MAP_BITS).alias("bit")), MAP_BITS))
+        bit_map(wanted.select(F.shiftrightunsigned("sid", 64 - MAP_BITS).alias("bit")), MAP_BITS))
 
     def run(part: pa.RecordBatch):
         done: dict[int, bytes] = {}
