@@ -46,14 +46,16 @@ def hot_keys(sample: DataFrame, key: str, time_col: str, tie_col: str, *,
              sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
              min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-             seed: int = DEFAULT_SEED) -> DataFrame:
+             seed: int = DEFAULT_SEED) -> DataFrame | None:
     """``_hk`` (hot key) and ``_edges`` (sorted ``(time, tie)`` lower bounds of
-    buckets 1, 2, ...), stored."""
+    buckets 1, 2, ...), stored; None without a hot key."""
     rows = sample.select(F.col(key).alias("_hk"), F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("k")).alias("_at"))
     big = (rows.groupBy("_hk").agg(F.count(F.lit(1)).alias("_hn"))
            .where(F.col("_hn") >= F.lit(min_hot_rows * sample_fraction))
            .withColumn("_nb", F.ceil(F.col("_hn") / F.lit(sample_fraction * rows_per_bucket))))
     big = stored(big.withColumnRenamed("_hk", "_bk"), "sequence-keys")
+    if big.isEmpty():
+        return None
     # the sample is thinned to PER_BUCKET rows a bucket before it is gathered
     rate = F.col("_nb") * F.lit(float(PER_BUCKET)) / F.col("_hn")
     thin = (rows.join(big, F.col("_hk").eqNullSafe(F.col("_bk")))
@@ -108,7 +110,7 @@ def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
         sample = df.sample(fraction=sample_fraction, seed=seed)
     hot = hot_keys(sample, key, time_col, tie_col, sample_fraction=sample_fraction, min_hot_rows=min_hot_rows,
                    rows_per_bucket=rows_per_bucket, seed=seed)
-    if hot.isEmpty():
+    if hot is None:
         return plain_sequence(df, key, time_col, tie_col, out)
 
     rows = bucketed(df, hot, key, time_col, tie_col)
