@@ -1,7 +1,7 @@
 """SimHash fingerprints of 128 bits, and search by permuted block tables.
 
 Terms are pairs of neighbouring words (the last word stands alone), weighted by
-the length of the first. Each term's hash votes with its weight for or against
+the length of the first, up to 15. Each term's hash votes with its weight for or against
 every bit; the sign of the sum is the fingerprint's bit. Two bits share one
 64-bit sum (each half is below 2**32), so the votes are 64 plain SQL sums.
 
@@ -40,16 +40,18 @@ _NULL_CUTS = 10  # bits of the text hash that cut the rows without doc_id
 
 
 def terms(text: Column) -> Column:
-    """array<struct<h, w>>: hash and weight of each term."""
+    """array<long>: a value per term, its weight in the lowest four bits."""
     found = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
     after = F.slice(found, 2, F.greatest(F.size(found), F.lit(1)))
-    return F.zip_with(found, after, lambda a, b: F.struct(F.xxhash64(a, b).alias("h"), F.length(a).alias("w")))
+    return F.zip_with(found, after, lambda a, b: F.xxhash64(a, b).bitwiseAND(F.lit(-16)).bitwiseOR(
+        F.least(F.length(a), F.lit(15)).cast("long")))
 
 
 def votes() -> list[Column]:
-    """64 packed sums over columns h (hash) and w (weight), and the total."""
+    """64 packed sums over columns h and g (hashes) and w (weight), and the
+    total."""
     out = []
-    for part, h in enumerate(("h", "xxhash64(h)")):
+    for part, h in enumerate("hg"):
         out += [F.expr(f"sum(w * (shiftright({h}, {i}) & 4294967297L))").alias(f"v{part}_{i}") for i in range(32)]
     return [*out, F.sum("w").alias("total")]
 
@@ -134,7 +136,8 @@ def fingerprints(rows: DataFrame, text: list[str], keys: list[str], keep: list[s
     shuffled as sums."""
     each = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(t).alias("t")) for i, t in enumerate(text)])
     long = (rows.select(*keys, *keep, F.inline(each)).select(*keys, *keep, "kind", F.explode_outer(terms(F.col("t"))).alias("x"))
-            .select(*keys, *keep, "kind", F.coalesce("x.h", F.lit(0)).cast("long").alias("h"), F.coalesce("x.w", F.lit(0)).cast("long").alias("w")))
+            .select(*keys, *keep, "kind", F.xxhash64("x").alias("h"), F.xxhash64("x", F.lit(1)).alias("g"),
+                    F.coalesce(F.col("x").bitwiseAND(F.lit(15)), F.lit(0)).cast("long").alias("w")))
     summed = long.groupBy(*keys, "kind").agg(*votes(), *[F.first(c).alias(c) for c in keep])
     made = summed.select(*keys, *keep, "kind", bits(0).alias("hi"), bits(1).alias("lo"))
     return made.groupBy(*keys).agg(*[F.first(c).alias(c) for c in keep], *[
