@@ -9,16 +9,18 @@ common, banded by set size. The order puts elements that many documents share
 (found on a hash sample, which only steers the order) last, so common lines and
 passages rarely make tiles.
 
-Inside a tile every class carries a hashed bitmap of 2-4 bits an element. A bit
+Inside a tile every class carries a hashed bitmap of 4-8 bits an element. A bit
 set in a and not in b stands for at least one element missing from b, so bit
 counts bound the overlap from above, and only pairs whose bound reaches the
 threshold go to the exact intersection of the sorted arrays.
 
-Star rounds come first: every class is held against the one class of its tiles
-that it shares most tiles with; links found there merge classes. Then each pair
-of classes that still lie in different components and share a tile is tested,
-in blocks, so a large group of near copies costs about one test a class
-instead of one a pair, and no link between components is missed. A tile with many
+A star round comes first: every class is held against the most central class
+of its tiles (the one that shares most with others, as the original of a group
+of near copies does); links found there merge classes. Then, of the pairs of
+classes that share a tile and still lie in different components, each class's
+likeliest one per other component is tested, and at last all pairs that are still
+between components: a large group of near copies costs about one test a
+class instead of one a pair, and no link between components is missed. A tile with many
 classes is cut into chunks by hash and chunk pairs go to different tasks.
 
 Sets are 64-bit shingle hashes. Bitmaps are kept for every document; whole sets
@@ -84,8 +86,8 @@ def set_id(s: np.ndarray) -> int:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Hashed bitmap of 2 to 4 bits an element, at least 64."""
-    bits = max(64, 1 << int(2 * len(s) - 1).bit_length())
+    """Hashed bitmap of 4 to 8 bits an element, at least 64."""
+    bits = max(64, 1 << int(4 * len(s) - 1).bit_length())
     flags = np.zeros(bits, bool)
     flags[(s & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").view(np.uint64)
@@ -109,9 +111,10 @@ def reachable(na, nb, missing_a, missing_b):
     return OF * most >= PERCENT * (na + nb - most)
 
 
-def tile_pairs(n: np.ndarray, comp: np.ndarray, maps: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Pairs (i, j) of a tile in different components that may link. Bitmaps
-    are compared at equal length: a band is one length or two neighbouring."""
+def tile_pairs(n: np.ndarray, comp: np.ndarray, maps: list[np.ndarray], best: bool = False) -> list[tuple[int, int]]:
+    """Pairs (i, j) of a tile in different components that may link; with
+    ``best`` only each i's likeliest j of every other component. Bitmaps are
+    compared at equal length: a band is one length or two neighbouring."""
     length = np.array([len(m) for m in maps])
     out: list[tuple[int, int]] = []
     for size in np.unique(length):
@@ -131,7 +134,12 @@ def tile_pairs(n: np.ndarray, comp: np.ndarray, maps: list[np.ndarray]) -> list[
             mine, other = table[i], table[near]
             missing_i = np.bitwise_count(mine & ~other).sum(1, dtype=np.int64)
             missing_j = np.bitwise_count(other & ~mine).sum(1, dtype=np.int64)
-            ok = near[reachable(sizes[i], sizes[near], missing_i, missing_j)]
+            may = reachable(sizes[i], sizes[near], missing_i, missing_j)
+            ok = near[may]
+            if best and len(ok) > 1:  # by component, fewest missing first
+                order = np.lexsort(((missing_i + missing_j)[may], comp[rows][ok]))
+                ok = ok[order]
+                ok = ok[np.r_[True, comp[rows][ok][1:] != comp[rows][ok][:-1]]]
             out += [(int(rows[i]), int(rows[j])) for j in ok]
     return out
 
@@ -217,9 +225,10 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("sid").agg(F.first("elements").alias("elements"))
 
 
-def verified(pairs: DataFrame, bits: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, stored: bit bound first, then the exact
-    intersection of the sets of the pairs that are left."""
+def verified(pairs: DataFrame, docs: DataFrame, bits: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) that link, stored: bit bound first (unless the pairs
+    have passed it), then the exact intersection of the sets of the pairs that
+    are left."""
     def bound(part: pa.RecordBatch):
         keep = []
         for x, y, na, nb in zip(*(part.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b"))):
@@ -238,9 +247,12 @@ def verified(pairs: DataFrame, bits: DataFrame, docs: DataFrame) -> DataFrame:
 
     def side(x, table):
         return table.withColumnsRenamed({"sid": x} | {c: f"{c}_{x}" for c in table.columns if c != "sid"})
-    near = pairs.select("a", "b").join(side("b", bits), "b").join(side("a", bits), "a")
-    near = near.where(f"{OF} * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
-    left = stored(batches(near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), bound, "a long, b long"), "jaccard-near")
+    left = pairs.select("a", "b")
+    if bits is not None:
+        near = left.join(side("b", bits), "b").join(side("a", bits), "a")
+        near = near.where(f"{OF} * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+        left = batches(near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), bound, "a long, b long")
+    left = stored(left, "jaccard-near")
     if left.isEmpty():
         return left
     sets = _sets(docs, left.select(F.col("a").alias("sid")).union(left.select(F.col("b").alias("sid"))))
@@ -258,32 +270,40 @@ def class_labels(sigs: DataFrame, docs: DataFrame) -> DataFrame | None:
     bits = stored(sigs.where("n > 0").select("sid", "n", "bits").join(inside, "sid", "left_semi")
                   .groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-bits")
 
-    # star rounds: each class against the tile pivot it shares most tiles with
-    def star(members: DataFrame, pivot: str) -> DataFrame:
-        shared = members.where(F.col(pivot) != F.col("sid")).groupBy("sid", pivot).agg(F.sum("k").alias("k"))
-        best = shared.groupBy("sid").agg(F.max(F.struct("k", pivot)).alias("best"))
-        return best.select(F.col(f"best.{pivot}").alias("a"), F.col("sid").alias("b"))
+    # star round: each class against the most central class of its tiles
+    central = members.groupBy("sid").agg(F.sum(F.col("k") * F.col("m")).alias("c"))
+    ranked = members.join(maybe_broadcast(stored(central, "jaccard-central"), 24), "sid")
+    pivots = ranked.groupBy("h").agg(F.max(F.struct("c", "sid")).alias("p")).select("h", F.col("p.sid").alias("pivot"))
+    shared = (members.join(pivots, "h").where(F.col("pivot") != F.col("sid")).groupBy("sid", "pivot").agg(F.sum("k").alias("k")))
+    best = shared.groupBy("sid").agg(F.max(F.struct("k", "pivot")).alias("best"))
+    edges = verified(best.select(F.col("best.pivot").alias("a"), F.col("sid").alias("b")), docs, bits)
+    labels = components(edges)
 
-    def mixed(tiles: DataFrame, labels: DataFrame) -> DataFrame:
+    def mixed(tiles: DataFrame) -> DataFrame:
         """Members of tiles that still hold several components."""
         known = maybe_broadcast(labels.withColumnRenamed("v", "sid"), 16)
-        now = (tiles.select("h", "sid", "n", "k", "m").join(known, "sid", "left")
-               .select("h", "sid", "n", "k", "m", F.coalesce("label", "sid").alias("comp")))
-        spread = (now.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                                       F.max(F.struct(F.xxhash64("comp"), "sid")).alias("p"))
-                  .where("c0 <> c1").select("h", F.col("p.sid").alias("pivot")))
+        now = (tiles.select("h", "sid", "n", "m").join(known, "sid", "left")
+               .select("h", "sid", "n", "m", F.coalesce("label", "sid").alias("comp")))
+        spread = now.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("h")
         return stored(now.join(spread, "h"), "jaccard-open")
 
-    edges = verified(star(members, "lo"), bits, docs)
-    labels = components(edges)
-    open_ = mixed(members, labels)
-    if open_.isEmpty():
-        return labels.select(F.col("v").alias("sid"), "label")
-    edges = edges.union(verified(star(open_, "pivot"), bits, docs))
-    labels = components(edges)
-    open_ = mixed(open_, labels)
+    # pairs of different components in a tile, in chunk pairs: the likeliest first, then all
+    open_ = members
+    for likeliest in (True, False):
+        open_ = mixed(open_)
+        if open_.isEmpty():
+            break
+        pairs = stored(_candidates(open_, bits, likeliest), "jaccard-pairs")
+        more = verified(pairs, docs)
+        if not more.isEmpty():
+            edges = edges.union(more)
+            labels = components(edges)
+    return labels.select(F.col("v").alias("sid"), "label")
+
 
-    # every pair of different components in a tile, in chunk pairs
+def _candidates(open_: DataFrame, bits: DataFrame, likeliest: bool) -> DataFrame:
+    """(a, b): distinct pairs of different components in a tile that the bit
+    bound lets through. A tile of many classes is dealt in pairs of chunks."""
     k = F.ceil(F.col("m") / CHUNK).cast("int")
     chunk = F.pmod(F.xxhash64("sid"), k).cast("int")
     dealt = (open_.withColumn("k", k).withColumn("x", chunk)
@@ -297,27 +317,26 @@ def class_labels(sigs: DataFrame, docs: DataFrame) -> DataFrame | None:
         def flush():
             if len({x[2] for x in held}) < 2:
                 return []
-            found = tile_pairs(np.array([x[1] for x in held]), np.array([x[2] for x in held]), [np.frombuffer(x[3], np.uint64) for x in held])
+            found = tile_pairs(np.array([x[1] for x in held]), np.array([x[2] for x in held]),
+                               [np.frombuffer(x[3], np.uint64) for x in held], likeliest)
             return [(min(held[i][0], held[j][0]), max(held[i][0], held[j][0])) for i, j in found]
 
+        def batch(out):
+            out = list(set(out))
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
+
         for part in parts:
             out = []
-            for h, u, w, sid, n, comp, bits in zip(*(part.column(i).to_pylist() for i in range(7))):
+            for h, u, w, sid, n, comp, own in zip(*(part.column(i).to_pylist() for i in range(7))):
                 if (h, u, w) != key:
                     out += flush()
                     key, held = (h, u, w), []
-                held.append((sid, n, comp, bits))
-            out = list(set(out))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
-        out = list(set(flush()))
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
-
-    pairs = (dealt.select("h", "u", "w", "sid", "n", "comp", "bits").repartition("h", "u", "w")
-             .sortWithinPartitions("h", "u", "w").mapInArrow(run, "a long, b long").distinct())
-    more = verified(stored(pairs, "jaccard-pairs"), bits, docs)
-    if not more.isEmpty():
-        labels = components(edges.union(more))
-    return labels.select(F.col("v").alias("sid"), "label")
+                held.append((sid, n, comp, own))
+            yield batch(out)
+        yield batch(flush())
+
+    return (dealt.select("h", "u", "w", "sid", "n", "comp", "bits").repartition("h", "u", "w")
+            .sortWithinPartitions("h", "u", "w").mapInArrow(run, "a long, b long").distinct())
 
 
 def join(docs: DataFrame) -> DataFrame:
