@@ -62,39 +62,47 @@ class Lists:
     def __init__(self, vectors: np.ndarray, ids: list[list[int]]):
         self.vectors, self.ids = vectors, ids
         self.first = np.array([x[0] for x in ids], np.int64)
-        self.order = np.argsort(vectors, axis=0, kind="stable")
+        self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
+        self.sorted = np.take_along_axis(vectors.T, self.order, 1)
+        # products of doubles are exact as long as every sum stays below 2**53
+        self.most = int(np.abs(vectors).max(initial=0)) * vectors.shape[1]
+        self.doubles = vectors.astype(np.float64)
 
     def search(self, q: np.ndarray, own: int, k: int, floor: int) -> tuple[list[tuple[int, int]], int]:
         """Best (score, vec_id) of the block, at most k, none under ``floor``,
         and how many vectors were scored."""
-        dims = np.flatnonzero(q)
+        down, up = np.flatnonzero(q < 0), np.flatnonzero(q > 0)
         n = len(self.vectors)
-        if not len(dims):
+        if not len(down) and not len(up):
             return self._answer(np.arange(n), np.zeros(n, np.int64), own, k), n
-        up = q[dims] > 0
-        order = np.where(up, self.order[::-1, dims], self.order[:, dims])
+        exact = self.most * int(np.abs(q).max()) < 1 << 53
+        table, factor = (self.doubles, q.astype(np.float64)) if exact else (self.vectors, q)
         seen = np.zeros(n, bool)
         scores = np.empty(n, np.int64)
-        depth, kth = 0, floor
-        step = STEP
+        best = np.zeros(0, np.int64)  # the k + 1 best so far
+        depth, step, kth = 0, STEP, floor
         while depth < n:
             upto = min(n, depth + step)
-            met = np.unique(order[depth:upto])
-            new = met[~seen[met]]
+            met = np.zeros(n, bool)
+            met[self.order[up, n - upto:n - depth]] = True
+            met[self.order[down, depth:upto]] = True
+            new = np.flatnonzero(met & ~seen)
             if len(new):
                 seen[new] = True
-                scores[new] = self.vectors[new] @ q
-                got = np.flatnonzero(seen)
-                # copies fill places too, the query's own row may take one
-                if len(got) > k:
-                    kth = max(kth, int(np.partition(scores[got], len(got) - k - 1)[len(got) - k - 1]))
+                scores[new] = table[new] @ factor
+                best = np.concatenate((best, scores[new]))
+                # one of them may be the query's own row
+                if len(best) > k:
+                    best = np.partition(best, len(best) - k - 1)[len(best) - k - 1:]
+                    kth = max(kth, int(best.min()))
             depth = upto
             # equal scores may still win by id: stop only below the k-th
-            if depth < n and int((self.vectors[order[depth - 1], dims] * q[dims]).sum()) < kth:
+            bound = int((self.sorted[up, n - depth] * q[up]).sum() + (self.sorted[down, depth - 1] * q[down]).sum())
+            if bound < kth:
                 break
             step *= 2
         got = np.flatnonzero(seen)
-        got = got[scores[got] >= kth] if kth > floor else got[scores[got] >= floor]
+        got = got[scores[got] >= kth]
         return self._answer(got, scores[got], own, k), int(seen.sum())
 
     def _answer(self, rows: np.ndarray, scores: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
