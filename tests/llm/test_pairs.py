@@ -110,6 +110,54 @@ def test_passages(spark, docs, empty, clashing):
     assert copies == set()  # the copies in this table are under 50 words
 
 
+def brute_pieces(gap):
+    """Spans of P U Q that meet the definition, over all ends at passage
+    borders: both passages alone, or all where the gap is part of it."""
+    n = 120 + gap
+    return {(0, n)} if 120 >= 0.75 * n else {(0, 60), (60 + gap, n)}
+
+
+def test_passages_apart_in_one_pair(spark):
+    """P U Q against P V Q: the passages are found at any distance."""
+    from clickweave.llm import chaining
+    items, want = [], {}
+    for k, gap in enumerate((5, 30, 50, 100, 200, 260)):
+        p, q = ([f"{c}{k}x{i}" for i in range(60)] for c in "pq")
+        u, v = ([f"{c}{k}x{i}" for i in range(gap)] for c in "uv")
+        items += [(2 * k, " ".join(p + u + q)), (2 * k + 1, " ".join(p + v + q))]
+        want[2 * k + 1] = brute_pieces(gap)
+    got = {d: set() for d in want}
+    table = spark.createDataFrame(items, "doc_id long, text string")
+    for r in chaining.passages(table).collect():
+        got[r.doc_id].add((r.start_word, r.end_word))
+        assert r.start_word == r.first_start and r.matched >= 0.75 * (r.end_word - r.start_word)
+    assert got == want
+    left = {r.doc_id: r.text for r in chaining.without_repeats(table).collect()}
+    assert left[9] == " ".join(f"v4x{i}" for i in range(200)) + " "
+
+
+def test_pieces_against_all_pairs():
+    from clickweave.llm import chaining
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        m = rng.integers(1, 12)
+        here, there, runs = rng.integers(0, 30), rng.integers(0, 30), []
+        for _ in range(m):
+            n = int(rng.integers(5, 40))
+            runs.append((here, there, n))
+            here, there = here + n + rng.integers(0, 40), there + n + rng.integers(0, 40)
+        ends = np.array([(i, j, i + n, j + n) for i, j, n in runs])
+        taken = np.cumsum([n for _, _, n in runs])
+        given = taken - [n for _, _, n in runs]
+
+        def good(s, e):
+            size = ends[e, 2:] - ends[s, :2]
+            return size.min() >= chaining.MIN_WORDS and taken[e] - given[s] >= chaining.IDENTITY * size.max()
+        all_ = [(s, e) for s in range(m) for e in range(s, m) if good(s, e)]
+        want = [(s, e) for s, e in all_ if not any(x <= s and e <= y and (x, y) != (s, e) for x, y in all_)]
+        assert chaining.pieces(ends, taken, given) == want
+
+
 def test_many_copies_make_few_matches(spark):
     from clickweave.llm import chaining
     text = prose(9, 100)
