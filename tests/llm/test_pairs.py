@@ -110,6 +110,24 @@ def test_passages(spark, docs, empty, clashing):
     assert copies == set()  # the copies in this table are under 50 words
 
 
+def test_passages_of_lines_that_are_first_elsewhere(spark):
+    """Two documents share a passage; each of its lines occurs first in
+    another, earlier document."""
+    from clickweave.llm import chaining
+    items, want = [], set()
+    for k, (lines, size) in enumerate(((2, 25), (2, 30), (3, 30), (2, 40), (3, 20), (5, 10), (4, 45))):
+        for case in range(8):
+            at = 1000 * (8 * k + case)
+            cut = [[f"w{at}x{i}y{j}" for j in range(size)] for i in range(lines)]
+            fill = lambda d, n: [f"u{at + d}z{j}" for j in range(n)]
+            items += [(at + i, " ".join(fill(i, 20) + x + fill(50 + i, 20))) for i, x in enumerate(cut)]
+            items += [(at + d, " ".join(fill(d, d - 90) + sum(cut, []) + fill(d + 50, 30))) for d in (100, 200)]
+            want.add((at + 200, 110, 110 + lines * size, at + 100, 10, 10 + lines * size))
+    table = spark.createDataFrame(items, "doc_id long, text string").repartition(5)
+    got = {tuple(r)[:6] for r in chaining.passages(table).collect()}
+    assert want <= got and {g[0] for g in got} == {w[0] for w in want}
+
+
 def brute_pieces(gap):
     """Spans of P U Q that meet the definition, over all ends at passage
     borders: both passages alone, or all where the gap is part of it."""
