@@ -128,6 +128,35 @@ def test_passages_of_lines_that_are_first_elsewhere(spark):
     assert want <= got and {g[0] for g in got} == {w[0] for w in want}
 
 
+def test_passages_with_many_edits(spark):
+    """Passages with a word changed in every few: at an identity of 0.83 a run
+    of equal words holds one seed."""
+    from clickweave.llm import chaining
+    rng, items, want = random.Random(4), [], {}
+    for k in range(240):
+        size, identity = (50, 70, 100)[k % 3], (0.9, 0.875, 0.85, 5 / 6)[k // 3 % 4]
+        p = [f"p{k}x{i}" for i in range(size)]
+        n = int((1 - identity) * size + 1e-9)
+        q = list(p)
+        for x in rng.sample(range(1, size - 1), n) if k % 2 else [int((x + 0.5) * size / n) for x in range(n)]:
+            q[x] = f"e{k}x{x}"
+        items += [(2 * k, " ".join([f"a{k}x{i}" for i in range(30)] + p)), (2 * k + 1, " ".join([f"b{k}x{i}" for i in range(20)] + q + [f"c{k}x{i}" for i in range(20)]))]
+        want[2 * k + 1] = identity
+    table = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
+    got = {r.doc_id for r in chaining.passages(table).collect()}
+    for identity in set(want.values()):
+        asked = {d for d, x in want.items() if x == identity}
+        assert len(asked & got) >= 0.9 * len(asked), (identity, len(asked & got))
+
+
+def test_tiled_covers_the_same_words():
+    from clickweave.llm import chaining
+    long = [(i, 7, 52) for i in range(10, 400, 3)] + [(900, 7, 52), (30, 9, 60), (5, 5, 5), (6, 5, 5)]
+    kept = chaining.tiled(long)
+    cover = lambda runs: {(j, n, w) for i, j, n in runs for w in range(i, i + n)}
+    assert cover(kept) == cover(long) and len(kept) < 15
+
+
 def brute_pieces(gap):
     """Spans of P U Q that meet the definition, over all ends at passage
     borders: both passages alone, or all where the gap is part of it."""
