@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, chaining, jaccard_tiles, maglev, mixing, oracle, rans, simhash, token_counts, topk, toxicity
+from . import (bpe_chunks, chaining, jaccard_tiles, maglev, manifest, mixing, oracle, periodic, rans, simhash, token_counts, topk,
+               toxicity)
 from .common import documents
 
 
@@ -75,6 +77,34 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that the run query looks at: in one document of ten, all words
+    from a place on repeat with a period (place and period by its id)."""
+    h = 1 if doc_id is None else zlib.crc32(b"%d" % doc_id)
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(documents(spark, sf_dir), rewrite=planted_period)
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda top, r: F.when(
+        top.isNull() | (r.length * top.period > top.length * r.period), r).otherwise(top))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("top"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
@@ -86,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op9_jaccard_tiles": op9_jaccard_tiles,
     "op10_bpe_chunks": op10_bpe_chunks,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_manifest": op13_manifest,
 }
 
 
