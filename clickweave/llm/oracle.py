@@ -1,5 +1,6 @@
 """DuckDB SQL for the operators that SQL can express: mixing (1), top-k search
-(4) and the Jaccard join (9). The others use trained models, tokenizers or
+(4), the Jaccard join (9), near copies of embeddings (12) and the manifest (13).
+The others use trained models, tokenizers or
 hashes that SQL does not have; their tests hold them against brute force."""
 
 from __future__ import annotations
@@ -86,4 +87,74 @@ WITH RECURSIVE words AS (
 SELECT sets.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least USING (r)
 """
 
-SQL = {"op1_mixing": OP1, "op4_topk": OP4, "op9_jaccard_tiles": OP9}
+OP12 = """
+WITH RECURSIVE rows_ AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), good AS (
+  SELECT r, e FROM rows_ WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT r, r AS t FROM rows_
+  UNION
+  SELECT reach.r, links.b FROM reach JOIN links ON reach.t = links.a
+), least AS (
+  SELECT reach.r, MIN(other.vec_id) AS component_id FROM reach JOIN rows_ other ON other.r = reach.t GROUP BY reach.r
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows_ JOIN least USING (r) LEFT JOIN (SELECT a AS r, COUNT(*) AS n FROM links GROUP BY a) USING (r)
+"""
+
+_CRC32 = """xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(CAST({x} AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+  lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))))"""
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || {x}, '-')" for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP13 = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC32.format(x="doc_id")} % 5 = 0 THEN {_leaf(_LOWER)} ELSE {_leaf("text")} END AS shown
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, COUNT(*) OVER (PARTITION BY source) AS n FROM docs
+), nodes AS (  -- n: nodes of the level
+  SELECT source, 0 AS lv, idx, leaf AS d, n FROM placed
+  UNION ALL
+  SELECT source, lv + 1, idx // 16, sha256(string_agg(d, '' ORDER BY idx)), (n + 15) // 16 FROM nodes WHERE n > 1 GROUP BY source, lv, idx // 16, n
+), subroots AS (
+  SELECT source, lv AS h, d AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, COUNT(*) OVER () AS m FROM nodes WHERE n = 1
+), above AS (
+  SELECT 0 AS lv, place AS idx, subroot AS d, m AS n FROM subroots
+  UNION ALL
+  SELECT lv + 1, idx // 16, sha256(string_agg(d, '' ORDER BY idx)), (n + 15) // 16 FROM above WHERE n > 1 GROUP BY lv, idx // 16, n
+), sides AS (  -- what stands left and right of a document's node at each level
+  SELECT r, lv, string_agg(CASE WHEN k < own THEN d ELSE '' END, '' ORDER BY k) AS l, string_agg(CASE WHEN k > own THEN d ELSE '' END, '' ORDER BY k) AS g
+  FROM (
+    SELECT r, lv, t.idx AS k, t.d, p.idx // (16 ** lv)::BIGINT AS own FROM placed p JOIN nodes t ON t.source IS NOT DISTINCT FROM p.source
+      AND t.n > 1 AND t.idx // 16 = p.idx // (16 ** (lv + 1))::BIGINT
+    UNION ALL
+    SELECT r, h + lv, a.idx, a.d, s.place // (16 ** lv)::BIGINT FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source
+      JOIN above a ON a.n > 1 AND a.idx // 16 = s.place // (16 ** (lv + 1))::BIGINT
+  ) GROUP BY r, lv
+), fold AS (
+  SELECT r, 0 AS lv, shown AS d FROM docs
+  UNION ALL
+  SELECT fold.r, lv + 1, sha256(l || d || g) FROM fold JOIN sides USING (r, lv)
+), ends AS (
+  SELECT r, arg_max(d, lv) AS folded_root FROM fold GROUP BY r
+), proofs AS (
+  SELECT r, string_agg(l || g, '' ORDER BY lv) AS p FROM sides GROUP BY r
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM docs JOIN subroots ON subroots.source IS NOT DISTINCT FROM docs.source JOIN ends USING (r) LEFT JOIN proofs USING (r)
+CROSS JOIN (SELECT d AS root FROM above WHERE n = 1)
+"""
+
+SQL = {"op1_mixing": OP1, "op4_topk": OP4, "op9_jaccard_tiles": OP9, "op12_nndescent": OP12, "op13_manifest": OP13}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_chunks, chaining, jaccard_tiles, maglev, manifest, mixing, oracle, periodic, rans, simhash, token_counts, topk,
+from . import (bpe_chunks, chaining, jaccard_tiles, maglev, manifest, mixing, nndescent, oracle, periodic, rans, simhash, token_counts, topk,
                toxicity)
 from .common import documents
 
@@ -101,6 +101,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def op12_nndescent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_copies(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(documents(spark, sf_dir))
 
@@ -117,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_tiles": op9_jaccard_tiles,
     "op10_bpe_chunks": op10_bpe_chunks,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_nndescent": op12_nndescent,
     "op13_manifest": op13_manifest,
 }
 
