@@ -1,63 +1,51 @@
-"""A hand-written 25-event day built to reproduce the documented facts of the
-reference's sample (FIXTURES.md §2): 6 users with one session each, 11 event
-types, 5 products in 3 categories, all at 10:xx on 2025-12-23.
+"""A made-up shop day of 27 events, small enough to work every expected value
+out by hand (FIXTURES.md, section 2): four users, five sessions and two events
+without a session, three products, one event of an unknown type, three hours of
+2024-03-08.
 
-Each session: (session, user, device, first-event referrer, start offset in
-seconds, duration in seconds, events). An event is (type, product) where a
-product is (id, name, category, price, quantity) or None.
+Each visit: (session, user, device, referrer of its first event, start, seconds
+between events, events). An event is (type, product, quantity).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-BASE = _dt.datetime(2025, 12, 23, 10, 15, 30, 123000)
-AS_OF = _dt.date(2025, 12, 23)
-
-P1 = ("kit-kettle", "Enamel kettle", "Kitchen", 45.25)
-P2 = ("kit-sieve", "Wire sieve", "Kitchen", 8.60)
-P3 = ("gar-twine", "Jute twine", "Garden", 3.15)
-P4 = ("gar-trowel", "Hand trowel", "Garden", 12.40)
-P5 = ("book-atlas", "Pocket atlas", "Books", 19.95)
-
-SESSIONS = [
-    ("sess_1", "user_1", "desktop", "https://example.com/", 0, 600, [
-        ("page_view", None), ("product_view", (P1, None)), ("add_to_cart", (P1, 1)),
-        ("checkout_start", None), ("payment_info", None), ("purchase", (P1, 1))]),
-    ("sess_2", "user_2", "desktop", "https://example.com/", 10, 300, [
-        ("page_view", None), ("category_view", None), ("product_view", (P5, None)),
-        ("add_to_cart", (P5, 1))]),
-    ("sess_3", "user_3", "desktop", "https://google.com", 20, 200, [
-        ("signup", None), ("page_view", None)]),
-    ("sess_4", "user_4", "mobile", "https://facebook.com", 30, 408, [
-        ("page_view", None), ("product_view", (P2, None)), ("add_to_cart", (P2, 1)),
-        ("remove_from_cart", (P2, 1)), ("search", None)]),
-    ("sess_5", "user_5", "mobile", "https://bing.com", 40, 300, [
-        ("login", None), ("page_view", None)]),
-    ("sess_6", "user_6", "tablet", None, 50, 734, [
-        ("page_view", None), ("product_view", (P3, None)), ("product_view", (P4, None)),
-        ("add_to_cart", (P4, 2)), ("checkout_start", None), ("purchase", (P4, 2))]),
-]
+AS_OF = _dt.date(2024, 3, 8)
+
+TEA = ("t-1", "Green tea", "Pantry", 6.50)
+MUG = ("m-1", "Stone mug", "Kitchen", 11.25)
+LAMP = ("l-1", "Desk lamp", "Home", 39.98)
+
 
+def _e(kind, product=None, quantity=None):
+    return kind, product, quantity
 
-def iso(t: _dt.datetime) -> str:
-    return t.strftime("%Y-%m-%dT%H:%M:%S.") + f"{t.microsecond // 1000:03d}Z"
+
+VISITS = [
+    ("A", "ada", "tablet", "https://news.example", "08:05:00", 30, [
+        _e("login"), _e("search"), _e("product_view", TEA), _e("product_view", MUG), _e("logout")]),
+    ("B", "bo", "desktop", "https://mail.example", "08:40:00", 20, [
+        _e("page_view"), _e("product_view", MUG), _e("add_to_cart", MUG, 3), _e("checkout_start"),
+        _e("payment_info"), _e("purchase", MUG, 3), _e("purchase", TEA, 2)]),
+    ("C", "ada", "mobile", None, "21:10:00", 50, [
+        _e("page_view"), _e("add_to_cart", TEA, 1), _e("remove_from_cart", TEA, 1)]),
+    ("D", "cy", "desktop", "https://news.example", "21:30:00", 0, [_e("signup")]),
+    (None, "cy", None, None, "21:35:00", 40, [_e("page_view"), _e("wishlist")]),
+    ("E", "dee", "mobile", "", "23:00:00", 25, [
+        _e("category_view"), *[_e("product_view", LAMP)] * 6, _e("add_to_cart", LAMP, 1), _e("purchase", LAMP, 1)]),
+]
 
 
 def raw_rows() -> list[dict]:
     rows = []
-    n = 0
-    for sid, uid, device, ref, start, dur, events in SESSIONS:
-        k = len(events)
-        for i, (etype, prod) in enumerate(events):
-            n += 1
-            t = BASE + _dt.timedelta(seconds=start + round(i * dur / (k - 1)))
-            row = {"event_id": f"evt_{n:03d}", "user_id": uid, "session_id": sid,
-                   "event_type": etype, "timestamp": iso(t), "page_url": "https://shop.example/",
-                   "device_type": device, "referrer": ref if i == 0 else None}
-            if prod is not None:
-                (pid, name, cat, price), qty = prod
-                row.update(product_id=pid, product_name=name, product_category=cat, price=price,
-                           quantity=qty)
+    for session, user, device, referrer, start, gap, events in VISITS:
+        begin = _dt.datetime.fromisoformat(f"{AS_OF}T{start}")
+        for i, (kind, product, quantity) in enumerate(events):
+            row = {"event_id": f"{session or 'none'}-{i}", "user_id": user, "session_id": session, "event_type": kind,
+                   "timestamp": (begin + _dt.timedelta(seconds=i * gap)).strftime("%Y-%m-%dT%H:%M:%SZ"),
+                   "page_url": "https://shop.example/", "device_type": device, "referrer": referrer if i == 0 else None}
+            if product is not None:
+                row |= dict(zip(("product_id", "product_name", "product_category", "price"), product), quantity=quantity)
             rows.append(row)
     return rows

@@ -1,5 +1,5 @@
-"""Query library on a hand-written day whose expected values are documented
-(FIXTURES.md §2)."""
+"""Query library on a made-up day; expected values worked out by hand
+(FIXTURES.md, section 2)."""
 
 import datetime as _dt
 
@@ -15,7 +15,7 @@ def day(spark):
     rows = raw_rows()
     df = spark.createDataFrame([tuple(r.get(f.name) for f in RAW_SCHEMA.fields) for r in rows],
                                RAW_SCHEMA)
-    return transform(df, processed_at=_dt.datetime(2025, 12, 24)).cache()
+    return transform(df, processed_at=_dt.datetime(2024, 3, 9)).cache()
 
 
 def rows_by(df, key):
@@ -30,65 +30,63 @@ def test_shape(day):
                 F.count_if("has_product_data").alias("hp"),
                 F.count_if("has_price_data").alias("hpr"),
                 F.count_if("is_session_start").alias("ss")).first()
-    assert (r.n, r.u, r.s, r.t, r.hp, r.hpr, r.ss) == (25, 6, 6, 11, 12, 12, 6)
+    # six session starts: the events without a session count as one group
+    assert (r.n, r.u, r.s, r.t, r.hp, r.hpr, r.ss) == (27, 4, 5, 13, 16, 16, 6)
 
 
 def test_categories(day):
     got = {r.event_category: r["count"] for r in day.groupBy("event_category").count().collect()}
-    assert got == {"browsing": 7, "cart": 5, "conversion": 5, "engagement": 8}
+    assert got == {"browsing": 11, "cart": 4, "conversion": 5, "engagement": 6, "other": 1}
 
 
 def test_q01(day):
     from clickweave.plans.library import q01_event_distribution
     got = rows_by(q01_event_distribution(day, AS_OF), "event_type")
-    assert got["page_view"]["event_count"] == 6 and got["page_view"]["percentage"] == 24.0
-    assert got["product_view"]["percentage"] == 20.0
-    assert got["add_to_cart"]["percentage"] == 16.0
-    assert got["purchase"]["event_count"] == 2 and got["purchase"]["percentage"] == 8.0
-    for t in ["search", "payment_info", "login", "remove_from_cart", "signup", "category_view"]:
-        assert got[t]["event_count"] == 1 and got[t]["percentage"] == 4.0
-    assert "logout" not in got
+    v = got["product_view"]
+    assert (v["event_count"], v["unique_users"], v["unique_sessions"], v["percentage"]) == (9, 3, 3, 33.33)
+    for t in ["page_view", "add_to_cart", "purchase"]:
+        assert got[t]["event_count"] == 3 and got[t]["percentage"] == 11.11
+    for t in ["login", "logout", "search", "signup", "category_view", "checkout_start", "payment_info", "remove_from_cart", "wishlist"]:
+        assert got[t]["event_count"] == 1 and got[t]["percentage"] == 3.7
+    assert got["wishlist"]["unique_sessions"] == 0
 
 
 def test_q02(day):
     from clickweave.plans.library import q02_daily_active_users
     (r,) = q02_daily_active_users(day).collect()
     assert (r.date, r.daily_active_users, r.total_events, r.total_sessions,
-            r.avg_events_per_user, r.avg_events_per_session) == ("2025-12-23", 6, 25, 6, 4.17, 4.17)
+            r.avg_events_per_user, r.avg_events_per_session) == ("2024-03-08", 4, 27, 5, 6.75, 5.4)
 
 
 def test_q03_threshold_and_counts(day):
     from clickweave.plans.library import _funnel_counts, q03_product_performance
     from pyspark.sql import functions as F
-    assert q03_product_performance(day).count() == 0
+    (r,) = q03_product_performance(day).collect()  # only the lamp has more than five views
+    assert tuple(r) == ("l-1", "Desk lamp", "Home", 6, 1, 1, 16.67, 100.0, 16.67)
     counts = rows_by(_funnel_counts(day.where(F.col("product_id").isNotNull()), ["product_id"]),
                      "product_id")
     got = {k: (v["views"], v["cart_adds"], v["purchases"]) for k, v in counts.items()}
-    assert got == {"kit-kettle": (1, 1, 1), "kit-sieve": (1, 1, 0), "gar-twine": (1, 0, 0),
-                   "gar-trowel": (1, 1, 1), "book-atlas": (1, 1, 0)}
+    assert got == {"t-1": (1, 1, 1), "m-1": (2, 1, 1), "l-1": (6, 1, 1)}
 
 
 def test_q04(day):
     from clickweave.plans.library import q04_hourly_activity
-    (r,) = q04_hourly_activity(day, AS_OF).collect()
-    assert (r.hour, r.event_count, r.unique_users, r.unique_sessions, r.purchase_rate) == \
-        (10, 25, 6, 6, 8.0)
+    got = [tuple(r) for r in q04_hourly_activity(day, AS_OF).collect()]
+    assert got == [(8, 12, 2, 2, 16.67), (21, 6, 2, 2, 0.0), (23, 9, 1, 1, 11.11)]
 
 
 def test_q05(day):
     from clickweave.plans.library import q05_session_funnel
     got = [tuple(r) for r in q05_session_funnel(day, AS_OF).collect()]
-    assert got == [("Product View", 4, 100.0, 0.0), ("Add to Cart", 4, 100.0, 0.0),
-                   ("Checkout Start", 2, 50.0, 50.0), ("Purchase", 2, 50.0, 0.0)]
+    # one session checked out, two bought: stages are independent
+    assert got == [("Product View", 3, 100.0, 0.0), ("Add to Cart", 3, 100.0, 0.0),
+                   ("Checkout Start", 1, 33.33, 66.67), ("Purchase", 2, 66.67, -100.0)]
 
 
 def test_q06(day):
     from clickweave.plans.library import q06_top_referrers
-    got = rows_by(q06_top_referrers(day), "referrer")
-    ex = got["https://example.com/"]
-    assert (ex["unique_users"], ex["sessions"], ex["total_events"], ex["purchases"]) == (2, 2, 2, 0)
-    for ref in ["https://google.com", "https://facebook.com", "https://bing.com"]:
-        assert got[ref]["unique_users"] == 1 and got[ref]["conversion_rate"] == 0.0
+    got = [tuple(r) for r in q06_top_referrers(day).collect()]  # the empty referrer is left out
+    assert got == [("https://news.example", 2, 2, 2, 0, 0.0), ("https://mail.example", 1, 1, 1, 0, 0.0)]
 
 
 def test_q07(day):
@@ -96,53 +94,55 @@ def test_q07(day):
     got = rows_by(q07_device_analysis(day), "device_type")
     pick = ("unique_users", "sessions", "total_events", "avg_events_per_session", "purchases",
             "session_conversion_rate")
-    assert tuple(got["desktop"][k] for k in pick) == (3, 3, 12, 2.83, 1, 33.33)
-    assert tuple(got["mobile"][k] for k in pick) == (2, 2, 7, 2.57, 0, 0.0)
-    assert tuple(got["tablet"][k] for k in pick) == (1, 1, 6, 3.5, 1, 100.0)
+    assert tuple(got["desktop"][k] for k in pick) == (2, 2, 8, 3.63, 2, 100.0)  # 29 / 8 = 3.625
+    assert tuple(got["mobile"][k] for k in pick) == (2, 2, 12, 4.25, 1, 50.0)
+    assert tuple(got["tablet"][k] for k in pick) == (1, 1, 5, 3.0, 0, 0.0)
 
 
 def test_q08_exact_half_rounds_up(day):
     from clickweave.plans.library import q08_daily_revenue
     (r,) = q08_daily_revenue(day).collect()
+    # 33.75 + 13.00 + 39.98; per user 43.365
     assert (r.purchasing_users, r.total_purchases, r.total_revenue, r.avg_order_value,
-            r.revenue_per_user) == (2, 2, 70.05, 35.03, 35.03)
+            r.revenue_per_user) == (2, 3, 86.73, 28.91, 43.37)
 
 
 def test_q09(day):
     from clickweave.plans.library import q09_session_duration
     got = {r.conversion_status: tuple(r)[1:] for r in q09_session_duration(day).collect()}
-    assert got == {"Converted": (2, 6.0, 667.0), "Not Converted": (4, 3.25, 302.0)}
+    # D lasts no time; the two events without a session are one group of 40 s
+    assert got == {"Converted": (2, 8.0, 160.0), "Not Converted": (3, 3.33, 86.67)}
 
 
 def test_q10(day):
     from clickweave.plans.library import q10_category_performance
     got = {r.product_category: tuple(r)[1:] for r in q10_category_performance(day).collect()}
-    assert got == {"Kitchen": (2, 2, 2, 2, 1, 45.25, 50.0),
-                   "Garden": (2, 1, 2, 1, 1, 24.8, 50.0),
-                   "Books": (1, 1, 1, 1, 0, 0.0, 0.0)}
+    assert got == {"Home": (1, 1, 6, 1, 1, 39.98, 16.67),
+                   "Kitchen": (1, 2, 2, 1, 1, 33.75, 50.0),
+                   "Pantry": (1, 2, 1, 1, 1, 13.0, 100.0)}
 
 
 def test_q11(day):
     from clickweave.plans.library import q11_new_vs_returning
     got = {r.user_type: tuple(r)[1:] for r in q11_new_vs_returning(day).collect()}
-    assert got == {"New User": (6, 6, 1.0, 0, 0.0), "Returning User": (6, 19, 3.53, 2, 33.33)}
+    assert got == {"New User": (4, 4, 1.0, 0, 0.0), "Returning User": (4, 23, 4.09, 3, 75.0)}
 
 
 def test_q12(day):
     from clickweave.plans.library import q12_latest_events
     got = q12_latest_events(day, AS_OF).collect()
-    assert len(got) == 25
+    assert len(got) == 27
     assert [r.timestamp for r in got] == sorted((r.timestamp for r in got), reverse=True)
 
 
 def test_dq_check(day):
     from clickweave.plans.library import dq_check
-    assert tuple(dq_check(day).first()) == (25, 25, 0, 6, 6, 13, 13)
+    assert tuple(dq_check(day).first()) == (27, 27, 0, 4, 5, 11, 11)
 
 
 def test_saved_queries(day):
     from clickweave.plans.library import nq1_event_distribution, nq3_product_performance
-    assert {r.event_type: r.event_count for r in nq1_event_distribution(day, AS_OF).collect()}["page_view"] == 6
+    assert {r.event_type: r.event_count for r in nq1_event_distribution(day, AS_OF).collect()}["page_view"] == 3
     assert nq3_product_performance(day).count() == 0
 
 
@@ -152,4 +152,4 @@ def test_library_as_sql_views(spark, day):
     assert "q09_session_duration" in views
     got = {r.conversion_status: r.session_count
            for r in spark.sql("SELECT * FROM q09_session_duration").collect()}
-    assert got == {"Converted": 2, "Not Converted": 4}
+    assert got == {"Converted": 2, "Not Converted": 3}
