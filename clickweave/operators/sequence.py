@@ -53,9 +53,9 @@ def hot_keys(sample: DataFrame, key: str, time_col: str, tie_col: str, *,
     big = (rows.groupBy("_hk").agg(F.count(F.lit(1)).alias("_hn"))
            .where(F.col("_hn") >= F.lit(min_hot_rows * sample_fraction))
            .withColumn("_nb", F.ceil(F.col("_hn") / F.lit(sample_fraction * rows_per_bucket))))
-    big = stored(big.withColumnRenamed("_hk", "_bk"), "sequence-keys")
-    if big.isEmpty():
+    if big.isEmpty():  # nothing is written for the usual run
         return None
+    big = stored(big.withColumnRenamed("_hk", "_bk"), "sequence-keys")
     # the sample is thinned to PER_BUCKET rows a bucket before it is gathered
     rate = F.col("_nb") * F.lit(float(PER_BUCKET)) / F.col("_hn")
     thin = (rows.join(big, F.col("_hk").eqNullSafe(F.col("_bk")))
@@ -113,21 +113,40 @@ def sequence_within(df: DataFrame, key: str, time_col: str, tie_col: str,
     if hot is None:
         return plain_sequence(df, key, time_col, tie_col, out)
 
+    one = _sums_by_bucket(df.withColumn("_one", F.lit(1)), hot, key, time_col, tie_col, {"_rn": "_one"})
+    return one.withColumn(out, F.col("_rn").cast("int")).drop("_one", "_rn")
+
+
+def _sums_by_bucket(df: DataFrame, hot: DataFrame, key: str, time_col: str, tie_col: str, sums: dict[str, str]) -> DataFrame:
+    """Running sums inside (key, bucket), plus the sums of the buckets before."""
     rows = bucketed(df, hot, key, time_col, tie_col)
     w = (Window.partitionBy(key, "_bucket")
-         .orderBy(F.col(time_col).asc_nulls_first(), F.col(tie_col).asc_nulls_first()))
-    numbered = rows.withColumn("_rn", F.row_number().over(w))
-    per_bucket = rows.where(F.col("_hot")).groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+         .orderBy(F.col(time_col).asc_nulls_first(), F.col(tie_col).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    local = rows.select("*", *[F.sum(c).over(w).alias(f"_w_{out}") for out, c in sums.items()])
+    per_bucket = rows.where(F.col("_hot")).groupBy(key, "_bucket").agg(*[F.sum(c).alias(f"_b_{out}") for out, c in sums.items()])
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        F.col(key).alias("_ok"), F.col("_bucket").alias("_ob"),
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    offsets = per_bucket.select(F.col(key).alias("_ok"), F.col("_bucket").alias("_ob"), *[
+        F.coalesce(F.sum(f"_b_{out}").over(before), F.lit(0)).alias(f"_o_{out}") for out in sums])
     buckets = hot.agg(F.sum(F.size("_edges") + 1)).first()[0]
     side = F.broadcast(offsets) if buckets * 128 <= MAX_BROADCAST_BYTES else offsets
-    joined = numbered.join(
-        side, F.col(key).eqNullSafe(F.col("_ok")) & (F.col("_bucket") == F.col("_ob")), "left")
-    seq = (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int")
-    return (joined.withColumn(out, seq).drop("_ok", "_ob", "_off", "_rn", "_bucket", "_hot"))
+    joined = local.join(side, F.col(key).eqNullSafe(F.col("_ok")) & (F.col("_bucket") == F.col("_ob")), "left")
+    done = [(F.col(f"_w_{out}") + F.coalesce(f"_o_{out}", F.lit(0))).alias(out) for out in sums]
+    return joined.select(*df.columns, *done)
+
+
+def running_sums(df: DataFrame, key: str, time_col: str, tie_col: str, sums: dict[str, str], *,
+                 sample_fraction: float = DEFAULT_SAMPLE_FRACTION, min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
+                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, seed: int = DEFAULT_SEED) -> DataFrame:
+    """``df`` with running sums (``sums``: result column to summed column) within
+    ``key``, by ``time_col`` then ``tie_col``, the row itself included; hot keys
+    are split like those of ``sequence_within``."""
+    hot = hot_keys(df.sample(fraction=sample_fraction, seed=seed), key, time_col, tie_col, sample_fraction=sample_fraction,
+                   min_hot_rows=min_hot_rows, rows_per_bucket=rows_per_bucket, seed=seed)
+    if hot is not None:
+        return _sums_by_bucket(df, hot, key, time_col, tie_col, sums)
+    w = (Window.partitionBy(key).orderBy(F.col(time_col).asc_nulls_first(), F.col(tie_col).asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    return df.select("*", *[F.sum(c).over(w).alias(out) for out, c in sums.items()])
 
 
 def plain_sequence(df: DataFrame, key: str, time_col: str, tie_col: str,

@@ -12,6 +12,8 @@ is the only shuffle; it is skew-safe (see ``operators.sequence``).
 from __future__ import annotations
 
 import datetime as _dt
+import logging
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +21,14 @@ from pyspark.sql import functions as F
 from clickweave.functions import finite_number
 from clickweave.operators import enrich, quality
 from clickweave.operators.sequence import sequence_within, session_start
+from clickweave.sources.json_events import MAX_NEW_FIELDS
 from clickweave.sources.schema import (
     CURATED_FIELDS, DROPPED_FIELDS, EXTRA_COLUMN, PARTITION_COLUMNS, RAW_FIELDS, curated_schema,
     extra_column,
 )
 
+log = logging.getLogger(__name__)
+
 
 def typed_numbers(df: DataFrame) -> DataFrame:
     """``price`` → DOUBLE, ``quantity`` → INT. What is not a finite number
@@ -81,12 +86,38 @@ def sequence_sample(sample_raw: DataFrame) -> DataFrame:
     return enrich.with_event_time(clean(sample_raw)).select("session_id", enrich.PARSED_TIME, "event_id")
 
 
-def written_days(landing: DataFrame) -> list[tuple]:
-    """The ``(year, month, day)`` partitions a run writes, ascending, a NULL day
-    for times that do not parse. At most the days of the calendar."""
+#: Days of one run that are registered by name; a run with more (producers with
+#: wrong clocks) has its partitions found by a repair.
+MAX_DAYS = 5000
+
+
+class LandedFacts(NamedTuple):
+    """``days``: the ``(year, month, day)`` partitions a run writes, ascending, a
+    NULL day for times that do not parse; None beyond ``MAX_DAYS``. ``fields``: the
+    new producer fields, sorted."""
+
+    days: list[tuple] | None
+    fields: list[str]
+
+
+def landed_facts(landing: DataFrame) -> LandedFacts:
+    """What a run must know before it writes, by one aggregation over the landed
+    rows; the driver gets at most ``MAX_DAYS`` days and ``MAX_NEW_FIELDS`` names."""
     timed = enrich.with_time_parts(enrich.with_event_time(clean(landing)))
-    days = timed.select(*PARTITION_COLUMNS).distinct().collect()
-    return sorted((tuple(r) for r in days), key=lambda d: tuple(x or "" for x in d))
+    days = F.array(F.struct(*PARTITION_COLUMNS, F.lit(None).cast("string").alias("field")))
+    names = F.transform(F.coalesce(F.map_keys(EXTRA_COLUMN), F.array().cast("array<string>")), lambda n: F.struct(
+        *[F.lit(None).cast("string").alias(c) for c in PARTITION_COLUMNS], n.alias("field"))) if EXTRA_COLUMN in landing.columns else None
+    told = (timed.select(F.inline(F.concat(days, names) if names is not None else days)).distinct()
+            .withColumn("is_day", F.col("field").isNull()))
+    rows = told.orderBy("is_day").limit(MAX_DAYS + MAX_NEW_FIELDS + 2).collect()
+    fields = sorted(r["field"] for r in rows if not r["is_day"])
+    if len(fields) > MAX_NEW_FIELDS:
+        raise ValueError(f"more than {MAX_NEW_FIELDS} new field names in one run")
+    found = [tuple(r[c] for c in PARTITION_COLUMNS) for r in rows if r["is_day"]]
+    if len(found) > MAX_DAYS:
+        log.warning("more than %d days in one run: partitions are registered by a repair", MAX_DAYS)
+        return LandedFacts(None, fields)
+    return LandedFacts(sorted(found, key=lambda d: tuple(x or "" for x in d)), fields)
 
 
 def transform(raw: DataFrame, processed_at: _dt.datetime | None = None,

@@ -14,17 +14,21 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.operators.quality import observe_run
+from clickweave.operators.session_runs import SessionRuns
 from clickweave.operators.sequence import DEFAULT_SAMPLE_FRACTION, DEFAULT_SEED
-from clickweave.plans.batch import run_stamp, transform, written_days
+from clickweave.plans.batch import landed_facts, run_stamp, transform
 from clickweave.session import stored
 from clickweave.sources import catalog
-from clickweave.sources.json_events import new_fields, read_raw_events, write_corrupt
+from clickweave.sources.json_events import read_raw_events, write_corrupt
 from clickweave.sources.sinks import read_curated, write_curated
 
+#: Options of the hot-key split, of both the run's numbering and its sums.
+SPLIT_OPTIONS = ("sample_fraction", "min_hot_rows", "rows_per_bucket", "seed")
 #: Event types printed by the command line.
 TYPES_SHOWN = 100
 
@@ -61,30 +65,47 @@ def prepare_batch(landing: DataFrame, stamp: _dt.datetime, extra: list[str] = ()
                      sample_raw=landing.sample(fraction=fraction, seed=seed), **seq_opts)
 
 
-def in_days(days: list[tuple]):
+def in_days(days: list[tuple] | None):
     """Filter on partition columns only (so it prunes): one membership test of
-    the day's text, and the default partition when a day is NULL."""
+    the day's text, and the default partition when a day is NULL; all days when
+    they are too many to name (None)."""
+    if days is None:
+        return F.lit(True)
     known = ["-".join(d) for d in days if None not in d]
     cond = F.concat("year", F.lit("-"), "month", F.lit("-"), "day").isin(known)
     return cond | F.col("year").isNull() if len(known) < len(days) else cond
 
 
+def stored_rows(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table's rows; None before its first run."""
+    try:
+        return read_curated(spark, target)
+    except AnalysisException:
+        return None
+
+
 def run_batch(spark: SparkSession, source: str, target: str, database: str | None = None,
               table: str = catalog.DEFAULT_TABLE, layout: str = "lines",
               errors_path: str | None = None, processed_at: _dt.datetime | None = None,
-              spread_lines: bool = False, **seq_opts) -> RunResult:
+              spread_lines: bool = False, sessions: SessionRuns | None = None, **seq_opts) -> RunResult:
     """S5. Transform every raw file under ``source`` and append the result to
     the partitioned table at ``target``; register it in ``database`` when
     given. Malformed records go to ``errors_path`` when given. Fields that
-    producers added become text columns of the files and of the table."""
+    producers added become text columns of the files and of the table.
+
+    ``sessions``: the table's session totals; positions then go on from the
+    session's earlier runs (read the table through ``sessions.read``)."""
     stamp = processed_at or run_stamp()
     landing, counters = land(spark, source, layout, spread_lines)
-    extra = new_fields(landing)
+    days, extra = landed_facts(landing)
     curated = prepare_batch(landing, stamp, extra, **seq_opts)
-    days = written_days(landing)
     if errors_path and counters.get("corrupt_records", 0) > 0:
         write_corrupt(landing, errors_path)
+    if sessions:
+        curated = sessions.begin(curated, stored_rows(spark, target), **{k: v for k, v in seq_opts.items() if k in SPLIT_OPTIONS})
     write_curated(curated, target)
+    if sessions:
+        sessions.commit()
     name = None
     if database:
         name = catalog.register_table(spark, target, database, table, days=days)
@@ -133,6 +154,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--layout", choices=["lines", "array"], default="lines")
     ap.add_argument("--errors-path", default=None)
     ap.add_argument("--spread-lines", action="store_true")
+    ap.add_argument("--sessions", default=None,
+                    help="folder of the table's session totals: positions go on across runs (needs --database)")
     ap.add_argument("--catalog", choices=["session", "hive"], default="session",
                     help="hive: use the metastore that the cluster configures")
     args = ap.parse_args(argv)
@@ -140,7 +163,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(app="clickweave-batch", extra=extra)
     run = run_batch(spark, args.source, args.target, database=args.database, table=args.table,
                     layout=args.layout, errors_path=args.errors_path,
-                    spread_lines=args.spread_lines)
+                    spread_lines=args.spread_lines,
+                    sessions=SessionRuns(spark, args.sessions, args.database, args.table) if args.sessions else None)
     summary = run.summary().first().asDict()
     # event types are free text: the most frequent ones, and how many there are
     counts = run.type_counts()

@@ -46,9 +46,7 @@ def stream_error_route(spark, sf):
     """T2. Each micro-batch split into well-formed and malformed lines."""
     good, errors = scratch_path(spark, "good"), scratch_path(spark, "errors")
     lines = ingest.read_lines_stream(spark, fixtures.raw_zone(spark, sf), max_files_per_trigger=32)
-    q = (lines.writeStream.option("checkpointLocation", scratch_path(spark, "ck-route"))
-         .foreachBatch(ingest.route_errors(good, errors)).trigger(availableNow=True).start())
-    q.awaitTermination()
+    ingest.error_routing(lines, good, errors, scratch_path(spark, "ck-route")).awaitTermination()
     g = spark.read.text(good).agg(F.lit("good").alias("kind"), _count().alias("records"))
     e = spark.read.text(errors).agg(F.lit("error").alias("kind"), _count().alias("records"))
     return g.unionByName(e)

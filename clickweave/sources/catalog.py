@@ -8,7 +8,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.sources.schema import curated_ddl
+from clickweave.sources.schema import BATCH_COLUMN, PARTITION_COLUMNS, curated_ddl
 
 log = logging.getLogger(__name__)
 
@@ -28,26 +28,33 @@ def create_database(spark: SparkSession, database: str = DEFAULT_DATABASE) -> No
 
 def register_table(spark: SparkSession, location: str, database: str = DEFAULT_DATABASE,
                    table: str = DEFAULT_TABLE, replace: bool = False,
-                   days: list[tuple] | None = None) -> str:
+                   days: list[tuple] | None = None, batch: str | None = None) -> str:
     """K5 + K7. External partitioned Parquet table over ``location`` with the
     curated columns. A table created now has its partitions discovered by a
     full repair; an existing one only gets the ``days`` just written (when
-    known). Returns the qualified name."""
+    known). ``batch``: the micro-batch that wrote them; its table has the batch
+    as one more partition column. Returns the qualified name."""
     create_database(spark, database)
     name = f"{database}.{table}"
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: files stay
     existed = spark.catalog.tableExists(name)
-    spark.sql(curated_ddl(name, location))
+    spark.sql(curated_ddl(name, location, batched=batch is not None))
+    if existed and partition_columns(spark, name) != PARTITION_COLUMNS + [BATCH_COLUMN] * (batch is not None):
+        raise ValueError(f"{name} is partitioned by {partition_columns(spark, name)}: runs and streams append to tables of their own")
     if existed and days is not None:
-        add_partitions(spark, name, days)
+        add_partitions(spark, name, days if batch is None else [(*d, batch) for d in days])
     else:
         repair_partitions(spark, name)
     return name
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def _partition_spec(day: tuple) -> str:
-    values = ", ".join(f"{c}={'NULL' if v is None else repr(v)}" for c, v in zip(("year", "month", "day"), day))
+    values = ", ".join(f"{c}={'NULL' if v is None else repr(v)}" for c, v in zip((*PARTITION_COLUMNS, BATCH_COLUMN), day))
     return f"PARTITION ({values})"
 
 
@@ -97,7 +104,7 @@ def evolve_schema(spark: SparkSession, name: str, df: DataFrame) -> tuple[list[s
     older files keep their values). Returns ``(added, missing)``."""
     table_cols = {f.name: f for f in spark.table(name).schema.fields}
     added = [f for f in df.schema.fields if f.name not in table_cols]
-    missing = [c for c in table_cols if c not in set(df.columns)]
+    missing = [c for c in table_cols if c not in {*df.columns, BATCH_COLUMN}]
     if added:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")

@@ -54,19 +54,6 @@ def parse_json_lines(lines: DataFrame, text_col: str = LINE_COLUMN,
                          F.when(F.size(other) > 0, other).alias(EXTRA_COLUMN), *extra)
 
 
-def new_fields(landing: DataFrame) -> list[str]:
-    """Names of the fields in ``_extra``, sorted. Producers control them, so
-    more than ``MAX_NEW_FIELDS`` raise an error."""
-    if EXTRA_COLUMN not in landing.columns:
-        return []
-    names = (landing.where(F.col(EXTRA_COLUMN).isNotNull() & F.col(CORRUPT_COLUMN).isNull())
-             .select(F.explode(F.map_keys(EXTRA_COLUMN)).alias("name")).distinct()
-             .limit(MAX_NEW_FIELDS + 1).collect())
-    if len(names) > MAX_NEW_FIELDS:
-        raise ValueError(f"more than {MAX_NEW_FIELDS} new field names in one run")
-    return sorted(r["name"] for r in names)
-
-
 def read_json_lines_text(spark: SparkSession, path: str) -> DataFrame:
     """Text lines of every file under ``path`` (sub-folders included; ``.gz``
     decoded by extension). Folder names such as ``year=…`` are not turned into

@@ -46,6 +46,8 @@ LANDING_SCHEMA = T.StructType(
 )
 
 PARTITION_COLUMNS = ["year", "month", "day"]
+# One more partition column of tables that streams append to (streaming.batches).
+BATCH_COLUMN = "batch"
 
 # Curated table: kept raw fields, then the derived ones, partitions last.
 CURATED_FIELDS = [
@@ -82,7 +84,7 @@ CURATED_COLUMNS = [n for n, _ in CURATED_FIELDS]
 def extra_column(field: str) -> str:
     """Table column of a new producer field; a name that a table column has
     already is prefixed."""
-    taken = {n.lower() for n, _ in CURATED_FIELDS}
+    taken = {BATCH_COLUMN, *(n.lower() for n, _ in CURATED_FIELDS)}
     return f"raw_{field}" if field.lower() in taken else field
 
 
@@ -93,10 +95,11 @@ def curated_schema(extra: list[str] = ()) -> T.StructType:
     return T.StructType([*stored, *[T.StructField(extra_column(n), T.StringType(), True) for n in extra], *parts])
 
 
-def curated_ddl(table: str, location: str) -> str:
-    """CREATE TABLE statement for the curated table at ``location``."""
-    cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
-                        for f in CURATED_SCHEMA.fields)
-    parts = ", ".join(PARTITION_COLUMNS)
+def curated_ddl(table: str, location: str, batched: bool = False) -> str:
+    """CREATE TABLE statement for the curated table at ``location``; ``batched``
+    tables have a partition level more, one folder a micro-batch."""
+    fields = [*CURATED_SCHEMA.fields, *([T.StructField(BATCH_COLUMN, T.StringType())] if batched else [])]
+    cols = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in fields)
+    parts = ", ".join([*PARTITION_COLUMNS, *([BATCH_COLUMN] if batched else [])])
     return (f"CREATE TABLE IF NOT EXISTS {table} (\n  {cols}\n) USING parquet "
             f"PARTITIONED BY ({parts}) LOCATION '{location}'")

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.sources.schema import PARTITION_COLUMNS, curated_schema
+from clickweave.streaming.batches import replacing
 
 
 def write_curated(df: DataFrame, path: str, mode: str = "append", compact: bool = True,
-                  writer=None) -> None:
+                  batch: str | None = None) -> None:
     """K1. Parquet (snappy), partitioned by ``year/month/day``.
 
     ``compact``: ``REBALANCE`` on the partition columns lets AQE cut the rows
@@ -18,14 +19,12 @@ def write_curated(df: DataFrame, path: str, mode: str = "append", compact: bool
     task writing one small file per day it saw. It costs one shuffle of the
     output; a run that covers one or two days with large tasks can skip it.
 
-    ``writer`` (frame → writer) replaces ``df.write.mode(mode)``: the streaming
-    sink names files by batch there."""
+    ``batch``: key of a micro-batch; its rows go under ``batch=<key>`` below the
+    day, replacing what an earlier attempt of the same batch left."""
     if compact:
         df = df.hint("rebalance", *PARTITION_COLUMNS)
-    ((writer(df) if writer else df.write.mode(mode))
-       .partitionBy(*PARTITION_COLUMNS)
-       .option("compression", "snappy")
-       .parquet(path))
+    writer = replacing(df, batch, PARTITION_COLUMNS) if batch else df.write.mode(mode).partitionBy(*PARTITION_COLUMNS)
+    writer.option("compression", "snappy").parquet(path)
 
 
 def read_curated(spark, path: str, merge_schema: bool = False, extra: list[str] = ()) -> DataFrame:
@@ -37,7 +36,8 @@ def read_curated(spark, path: str, merge_schema: bool = False, extra: list[str]
     reader = spark.read.option("basePath", path)
     if merge_schema:
         return reader.option("mergeSchema", "true").parquet(path)
-    return reader.schema(curated_schema(extra)).parquet(path)
+    schema = curated_schema(extra)
+    return reader.schema(schema).parquet(path).select(*[f"`{n}`" for n in schema.names])
 
 
 def write_result_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -5,9 +5,10 @@ gzip). Every query keeps its progress in a checkpoint folder, so a restart —
 or a second run with ``availableNow`` — only processes files it has not
 committed yet (the "job bookmark" of the batch world).
 
-``foreachBatch`` sinks append through ``streaming.commit``: a replayed batch
-replaces what an earlier attempt left and never repeats or loses rows, whatever
-stream or checkpoint writes to the same table.
+``foreachBatch`` sinks write each micro-batch under a partition of its own
+(``streaming.batches``): a replayed batch replaces what an earlier attempt left
+and never repeats or loses rows, whatever stream or checkpoint writes to the same
+place.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.operators.enrich import PARSED_TIME
-from clickweave.plans.batch import transform, written_days
+from clickweave.plans.batch import landed_facts, transform
 from clickweave.session import stored
 from clickweave.sources import catalog
-from clickweave.sources.json_events import corrupt_lines, new_fields, parse_json_lines
+from clickweave.sources.json_events import corrupt_lines, parse_json_lines
 from clickweave.sources.schema import CORRUPT_COLUMN, PARTITION_COLUMNS
 from clickweave.sources.sinks import write_curated
-from clickweave.streaming.commit import BatchCommit
+from clickweave.streaming.batches import batch_key, replacing
 
 
 def _trigger(writer, trigger: str | None):
@@ -60,6 +61,8 @@ def deliver_raw(spark: SparkSession, inbox: str, raw_zone: str, checkpoint: str,
     return _trigger(writer, trigger).start(raw_zone)
 
 
+#: Arrival date of a line, when the stream's plan gives it.
+ARRIVED = "_arrived"
 #: Error type of a line that is not one JSON object (a fixed label).
 MALFORMED = "malformed-json"
 
@@ -67,54 +70,53 @@ MALFORMED = "malformed-json"
 def route_errors(good_path: str, error_path: str):
     """T2. ``foreachBatch`` function: each line is parsed once (typed rows go to
     the shared work folder); well-formed lines are appended under
-    ``good_path/year=/month=/day=`` of their arrival date, malformed ones under
-    ``error_path/error_type=/year=/month=/day=``."""
+    ``good_path/year=/month=/day=/batch=`` of their arrival date, malformed ones
+    under ``error_path/error_type=/year=/month=/day=/batch=``. The arrival date
+    is that of the first attempt: it is taken in the stream's own plan, where
+    Spark fixes it a batch."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        good, bad = (BatchCommit(spark, path, batch_id) for path in (good_path, error_path))
-        if good.done() and bad.done():
+        key = batch_key(spark, batch_id)
+        lines = batch if ARRIVED in batch.columns else batch.withColumn(ARRIVED, F.current_date())
+        day = lines.agg(F.min(ARRIVED)).first()[0]
+        if day is None:
             return
-        parsed = parse_json_lines(batch, keep_line=True).select(
+        tagged = stored(parse_json_lines(lines, keep_line=True).select(
             F.col("_line").alias("value"), F.col(CORRUPT_COLUMN).isNotNull().alias("_bad"),
-            *[F.date_format(F.current_date(), f).alias(c) for c, f in zip(PARTITION_COLUMNS, ("yyyy", "MM", "dd"))])
-        tagged = stored(parsed, "routed")
-        for commit, rows, columns in (
-                (good, tagged.where(~F.col("_bad")), PARTITION_COLUMNS),
-                (bad, tagged.where("_bad").withColumn("error_type", F.lit(MALFORMED)), ["error_type", *PARTITION_COLUMNS])):
-            if not commit.done():
-                commit.begin(len(columns))
-                commit.named(rows.select("value", *columns)).partitionBy(*columns).text(commit.target)
-                commit.finish()
+            *[F.lit(day.strftime(f)).alias(c) for c, f in zip(PARTITION_COLUMNS, ("%Y", "%m", "%d"))]), "routed")
+        bad = tagged.where("_bad").withColumn("error_type", F.lit(MALFORMED))
+        replacing(tagged.where(~F.col("_bad")).select("value", *PARTITION_COLUMNS), key, PARTITION_COLUMNS).text(good_path)
+        errors = ["error_type", *PARTITION_COLUMNS]
+        replacing(bad.select("value", *errors), key, errors).text(error_path)
     return run
 
 
+def error_routing(lines: DataFrame, good_path: str, error_path: str, checkpoint: str, trigger: str | None = "availableNow"):
+    """T2 as a started query over a stream of lines."""
+    writer = (lines.withColumn(ARRIVED, F.current_date()).writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(route_errors(good_path, error_path)))
+    return _trigger(writer, trigger).start()
+
+
 def transform_batches(target: str, database: str | None = None,
                       table: str = catalog.DEFAULT_TABLE, processed_at=None,
                       errors_path: str | None = None, **seq_opts):
     """T3. ``foreachBatch`` function: the batch transform applied to each
-    micro-batch of raw lines, appended to the partitioned table; the new
-    partitions are registered when a database is given. Sequences are
+    micro-batch of raw lines, written under the batch's own partitions of
+    the table, which are registered when a database is given. Sequences are
     numbered within the batch, as a batch run numbers within its run."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        commit = BatchCommit(spark, target, batch_id)
-        if commit.done():
-            return
+        key = batch_key(spark, batch_id)
         landing = stored(parse_json_lines(batch), "landed")
-        extra = new_fields(landing)
-        curated = transform(landing, processed_at=processed_at, extra=extra, **seq_opts)
-        commit.begin(len(PARTITION_COLUMNS))
-        write_curated(curated, target, writer=commit.named)
+        facts = landed_facts(landing)
+        curated = transform(landing, processed_at=processed_at, extra=facts.fields, **seq_opts)
+        write_curated(curated, target, batch=key)
         if errors_path:
-            errors = BatchCommit(spark, errors_path, batch_id, commit.query)
-            errors.begin(0)
-            errors.named(corrupt_lines(landing)).text(errors_path)
-            errors.finish()
+            replacing(corrupt_lines(landing), key, []).text(errors_path)
         if database:
-            days = written_days(landing)
-            name = catalog.register_table(spark, target, database, table, days=days)
+            name = catalog.register_table(spark, target, database, table, days=facts.days, batch=key)
             catalog.evolve_schema(spark, name, curated)
-        commit.finish()
     return run
 
 

@@ -4,6 +4,7 @@ import datetime as _dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickweave.plans.batch import transform
@@ -57,10 +58,7 @@ def test_error_routing(spark):
     raw = scratch_path(spark, "t-raw2")
     _drop(raw, "a.json", _lines(10))
     good, bad = scratch_path(spark, "t-good"), scratch_path(spark, "t-bad")
-    q = (ingest.read_lines_stream(spark, raw).writeStream
-         .option("checkpointLocation", scratch_path(spark, "t-ck2"))
-         .foreachBatch(ingest.route_errors(good, bad)).trigger(availableNow=True).start())
-    q.awaitTermination()
+    ingest.error_routing(ingest.read_lines_stream(spark, raw), good, bad, scratch_path(spark, "t-ck2")).awaitTermination()
     assert spark.read.text(good).count() == 10
     assert [r.value for r in spark.read.text(bad).collect()] == ["{broken"]
 
@@ -185,13 +183,13 @@ def test_stream_registers_new_days(spark):
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     ingest.incremental_transform(spark, raw, target, ck, database=catalog.DEFAULT_DATABASE,
                                  table="t_stream", processed_at=STAMP).awaitTermination()
-    assert [r[0] for r in catalog.show_partitions(spark, name).collect()] == \
-        ["year=2025/month=05/day=03"]
+    def days():
+        return sorted(r[0].rsplit("/batch=", 1)[0] for r in catalog.show_partitions(spark, name).collect())
+    assert days() == ["year=2025/month=05/day=03"]
     _drop(raw, "b.json", [ln.replace('"e0', '"k0') for ln in _lines(10, day=4)[:-1]])
     ingest.incremental_transform(spark, raw, target, ck, database=catalog.DEFAULT_DATABASE,
                                  table="t_stream", processed_at=STAMP).awaitTermination()
-    parts = sorted(r[0] for r in catalog.show_partitions(spark, name).collect())
-    assert parts == ["year=2025/month=05/day=03", "year=2025/month=05/day=04"]
+    assert days() == ["year=2025/month=05/day=03", "year=2025/month=05/day=04"]
     assert spark.table(name).count() == 20
 
 
@@ -212,8 +210,8 @@ def test_two_streams_and_a_new_checkpoint_share_a_target(spark):
 
 
 def test_replay_after_a_crash_repeats_nothing(spark, monkeypatch):
-    """A batch that fails after its append, before it is registered and marked,
-    is written once when it is replayed, and registered."""
+    """A batch that fails after its write, before it is registered, stands there
+    once when it is replayed, and is registered."""
     target = scratch_path(spark, "t-crash")
     batch = spark.createDataFrame([(x,) for x in _events("c", 10)], "value string")
     name = f"{catalog.DEFAULT_DATABASE}.t_crash"
@@ -231,7 +229,8 @@ def test_replay_after_a_crash_repeats_nothing(spark, monkeypatch):
             pass
     monkeypatch.setattr(catalog, "register_table", real)
     run(batch, 0)
-    run(batch, 0)  # done: skipped
+    run(batch, 0)  # again: it replaces itself
+    run(spark.createDataFrame([], "value string"), 1)  # an empty batch
     assert sinks.read_curated(spark, target).count() == 10
     assert spark.table(name).count() == 10
 
@@ -241,28 +240,67 @@ def test_errors_lie_under_type_and_date_and_survive_new_checkpoints(spark):
     for k in range(2):
         raw = scratch_path(spark, "t-er")
         _drop(raw, "a.json", _events(f"x{k}", 5) + ["{broken", json.dumps({"a": 1}) + json.dumps({"b": 2})])
-        (ingest.read_lines_stream(spark, raw).writeStream.option("checkpointLocation", scratch_path(spark, "ck-er"))
-         .foreachBatch(ingest.route_errors(good, bad)).trigger(availableNow=True).start()).awaitTermination()
+        ingest.error_routing(ingest.read_lines_stream(spark, raw), good, bad, scratch_path(spark, "ck-er")).awaitTermination()
     assert spark.read.text(good).count() == 10
     errors = spark.read.text(bad)
-    assert errors.columns == ["value", "error_type", "year", "month", "day"] and errors.count() == 4
+    assert errors.columns == ["value", "error_type", "year", "month", "day", "batch"] and errors.count() == 4
     assert errors.select("error_type").distinct().collect()[0][0] == ingest.MALFORMED
 
 
-def test_monitor_replay_and_repeats(spark):
-    root = scratch_path(spark, "t-mon")
-    one = spark.createDataFrame([(x,) for x in _events("m", 6)], "value string")
-    sink = monitor.latest_events_sink(root, n=4)
-    sink(one, 0)
-    first = [tuple(r) for r in monitor.read_latest(spark, root).collect()]
-    sink(one, 0)  # replay of the newest batch
-    assert [tuple(r) for r in monitor.read_latest(spark, root).collect()] == first and len(first) == 4
-    sink(one, 1)  # the same rows in a later batch
-    assert [tuple(r) for r in monitor.read_latest(spark, root).collect()] == first
+def _monitored(spark, raw, root, checkpoint, n=4):
+    lines = ingest.read_lines_stream(spark, raw, max_files_per_trigger=1)
+    monitor.live_monitor(spark, lines, root, checkpoint, n=n, buckets=3).awaitTermination()
+    return [tuple(r) for r in monitor.read_latest(spark, root).collect()]
+
+
+def test_monitor_restart_and_repeats(spark):
+    raw, root, ck = (scratch_path(spark, x) for x in ("t-mon-in", "t-mon", "ck-mon"))
+    assert monitor.read_latest(spark, root) is None
+    _drop(raw, "a.json", _events("m", 6) + _events("bad", 2, timestamp="garbage"))
+    first = _monitored(spark, raw, root, ck)
+    assert [r[0] for r in first] == [f"2025-05-05T10:0{i}:00.000Z" for i in (5, 4, 3, 2)]
+    _drop(raw, "b.json", _events("m", 6))  # the same rows in a later batch
+    assert _monitored(spark, raw, root, ck) == first
     for k in range(2, 5):
-        sink(spark.createDataFrame([(x,) for x in _events(f"n{k}", 2, day=5 + k)], "value string"), k)
-    assert len(monitor._snapshots(spark, root)) == monitor.KEPT_SNAPSHOTS
-    assert len(monitor.read_latest(spark, root).collect()) == 4
+        _drop(raw, f"n{k}.json", _events(f"n{k}", 2, day=5 + k))
+    got = _monitored(spark, raw, root, ck)  # a restart goes on from its state
+    assert [r[0][8:10] for r in got] == ["09", "09", "08", "08"]
+
+
+def test_monitor_replay_gives_the_same_rows(spark, monkeypatch):
+    """A batch that fails after its view was written is replayed on restart."""
+    raw, root, ck = (scratch_path(spark, x) for x in ("t-rep-in", "t-rep", "ck-rep"))
+    _drop(raw, "a.json", _events("r", 9) + [ln.replace("page_view", "search") for ln in _events("r", 3)])
+    real = monitor.replace_lists
+    def failing(path):
+        write = real(path)
+        def run(batch, batch_id):
+            write(batch, batch_id)
+            raise RuntimeError("lost")
+        return run
+    monkeypatch.setattr(monitor, "replace_lists", failing)
+    try:
+        _monitored(spark, raw, root, ck)
+        raise AssertionError("the crash was swallowed")
+    except Exception as error:
+        assert "lost" in str(error)
+    before = [tuple(r) for r in monitor.read_latest(spark, root).collect()]
+    monkeypatch.setattr(monitor, "replace_lists", real)
+    assert _monitored(spark, raw, root, ck) == before and len(before) == 4
+
+
+def test_monitor_equals_the_sorted_table(spark):
+    import random
+    r = random.Random(8)
+    rows = [[f"e{r.randrange(60)}", r.choice([None, *range(40)]), *[str(r.randrange(3))] * 9] for _ in range(400)]
+    held = []
+    for at in range(0, 400, 37):
+        held = monitor.merged(held, rows[at:at + 37], 60)
+    best = {}
+    for row in rows:
+        if row[0] not in best or monitor._newer(row, best[row[0]]):
+            best[row[0]] = row
+    assert held == sorted(best.values(), key=monitor._rank)
 
 
 def test_dedup_state_crosses_batches_and_untimed_events_are_given(spark):
@@ -292,10 +330,14 @@ def test_new_fields_reach_the_table(spark):
     assert run.written.select("campaign").distinct().collect()[0][0] == "spring"
     stream = scratch_path(spark, "t-new3")
     _drop(stream, "c.json", _events("q", 1, day=7, coupon="x"))
-    ingest.incremental_transform(spark, stream, target, scratch_path(spark, "ck-new"), database=catalog.DEFAULT_DATABASE,
-                                 table="t_new", processed_at=STAMP).awaitTermination()
-    spark.catalog.refreshTable(name)
-    assert spark.table(name).where("coupon = 'x'").count() == 1
+    live = f"{catalog.DEFAULT_DATABASE}.t_new_live"
+    spark.sql(f"DROP TABLE IF EXISTS {live}")
+    ingest.incremental_transform(spark, stream, scratch_path(spark, "t-new-live"), scratch_path(spark, "ck-new"),
+                                 database=catalog.DEFAULT_DATABASE, table="t_new_live", processed_at=STAMP).awaitTermination()
+    spark.catalog.refreshTable(live)
+    assert spark.table(live).where("coupon = 'x'").count() == 1
+    with pytest.raises(ValueError, match="tables of their own"):
+        catalog.register_table(spark, target, table="t_new", days=[], batch="direct-0")
 
 
 def test_run_over_many_days_with_a_bad_time(spark):
