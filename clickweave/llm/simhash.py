@@ -5,22 +5,27 @@ the length of the first, up to 15. Each term's hash votes with its weight for or
 every bit; the sign of the sum is the fingerprint's bit. Two bits share one
 64-bit sum (each half is below 2**32), so the votes are 64 plain SQL sums.
 
-``within`` finds all fingerprints inside a Hamming radius: fingerprints are
-cut into radius + 1 blocks; two that differ in at most ``radius`` bits agree in a
+``within`` finds all fingerprints inside a Hamming radius of 3: fingerprints are
+cut into four blocks of 32 bits; two that differ in at most 3 bits agree in a
 whole block, so one table per block, keyed by (block, value), is joined by
-equality and the distance checked. It works on distinct fingerprints: copies
-cost nothing.
+equality and the distance checked. Values that many fingerprints share (a group
+of near copies) are keyed by 32 bits more: of the other six half blocks at least
+three agree, so two of the first three or two of the last three do, which makes
+six permuted tables of 64 agreeing bits. It works on distinct fingerprints:
+copies cost nothing.
 
-``neighbours`` gives each row the row that follows in doc_id order without one
+``followed`` gives each row the row that follows in doc_id order without one
 global sort: quantiles of doc_id cut the table into ranges of about ``RANGE``
 rows, ``lead`` runs inside a range, and a range's last row takes the first row
-of the next range. Texts are shuffled once.
+of the next range (one window over the range numbers alone says which). Texts are
+shuffled once; the sums are taken where the texts lie.
 
 DataFrame and SQL functions only.
 
 Edge cases: a null text counts as empty; without words all bits are 0; null
 doc_id comes first, ordered by text hash and cut by it; rows of one doc_id are
-ordered by text hash; the only row of a table follows itself; an empty table
+ordered by text hash; a very long text is one row, its terms are summed as they
+are split off; the only row of a table follows itself; an empty table
 gives no rows. Columns of the input other than doc_id and text are not used.
 """
 
@@ -67,9 +72,9 @@ def bits(part: int) -> Column:
     return out
 
 
-def text_form(high: str, low: str) -> Column:
-    """Both halves as 32 hex digits."""
-    return F.concat(*[F.lpad(F.lower(F.hex(c)), 16, "0") for c in (high, low)])
+def text_form(*longs: str) -> Column:
+    """Longs as 16 hex digits each."""
+    return F.concat(*[F.lpad(F.lower(F.hex(c)), 16, "0") for c in longs])
 
 
 def likeness(a: tuple[str, str], b: tuple[str, str]) -> Column:
@@ -97,11 +102,11 @@ def ranges(docs: DataFrame) -> Column:
 def followed(rows: DataFrame, order: list[str], values: list[str], name: str) -> DataFrame:
     """Adds next_<value> of the row that follows in (part, order); the last row
     is followed by the first. Rows must carry ``part``."""
-    firsts = rows.groupBy("part").agg(*[F.min_by(v, F.struct(*order)).alias(v) for v in values])
+    firsts = stored(rows.groupBy("part").agg(*[F.min_by(F.struct(v), F.struct(*order)).alias(v) for v in values]), name)
     line = W.orderBy("part")
     whole = line.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    firsts = stored(firsts.select(F.col("part").alias("_p"), *[
-        F.coalesce(F.lead(F.struct(v)).over(line), F.first(F.struct(v)).over(whole))[v].alias(f"first_{v}") for v in values]), name)
+    after = firsts.select(F.col("part").alias("_p"), F.coalesce(F.lead("part").over(line), F.first("part").over(whole)).alias("_after"))
+    firsts = stored(after.join(firsts, F.col("_after") == F.col("part")).select("_p", *[F.col(v)[v].alias(f"first_{v}") for v in values]), name)
     size = sum((F.coalesce(F.octet_length(F.col(f"first_{v}").cast("string")), F.lit(0)) for v in values), F.lit(16))
     inside = W.partitionBy("part").orderBy(*order)
     led = rows.select("*", F.row_number().over(inside).alias("place"),
@@ -111,39 +116,72 @@ def followed(rows: DataFrame, order: list[str], values: list[str], name: str) ->
         F.when(F.col(f"lead_{v}").isNotNull(), F.col(f"lead_{v}")[v]).otherwise(F.col(f"first_{v}")).alias(f"next_{v}") for v in values])
 
 
+#: Fingerprints of one block value beyond which it is keyed by more bits.
+MANY = 64
+#: Pairs of the six half blocks outside a block, two of the first or last three.
+_PAIRS = [(0, 1), (0, 2), (1, 2), (3, 4), (3, 5), (4, 5)]
+
+
+def _bits_at(start: int, width: int) -> Column:
+    """``width`` bits of (hi, lo) from bit ``start`` on, inside one half."""
+    half, at = ("hi", start) if start < 64 else ("lo", start - 64)
+    return F.shiftrightunsigned(half, at).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _blocks() -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("block"), _bits_at(32 * i, 32).alias("value")) for i in range(BITS // 32)])
+
+
+def _more_bits() -> Column:
+    """array<struct<pair, rest>>: the six 32-bit keys outside the row's block."""
+    out = None
+    for block in range(BITS // 32):
+        halves = [_bits_at(16 * k, 16) for k in range(BITS // 16) if k // 2 != block]
+        keys = F.array(*[F.struct(F.lit(i).alias("pair"), F.shiftleft(halves[x], 16).bitwiseOR(halves[y]).alias("rest"))
+                         for i, (x, y) in enumerate(_PAIRS)])
+        out = keys if out is None else F.when(F.col("block") == block, keys).otherwise(out)
+    return out
+
+
 def within(asked: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs (q_hi, q_lo, hi, lo) of asked and table fingerprints (columns hi,
-    lo; distinct rows) at most ``radius`` bits apart."""
-    blocks = radius + 1
-    if BITS % blocks or 64 % (BITS // blocks):
-        raise ValueError("radius + 1 must divide the bits into blocks of one half")
-    width = BITS // blocks
-    mask = F.lit((1 << width) - 1 if width < 64 else -1)
-
-    def cut() -> Column:
-        halves = [(h, s) for h in ("hi", "lo") for s in range(0, 64, width)]
-        return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(h, s).bitwiseAND(mask).alias("value"))
-                         for i, (h, s) in enumerate(halves)])
-    a = asked.select("hi", "lo").distinct().select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), F.inline(cut()))
-    b = table.select("hi", "lo").distinct().select("hi", "lo", F.inline(cut()))
+    lo; distinct rows) at most ``radius`` (up to 3) bits apart."""
+    if not 0 <= radius <= 3:
+        raise ValueError("the block tables find fingerprints up to 3 bits apart")
+    a, b = (x.select("hi", "lo").distinct().select("hi", "lo", F.inline(_blocks())) for x in (asked, table))
+    full = b.groupBy("block", "value").agg(F.count("*").alias("m")).where(F.col("m") > MANY).select("block", "value")
+    full = stored(full, "simhash-full")
+    side = maybe_broadcast(full.withColumn("full", F.lit(True)), 16)
+
+    def keyed(x: DataFrame) -> DataFrame:
+        some = x.join(side, ["block", "value"], "left")
+        keys = F.when(F.col("full"), _more_bits()).otherwise(F.array(F.struct(F.lit(-1).alias("pair"), F.lit(0).cast("long").alias("rest"))))
+        return some.select("hi", "lo", "block", "value", F.inline(keys))
+    a = keyed(a).withColumnsRenamed({"hi": "q_hi", "lo": "q_lo"})
     near = F.bit_count(F.col("hi").bitwiseXOR(F.col("q_hi"))) + F.bit_count(F.col("lo").bitwiseXOR(F.col("q_lo"))) <= radius
-    return a.join(b, ["block", "value"]).where(near).select("q_hi", "q_lo", "hi", "lo").distinct()
+    return a.join(keyed(b), ["block", "value", "pair", "rest"]).where(near).select("q_hi", "q_lo", "hi", "lo").distinct()
 
 
 def fingerprints(rows: DataFrame, text: list[str], keys: list[str], keep: list[str]) -> DataFrame:
     """(keys, keep, hi_<t>, lo_<t> for each text column t): one pass over the
-    terms of all text columns; rows of one key must lie in one partition or are
-    shuffled as sums."""
+    terms of all text columns. ``keys`` name a row; rows of one key lie in one
+    partition or are shuffled as sums. ``keep``: columns of numbers. All buffers
+    are numbers, so the sums are hash aggregations."""
     each = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(t).alias("t")) for i, t in enumerate(text)])
     long = (rows.select(*keys, *keep, F.inline(each)).select(*keys, *keep, "kind", F.explode_outer(terms(F.col("t"))).alias("x"))
             .select(*keys, *keep, "kind", F.xxhash64("x").alias("h"), F.xxhash64("x", F.lit(1)).alias("g"),
                     F.coalesce(F.col("x").bitwiseAND(F.lit(15)), F.lit(0)).cast("long").alias("w")))
-    summed = long.groupBy(*keys, "kind").agg(*votes(), *[F.first(c).alias(c) for c in keep])
+    summed = long.groupBy(*keys, "kind").agg(*votes(), *[F.max(c).alias(c) for c in keep])
     made = summed.select(*keys, *keep, "kind", bits(0).alias("hi"), bits(1).alias("lo"))
-    return made.groupBy(*keys).agg(*[F.first(c).alias(c) for c in keep], *[
+    return made.groupBy(*keys).agg(*[F.max(c).alias(c) for c in keep], *[
         F.max(F.when(F.col("kind") == i, F.col(h))).alias(f"{h}_{t}") for i, t in enumerate(text) for h in ("hi", "lo")])
 
 
+def numbers_of(digest: Column) -> list[Column]:
+    """A digest of 64 hex digits as four longs."""
+    return [F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)]
+
+
 def edited_likeness(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next, edited_hits (distinct
@@ -156,14 +194,16 @@ def edited_likeness(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
     led = (led.withColumn("edited", edited).withColumn("n_chars", n.cast("long"))
-           .withColumn("edited_sha256", F.sha2(F.encode("edited", "utf-8"), 256)))
-    made = stored(fingerprints(led, ["text", "edited"], ["part", "place"], ["doc_id", "n_chars", "edited_sha256"]), "simhash")
+           .withColumn("sha", F.sha2(F.encode("edited", "utf-8"), 256)))
+    sha = [f"sha_{i}" for i in range(4)]
+    led = led.select("part", "place", "doc_id", "n_chars", "text", "edited", *[c.alias(x) for c, x in zip(numbers_of(F.col("sha")), sha)])
+    made = stored(fingerprints(led, ["text", "edited"], ["part", "place"], ["doc_id", "n_chars", *sha]), "simhash")
     near = followed(made.withColumnRenamed("place", "at"), ["at"], ["hi_text", "lo_text"], "simhash-next")
     hits = (within(made.select(F.col("hi_edited").alias("hi"), F.col("lo_edited").alias("lo")),
                    made.select(F.col("hi_text").alias("hi"), F.col("lo_text").alias("lo")), radius)
             .groupBy(F.col("q_hi").alias("hi_edited"), F.col("q_lo").alias("lo_edited")).agg(F.count("*").alias("hits")))
     own, changed, after = ("hi_text", "lo_text"), ("hi_edited", "lo_edited"), ("next_hi_text", "next_lo_text")
     return near.join(hits, ["hi_edited", "lo_edited"], "left").select(
-        "doc_id", "n_chars", "edited_sha256", text_form(*own).alias("fingerprint"), text_form(*changed).alias("edited_fingerprint"),
+        "doc_id", "n_chars", text_form(*sha).alias("edited_sha256"), text_form(*own).alias("fingerprint"), text_form(*changed).alias("edited_fingerprint"),
         likeness(own, changed).alias("near_edited"), likeness(own, after).alias("near_next"),
         F.coalesce("hits", F.lit(0)).cast("long").alias("edited_hits"))
