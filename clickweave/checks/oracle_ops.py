@@ -30,6 +30,9 @@ MARKED = """
 
 # Oracles over the JSON fixture (``landing``/``landed``/``transformed``).
 JSON_SQL = {
+    "sessions_across_runs": """SELECT event_id, session_id, event_sequence, is_session_start
+       FROM transformed WHERE session_id IS NOT NULL""",
+    "events_delivered_twice": f"SELECT {NO_STAMP} FROM transformed",
     "scan_raw_json": "SELECT event_id, user_id, event_type, timestamp FROM landed",
     "raw_schema": "SELECT event_id, price, quantity, device_type, referrer FROM landed",
     "permissive_corrupt": f"""SELECT CAST(COUNT(*) FILTER (WHERE _broken) AS BIGINT) AS corrupt_records,
@@ -207,6 +210,9 @@ SELECT {CNT} AS total_records, {cd('event_id')} AS unique_events,
     "cte": SPANS + f"""
 SELECT CAST(buys AS INTEGER) AS bought, {CNT} AS session_count, {r2('AVG(n)')} AS avg_events
 FROM spans WHERE opened_at <> closed_at GROUP BY buys""",
+    "rollup_active_between": """SELECT CAST(COUNT(DISTINCT user_id) AS BIGINT) AS users,
+       CAST(COUNT(DISTINCT session_id) AS BIGINT) AS sessions, CAST(COUNT(*) AS BIGINT) AS events
+       FROM transformed WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'""",
     "scalar_strings": """SELECT event_id,
        lpad(CAST(month(event_date) AS VARCHAR), 2, '0') AS padded_month,
        CAST(hour AS VARCHAR) AS hour_text,
@@ -245,6 +251,10 @@ def ops_sql() -> dict[str, str]:
             out[key] = lib["q05_session_funnel"]
         else:
             out[key] = _curated(sql)
+    # the same questions asked of the structures beside the event table
+    out["q11_by_user_layout"] = lib["q11_new_vs_returning"]
+    out["rollup_daily_active_users"] = lib["q02_daily_active_users"]
+    out["rollup_quality_check"] = lib["dq_check"]
     for key, sql in JSON_SQL.items():
         out[key] = over_json(sql)
     return out

@@ -23,8 +23,8 @@ from clickweave.operators import enrich, quality
 from clickweave.operators.sequence import sequence_within, session_start
 from clickweave.sources.json_events import MAX_NEW_FIELDS
 from clickweave.sources.schema import (
-    CURATED_FIELDS, DROPPED_FIELDS, EXTRA_COLUMN, PARTITION_COLUMNS, RAW_FIELDS, curated_schema,
-    extra_column,
+    CURATED_FIELDS, DROPPED_FIELDS, EXTRA_COLUMN, MORE_FIELDS, OTHER_COLUMN, PARTITION_COLUMNS, RAW_FIELDS,
+    curated_schema, extra_column,
 )
 
 log = logging.getLogger(__name__)
@@ -75,7 +75,9 @@ def add_sequence(df: DataFrame, sample: DataFrame | None = None, **seq_opts) ->
 
 def to_curated(df: DataFrame, extra: list[str] = ()) -> DataFrame:
     """Table column order; ``extra`` producer fields come from ``_extra``."""
-    own = {extra_column(n): F.col(EXTRA_COLUMN)[n] for n in extra}
+    rest = F.map_filter(EXTRA_COLUMN, lambda k, v: ~k.isin([n for n in extra if n != MORE_FIELDS]))
+    own = {OTHER_COLUMN: F.when(F.size(rest) > 0, rest)} if MORE_FIELDS in extra else {}
+    own |= {extra_column(n): F.col(EXTRA_COLUMN)[n] for n in extra if n != MORE_FIELDS}
     return df.select(*[own.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in curated_schema(extra).fields]) \
         if extra else df.select(*[F.col(n).cast(t).alias(n) for n, t in CURATED_FIELDS])
 
@@ -94,7 +96,7 @@ MAX_DAYS = 5000
 class LandedFacts(NamedTuple):
     """``days``: the ``(year, month, day)`` partitions a run writes, ascending, a
     NULL day for times that do not parse; None beyond ``MAX_DAYS``. ``fields``: the
-    new producer fields, sorted."""
+    new producer fields that become columns, sorted."""
 
     days: list[tuple] | None
     fields: list[str]
@@ -102,18 +104,20 @@ class LandedFacts(NamedTuple):
 
 def landed_facts(landing: DataFrame) -> LandedFacts:
     """What a run must know before it writes, by one aggregation over the landed
-    rows; the driver gets at most ``MAX_DAYS`` days and ``MAX_NEW_FIELDS`` names."""
+    rows; the driver gets at most ``MAX_DAYS`` days and ``MAX_NEW_FIELDS`` names. Of
+    more names than that the most used become columns, the others stay together in
+    a map column (``MORE_FIELDS`` ends the list)."""
     timed = enrich.with_time_parts(enrich.with_event_time(clean(landing)))
     days = F.array(F.struct(*PARTITION_COLUMNS, F.lit(None).cast("string").alias("field")))
     names = F.transform(F.coalesce(F.map_keys(EXTRA_COLUMN), F.array().cast("array<string>")), lambda n: F.struct(
         *[F.lit(None).cast("string").alias(c) for c in PARTITION_COLUMNS], n.alias("field"))) if EXTRA_COLUMN in landing.columns else None
-    told = (timed.select(F.inline(F.concat(days, names) if names is not None else days)).distinct()
-            .withColumn("is_day", F.col("field").isNull()))
-    rows = told.orderBy("is_day").limit(MAX_DAYS + MAX_NEW_FIELDS + 2).collect()
-    fields = sorted(r["field"] for r in rows if not r["is_day"])
-    if len(fields) > MAX_NEW_FIELDS:
-        raise ValueError(f"more than {MAX_NEW_FIELDS} new field names in one run")
-    found = [tuple(r[c] for c in PARTITION_COLUMNS) for r in rows if r["is_day"]]
+    told = (timed.select(F.inline(F.concat(days, names) if names is not None else days))
+            .groupBy(*PARTITION_COLUMNS, "field").agg(F.count(F.lit(1)).alias("uses")))
+    most_used = told.where(F.col("field").isNotNull()).orderBy(F.desc("uses"), "field").limit(MAX_NEW_FIELDS + 1)
+    rows = told.where(F.col("field").isNull()).limit(MAX_DAYS + 1).unionByName(most_used).collect()
+    used = [r["field"] for r in rows if r["field"] is not None]
+    fields = sorted(used[:MAX_NEW_FIELDS]) + [MORE_FIELDS] * (len(used) > MAX_NEW_FIELDS)
+    found = [tuple(r[c] for c in PARTITION_COLUMNS) for r in rows if r["field"] is None]
     if len(found) > MAX_DAYS:
         log.warning("more than %d days in one run: partitions are registered by a repair", MAX_DAYS)
         return LandedFacts(None, fields)

@@ -18,10 +18,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickweave.operators.event_ledger import EventLedger
 from clickweave.operators.quality import observe_run
 from clickweave.operators.session_runs import SessionRuns
 from clickweave.operators.sequence import DEFAULT_SAMPLE_FRACTION, DEFAULT_SEED
-from clickweave.plans.batch import landed_facts, run_stamp, transform
+from clickweave.plans.batch import clean, conform, landed_facts, run_stamp, transform
 from clickweave.session import stored
 from clickweave.sources import catalog
 from clickweave.sources.json_events import read_raw_events, write_corrupt
@@ -76,6 +77,12 @@ def in_days(days: list[tuple] | None):
     return cond | F.col("year").isNull() if len(known) < len(days) else cond
 
 
+def run_number(stamp: _dt.datetime) -> int:
+    """A run's time stamp as a whole number (microseconds)."""
+    aware = stamp if stamp.tzinfo else stamp.replace(tzinfo=_dt.timezone.utc)
+    return (aware - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)) // _dt.timedelta(microseconds=1)
+
+
 def stored_rows(spark: SparkSession, target: str) -> DataFrame | None:
     """The table's rows; None before its first run."""
     try:
@@ -87,16 +94,21 @@ def stored_rows(spark: SparkSession, target: str) -> DataFrame | None:
 def run_batch(spark: SparkSession, source: str, target: str, database: str | None = None,
               table: str = catalog.DEFAULT_TABLE, layout: str = "lines",
               errors_path: str | None = None, processed_at: _dt.datetime | None = None,
-              spread_lines: bool = False, sessions: SessionRuns | None = None, **seq_opts) -> RunResult:
+              spread_lines: bool = False, sessions: SessionRuns | None = None,
+              ledger: EventLedger | None = None, **seq_opts) -> RunResult:
     """S5. Transform every raw file under ``source`` and append the result to
     the partitioned table at ``target``; register it in ``database`` when
     given. Malformed records go to ``errors_path`` when given. Fields that
     producers added become text columns of the files and of the table.
 
     ``sessions``: the table's session totals; positions then go on from the
-    session's earlier runs (read the table through ``sessions.read``)."""
+    session's earlier runs (read the table through ``sessions.read``).
+    ``ledger``: the ids of stored events; events of earlier runs are left out."""
     stamp = processed_at or run_stamp()
     landing, counters = land(spark, source, layout, spread_lines)
+    if ledger:
+        valid = conform(landing)
+        landing = stored(ledger.fresh(valid, run_number(stamp)), "landed-new")
     days, extra = landed_facts(landing)
     curated = prepare_batch(landing, stamp, extra, **seq_opts)
     if errors_path and counters.get("corrupt_records", 0) > 0:
@@ -106,6 +118,8 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
     write_curated(curated, target)
     if sessions:
         sessions.commit()
+    if ledger:
+        ledger.commit(clean(landing), run_number(stamp))
     name = None
     if database:
         name = catalog.register_table(spark, target, database, table, days=days)
@@ -156,6 +170,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--spread-lines", action="store_true")
     ap.add_argument("--sessions", default=None,
                     help="folder of the table's session totals: positions go on across runs (needs --database)")
+    ap.add_argument("--ledger", default=None, help="folder of the ids of stored events: these are left out")
     ap.add_argument("--catalog", choices=["session", "hive"], default="session",
                     help="hive: use the metastore that the cluster configures")
     args = ap.parse_args(argv)
@@ -164,7 +179,8 @@ def main(argv: list[str] | None = None) -> int:
     run = run_batch(spark, args.source, args.target, database=args.database, table=args.table,
                     layout=args.layout, errors_path=args.errors_path,
                     spread_lines=args.spread_lines,
-                    sessions=SessionRuns(spark, args.sessions, args.database, args.table) if args.sessions else None)
+                    sessions=SessionRuns(spark, args.sessions, args.database, args.table) if args.sessions else None,
+                    ledger=EventLedger(spark, args.ledger) if args.ledger else None)
     summary = run.summary().first().asDict()
     # event types are free text: the most frequent ones, and how many there are
     counts = run.type_counts()

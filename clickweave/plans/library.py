@@ -269,7 +269,11 @@ def classify_new_returning(df: DataFrame) -> DataFrame:
     its measured size allows, else sort-merge with hot users split."""
     first = first_event_per_user(df).withColumnRenamed("user_id", "_fu")
     event = df.alias("event")
-    joined = event.join(first, F.col("event.user_id") == F.col("_fu"), "inner")
+    return label_new_returning(event.join(first, F.col("event.user_id") == F.col("_fu"), "inner"))
+
+
+def label_new_returning(joined: DataFrame) -> DataFrame:
+    """``user_type`` of events (alias ``event``) beside their user's ``earliest``."""
     kind = (F.when(F.col("event.timestamp") == F.col("earliest"), F.lit(LABEL_NEW_USER))
              .otherwise(F.lit(LABEL_RETURNING_USER)))
     return joined.select("event.*", "earliest", kind.alias("user_type"))
@@ -278,7 +282,12 @@ def classify_new_returning(df: DataFrame) -> DataFrame:
 def q11_new_vs_returning(df: DataFrame, as_of=None, exact: bool = True) -> DataFrame:
     """First-event rows against the rest: users, events, mean position,
     purchases, purchases per session."""
-    agg = (classify_new_returning(df)
+    return summary_new_returning(classify_new_returning(df), exact)
+
+
+def summary_new_returning(events: DataFrame, exact: bool = True) -> DataFrame:
+    """q11 of events with ``user_type``."""
+    agg = (events
            .groupBy("user_type")
            .agg(_distinct("user_id", exact).alias("users"),
                 _count().alias("total_events"),

@@ -4,6 +4,7 @@ schema evolution and named (saved) queries."""
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,49 @@ def compute_statistics(spark: SparkSession, name: str) -> DataFrame:
         F.regexp_extract("data_type", r"(\d+) bytes", 1).cast("bigint").alias("size_bytes"))
 
 
+#: What ``DESCRIBE EXTENDED <table> <column>`` tells, with the names used here.
+_TOLD = {"min": "min_value", "max": "max_value", "num_nulls": "null_count", "distinct_count": "distinct_count"}
+
+
+def compute_column_statistics(spark: SparkSession, name: str, columns: list[str]) -> DataFrame:
+    """K9. Row count, and per column NULLs, extremes, distinct values (an
+    estimate) and an equi-height histogram, kept in the catalog for the cost-based
+    optimizer (see ``use_statistics``). One row a column."""
+    histograms = "spark.sql.statistics.histogram.enabled"
+    before = spark.conf.get(histograms)
+    spark.conf.set(histograms, "true")
+    try:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
+    finally:
+        spark.conf.set(histograms, before)
+    out = []
+    for c in columns:
+        told = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {name} `{c}`").collect()}
+        known = {new: None if told.get(old) in (None, "NULL") else told[old] for old, new in _TOLD.items()}
+        out.append((c, *known.values(), told.get("histogram", "NULL") != "NULL"))
+    rows = spark.createDataFrame(out, "column_name string, " + ", ".join(f"{n} string" for n in _TOLD.values()) + ", has_histogram boolean")
+    return rows.withColumns({n: F.col(n).cast("bigint") for n in ("null_count", "distinct_count")})
+
+
+def compute_partition_statistics(spark: SparkSession, name: str) -> None:
+    """K9. Row count and size of every partition, counted without a scan of the
+    columns; a day filter is then planned by the days' own sizes."""
+    spark.sql(f"ANALYZE TABLE {name} PARTITION ({', '.join(partition_columns(spark, name))}) COMPUTE STATISTICS")
+
+
+def partition_rows(spark: SparkSession, name: str, day: tuple) -> int | None:
+    """Row count that the catalog holds for one partition."""
+    rows = spark.sql(f"DESCRIBE EXTENDED {name} {_partition_spec(day)}").where(F.col("col_name") == "Partition Statistics").collect()
+    found = rows and re.search(r"(\d+) rows", rows[0]["data_type"])
+    return int(found.group(1)) if found else None
+
+
+def use_statistics(spark: SparkSession) -> None:
+    """Let plans follow the statistics: filter and join estimates, join order."""
+    for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled", "spark.sql.cbo.planStats.enabled"):
+        spark.conf.set(key, "true")
+
+
 def list_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> DataFrame:
     """K10."""
     return spark.sql(f"SHOW TABLES IN {database}")

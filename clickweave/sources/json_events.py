@@ -6,9 +6,8 @@ Two layouts:
   line, any number of lines per file, gzip or plain. Files are split by Spark
   when not compressed; each line is parsed on its own, so a broken line costs
   exactly one record.
-* ``array``: each file is one JSON array of objects (the hand-made sample
-  format). A file is read whole (``wholetext``), its elements are turned back
-  into JSON texts and then parsed exactly like lines. Meant for small files.
+* ``array``: each file is one JSON array of objects. Files are cut into elements
+  by many tasks (``sources.json_arrays``), which are then parsed exactly like lines.
 
 Parsing is ``from_json`` of the line as the only element of an array of
 text maps. A line that is not exactly one JSON object - broken, or with
@@ -23,11 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweave.sources.json_arrays import array_elements
 from clickweave.sources.schema import CORRUPT_COLUMN, EXTRA_COLUMN, RAW_FIELDS
 
 PARSE_OPTIONS = {"mode": "PERMISSIVE"}
 LINE_COLUMN = "value"
-#: New fields that one run may add as columns; more is an error, not a cut.
+#: New fields that one run may add as columns; the others share a map column.
 MAX_NEW_FIELDS = 1000
 
 
@@ -61,16 +61,6 @@ def read_json_lines_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(path)
 
 
-def array_file_elements(files: DataFrame, text_col: str = LINE_COLUMN) -> DataFrame:
-    """Whole-file texts → one JSON text per array element. A file that is
-    not a JSON array comes out as one (corrupt) line holding the file."""
-    elems = F.from_json(F.col(text_col), T.ArrayType(T.StringType()))
-    return (files.select(F.col(text_col).alias("_file"), elems.alias("_items"))
-                 .select(F.explode_outer(
-                     F.when(F.col("_items").isNull(), F.array(F.col("_file")))
-                      .otherwise(F.col("_items"))).alias(LINE_COLUMN)))
-
-
 def read_raw_events(spark: SparkSession, path: str, layout: str = "lines",
                     spread_lines: bool = False) -> DataFrame:
     """S1 + S3. Landing rows (text fields + ``_corrupt_record``).
@@ -86,9 +76,7 @@ def read_raw_events(spark: SparkSession, path: str, layout: str = "lines",
             lines = lines.hint("rebalance")
         return parse_json_lines(lines)
     if layout == "array":
-        # ``text()`` sets its own ``wholetext`` keyword; pass it there.
-        files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-        return parse_json_lines(array_file_elements(files))
+        return parse_json_lines(array_elements(spark, path))
     raise ValueError(f"unknown layout {layout!r}; use 'lines' or 'array'")
 
 

@@ -49,6 +49,11 @@ PARTITION_COLUMNS = ["year", "month", "day"]
 # One more partition column of tables that streams append to (streaming.batches).
 BATCH_COLUMN = "batch"
 
+# Fields beyond those that one run turns into columns stay in this map; in a list
+# of new fields MORE_FIELDS stands for it.
+OTHER_COLUMN = "other_fields"
+MORE_FIELDS = "\0more"
+
 # Curated table: kept raw fields, then the derived ones, partitions last.
 CURATED_FIELDS = [
     ("event_id", T.StringType()),
@@ -84,15 +89,27 @@ CURATED_COLUMNS = [n for n, _ in CURATED_FIELDS]
 def extra_column(field: str) -> str:
     """Table column of a new producer field; a name that a table column has
     already is prefixed."""
-    taken = {BATCH_COLUMN, *(n.lower() for n, _ in CURATED_FIELDS)}
+    taken = {BATCH_COLUMN, OTHER_COLUMN, *(n.lower() for n, _ in CURATED_FIELDS)}
     return f"raw_{field}" if field.lower() in taken else field
 
 
 def curated_schema(extra: list[str] = ()) -> T.StructType:
-    """Table columns with new fields (text) before the partition columns."""
+    """Table columns with new fields (text, and the map of the others) before the
+    partition columns."""
     stored = [f for f in CURATED_SCHEMA.fields if f.name not in PARTITION_COLUMNS]
     parts = [f for f in CURATED_SCHEMA.fields if f.name in PARTITION_COLUMNS]
-    return T.StructType([*stored, *[T.StructField(extra_column(n), T.StringType(), True) for n in extra], *parts])
+    new = [T.StructField(OTHER_COLUMN, T.MapType(T.StringType(), T.StringType()), True) if n == MORE_FIELDS
+           else T.StructField(extra_column(n), T.StringType(), True) for n in extra]
+    return T.StructType([*stored, *new, *parts])
+
+
+def producer_field(df, name: str):
+    """A producer field beyond the known ones, wherever it is kept: in a column
+    of its own, in the map of other fields, or nowhere (NULL)."""
+    from pyspark.sql import functions as F
+    found = [F.col(f"`{extra_column(name)}`")] if extra_column(name) in df.columns else []
+    found += [F.col(OTHER_COLUMN)[name]] if OTHER_COLUMN in df.columns else []
+    return F.coalesce(*found, F.lit(None).cast("string"))
 
 
 def curated_ddl(table: str, location: str, batched: bool = False) -> str:

@@ -33,22 +33,35 @@ def _trigger(writer, trigger: str | None):
 
 
 def read_lines_stream(spark: SparkSession, path: str,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
+                      max_files_per_trigger: int | None = None,
+                      max_bytes_per_trigger: int | None = None) -> DataFrame:
     """T4. Streaming text lines of every file under ``path`` (sub-folders
-    included, gzip decoded by extension)."""
+    included, gzip decoded by extension). A micro-batch takes in at most so many
+    files, or files of so many bytes (at least one)."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
 
 
+#: Buffer sizes of the delivery: bytes of one delivered file, files of one batch.
+DELIVERY_BYTES = 5 << 20
+DELIVERY_FILES = 64
+
+
 def deliver_raw(spark: SparkSession, inbox: str, raw_zone: str, checkpoint: str,
-                trigger: str | None = "availableNow"):
+                trigger: str | None = "availableNow", file_bytes: int = DELIVERY_BYTES, files: int = DELIVERY_FILES):
     """T1. Buffered delivery: records from ``inbox`` appended to gzip files
     under ``raw_zone/year=/month=/day=`` of their arrival (processing) date.
-    In production ``trigger="300 seconds"`` matches a 300 s buffer."""
-    lines = read_lines_stream(spark, inbox)
-    arrived = lines.select(
+
+    Size or time, whichever is first: ``trigger="300 seconds"`` is the time, and a
+    micro-batch takes in at most ``files * file_bytes`` bytes, dealt by line over
+    ``files`` tasks, so a delivered file holds about ``file_bytes`` of text at most,
+    however long the backlog. (A batch that is smaller gives smaller files.)"""
+    lines = read_lines_stream(spark, inbox, max_bytes_per_trigger=files * file_bytes)
+    arrived = lines.repartition(files).select(
         "value",
         F.date_format(F.current_date(), "yyyy").alias("year"),
         F.date_format(F.current_date(), "MM").alias("month"),
