@@ -54,7 +54,7 @@ from .common import maybe_broadcast, ship, stored
 from .components import components
 
 #: Length of a list at the start, and of the longest list.
-FIRST, LONGEST = 8, 64
+FIRST, LONGEST = 8, 32
 #: Nodes of a stretch of a tree, and most rows compared at one place.
 LEAF, MOST = 64, 256
 #: Chance that a pair at the threshold meets in no tree.
@@ -62,7 +62,7 @@ MISS = 0.01
 TILE = 512
 AUDIT, RECALL, TRIES = 1024, 0.97, 4
 #: Rounds end when links grow by less than this share.
-GROWTH = 0.001
+GROWTH = 0.005
 _LIST = "array<struct<sim:double,node:long>>"
 
 
@@ -209,7 +209,7 @@ def joined(nodes: DataFrame, lists: DataFrame) -> DataFrame:
             u = units(t.column("vec"))
             sims = u @ u.T
             allowed = (centre[:, None] == centre[None, :]) & (fresh[:, None] | fresh[None, :]) & (sims > bars[:, None])
-            yield best(t.column("u").to_numpy(), sims, allowed, LONGEST)
+            yield best(t.column("u").to_numpy(), sims, allowed, FIRST)
 
     return (both.join(who, "u").repartitionByRange("dim", "c", "u").sortWithinPartitions("dim", "c", "u")
             .mapInArrow(meet, f"v long, nb {_LIST}"))
