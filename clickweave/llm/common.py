@@ -59,7 +59,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_stored_at"] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Empty the folders of *stored* frames that nothing reads any more: neither
+    a frame made from them that is still to be computed, nor a result."""
+    for frame in frames:
+        path = frame.__dict__.get("_stored_at")
+        if path:
+            frame.sparkSession.createDataFrame([], "gone int").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def maybe_broadcast(side: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -155,14 +166,14 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
 PIECE_BYTES = 2 << 20
 
 
-def batches(df: DataFrame, fn, schema: str) -> DataFrame:
+def batches(df: DataFrame, fn, schema: str, piece: int = PIECE_BYTES) -> DataFrame:
     """``mapInArrow`` with one function call per piece of a record batch, so
-    memory follows ``PIECE_BYTES`` (or the longest row), not the batch."""
+    memory follows ``piece`` bytes (or the longest row), not the batch."""
     ship(df.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = max(1, int(part.num_rows * PIECE_BYTES / max(1, part.nbytes)))
+            rows = max(1, int(part.num_rows * piece / max(1, part.nbytes)))
             for at in range(0, part.num_rows, rows):
                 yield from fn(part.slice(at, rows))
     return df.mapInArrow(run, schema)

@@ -14,7 +14,8 @@ The model is fitted on a bounded sample (``SampleBound``): the labelled rows
 of smallest hash, at most so many of each class, none longer than
 ``max_bytes``. Everything else covers all rows: each whole text is scored in
 one narrow pass, with no shuffle. What travels to the tasks is one number per
-n-gram bucket (a fixed size).
+n-gram bucket (a fixed size). Only texts pass through Python, half a megabyte at
+a time; a text longer than that is scored by itself, at about fifty times its bytes.
 
 Edge cases: null, empty or blank texts get the score of an empty window (the
 softmax bias); null doc_id gives held_out false; several label rows of one
@@ -30,11 +31,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import LOWER, SPACE, batches, mix, utf8
+from .common import LOWER, SPACE, mix, ship, utf8
 
 WINDOW = 32
+#: Bytes of text that are scored at once; array work takes some fifty times that.
+PIECE = 512 << 10
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 
@@ -282,15 +284,16 @@ def score(docs: DataFrame, labels: DataFrame, bound: SampleBound = SampleBound()
     base = docs.drop(score_col) if score_col in docs.columns else docs
     if model is None:
         return base.withColumn(score_col, F.lit(0.0))
+    ship(spark)
     sent = spark.sparkContext.broadcast(model)
 
-    def run(part: pa.RecordBatch):
-        yield pa.RecordBatch.from_arrays(
-            [*part.columns, pa.array(scores(part.column(text_col), *sent.value), pa.float64())],
-            names=[*part.schema.names, score_col])
+    # only texts go to Python and only scores come back; the other columns stay in the JVM
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        step = max(1, int(len(texts) * PIECE / max(1, texts.nbytes)))
+        return pa.array(np.concatenate([np.zeros(0), *[scores(texts.slice(at, step), *sent.value) for at in range(0, len(texts), step)]]), pa.float64())
 
-    schema = T.StructType([*base.schema.fields, T.StructField(score_col, T.DoubleType())])
-    return batches(base, run, schema)
+    return base.withColumn(score_col, scored(F.col(text_col)))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
