@@ -56,34 +56,70 @@ def test_jaccard_components(docs, empty, clashing):
     assert jaccard_tiles.join(empty).count() == 0
 
 
-def test_jaccard_groups_near_the_threshold(spark, monkeypatch):
+@pytest.mark.parametrize("group, stream", [(1024, 1 << 14), (8, 16), (2, 3)])
+def test_jaccard_groups_near_the_threshold(spark, monkeypatch, group, stream):
     """Groups whose members link only to some of the others, a passage shared
-    by all, and tiles cut into chunks: still every link."""
+    by all; in one task each, and as large groups in chunks and lanes: still every
+    link between components."""
     from clickweave.llm import jaccard_tiles
-    monkeypatch.setattr(jaccard_tiles, "CHUNK", 8)
+    monkeypatch.setattr(jaccard_tiles, "GROUP", group)
+    monkeypatch.setattr(jaccard_tiles, "STREAM", stream)
+    monkeypatch.setattr(jaccard_tiles, "CHUNK", max(8, group))
     line = prose(7, 12)
     items = []
     for g in range(3):
         base = prose(100 + g, 120) + " " + line
         items += [(1000 * g + k, near(10 * g + k, base, k % 6)) for k in range(25)]
     items += [(5000 + k, prose(200 + k, 60) + " " + line) for k in range(20)]
+    # a chain: each links with the next only
+    words_ = prose(900, 200).split()
+    items += [(7000 + k, " ".join(words_[6 * k:6 * k + 60])) for k in range(20)]
     table = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
     assert sorted(map(tuple, jaccard_tiles.join(table).collect()), key=str) == brute_components(items)
     kept = {r.doc_id for r in jaccard_tiles.keep_one(table).collect()}
     assert kept == {c for _, _, c in brute_components(items)}
 
 
-def test_tile_pairs_lose_nothing():
+def test_bit_bound_loses_nothing_and_groups_equal_brute_force():
     from clickweave.llm import jaccard_tiles as J
     rng = np.random.default_rng(3)
     sets = []
     for _ in range(60):
         base = rng.integers(0, 2**63, rng.integers(5, 200), dtype=np.uint64)
         sets.append(np.unique(base))
-        sets.append(np.unique(np.concatenate((base[: int(len(base) * rng.uniform(0.75, 1))], rng.integers(0, 2**63, 3, dtype=np.uint64)))))
-    found = set(map(tuple, map(sorted, J.tile_pairs(np.array([len(s) for s in sets]), np.arange(len(sets)), [J.bitmap(s) for s in sets]))))
-    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if J.linked(sets[i], sets[j])}
-    assert want and want <= found
+        for _ in range(2):
+            sets.append(np.unique(np.concatenate((base[: int(len(base) * rng.uniform(0.7, 1))], rng.integers(0, 2**63, 3, dtype=np.uint64)))))
+    block = J.Block(sets, np.arange(len(sets)))
+    want = {(i, j) for i in range(len(sets)) for j in range(i) if J.linked(sets[i], sets[j])}
+    may = {(i, int(j)) for i in range(len(sets)) for j in block.may_link(J.bitmap(sets[i]), len(sets[i]), i)[0]}
+    assert want and want <= may and len(may) < len(sets) ** 2 / 20
+    assert all(J.shared(sets[i], sets[j]) == len(np.intersect1d(sets[i], sets[j])) for i, j in list(want)[:50] + [(0, 3), (5, 90)])
+    assert {tuple(sorted(x, reverse=True)) for x in J.group_links(sets, np.arange(len(sets)))} <= want
+    def labels(links):
+        label = list(range(len(sets)))
+        for i, j in links:
+            a, b = label[i], label[j]
+            label = [min(a, b) if x in (a, b) else x for x in label]
+        return label
+    assert labels(J.group_links(sets, np.arange(len(sets)))) == labels(want)
+    hit = J.may_meet(np.array([len(s) for s in sets]), np.arange(len(sets)), [J.bitmap(s) for s in sets], np.zeros(len(sets), int))
+    assert {x for pair in want for x in pair} <= set(np.flatnonzero(hit).tolist()) and not hit.all()
+
+
+def test_one_of_each_group_stays_with_repeated_ids(spark):
+    """Other texts of an id are rows of their own; of equal rows one stays."""
+    from clickweave.llm import jaccard_tiles
+    x, y = prose(1, 60), prose(2, 60)
+    items = [(1, x, "a"), (2, x, "b"), (2, y, "c"), (3, y + " q", "d"), (4, prose(3, 30), "e"), (4, prose(3, 30), "e"), (4, prose(3, 30), "f"),
+             (5, None, "g"), (5, None, "g"), (6, "", "h"), (None, x, "i"), (None, x, "i"), (7, prose(4, 40), "j"), (7, prose(4, 40) + "  ", "k")]
+    table = spark.createDataFrame(items, "doc_id long, text string, label string").withColumn("best", F.lit(1)).repartition(3)
+    out = jaccard_tiles.keep_one(table)
+    assert out.columns == table.columns
+    got = [(r.doc_id, r.text, r.label) for r in out.collect()]
+    assert sorted((d, t) for d, t, _ in got if d in (1, 2, 3)) == [(1, x), (2, y)]
+    assert sum(d == 4 for d, *_ in got) == 1 and sum(d == 7 for d, *_ in got) == 1
+    assert sorted(((d, t, k) for d, t, k in got if d in (5, 6, None)), key=str) == sorted(
+        [(5, None, "g"), (5, None, "g"), (6, "", "h"), (None, x, "i"), (None, x, "i")], key=str)
 
 
 def test_passages(spark, docs, empty, clashing):
