@@ -32,6 +32,10 @@ MARKED = """
 JSON_SQL = {
     "sessions_across_runs": """SELECT event_id, session_id, event_sequence, is_session_start
        FROM transformed WHERE session_id IS NOT NULL""",
+    "array_layout": "SELECT event_id, user_id, event_type, timestamp FROM landed",
+    "column_statistics": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count,
+       CAST(MIN({c}) AS DOUBLE) AS min_value, CAST(MAX({c}) AS DOUBLE) AS max_value FROM transformed""" for c in ("price", "quantity", "hour")),
     "events_delivered_twice": f"SELECT {NO_STAMP} FROM transformed",
     "scan_raw_json": "SELECT event_id, user_id, event_type, timestamp FROM landed",
     "raw_schema": "SELECT event_id, price, quantity, device_type, referrer FROM landed",
@@ -210,6 +214,8 @@ SELECT {CNT} AS total_records, {cd('event_id')} AS unique_events,
     "cte": SPANS + f"""
 SELECT CAST(buys AS INTEGER) AS bought, {CNT} AS session_count, {r2('AVG(n)')} AS avg_events
 FROM spans WHERE opened_at <> closed_at GROUP BY buys""",
+    "skipping_layout": f"""SELECT event_type, device_type, {CNT} AS event_count
+       FROM transformed WHERE event_type IN ('purchase', 'signup') GROUP BY event_type, device_type""",
     "rollup_active_between": """SELECT CAST(COUNT(DISTINCT user_id) AS BIGINT) AS users,
        CAST(COUNT(DISTINCT session_id) AS BIGINT) AS sessions, CAST(COUNT(*) AS BIGINT) AS events
        FROM transformed WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'""",

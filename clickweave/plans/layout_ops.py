@@ -15,9 +15,10 @@ from clickweave.plans import fixtures
 from clickweave.plans.jobs import run_batch
 from clickweave.plans.registry import FIXED_STAMP, stored_curated
 from clickweave.session import scratch_path
-from clickweave.sources import user_layout
-from clickweave.sources.schema import CURATED_COLUMNS
-from clickweave.sources.sinks import read_curated
+from clickweave.sources import catalog, user_layout
+from clickweave.sources.json_events import read_raw_events
+from clickweave.sources.schema import CORRUPT_COLUMN, CURATED_COLUMNS
+from clickweave.sources.sinks import rank_bounds, read_curated, write_curated
 from clickweave.sources.testdata import json_lines_from_tables
 
 #: Buckets of the user layout and the session counts over the test tables.
@@ -102,6 +103,43 @@ def events_delivered_twice(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*[c for c in CURATED_COLUMNS if c != "processed_timestamp"])
 
 
+def array_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw events as JSON array files, a thousand elements each, read back
+    as a stream of elements."""
+    def build():
+        lines = json_lines_from_tables(spark, sf).select("value").where(F.try_parse_json("value").isNotNull())
+        path = scratch_path(spark, "arrays")
+        numbered = lines.withColumn("part", F.pmod(F.xxhash64("value"), F.greatest(F.lit(1), F.lit(lines.count() // 1000))))
+        files = numbered.groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+        files.select("value").write.text(path)
+        return path
+    rows = read_raw_events(spark, fixtures.once(spark, "arrays", sf, build), "array")
+    return rows.where(F.col(CORRUPT_COLUMN).isNull()).select("event_id", "user_id", "event_type", "timestamp")
+
+
+#: Columns of the registered statistics entry.
+MEASURED = ["price", "quantity", "hour"]
+
+
+def column_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """K9: NULLs and extremes per column, from the catalog after ANALYZE."""
+    name = fixtures.stored_run(spark, sf).table
+    stats = catalog.compute_column_statistics(spark, name, MEASURED)
+    return stats.select("column_name", "null_count", *[F.col(c).cast("double").alias(c) for c in ("min_value", "max_value")])
+
+
+def skipping_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: the curated rows written for data skipping; events of two types by
+    device, read back."""
+    def build():
+        rows, path = stored_curated(spark, sf), scratch_path(spark, "skipping")
+        write_curated(rows, path, skipping=rank_bounds(rows, ["event_type", "user_id"]))
+        return path
+    rows = read_curated(spark, fixtures.once(spark, "skipping", sf, build))
+    some = rows.where(F.col("event_type").isin("purchase", "signup"))
+    return some.groupBy("event_type", "device_type").agg(F.count(F.lit(1)).alias("event_count"))
+
+
 LAYOUT_OPS = {f.__name__: f for f in (
     sessions_across_runs, q11_by_user_layout, rollup_daily_active_users, rollup_quality_check, rollup_active_between,
-    events_delivered_twice)}
+    events_delivered_twice, array_layout, column_statistics, skipping_layout)}
