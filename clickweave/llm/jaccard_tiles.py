@@ -519,8 +519,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     touched = (each.join(best, "label").select(F.col("doc_id").alias("_j_id"), F.col("key").alias("_j_key"), (~kept).alias("_j_goes"), "copies")
                .where("_j_goes OR copies > 1").drop("copies"))
     touched = stored(touched, "jaccard-touched")
-    told = docs.withColumn("_j_row", row_key()).join(
-        maybe_broadcast(touched, 24), (docs["doc_id"] == F.col("_j_id")) & (F.col("_j_row") == F.col("_j_key")), "left")
-    same = Window.partitionBy("_j_id", "_j_key").orderBy(F.xxhash64(*[c for c in docs.columns if c != "text"]))
+    # the table's columns under names of their own, so that none can clash
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*[docs[c].alias(n) for c, n in at.items()], row_key().alias("_j_row"))
+    told = plain.join(maybe_broadcast(touched, 24), (F.col(at["doc_id"]) == F.col("_j_id")) & (F.col("_j_row") == F.col("_j_key")), "left")
+    same = Window.partitionBy("_j_id", "_j_key").orderBy(F.xxhash64(*[n for c, n in at.items() if c != "text"]))
     copies = told.where(~F.col("_j_goes")).withColumn("_j_n", F.row_number().over(same)).where("_j_n = 1")
-    return told.where("_j_goes IS NULL").select(*docs.columns).unionByName(copies.select(*docs.columns))
+    names = list(at.values())
+    return told.where("_j_goes IS NULL").select(*names).unionByName(copies.select(*names)).toDF(*docs.columns)

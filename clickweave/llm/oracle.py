@@ -90,7 +90,7 @@ SELECT sets.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM set
 OP12 = """
 WITH RECURSIVE rows_ AS (
   SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
-), good AS (
+), good AS MATERIALIZED (
   SELECT r, e FROM rows_ WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), links AS (
