@@ -88,9 +88,9 @@ def safe_joint(left: bytes, right: bytes) -> bool:
 def repair(path: str, parts: list[bytes], ids: list[bytes]) -> bytes:
     """Ids of the joined parts, given each part's own ids.
 
-    At an unsafe joint the window around it is encoded again and widened until
-    its ids start and end like the ids of the chunks it overlaps; a window that
-    reaches both ends of the text is the text itself and exact.
+    At an unsafe joint the window around it, between two places where ids cannot
+    interact, is encoded again; work is that of the windows, or of the run of
+    unsafe joints once.
     """
     if all(safe_joint(a, b) for a, b in zip(parts, parts[1:])):
         return b"".join(ids)
@@ -107,34 +107,43 @@ def repair(path: str, parts: list[bytes], ids: list[bytes]) -> bytes:
     return b"".join(out)
 
 
+#: Bytes on either side of a joint within which a window must end.
+NEAR = 4096
+
+
 def _agree(c, parts: list[bytes], ids: list[bytes]) -> bytes:
-    """Join parts one by one. The window around a joint runs between two
-    non-space to space changes, where ids cannot interact; where the text has
-    none on a side, it runs to that side's end."""
-    text, done = parts[0], ids[0]
+    """Join parts one by one. The window around a joint runs between the nearest
+    two changes from non-space to space, where ids cannot interact: the ids of
+    its two sides are taken off what is known and those of the window put there.
+    Where a side has no such change nearby, the parts are encoded as one, once."""
+    text, done, from_start = parts[0], bytearray(ids[0]), True
     for part, got in zip(parts[1:], ids[1:]):
-        whole = text + part
-        left, right, width = len(text), len(text), 64
-        while True:
-            left = _change(whole, max(0, len(text) - width), -1)
-            right = _change(whole, min(len(whole), len(text) + width), 1)
-            head = c.encode(whole[:left].decode()) if left else b""
-            tail = c.encode(whole[right:].decode()) if right < len(whole) else b""
-            if done.startswith(head) and got.endswith(tail):
-                break
-            if left == 0 and right == len(whole):
-                break
-            width *= 4
-        done = head + c.encode(whole[left:right].decode()) + tail
-        text = whole
-    return done
-
-
-def _change(raw: bytes, at: int, step: int) -> int:
-    """Nearest change from non-space to space at or beyond ``at``."""
-    while 0 < at < len(raw) and not safe_joint(raw[at - 1:at], raw[at:at + 1]):
+        p, q = _change(text, len(text) - 1, -1), _change(part, 1, 1)
+        if p is None or q is None or (p == 0 and not from_start):
+            return c.encode(b"".join(parts).decode())
+        tail, head = c.encode(text[p:].decode()), c.encode(part[:q].decode())
+        if not done.endswith(tail) or not got.startswith(head):
+            return c.encode(b"".join(parts).decode())
+        if tail:
+            del done[-len(tail):]
+        done += c.encode((text[p:] + part[:q]).decode())
+        done += memoryview(got)[len(head):]
+        text = text + part
+        if len(text) > 2 * NEAR:  # only the end is looked at again
+            text, from_start = text[-2 * NEAR:], False
+    return bytes(done)
+
+
+def _change(raw: bytes, at: int, step: int) -> int | None:
+    """Nearest change from non-space to space at or beyond ``at``, or that end
+    of the text; None when neither is near."""
+    for _ in range(NEAR):
+        if at <= 0 or at >= len(raw):
+            return max(0, min(at, len(raw)))
+        if safe_joint(raw[at - 1:at], raw[at:at + 1]):
+            return at
         at += step
-    return at
+    return None
 
 
 def chunk_hash(part: bytes) -> bytes:

@@ -16,6 +16,10 @@ vector that occurs a million times costs one row. This loses nothing.
 Queries come in blocks too; every (query block, vector block) pair is one group
 of bounded size. Components are exact integers: floor(256 * x).
 
+Scores are exact whatever the components: in doubles below 2^53, in 64-bit
+integers below 2^63, beyond that in whole numbers of any size. A component that
+does not fit a long, or a result that does not, is an error, never a wrong number.
+
 Edge cases: vectors that are null or hold null, NaN or infinite components take
 no part; the lengths of vectors may differ (missing components count as 0);
 null vec_id takes no part; rows of one vec_id and vector count once; ties go to
@@ -42,7 +46,10 @@ def integers(vector: Column) -> Column:
     """floor(256 * x) of every component; null where any is null or not finite."""
     x = F.transform(vector, lambda v: v.cast("double"))
     good = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return F.when(vector.isNotNull() & F.coalesce(good, F.lit(False)), F.transform(x, lambda v: F.floor(v * 256).cast("long")))
+    fits = F.forall(x, lambda v: F.abs(v) < 2.0 ** 55)
+    whole = F.when(fits, F.transform(x, lambda v: F.floor(v * 256).cast("long"))).otherwise(
+        F.raise_error(F.lit("a component of 2^55 and more does not fit a 64-bit integer times 256")).cast("array<bigint>"))
+    return F.when(vector.isNotNull() & F.coalesce(good, F.lit(False)), whole)
 
 
 def classes(vectors: DataFrame, k: int) -> DataFrame:
@@ -65,7 +72,7 @@ class Lists:
         self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
         self.sorted = np.take_along_axis(vectors.T, self.order, 1)
         # products of doubles are exact as long as every sum stays below 2**53
-        self.most = int(np.abs(vectors).max(initial=0)) * vectors.shape[1]
+        self.most = max(-int(vectors.min(initial=0)), int(vectors.max(initial=0))) * vectors.shape[1]
         self.doubles = vectors.astype(np.float64)
 
     def search(self, q: np.ndarray, own: int, k: int, floor: int) -> tuple[list[tuple[int, int]], int]:
@@ -75,11 +82,16 @@ class Lists:
         n = len(self.vectors)
         if not len(down) and not len(up):
             return self._answer(np.arange(n), np.zeros(n, np.int64), own, k), n
-        exact = self.most * int(np.abs(q).max()) < 1 << 53
-        table, factor = (self.doubles, q.astype(np.float64)) if exact else (self.vectors, q)
+        largest = self.most * max(-int(q.min()), int(q.max()))
+        if largest >= 1 << 62:  # products of any size, one number at a time
+            table, factor, kind = self.vectors.astype(object), q.astype(object), object
+        else:
+            table, factor = (self.doubles, q.astype(np.float64)) if largest < 1 << 53 else (self.vectors, q)
+            kind = np.int64
+        lists, q = (self.sorted, q) if kind is np.int64 else (self.sorted.astype(object), factor)
         seen = np.zeros(n, bool)
-        scores = np.empty(n, np.int64)
-        best = np.zeros(0, np.int64)  # the k + 1 best so far
+        scores = np.empty(n, kind)
+        best = np.zeros(0, kind)  # the k + 1 best so far
         depth, step, kth = 0, STEP, floor
         while depth < n:
             upto = min(n, depth + step)
@@ -93,11 +105,11 @@ class Lists:
                 best = np.concatenate((best, scores[new]))
                 # one of them may be the query's own row
                 if len(best) > k:
-                    best = np.partition(best, len(best) - k - 1)[len(best) - k - 1:]
+                    best = np.sort(best)[len(best) - k - 1:]
                     kth = max(kth, int(best.min()))
             depth = upto
             # equal scores may still win by id: stop only below the k-th
-            bound = int((self.sorted[up, n - depth] * q[up]).sum() + (self.sorted[down, depth - 1] * q[down]).sum())
+            bound = int((lists[up, n - depth] * q[up]).sum()) + int((lists[down, depth - 1] * q[down]).sum())
             if bound < kth:
                 break
             step *= 2
@@ -107,7 +119,9 @@ class Lists:
 
     def _answer(self, rows: np.ndarray, scores: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         out: list[tuple[int, int]] = []
-        for r in np.lexsort((self.first[rows], -scores)).tolist():
+        order = np.lexsort((self.first[rows], -scores)) if scores.dtype != object else np.array(
+            sorted(range(len(rows)), key=lambda i: (-scores[i], self.first[rows[i]])), np.int64)
+        for r in order.tolist():
             s = int(scores[r])
             if len(out) >= k and s < out[k - 1][0]:
                 break
@@ -149,7 +163,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         home = F.pmod(F.col("qb"), F.lit(v_blocks))
         blocks = F.array(home) if first else F.filter(F.sequence(F.lit(0), F.lit(v_blocks - 1)), lambda b: b != home)
         q = (q_rows if floors is None else q_rows.join(floors, "query_id", "left"))
-        q = q.withColumn("floor", F.lit(None).cast("long") if floors is None else F.col("floor"))
+        q = q.withColumn("floor", F.lit(None).cast("string") if floors is None else F.col("floor").cast("string"))
         left = (q.withColumn("vb", F.explode(blocks)).select("qb", "vb", "query_id", "q", "floor"))
         each = F.sequence(F.lit(0), F.lit(q_blocks - 1))
         if first:
@@ -164,9 +178,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         if len(left) and len(right):
             lists = Lists(matrix(list(right["v"]), dims), [list(map(int, x)) for x in right["ids"]])
             q = matrix(list(left["q"]), dims)
-            floors = left["floor"].to_numpy(dtype=float, na_value=-9e18)
+            floors = left["floor"].fillna("").tolist()  # carried as text: a double would round it
             for i, (own, floor) in enumerate(zip(left["query_id"].tolist(), floors)):
-                found, _ = lists.search(q[i], own, k, int(floor))
+                found, _ = lists.search(q[i], own, k, int(floor) if floor else -(1 << 200))
+                if any(not -(1 << 63) <= s < 1 << 63 for s, _ in found):
+                    raise ValueError("a score does not fit a 64-bit integer")
                 out += [(own, v, s) for s, v in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
