@@ -2,8 +2,9 @@
 
 Terms are pairs of neighbouring words (the last word stands alone), weighted by
 the length of the first, up to 15. Each term's hash votes with its weight for or against
-every bit; the sign of the sum is the fingerprint's bit. Two bits share one
-64-bit sum (each half is below 2**32), so the votes are 64 plain SQL sums.
+every bit; the sign of the sum is the fingerprint's bit. Four bits share one
+64-bit sum over a segment of 4096 terms, so a term's votes are 32 plain SQL sums;
+segments are added up with two bits to a sum.
 
 ``within`` finds all fingerprints inside a Hamming radius of 3: fingerprints are
 cut into four blocks of 32 bits; two that differ in at most 3 bits agree in a
@@ -52,13 +53,28 @@ def terms(text: Column) -> Column:
         F.least(F.length(a), F.lit(15)).cast("long")))
 
 
-def votes() -> list[Column]:
-    """64 packed sums over columns h and g (hashes) and w (weight), and the
-    total."""
+#: Terms whose votes are summed together: four sums of 16 bits share a long, and
+#: a term weighs 15 at most.
+SEGMENT = 4096
+
+
+def segment_votes() -> list[Column]:
+    """32 sums of four bits' votes each over columns h and g (hashes) and w
+    (weight) of at most SEGMENT terms, and the total."""
     out = []
     for part, h in enumerate("hg"):
-        out += [F.expr(f"sum(w * (shiftright({h}, {i}) & 4294967297L))").alias(f"v{part}_{i}") for i in range(32)]
-    return [*out, F.sum("w").alias("total")]
+        out += [F.expr(f"sum(w * (shiftright({h}, {i}) & 281479271743489L))").alias(f"q{part}_{i}") for i in range(16)]
+    return [*out, F.sum("w").alias("weight")]
+
+
+def votes() -> list[Column]:
+    """64 sums of two bits' votes each, from the segments' sums, and the total."""
+    out = []
+    for part in range(2):
+        for i in range(32):
+            q, at = f"q{part}_{i % 16}", i // 16 * 16
+            out.append(F.expr(f"sum((shiftrightunsigned({q}, {at}) & 65535L) + shiftleft(shiftrightunsigned({q}, {at + 32}) & 65535L, 32))").alias(f"v{part}_{i}"))
+    return [*out, F.sum("weight").alias("total")]
 
 
 def bits(part: int) -> Column:
@@ -168,10 +184,12 @@ def fingerprints(rows: DataFrame, text: list[str], keys: list[str], keep: list[s
     partition or are shuffled as sums. ``keep``: columns of numbers. All buffers
     are numbers, so the sums are hash aggregations."""
     each = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(t).alias("t")) for i, t in enumerate(text)])
-    long = (rows.select(*keys, *keep, F.inline(each)).select(*keys, *keep, "kind", F.explode_outer(terms(F.col("t"))).alias("x"))
-            .select(*keys, *keep, "kind", F.xxhash64("x").alias("h"), F.xxhash64("x", F.lit(1)).alias("g"),
+    long = (rows.select(*keys, *keep, F.inline(each)).select(*keys, *keep, "kind", F.posexplode_outer(terms(F.col("t"))).alias("at", "x"))
+            .select(*keys, *keep, "kind", F.coalesce(F.floor(F.col("at") / SEGMENT), F.lit(0)).alias("segment"),
+                    F.xxhash64("x").alias("h"), F.xxhash64("x", F.lit(1)).alias("g"),
                     F.coalesce(F.col("x").bitwiseAND(F.lit(15)), F.lit(0)).cast("long").alias("w")))
-    summed = long.groupBy(*keys, "kind").agg(*votes(), *[F.max(c).alias(c) for c in keep])
+    segments = long.groupBy(*keys, "kind", "segment").agg(*segment_votes(), *[F.max(c).alias(c) for c in keep])
+    summed = segments.groupBy(*keys, "kind").agg(*votes(), *[F.max(c).alias(c) for c in keep])
     made = summed.select(*keys, *keep, "kind", bits(0).alias("hi"), bits(1).alias("lo"))
     return made.groupBy(*keys).agg(*[F.max(c).alias(c) for c in keep], *[
         F.max(F.when(F.col("kind") == i, F.col(h))).alias(f"{h}_{t}") for i, t in enumerate(text) for h in ("hi", "lo")])
