@@ -23,13 +23,15 @@ they lie. Starts are prefix sums over one row a partition.
 
 Edge cases: null and empty texts hold only the end id; null doc_id comes first;
 equal doc_ids keep a fixed order (by a hash of their ids); a document longer than
-a block makes a block of its own size; an empty table writes no blocks.
+a block makes a block of its own size, which is decoded by its checkpoints in
+several tasks (its parts have the payload's checksum, not that of the ids); an empty table writes no blocks.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ from pyspark.sql import Window as W
 
 from clickweave.session import scratch_path
 
-from .common import batches, stored
+from .common import batches, maybe_broadcast, stored
 from .tokens import codec
 
 MAGIC = 0x314E4152
@@ -120,23 +122,39 @@ def encode_block(ids: np.ndarray, table: Table) -> bytes:
     return _HEAD.pack(MAGIC, n, lanes, total, len(marks), crc, zlib.crc32(payload)) + payload
 
 
-def decode_block(block: bytes, table: Table, part: int | None = None) -> np.ndarray:
-    """All ids of a block, or those from checkpoint ``part`` to the next."""
+class Part(NamedTuple):
+    """What decoding from one checkpoint to the next needs."""
+
+    step: int
+    last: int
+    state: bytes
+    words: bytes
+
+
+def parts_of(block: bytes) -> tuple[int, int, int, list[Part]]:
+    """(ids, lanes, crc32 of the ids, parts) of a block."""
     magic, n, lanes, total, marks, crc, payload_crc = _HEAD.unpack_from(block)
     payload = memoryview(block)[_HEAD.size:]
     if magic != MAGIC or zlib.crc32(payload) != payload_crc:
         raise ValueError("damaged block")
     mark = 8 + 8 * lanes
-    words = np.frombuffer(payload, "<u4", total, marks * mark)
-    step, at = struct.unpack_from("<2I", payload, (part or 0) * mark)
-    state = np.frombuffer(payload, "<u8", lanes, (part or 0) * mark + 8).astype(np.uint64)
-    steps = -(-n // lanes)
-    last = steps if part is None else min(steps, step + CHECKPOINT)
-    out = np.empty(min(n, last * lanes) - step * lanes, np.uint32)
+    at = [struct.unpack_from("<2I", payload, k * mark) for k in range(marks)]
+    out = []
+    for k, ((step, word), (last, end)) in enumerate(zip(at, [*at[1:], (-(-n // lanes) if n else 0, total)])):
+        state = bytes(payload[k * mark + 8:(k + 1) * mark])
+        out.append(Part(step, last, state, bytes(payload[marks * mark + 4 * word:marks * mark + 4 * end])))
+    return n, lanes, crc, out
+
+
+def decode_part(n: int, lanes: int, part: Part, table: Table) -> np.ndarray:
+    """The ids from one checkpoint to the next."""
+    words, at = np.frombuffer(part.words, "<u4"), 0
+    state = np.frombuffer(part.state, "<u8").astype(np.uint64)
+    begin = part.step * lanes
+    out = np.empty(max(0, min(n, part.last * lanes) - begin), np.uint32)
     bits, mask = np.uint64(SCALE), np.uint64((1 << SCALE) - 1)
     symbol, freq, first = table.symbol, table.freq, table.first
-    begin = step * lanes
-    for k in range(step, last):
+    for k in range(part.step, part.last):
         a, b = k * lanes, min(n, (k + 1) * lanes)
         x = state[: b - a]
         slot = x & mask
@@ -148,7 +166,16 @@ def decode_block(block: bytes, table: Table, part: int | None = None) -> np.ndar
             x[need] = (x[need] << np.uint64(32)) | words[at:at + len(need)]
             at += len(need)
         state[: b - a] = x
-    if part is None and zlib.crc32(out.astype("<u4").tobytes()) != crc:
+    return out
+
+
+def decode_block(block: bytes, table: Table, part: int | None = None) -> np.ndarray:
+    """All ids of a block, or those from checkpoint ``part`` to the next."""
+    n, lanes, crc, parts = parts_of(block)
+    if part is not None:
+        return decode_part(n, lanes, parts[part], table)
+    out = np.concatenate([decode_part(n, lanes, p, table) for p in parts]) if parts else np.zeros(0, np.uint32)
+    if zlib.crc32(out.astype("<u4").tobytes()) != crc:
         raise ValueError("ids do not match their checksum")
     return out
 
@@ -159,7 +186,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         c, end = codec(path), np.array([end_id], "<u4").tobytes()
         out = [np.frombuffer(c.encode(t) + end, "<u4").astype("<u2").tobytes() for t in part.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
-    return batches(docs.select("doc_id", "text"), run, "doc_id long, ids binary")
+    return batches(docs.select(docs["doc_id"], docs["text"]), run, "doc_id long, ids binary")
 
 
 def frequencies(ids: DataFrame, size: int) -> np.ndarray:
@@ -226,9 +253,15 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str, partitions: int
     coded.withColumn("file", F.spark_partition_id()).write.parquet(f"{folder}/blocks")
 
 
+#: Ids of a block beyond which its parts are decoded in rows of their own.
+WHOLE = 2 * BLOCK
+
+
 def read(spark, folder: str) -> DataFrame:
     """Decode the files: one row per document with ``start``, ``n_tokens`` and
-    ``ids`` (binary uint32); blocks are decoded independently."""
+    ``ids`` (binary uint32). Blocks are decoded independently; a block of more
+    than ``WHOLE`` ids (a very long document) is cut at its checkpoints, its parts go
+    to tasks of their own and are joined by document."""
     table = spark.read.parquet(f"{folder}/table").toArrow()
     freq = np.zeros((table["id"].to_numpy().max() + 1) if table.num_rows else 0, np.int64)
     freq[table["id"].to_numpy()] = table["freq"].to_numpy()
@@ -236,9 +269,9 @@ def read(spark, folder: str) -> DataFrame:
     blocks = spark.read.parquet(f"{folder}/blocks")
     # files are in doc_id order: ids before a file = sum over earlier files, one row a file
     ahead = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
-    files = (blocks.groupBy("file").agg(F.sum("n_ids").alias("n"))
-             .select("file", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead")))
-    placed = blocks.join(F.broadcast(files), "file")
+    files = stored(blocks.groupBy("file").agg(F.sum("n_ids").alias("n"))
+                   .select("file", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead")), "rans-files")
+    placed = blocks.join(maybe_broadcast(files, 16), "file")
 
     def run(parts):
         coder = Table(sent.value)
@@ -253,7 +286,51 @@ def read(spark, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r["doc_ids"], pa.int64()), pa.array(start), pa.array(lengths), pa.array(own, pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"])
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    whole = placed.where(F.col("n_ids") <= WHOLE).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    large = placed.where(F.col("n_ids") > WHOLE)
+    return whole if large.isEmpty() else whole.unionByName(_read_parts(large, sent))
+
+
+def _read_parts(placed: DataFrame, sent) -> DataFrame:
+    """Large blocks, part by part: rows as of ``read``."""
+    def cut(parts):
+        names = ["file", "block", "part", "n", "lanes", "step", "last", "state", "words", "number", "doc_id", "start", "size", "skip", "take"]
+        for part in parts:
+            for r in part.to_pylist():
+                n, lanes, _, found = parts_of(r["payload"])
+                lengths = np.array(r["lengths"], np.int64)
+                ends = np.cumsum(lengths)
+                start = ends - lengths
+                for k, p in enumerate(found):
+                    a, b = p.step * lanes, min(n, p.last * lanes)
+                    # documents with ids in a..b, and which of these
+                    docs = np.arange(np.searchsorted(ends, a, "right"), np.searchsorted(start, b, "left"))
+                    skip = np.maximum(start[docs] - a, 0)
+                    take = np.minimum(ends[docs], b) - np.maximum(start[docs], a)
+                    row = [r["file"], r["block"], k, n, lanes, p.step, p.last, p.state, p.words, docs.tolist(), [r["doc_ids"][d] for d in docs],
+                           (r["ahead"] + r["before"] + start[docs]).tolist(), lengths[docs].tolist(), skip.tolist(), take.tolist()]
+                    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()] + [pa.list_(pa.int64())] * 6
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=names)
+
+    def run(parts):
+        coder = Table(sent.value)
+        for part in parts:
+            for r in part.to_pylist():
+                raw = decode_part(r["n"], r["lanes"], Part(r["step"], r["last"], r["state"], r["words"]), coder).astype("<u4").tobytes()
+                own = [raw[4 * s:4 * (s + t)] for s, t in zip(r["skip"], r["take"])]
+                m = len(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["file"]] * m, pa.int32()), pa.array([r["block"]] * m, pa.int32()), pa.array(r["number"], pa.int64()), pa.array([r["part"]] * m, pa.int32()),
+                     pa.array(r["doc_id"], pa.int64()), pa.array(r["start"], pa.int64()), pa.array(r["size"], pa.int64()), pa.array(own, pa.binary())],
+                    names=["file", "block", "number", "part", "doc_id", "start", "size", "ids"])
+
+    lists = ", ".join(f"{c} array<long>" for c in ("number", "doc_id", "start", "size", "skip", "take"))
+    pieces = placed.mapInArrow(cut, f"file int, block int, part int, n long, lanes int, step int, last int, state binary, words binary, {lists}")
+    decoded = pieces.repartition("file", "block", "part").mapInArrow(
+        run, "file int, block int, number long, part int, doc_id long, start long, size long, ids binary")
+    joined = F.aggregate(F.transform(F.sort_array(F.collect_list(F.struct("part", "ids"))), lambda p: p["ids"]), F.lit(b""), lambda a, x: F.concat(a, x))
+    return (decoded.groupBy("file", "block", "number").agg(F.max("doc_id").alias("doc_id"), F.max("start").alias("start"), F.max("size").alias("n_tokens"), joined.alias("ids"))
+            .select("doc_id", "start", "n_tokens", "ids"))
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int, folder: str | None = None) -> DataFrame:

@@ -7,7 +7,9 @@ there and the ids of the parts joined (``units``). A unit of plain characters is
 split into pre-tokens here and each distinct pre-token is merged once by the
 library's model; any other unit is encoded by the library as it is.
 
-Memory: both dictionaries are emptied when they reach ``MEMO`` entries.
+Memory: a memo has two generations of ``MEMO`` entries. When the young one is full
+it becomes the old one and what was old is forgotten; entries that are asked for
+again move to the young one, so frequent words stay.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 from collections.abc import Iterable
 
 import numpy as np
@@ -22,6 +25,8 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 MEMO = 400_000
+#: Characters of a unit beyond which it is neither split here nor kept.
+LONG = 200
 #: ASCII separators that str.split() counts as space and the tokenizers do not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Characters for which lower-casing, NFC and the character classes of the
@@ -52,6 +57,25 @@ def mapped(piece: str) -> str:
     return piece.translate(_MAP)
 
 
+class Memo(dict):
+    """Values by text, made when first asked for; see above. Long texts are not kept."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, text: str) -> bytes:
+        got = self.old.get(text)
+        if got is None:
+            got = self.make(text)
+        if len(text) <= LONG:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[text] = got
+        return got
+
+
 @functools.lru_cache(maxsize=4)
 def library(path: str):
     from tokenizers import Tokenizer
@@ -73,9 +97,8 @@ class Codec:
         #: "word": lower-cased, white space dropped; "byte": every byte kept.
         self.kind = "word" if spec["normalizer"] else "byte"
         self.pattern = WORD_PATTERN if self.kind == "word" else BYTE_PATTERN
-        self.memo = memo
-        self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.units = Memo(self._unit, memo)
+        self.pieces = Memo(self._piece, memo)
 
     def split(self, text: str) -> list[str]:
         return text.split() if self.kind == "word" else _UNIT.findall(text)
@@ -85,37 +108,26 @@ class Codec:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= self.memo:
-                self.pieces.clear()
-            got = np.array([t.id for t in self.model.tokenize(mapped(piece))], "<u4").tobytes()
-            self.pieces[piece] = got
-        return got
+        # printable ASCII but the space stands for itself in the byte-level alphabet
+        same = piece.isascii() and piece.isprintable() and " " not in piece
+        ids = [t.id for t in self.model.tokenize(piece if same else mapped(piece))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _unit(self, unit: str) -> bytes:
-        if "<|" in unit or len(unit) > 200 or not PLAIN.fullmatch(unit):
-            got = self.asked(unit)
-        else:
-            low = unit.lower() if self.kind == "word" else unit
-            got = b"".join(map(self._piece, self.pattern.findall(low)))
-        if len(unit) <= 200:
-            if len(self.units) >= self.memo:
-                self.units.clear()
-            self.units[unit] = got
-        return got
+        plain = unit.isascii() and unit.isprintable()
+        if "<|" in unit or len(unit) > LONG or not (plain or PLAIN.fullmatch(unit)):
+            return self.asked(unit)
+        low = unit.lower() if self.kind == "word" else unit
+        if plain and low.isalpha():  # letters alone are one piece
+            return self.pieces[low]
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(low)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if ODD_SPACE.search(text):
             return self.asked(text)
-        parts = self.split(text)
-        try:
-            return b"".join(map(self.units.__getitem__, parts))
-        except KeyError:
-            known, make = self.units.get, self._unit
-            return b"".join([v if (v := known(p)) is not None else make(p) for p in parts])
+        return b"".join(map(self.units.__getitem__, self.split(text)))
 
 
 @functools.lru_cache(maxsize=4)
