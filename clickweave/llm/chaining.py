@@ -11,10 +11,11 @@ their 32-bit keys are counted in one thin shuffle, and a second pass emits only
 seeds whose key, by a bitmap of fixed size, occurs again; (2) those seeds are joined to
 the *first* occurrence of their hash (smallest doc_id, place), found by a
 partial aggregation, so a passage in n documents makes n matches, not n^2, and
-a hot seed is combined before the shuffle; whole runs of MIN_WORDS words whose
-own minimizers all occur again are joined to their first occurrence as well, so
-an exact passage is found however its lines and seeds are spread; (3) per pair (document, earlier
-document) matches are chained: a chain's score is the words it covers less a
+a hot seed is combined before the shuffle. Runs of ``RUN`` words whose own
+minimizers all occur again are seeds as well, however their lines and short seeds
+are spread; of every ``APART`` neighbouring runs the one of smallest hash is kept,
+so any MIN_WORDS equal words in a row hold one, the same one in both documents; (3) per pair
+(document, earlier document) with a run or two seeds, matches are chained: a chain's score is the words it covers less a
 gap cost linear in the distances skipped in both texts, and the best
 predecessor is found with a Fenwick tree of prefix maxima over the places in
 the earlier text; (4) chains are aligned on the words: ends are extended, gaps
@@ -34,14 +35,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, bit_map, marked, mix, repeated_keys, shingles, stored, utf8, words
+from .common import batches, bit_map, discard, marked, mix, repeated_keys, shingles, stored, utf8, words
 
 K = 5
 WINDOW = 4
 MIN_WORDS = 50
+#: Neighbouring runs of which one is kept (a power of two), and their words:
+#: MIN_WORDS words hold APART runs.
+APART = 8
+RUN = MIN_WORDS - APART + 1
 IDENTITY = 0.75
 #: Gap cost per word skipped in either text; a chain breaks where it would go
 #: below zero.
@@ -69,13 +74,7 @@ def sketch(texts: pa.Array):
     order = np.where(inside, mix(code ^ np.uint64(0x5851F42D4C957F2D)), np.uint64(2**64 - 1))
     if n < WINDOW:
         return word, first, row, code, inside, np.zeros(0, np.int64), np.zeros(0, bool)
-    # place of the smallest of each window, by doubling (WINDOW is a power of two)
-    best, at, span = order.copy(), np.arange(n), 1
-    while span < WINDOW:
-        later = best[span:] < best[:-span]
-        best = np.where(later, best[span:], best[:-span])
-        at = np.where(later, at[span:], at[: len(at) - span])
-        span *= 2
+    at = least_places(order, WINDOW)
     whole = row[: len(at)] == row[WINDOW - 1:]
     return word, first, row, code, inside, at, whole & inside[WINDOW - 1:][: len(at)]
 
@@ -92,23 +91,36 @@ def _minimizers(first, row, code, inside, at, whole):
     return row[picked], picked - first[row[picked]], code[picked]
 
 
-def windows_of(word, first, row, code, at, whole, again: np.ndarray):
-    """(row, word place, hash) of the runs of MIN_WORDS words that may occur
-    again: all minimizers that such a run has by itself, whatever is around it,
-    are marked in ``again``."""
-    n, inner = len(word), MIN_WORDS - K - WINDOW + 2
+def least_places(order: np.ndarray, span: int) -> np.ndarray:
+    """Place of the smallest of each ``span`` neighbours (a power of two)."""
+    best, at, have = order, np.arange(len(order)), 1
+    while have < span:
+        later = best[have:] < best[:-have]
+        best = np.where(later, best[have:], best[:-have])
+        at = np.where(later, at[have:], at[: len(at) - have])
+        have *= 2
+    return at
+
+
+def runs_of(word, first, row, code, at, whole, again: np.ndarray):
+    """(row, word place, hash) of the runs of RUN words that may occur again (all
+    minimizers that such a run has by itself, whatever is around it, are marked
+    in ``again``) and are the smallest of APART neighbours in their text."""
+    n, inner = len(word), RUN - K - WINDOW + 2
     if n < MIN_WORDS:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    ok = whole.copy()
-    ok[whole] = marked(again, code[at[whole]] >> np.uint64(64 - KEY_BITS))
-    count = np.concatenate(([0], np.cumsum(ok)))
-    start = np.flatnonzero(count[inner:] - count[:-inner] == inner)
     with np.errstate(over="ignore"):
         power = np.multiply.accumulate(np.full(n, BASE, np.uint64))
         back = np.multiply.accumulate(np.full(n, BASE_BACK, np.uint64))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(word * power, dtype=np.uint64)))
-        value = mix((total[start + MIN_WORDS] - total[start]) * back[start])
-    return row[start], start - first[row[start]], value
+        value = mix((total[RUN:] - total[:-RUN]) * back[: n - RUN + 1])
+    kept = least_places(value, APART)
+    kept = np.unique(kept[row[: len(kept)] == row[MIN_WORDS - 1:]])
+    ok = whole.copy()
+    ok[whole] = marked(again, code[at[whole]] >> np.uint64(64 - KEY_BITS))
+    count = np.concatenate(([0], np.cumsum(ok)))
+    kept = kept[count[kept + inner] - count[kept] == inner]
+    return row[kept], kept - first[row[kept]], value[kept]
 
 
 class Fenwick:
@@ -154,7 +166,7 @@ def tiled(matches: list[tuple]) -> list[tuple]:
     and lie inside their neighbours here: the rest covers the same words."""
     out, same = [], {}
     for i, j, n in sorted(set(matches)):
-        if n < MIN_WORDS:
+        if n == K:
             out.append((i, j, n))
         else:
             same.setdefault((j, n), []).append(i)
@@ -305,58 +317,53 @@ def pieces(ends: np.ndarray, taken: np.ndarray, given: np.ndarray) -> list[tuple
 #: Bits of the maps of seeds that occur again (32 MB) and of documents with
 #: chains (8 MB), whatever the input.
 KEY_BITS, MAP_BITS = 28, 26
+#: Bytes of text that are sketched at once.
+PIECE = 512 << 10
 
 
 def seeds(docs: DataFrame) -> DataFrame:
-    """(h, doc, at, n): minimizers (n = K) and whole runs of n = MIN_WORDS
-    words that may occur more than once."""
+    """(h, doc, at, n): minimizers (n = K) and runs of n = RUN words that may
+    occur more than once."""
     def keys(part: pa.RecordBatch):
         code = seeds_of(part.column("text"))[2]
         yield pa.RecordBatch.from_arrays([pa.array((code.view(np.int64) >> 32).astype(np.int32))], names=["key"])
 
-    again = docs.sparkSession.sparkContext.broadcast(repeated_keys(batches(docs, keys, "key int"), KEY_BITS))
+    again = docs.sparkSession.sparkContext.broadcast(repeated_keys(batches(docs, keys, "key int", PIECE), KEY_BITS))
 
     def run(part: pa.RecordBatch):
         word, first, row_, code_, inside, at, whole = sketch(part.column("text"))
         row, place, code = _minimizers(first, row_, code_, inside, at, whole)
         hit = marked(again.value, code >> np.uint64(64 - KEY_BITS))
         ids = np.array(part.column("doc_id").to_pylist(), np.int64)
-        for n, (row, place, code) in ((K, (row[hit], place[hit], code[hit])), (MIN_WORDS, windows_of(word, first, row_, code_, at, whole, again.value))):
+        for n, (row, place, code) in ((K, (row[hit], place[hit], code[hit])), (RUN, runs_of(word, first, row_, code_, at, whole, again.value))):
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(ids[row]), pa.array(place.astype(np.int32)), pa.array(np.full(len(row), n, np.int32))],
                                              names=["h", "doc", "at", "n"])
-    return batches(docs, run, "h long, doc long, at int, n int")
+    return batches(docs, run, "h long, doc long, at int, n int", PIECE)
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(doc, first, at, first_at, n): each seed against the first occurrence,
-    and each run of MIN_WORDS and more words against the document that has
-    these very words first, wherever its lines and seeds are first."""
-    rows = stored(seeds(docs), "chain-seeds")
+    """(doc, first, at, first_at, n): each seed and run against its first
+    occurrence, when that is in an earlier document."""
+    return matched(stored(seeds(docs), "chain-seeds"))
 
-    def firsts(some: DataFrame) -> DataFrame:
-        first = (some.groupBy("h").agg(F.min(F.struct("doc", "at")).alias("f"), F.max("doc").alias("last"))
-                 .where("f.doc <> last").select("h", F.col("f.doc").alias("first"), F.col("f.at").alias("first_at")))
-        return some.join(first, "h").where("doc <> first").select("doc", "first", "at", "first_at")
-    # neighbouring windows of one diagonal as one match
-    side = Window.partitionBy("doc", "first", "side")
-    whole = (firsts(rows.where(F.col("n") == MIN_WORDS)).withColumn("side", F.col("at") - F.col("first_at"))
-             .withColumn("run", F.col("at") - F.dense_rank().over(side.orderBy("at")))
-             .groupBy("doc", "first", "side", "run").agg(F.min("at").alias("at"), F.min("first_at").alias("first_at"), (F.max("at") - F.min("at") + MIN_WORDS).alias("n")))
-    names = ["doc", "first", "at", "first_at", "n"]
-    return firsts(rows.where(F.col("n") == K)).withColumn("n", F.lit(K)).select(*names).union(whole.select(*names))
+
+def matched(rows: DataFrame) -> DataFrame:
+    first = (rows.groupBy("h").agg(F.min(F.struct("doc", "at")).alias("f"), F.max("doc").alias("last"))
+             .where("f.doc <> last").select("h", F.col("f.doc").alias("first"), F.col("f.at").alias("first_at")))
+    return rows.join(first, "h").where("doc <> first").select("doc", "first", "at", "first_at", "n")
 
 
 RUNS = "array<array<struct<i:int,j:int,n:int>>>"
 
 
 def chained(pairs: DataFrame) -> DataFrame:
-    """(doc, first, runs, i0, i1, j0, j1): all chains of each pair, those of one
-    seed too (the alignment decides), and the words they span."""
+    """(doc, first, runs, i0, i1, j0, j1): all chains of each pair that has a run
+    or seeds at two places, and the words they span."""
     def run(parts):
         key, held = None, []
 
         def flush():
-            if not held:
+            if len(held) < 2 and not any(n > K for _, _, n in held):
                 return []
             found = chains(tiled(held))
             runs = [[{"i": i, "j": j, "n": n} for i, j, n in chain] for chain in found]
@@ -404,7 +411,9 @@ def passages(docs: DataFrame) -> DataFrame:
     """One row per repeated passage: doc_id, start_word, end_word, first_doc_id,
     first_start, first_end, matched (words in order), identity, text_hash."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = stored(chained(matches(docs)), "chain-chains")
+    rows = stored(seeds(docs), "chain-seeds")
+    found = stored(chained(matched(rows)), "chain-chains")
+    discard(rows)
     ids = found.select("doc").union(found.select(F.col("first").alias("doc"))).distinct()
     arrays = stored(_word_arrays(docs, ids), "chain-words")
 

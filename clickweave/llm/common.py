@@ -25,16 +25,24 @@ LOWER[65:91] += 32
 BROADCAST_BYTES = 16 << 20
 
 
+#: Most rows of a record batch that goes to Python.
+BATCH_ROWS = 1000
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, as ``--py-files`` would, so that Python
-    functions run wherever the package is not installed. Once a context."""
+    functions run wherever the package is not installed, and bound the rows of a
+    record batch: texts are long, and a batch stands in the JVM and in Python at
+    once. Once a context."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
     _shipped.add(sc.applicationId)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.isModifiable(rows) and not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if not os.path.isdir(top):  # already inside an archive
         return
@@ -176,6 +184,7 @@ def batches(df: DataFrame, fn, schema: str, piece: int = PIECE_BYTES) -> DataFra
             rows = max(1, int(part.num_rows * piece / max(1, part.nbytes)))
             for at in range(0, part.num_rows, rows):
                 yield from fn(part.slice(at, rows))
+        pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 
