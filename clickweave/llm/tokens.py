@@ -24,7 +24,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO = 400_000
+MEMO = 500_000
 #: Characters of a unit beyond which it is neither split here nor kept.
 LONG = 200
 #: ASCII separators that str.split() counts as space and the tokenizers do not.
@@ -119,8 +119,8 @@ class Codec:
             return self.asked(unit)
         low = unit.lower() if self.kind == "word" else unit
         if plain and low.isalpha():  # letters alone are one piece
-            return self.pieces[low]
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(low)))
+            return self._piece(low) if low == unit else self.units[low]
+        return b"".join([(self.units if p.isascii() and p.isalpha() else self.pieces)[p] for p in self.pattern.findall(low)])
 
     def encode(self, text: str | None) -> bytes:
         if not text:
