@@ -126,6 +126,16 @@ class Words:
         return (np.add.reduceat(total, self.at) + whole) / count
 
 
+def joined(parts: list[Words]) -> Words:
+    """The words of several batches as one row."""
+    out = object.__new__(Words)
+    out.size = np.concatenate([p.size for p in parts])
+    out.at = np.concatenate(([0], np.cumsum(out.size)[:-1])).astype(np.int64)
+    out.bytes = np.concatenate([p.bytes for p in parts])
+    out.first = np.array([0, len(out.size)])
+    return out
+
+
 class Subwords:
     """Joint training of n-gram vectors and the softmax: full batch, Adam.
     n-grams in fewer than ``least`` (word, document) pairs of the sample stay at
@@ -228,17 +238,35 @@ def highest_window(x: np.ndarray) -> tuple[float, int]:
 
 def train(texts: list[str], labels: list[int], rounds: int = 3) -> tuple[np.ndarray, float] | None:
     """(bucket margins, bias), or None without both classes."""
-    found = Words(*utf8(pa.array(texts, pa.string())))
-    have = np.flatnonzero(np.diff(found.first))
+    # in pieces, so that the driver holds the arrays of one piece and of the vocabulary
+    array, pieces, rows, size = pa.array(texts, pa.string()), [], 0, 0
+    for k, text in enumerate(texts):
+        size += len(text or "")
+        if size >= PIECE or k == len(texts) - 1:
+            pieces.append(array.slice(rows, k + 1 - rows))
+            rows, size = k + 1, 0
+    hashes, first = [], [np.zeros(1, np.int64)]
+    for piece in pieces:
+        found = Words(*utf8(piece))
+        hashes.append(found.hashes())
+        first.append(found.first[1:] + first[-1][-1])
+    first = np.concatenate(first)
+    have = np.flatnonzero(np.diff(first))
     y = np.array(labels, np.int64)[have]
     if len(set(y.tolist())) < 2:
         return None
-    _, pick, word = np.unique(found.hashes(), return_index=True, return_inverse=True)
-    docs = [word[found.first[r]:found.first[r + 1]] for r in have]
+    _, pick, word = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    docs = [word[first[r]:first[r + 1]] for r in have]
+    order, at, kept = np.argsort(pick), 0, []
+    for piece, own in zip(pieces, hashes):
+        inside = pick[order][np.searchsorted(pick[order], at):np.searchsorted(pick[order], at + len(own))]
+        kept.append(Words(*utf8(piece)).only(inside - at))
+        at += len(own)
+    vocabulary = joined(kept).only(np.argsort(order))
     in_class = np.zeros((2, len(pick)))
     for ids, label in zip(docs, y):
         in_class[label, np.unique(ids)] += 1
-    model = Subwords(found.only(pick), in_class)
+    model = Subwords(vocabulary, in_class)
     for _ in range(rounds):
         margin = model.word_vectors() @ (model.V[:, 1] - model.V[:, 0])
         bags = []
