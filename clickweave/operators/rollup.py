@@ -14,7 +14,8 @@ A run touches the days it has rows of: their bitmaps are OR-ed with the run's, i
 counts take the place of an earlier attempt's, and the days' partitions are
 replaced; so taking in a run twice changes nothing. Queries read the days table alone, which
 is as large as the distinct values of its days, not their events. All of it are
-built-in aggregates; hot values are combined before the shuffle.
+built-in aggregates; hot values are combined before the shuffle. Values are taken in by
+small tasks (``session.small_tasks``), so that a task's memory does not grow with a run.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions import round2
-from clickweave.session import stored
+from clickweave.session import small_tasks, stored
 from clickweave.sources.schema import PARTITION_COLUMNS
 
 #: Columns whose distinct values are kept.
@@ -58,6 +59,10 @@ class DayRollup:
 
     def add(self, rows: DataFrame, run: str) -> None:
         """Take in the rows of the run named ``run``."""
+        with small_tasks(self.spark):
+            self._add(rows, run)
+
+    def _add(self, rows: DataFrame, run: str) -> None:
         values = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in VALUES])
         seen = stored(rows.select(*PARTITION_COLUMNS, F.inline(values)).where("value IS NOT NULL").distinct(), "rollup-values")
         self._number(seen.select("kind", "value").distinct())
@@ -80,7 +85,8 @@ class DayRollup:
     def _number(self, values: DataFrame) -> None:
         """Give values without a number the next ones of their column."""
         known = self.numbers()
-        fresh = values.join(known, ["kind", "value"], "left_anti").repartition("kind", "value")
+        # dealt by kind and value already: by the distinct values, by the join beyond a broadcast
+        fresh = values.join(known, ["kind", "value"], "left_anti")
         placed = stored(fresh.sortWithinPartitions("kind").select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "rollup-fresh")
         if placed.isEmpty():
             return
@@ -91,7 +97,8 @@ class DayRollup:
         starts = starts.join(base, "kind", "left")
         out = placed.join(F.broadcast(starts), ["kind", "part"]).select(  # a row a column and task
             "value", (F.coalesce(F.col("top") + 1, F.lit(0)) + F.col("before") + F.col("at") - F.col("first")).alias("number"), "kind")
-        out.write.mode("append").partitionBy("kind").parquet(os.path.join(self.root, "numbers"))
+        for kind in VALUES:  # one folder at a time: rows need not be sorted by folder
+            out.where(F.col("kind") == kind).drop("kind").write.mode("append").parquet(os.path.join(self.root, "numbers", f"kind={kind}"))
 
 
 def _distinct(days: DataFrame, keys: list[str]) -> DataFrame:
