@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions import parse_event_time
 from clickweave.operators.sequence import running_sums, session_start
-from clickweave.session import stored
+from clickweave.session import small_tasks, stored
 
 #: Buckets of the counts; a few times the cores of a cluster.
 DEFAULT_BUCKETS = 64
@@ -82,7 +82,11 @@ class SessionRuns:
         numbered from their session's earlier rows on and stores the shifts of
         what was there (``earlier``: the table before the run). ``commit`` makes the
         run part of the table; call it when the rows are written. ``split``: the
-        hot-key options of ``running_sums``."""
+        hot-key options of ``running_sums``. Small tasks keep all cores busy."""
+        with small_tasks(self.spark):
+            return self._begin(rows, earlier, split)
+
+    def _begin(self, rows: DataFrame, earlier: DataFrame | None, split: dict) -> DataFrame:
         rows = stored(rows.withColumn("_t", parse_event_time("timestamp")), "run-rows")
         run = rows.agg(F.max(F.unix_micros("processed_timestamp"))).first()[0]
         if run is None:  # no rows

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickweave import session
 from clickweave.operators.event_ledger import EventLedger
 from clickweave.operators.rollup import DayRollup, quality_counters
+from clickweave.operators.session_runs import SessionRuns
 
 SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
@@ -65,3 +66,13 @@ def test_ledger_takes_ids_in_by_small_tasks(spark, tmp_dir, tiny):
         sizes = files(spark, old, name)
         assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
     assert ledger._read("ids", "event_id string, bucket int, run long").count() == 60_000
+
+
+def test_sessions_begin_by_small_tasks(spark, tmp_dir, tiny):
+    old = set(glob.glob(os.path.join(session.work_dir(spark), "*")))
+    runs = SessionRuns(spark, tmp_dir, "small_tasks", f"t{os.path.basename(tmp_dir).split('-')[-1].lower()}", 4)
+    stamp, time = F.timestamp_seconds(F.lit(1_706_745_600)), F.lit("2024-01-01T00:00:00.000Z")
+    rows = events(spark, 60_000).withColumns({"timestamp": time, "processed_timestamp": stamp, "event_sequence": F.lit(1), "is_session_start": F.lit(True)})
+    assert runs.begin(rows, None).count() == 60_000
+    sizes = files(spark, old, "run-sessions")
+    assert len(sizes) > 1 and sum(sizes) == 9000
