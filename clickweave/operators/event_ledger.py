@@ -9,7 +9,8 @@ looked up exactly, in their own buckets only, so a false alarm never drops an ev
 
 A run is known by its number (its time stamp). Its own ids never count as seen, so
 a run that failed half-way can be repeated; ids and filters are written by
-replacing partitions, last of all the run's output.
+replacing partitions, last of all the run's output. Ids are looked up and taken in by
+small tasks (``session.small_tasks``): a task's memory does not grow with a run.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.operators.joins import MAX_BROADCAST_BYTES
-from clickweave.session import stored
+from clickweave.session import small_tasks, stored
 
 #: Bits of one bitmap, hashes an id, default buckets and bitmaps a bucket (so
 #: 10 bits an id hold about a million ids a bucket).
@@ -59,12 +60,20 @@ class EventLedger:
         """Ids whose bits are all set in their bucket's filter."""
         byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
         hit = byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0
-        asked = self._bits(ids).join(self._read("filters", _FILTERS), ["bucket", "stretch"])
+        filters = self._read("filters", _FILTERS)
+        # sized here: by the compressed size of the ids, all their places would be broadcast
+        small = self.buckets * self.stretches * STRETCH // 8 <= MAX_BROADCAST_BYTES
+        asked = self._bits(ids).join(filters.hint("broadcast" if small else "merge"), ["bucket", "stretch"])
         return asked.where(hit).groupBy("event_id", "bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == HASHES).select("event_id", "bucket")
 
     def fresh(self, rows: DataFrame, run: int) -> DataFrame:
         """``rows`` without those whose ``event_id`` an earlier run stored; of rows
-        that repeat an id within the run, one stays. Rows without an id pass."""
+        that repeat an id within the run, one stays. Rows without an id pass. The rows
+        are stored."""
+        with small_tasks(self.spark):
+            return stored(self._fresh(rows, run), "landed-new")
+
+    def _fresh(self, rows: DataFrame, run: int) -> DataFrame:
         ids = rows.where(F.col("event_id").isNotNull()).select("event_id").distinct()
         doubt = stored(self.suspects(ids), "ledger-doubt")
         some = doubt.count()
@@ -78,6 +87,10 @@ class EventLedger:
 
     def commit(self, rows: DataFrame, run: int) -> None:
         """Take in the ids of the rows that a run has stored."""
+        with small_tasks(self.spark):
+            self._commit(rows, run)
+
+    def _commit(self, rows: DataFrame, run: int) -> None:
         ids = stored(rows.where(F.col("event_id").isNotNull()).select("event_id").distinct(), "ledger-ids")
         new = self._bits(ids).groupBy("bucket", "stretch").agg(F.bitmap_construct_agg("bit").alias("bits")).select("stretch", "bits", "bucket")
         new = stored(new, "ledger-new")
@@ -86,5 +99,5 @@ class EventLedger:
         both = stored(old.unionByName(new).groupBy("bucket", "stretch").agg(F.bitmap_or_agg("bits").alias("bits")), "ledger-filters")
         (both.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
          .parquet(os.path.join(self.root, "filters")))
-        (ids.select("event_id", self._bucket(), F.lit(run).alias("run")).repartition("bucket").write.mode("overwrite")
+        (ids.select("event_id", self._bucket(), F.lit(run).alias("run")).hint("rebalance", "bucket").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "run").parquet(os.path.join(self.root, "ids")))

@@ -108,7 +108,7 @@ def run_batch(spark: SparkSession, source: str, target: str, database: str | Non
     landing, counters = land(spark, source, layout, spread_lines)
     if ledger:
         valid = conform(landing)
-        landing = stored(ledger.fresh(valid, run_number(stamp)), "landed-new")
+        landing = ledger.fresh(valid, run_number(stamp))
     days, extra = landed_facts(landing)
     curated = prepare_batch(landing, stamp, extra, **seq_opts)
     if errors_path and counters.get("corrupt_records", 0) > 0:

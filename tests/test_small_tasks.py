@@ -76,3 +76,10 @@ def test_sessions_begin_by_small_tasks(spark, tmp_dir, tiny):
     assert runs.begin(rows, None).count() == 60_000
     sizes = files(spark, old, "run-sessions")
     assert len(sizes) > 1 and sum(sizes) == 9000
+
+
+def test_ledger_never_broadcasts_the_places_of_ids(spark, tmp_dir):
+    for stretches, join in ((8, "BroadcastHashJoin"), (4000, "SortMergeJoin")):
+        ledger = EventLedger(spark, os.path.join(tmp_dir, join), 8, stretches)
+        plan = ledger.suspects(events(spark, 100).select("event_id"))._jdf.queryExecution().sparkPlan().toString()
+        assert join in plan and "BuildLeft" not in plan
