@@ -7,11 +7,10 @@ of which at least ``IDENTITY`` match in order.
 Plan: (1) each text is sketched by minimizers: of every ``WINDOW``
 neighbouring k-mers of words the one with the smallest hash is a seed, so two
 texts that agree over WINDOW + K - 1 words share one. Most seeds occur once:
-their 32-bit keys are counted in one thin shuffle, and a second pass emits only
-seeds whose key, by a bitmap of fixed size, occurs again; (2) those seeds are joined to
-the *first* occurrence of their hash (smallest doc_id, place), found by a
-partial aggregation, so a passage in n documents makes n matches, not n^2, and
-a hot seed is combined before the shuffle. Runs of ``RUN`` words whose own
+their 32-bit keys are marked by range in one thin shuffle, and a second pass emits only
+seeds whose key, by a bitmap of fixed size, occurs again; (2) those seeds meet
+the *first* occurrence of their hash (smallest doc_id, place) in one shuffle and
+one sort, so a passage in n documents makes n matches, not n^2. Runs of ``RUN`` words whose own
 minimizers all occur again are seeds as well, however their lines and short seeds
 are spread; of every ``APART`` neighbouring runs the one of smallest hash is kept,
 so any MIN_WORDS equal words in a row hold one, the same one in both documents; (3) per pair
@@ -35,10 +34,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, bit_map, discard, marked, mix, repeated_keys, shingles, stored, utf8, words
+from .common import batches, bit_map, marked, maybe_broadcast, mix, repeated_in, shingles, stored, utf8, words
 
 K = 5
 WINDOW = 4
@@ -146,45 +145,79 @@ class Fenwick:
         return top, index
 
 
-def merged(matches: list[tuple]) -> list[tuple[int, int, int]]:
-    """Matches (place here, place there[, words]) as diagonal runs (i, j, words)."""
-    out: list[list[int]] = []
-    last: dict[int, int] = {}
-    for i, j, *n in matches:
-        n = n[0] if n else K
-        at = last.get(i - j)
-        if at is not None and i <= out[at][0] + out[at][2] + WINDOW:
-            out[at][2] = max(out[at][2], i + n - out[at][0])
-        else:
-            last[i - j] = len(out)
-            out.append([i, j, n])
-    return [tuple(x) for x in out]
+def distinct(pair: np.ndarray, at: np.ndarray, there: np.ndarray, n: np.ndarray):
+    """The matches (pair, place here, place there, words) once each, sorted."""
+    order = np.lexsort((n, there, pair << 32 | at))
+    pair, at, there, n = (x[order] for x in (pair, at, there, n))
+    new = np.ones(len(order), bool)
+    new[1:] = (pair[1:] != pair[:-1]) | (at[1:] != at[:-1]) | (there[1:] != there[:-1]) | (n[1:] != n[:-1])
+    return pair[new], at[new], there[new], n[new]
+
+
+def merged(pair: np.ndarray, at: np.ndarray, there: np.ndarray, n: np.ndarray):
+    """Distinct matches as diagonal runs (pair, i, j, words), sorted."""
+    if not len(pair):
+        return pair, at, there, n
+    side = (pair << 33) + (at - there + (1 << 32))
+    order = np.argsort(side, kind="stable")
+    pair, at, there, n, side = (x[order] for x in (pair, at, there, n, side))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = side[1:] != side[:-1]
+    # the furthest end so far on the same diagonal
+    end = np.maximum.accumulate((np.cumsum(fresh) << 33) + at + n) & ((1 << 33) - 1)
+    fresh[1:] |= at[1:] > end[:-1] + WINDOW
+    start = np.flatnonzero(fresh)
+    pair, i, j, n = pair[start], at[start], there[start], end[np.append(start[1:], len(order)) - 1] - at[start]
+    order = np.lexsort((n, j, pair << 32 | i))
+    return pair[order], i[order], j[order], n[order]
+
+
+def needed(pair: np.ndarray, at: np.ndarray, there: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which of the distinct matches stay: of the long matches of periodic text
+    that begin at one place there, those that lie inside their neighbours here
+    go, and the rest covers the same words."""
+    keep = np.ones(len(at), bool)
+    long = np.flatnonzero(n > K)
+    long = long[np.lexsort((at[long], n[long], pair[long] << 32 | there[long]))]
+    new = np.ones(len(long), bool)
+    new[1:] = (pair[long][1:] != pair[long][:-1]) | (there[long][1:] != there[long][:-1]) | (n[long][1:] != n[long][:-1])
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, len(long)))
+    for s, m in zip(start[size > 2].tolist(), size[size > 2].tolist()):
+        rows = long[s:s + m]
+        places, words_ = at[rows].tolist(), int(n[rows[0]])
+        kept = places[0]
+        for row, i, after in zip(rows[1:-1].tolist(), places[1:-1], places[2:]):
+            if after > kept + words_:
+                kept = i
+            else:
+                keep[row] = False
+    return keep
+
+
+def _columns(matches: list[tuple]) -> list[np.ndarray]:
+    rows = np.array([(0, i, j, *(n or (K,))) for i, j, *n in matches], np.int64).reshape(-1, 4)
+    return distinct(*rows.T)
 
 
 def tiled(matches: list[tuple]) -> list[tuple]:
-    """Without the long matches of periodic text that begin at one place there
-    and lie inside their neighbours here: the rest covers the same words."""
-    out, same = [], {}
-    for i, j, n in sorted(set(matches)):
-        if n == K:
-            out.append((i, j, n))
-        else:
-            same.setdefault((j, n), []).append(i)
-    for (j, n), at in same.items():
-        kept = None
-        for i, after in zip(at, [*at[1:], None]):
-            if kept is None or after is None or after > kept + n:
-                kept = i
-                out.append((i, j, n))
-    return out
+    """The matches (place here, place there, words) of one pair that are needed."""
+    rows = _columns(matches)
+    keep = needed(*rows)
+    return list(zip(*(x[keep].tolist() for x in rows[1:])))
 
 
 def chains(matches: list[tuple]) -> list[list[tuple[int, int, int]]]:
-    """Best local chains of the matches of one pair, as lists of runs; each
-    run belongs to one chain."""
-    runs = sorted(merged(sorted(set(matches))))
+    """Best local chains of the matches (place here, place there[, words]) of one
+    pair, as lists of runs; each run belongs to one chain."""
+    runs = list(zip(*(x.tolist() for x in merged(*_columns(matches))[1:])))
+    return [[runs[r] for r in chain] for chain in linked(runs)]
+
+
+def linked(runs: list[tuple[int, int, int]]) -> list[list[int]]:
+    """Best local chains of the sorted runs of one pair, as lists of indices."""
     if len(runs) == 1:
-        return [runs]
+        return [[0]]
     # a run may follow one that ends before it in both texts (ends are shortened
     # by K - 1 so that overlapping seeds of neighbouring diagonals may follow)
     there = sorted({j + n - K for _, j, n in runs} | {j for _, j, _ in runs})
@@ -210,7 +243,7 @@ def chains(matches: list[tuple]) -> list[list[tuple[int, int, int]]]:
         chain = []
         while r >= 0 and not used[r]:
             used[r] = True
-            chain.append(runs[r])
+            chain.append(r)
             r = before[r]
         out.append(chain[::-1])
     return out
@@ -227,69 +260,137 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
+#: Words that an extension looks at first.
+GLANCE = 32
+
+
 def extended(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """(words taken, words equal) walking both arrays from their start: goes on
     through single edits, ends at DROP mismatches in a row, and gives back the
     trailing mismatches."""
-    n = min(len(a), len(b))
-    same = a[:n] == b[:n]
-    miss = equal = end = end_equal = 0
-    for k, hit in enumerate(same.tolist()):
-        if hit:
-            miss, equal = 0, equal + 1
-            end, end_equal = k + 1, equal
-        else:
-            miss += 1
-            if miss >= DROP:
-                break
-    return end, end_equal
-
-
-#: Cells up to which a gap is aligned at once; larger ones only where a piece
-#: could reach over them.
-CELLS = 4096
-
-
-def most_common(a: np.ndarray, b: np.ndarray) -> int:
-    """Words the two gaps share in any order: never less than common_words."""
-    x, n = np.unique(a, return_counts=True)
-    y, m = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, True, return_indices=True)
-    return int(np.minimum(n[i], m[j]).sum())
-
-
-def align(chain: list[tuple[int, int, int]], a: np.ndarray, a0: int, b: np.ndarray, b0: int):
-    """Every maximal piece of a chain, from one run to the same or a later one,
-    with MIN_WORDS and IDENTITY: [(start, end, first_start, first_end, matched)].
-    ``a`` holds the words of the document from place ``a0`` on, ``b`` those of
-    the earlier one from ``b0`` on. A gap counts only for pieces that reach
-    over it; a piece's own ends are extended."""
-    runs, i, j = [], 0, 0
-    for x, y, n in chain:
-        x, y = x - a0, y - b0
-        over = max(i - x, j - y, 0) if runs else 0  # overlap with what is already aligned
-        x, y, n = x + over, y + over, n - over
-        if n > 0:
-            runs.append((x, y, n))
-            i, j = x + n, y + n
-    gaps = [(a[x + n:u], b[y + n:v]) for (x, y, n), (u, v, _) in zip(runs, runs[1:])]
-    exact = [len(g) * len(h) <= CELLS for g, h in gaps]
-    inside = [common_words(g, h) if e else most_common(g, h) for (g, h), e in zip(gaps, exact)]
-    left = [extended(a[:x][::-1], b[:y][::-1]) for x, y, _ in runs]
-    right = [extended(a[x + n:], b[y + n:]) for x, y, n in runs]
-    equal = [int((a[x:x + n] == b[y:y + n]).sum()) for x, y, n in runs]
-    ends = np.array([(x - l, y - l, x + n + r, y + n + r) for (x, y, n), (l, _), (r, _) in zip(runs, left, right)])
+    n, m = min(len(a), len(b)), GLANCE
     while True:
-        upto = np.cumsum(equal) + np.cumsum([0, *inside])
-        taken = upto + [e for _, e in right]
-        given = upto - equal - [e for _, e in left]
-        found = pieces(ends, taken, given)
-        open_ = {g for s, e in found for g in range(s, e) if not exact[g]}
-        if not open_:
-            break
-        for g in open_:
-            inside[g], exact[g] = common_words(*gaps[g]), True
-    return [(a0 + int(ends[s, 0]), a0 + int(ends[e, 2]), b0 + int(ends[s, 1]), b0 + int(ends[e, 3]), int(taken[e] - given[s])) for s, e in found]
+        same = a[:min(m, n)] == b[:min(m, n)]
+        hits = np.flatnonzero(same)
+        # places before the first hit, between hits and after the last one
+        gap = np.diff(np.concatenate(([-1], hits, [len(same)])))
+        stop = np.flatnonzero(gap > DROP)
+        if len(stop) or m >= n:
+            hits = hits[:stop[0]] if len(stop) else hits
+            return (int(hits[-1]) + 1, len(hits)) if len(hits) else (0, 0)
+        m *= 4
+
+
+def extensions(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, limit: np.ndarray, step: int):
+    """``extended`` from all places x of a and y of b at once, by at most
+    ``limit`` words forwards (step 1) or backwards (step -1)."""
+    k = np.arange(GLANCE)
+    inside = k < limit[:, None]
+    same = inside & (a[np.where(inside, x[:, None] + step * k, 0)] == b[np.where(inside, y[:, None] + step * k, 0)])
+    near = same[:, DROP - 1:].copy()
+    for d in range(DROP - 1):
+        near |= same[:, d:GLANCE - DROP + 1 + d]
+    ended = ~near.all(axis=1)
+    same &= k < np.where(ended, near.argmin(axis=1), GLANCE)[:, None]
+    equal = same.sum(axis=1)
+    taken = np.where(equal > 0, GLANCE - same[:, ::-1].argmax(axis=1), 0)
+    for r in np.flatnonzero(~ended & (limit > GLANCE)).tolist():
+        i, j, m = int(x[r]), int(y[r]), int(limit[r])
+        s, t = (a[i:i + m], b[j:j + m]) if step > 0 else (a[i - m + 1:i + 1][::-1], b[j - m + 1:j + 1][::-1])
+        taken[r], equal[r] = extended(s, t)
+    return taken, equal
+
+
+class Side:
+    """One side of a batch of pairs: the 32-bit words of all windows, and each
+    window's first word, number of words and place in its document."""
+
+    def __init__(self, column: pa.Array, place: pa.Array):
+        column = column.cast(pa.large_binary())
+        off = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+        data = column.buffers()[2]
+        self.words = np.frombuffer(data, np.uint8)[off[0]:off[-1]].view(np.uint32) if off[-1] > off[0] else np.zeros(1, np.uint32)
+        self.at, self.size, self.place = (off[:-1] - off[0]) // 4, np.diff(off) // 4, place.to_numpy().astype(np.int64)
+
+    def bounds(self, row: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """(first word, end) of the places from REACH words before ``start`` to
+        REACH words after ``end``, as far as the rows' windows hold them."""
+        low, high = start - REACH - self.place[row], end + REACH - self.place[row]
+        high = np.clip(high, 0, self.size[row])
+        return self.at[row] + np.clip(low, 0, high), self.at[row] + high
+
+
+#: Words of runs and extensions that are aligned at once.
+ALIGNED = 1 << 19
+
+
+def align(a: Side, b: Side, row: np.ndarray, first: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray):
+    """Every maximal piece of each chain, from one run to the same or a later one,
+    with MIN_WORDS and IDENTITY: (chain, start, end, first_start, first_end,
+    matched), by chain. Chain c is of pair ``row[c]`` and has the runs (x, y, n)
+    from ``first[c]`` up to ``first[c + 1]``. A gap counts only for pieces that
+    reach over it; a piece's own ends are extended."""
+    ahead = np.concatenate(([0], np.cumsum(n + 2 * GLANCE)))[first]
+    c = 0
+    while c < len(row):
+        d = max(c + 1, int(np.searchsorted(ahead, ahead[c] + ALIGNED, "right")) - 1)
+        s, e = first[c], first[d]
+        for k, *piece in _aligned(a, b, row[c:d], first[c:d + 1] - s, x[s:e], y[s:e], n[s:e]):
+            yield (c + k, *piece)
+        c = d
+
+
+def _aligned(a: Side, b: Side, row, first, x, y, n):
+    head, tail = first[:-1], first[1:] - 1
+    (a_low, a_high), (b_low, b_high) = (side.bounds(row, p[head], p[tail] + n[tail]) for side, p in ((a, x), (b, y)))
+    chain = np.repeat(np.arange(len(row)), np.diff(first))
+    # overlap with the run before, in either text; runs end K words apart at least
+    over = np.zeros(len(x), np.int64)
+    over[1:] = np.maximum(np.maximum(x[:-1] + n[:-1] - x[1:], y[:-1] + n[:-1] - y[1:]), 0)
+    over[head] = 0
+    x, y, n = x + over, y + over, n - over
+    u, v = x - a.place[row[chain]] + a.at[row[chain]], y - b.place[row[chain]] + b.at[row[chain]]
+    a_low, a_high, b_low, b_high = a_low[chain], a_high[chain], b_low[chain], b_high[chain]
+    # words of a run that both windows hold (all, but where rows of one id differ)
+    held = np.clip(np.minimum(a_high - u, b_high - v), 0, n)
+    at = np.cumsum(held) - held
+    k = np.arange(int(held.sum())) - np.repeat(at, held)
+    same = a.words[np.repeat(u, held) + k] == b.words[np.repeat(v, held) + k]
+    total = np.concatenate(([0], np.cumsum(same)))
+    equal = total[at + held] - total[at]
+    l, l_equal = extensions(a.words, b.words, u - 1, v - 1, np.where(held > 0, np.minimum(u - a_low, v - b_low), 0), -1)
+    r, r_equal = extensions(a.words, b.words, u + n, v + n, np.minimum(a_high - u, b_high - v) - n, 1)
+    ends = np.stack((x - l, y - l, x + n + r, y + n + r), axis=1)
+    # gaps after each run: at most as many words in common as the shorter side has
+    inside, exact = np.zeros(len(x), np.int64), np.ones(len(x), bool)
+    if len(x) > 1:
+        inside[:-1] = np.minimum(u[1:] - u[:-1], v[1:] - v[:-1]) - n[:-1]
+        inside[tail] = 0
+        exact = inside == 0
+    size = (np.maximum.reduceat(ends[:, 2:], head) - np.minimum.reduceat(ends[:, :2], head)).min(axis=1)
+    most = np.add.reduceat(equal + inside, head) + np.maximum.reduceat(l_equal, head) + np.maximum.reduceat(r_equal, head)
+    for c in np.flatnonzero((size >= MIN_WORDS) & (most >= IDENTITY * MIN_WORDS)).tolist():
+        s, e = int(first[c]), int(first[c + 1])
+        if e == s + 1:
+            i, j, i1, j1 = ends[s].tolist()
+            if most[c] >= IDENTITY * max(i1 - i, j1 - j):
+                yield c, i, i1, j, j1, int(most[c])
+            continue
+        common, known = inside[s:e - 1].copy(), exact[s:e - 1].copy()
+        while True:
+            upto = np.cumsum(equal[s:e])
+            upto[1:] += np.cumsum(common)
+            taken, given = upto + r_equal[s:e], upto - equal[s:e] - l_equal[s:e]
+            found = pieces(ends[s:e], taken, given)
+            open_ = {g for f, t in found for g in range(f, t) if not known[g]}
+            if not open_:
+                break
+            for g in open_:
+                p, q = s + g, s + g + 1
+                common[g], known[g] = common_words(a.words[u[p] + n[p]:min(u[q], a_high[p])], b.words[v[p] + n[p]:min(v[q], b_high[p])]), True
+        for f, t in found:
+            (i, j), (i1, j1) = ends[s + f, :2].tolist(), ends[s + t, 2:].tolist()
+            yield c, i, i1, j, j1, int(taken[t] - given[f])
 
 
 def pieces(ends: np.ndarray, taken: np.ndarray, given: np.ndarray) -> list[tuple[int, int]]:
@@ -322,68 +423,90 @@ PIECE = 512 << 10
 
 
 def seeds(docs: DataFrame) -> DataFrame:
-    """(h, doc, at, n): minimizers (n = K) and runs of n = RUN words that may
+    """(h, doc, at): minimizers (even h) and runs of RUN words (odd h) that may
     occur more than once."""
-    def keys(part: pa.RecordBatch):
-        code = seeds_of(part.column("text"))[2]
-        yield pa.RecordBatch.from_arrays([pa.array((code.view(np.int64) >> 32).astype(np.int32))], names=["key"])
+    def keys(part: pa.RecordBatch) -> np.ndarray:
+        return (seeds_of(part.column("text"))[2] >> np.uint64(32)).astype(np.uint32)
 
-    again = docs.sparkSession.sparkContext.broadcast(repeated_keys(batches(docs, keys, "key int", PIECE), KEY_BITS))
+    again = docs.sparkSession.sparkContext.broadcast(repeated_in(docs, keys, KEY_BITS, PIECE))
 
     def run(part: pa.RecordBatch):
         word, first, row_, code_, inside, at, whole = sketch(part.column("text"))
         row, place, code = _minimizers(first, row_, code_, inside, at, whole)
         hit = marked(again.value, code >> np.uint64(64 - KEY_BITS))
-        ids = np.array(part.column("doc_id").to_pylist(), np.int64)
-        for n, (row, place, code) in ((K, (row[hit], place[hit], code[hit])), (RUN, runs_of(word, first, row_, code_, at, whole, again.value))):
-            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(ids[row]), pa.array(place.astype(np.int32)), pa.array(np.full(len(row), n, np.int32))],
-                                             names=["h", "doc", "at", "n"])
-    return batches(docs, run, "h long, doc long, at int, n int", PIECE)
+        ids = part.column("doc_id").to_numpy()
+        odd = np.uint64(1)
+        for row, place, code in ((row[hit], place[hit], code[hit] & ~odd), (*(found := runs_of(word, first, row_, code_, at, whole, again.value))[:2], found[2] | odd)):
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(ids[row]), pa.array(place.astype(np.int32))], names=["h", "doc", "at"])
+    return batches(docs, run, "h long, doc long, at int", PIECE)
 
 
 def matches(docs: DataFrame) -> DataFrame:
     """(doc, first, at, first_at, n): each seed and run against its first
     occurrence, when that is in an earlier document."""
-    return matched(stored(seeds(docs), "chain-seeds"))
+    return matched(seeds(docs))
 
 
 def matched(rows: DataFrame) -> DataFrame:
-    first = (rows.groupBy("h").agg(F.min(F.struct("doc", "at")).alias("f"), F.max("doc").alias("last"))
-             .where("f.doc <> last").select("h", F.col("f.doc").alias("first"), F.col("f.at").alias("first_at")))
-    return rows.join(first, "h").where("doc <> first").select("doc", "first", "at", "first_at", "n")
+    first = F.first(F.struct("doc", "at")).over(Window.partitionBy("h").orderBy("doc", "at"))
+    n = F.when(F.col("h") % 2 == 0, K).otherwise(RUN)
+    return rows.withColumn("f", first).where("doc <> f.doc").select("doc", F.col("f.doc").alias("first"), "at", F.col("f.at").alias("first_at"), n.alias("n"))
 
 
 RUNS = "array<array<struct<i:int,j:int,n:int>>>"
+#: Matches that are chained at once (or those of one pair).
+MATCHES = 1 << 16
 
 
 def chained(pairs: DataFrame) -> DataFrame:
     """(doc, first, runs, i0, i1, j0, j1): all chains of each pair that has a run
     or seeds at two places, and the words they span."""
-    def run(parts):
-        key, held = None, []
-
-        def flush():
-            if len(held) < 2 and not any(n > K for _, _, n in held):
-                return []
-            found = chains(tiled(held))
-            runs = [[{"i": i, "j": j, "n": n} for i, j, n in chain] for chain in found]
-            return [(*key, runs, min(c[0][0] for c in found), max(c[-1][0] + c[-1][2] for c in found),
-                     min(c[0][1] for c in found), max(c[-1][1] + c[-1][2] for c in found))]
-
-        def batch(out):
-            cols = list(zip(*out)) if out else [[]] * 7
-            types = [pa.int64(), pa.int64(), pa.list_(pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32()), ("n", pa.int32())])))] + [pa.int32()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["doc", "first", "runs", "i0", "i1", "j0", "j1"])
+    def flush(doc, first, at, there, n):
+        """Chains of whole pairs, sorted by pair."""
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (first[1:] != first[:-1])
+        start = np.flatnonzero(new)
+        pair = np.cumsum(new) - 1
+        good = (np.diff(np.append(start, len(doc))) > 1) | np.logical_or.reduceat(n > K, start)
+        keep = good[pair]
+        rows = distinct(*(x[keep].astype(np.int64) for x in (pair, at, there, n)))
+        keep = needed(*rows)
+        pair, i, j, n = merged(*(x[keep] for x in rows))
+        head = np.flatnonzero(np.diff(pair, prepend=-1))
+        order, sizes, counts = [], [], []
+        runs = list(zip(i.tolist(), j.tolist(), n.tolist()))
+        for s, e in zip(head.tolist(), [*head[1:].tolist(), len(runs)]):
+            found = linked(runs[s:e])
+            counts.append(len(found))
+            for chain in found:
+                sizes.append(len(chain))
+                order += [s + r for r in chain]
+        fields = [pa.array(x[order].astype(np.int32)) for x in (i, j, n)]
+        lists = pa.StructArray.from_arrays(fields, ["i", "j", "n"])
+        for size in (sizes, counts):
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), lists)
+        at = start[pair[head]]
+        ends = (np.minimum, i), (np.maximum, i + n), (np.minimum, j), (np.maximum, j + n)
+        spans = [(f.reduceat(x, head) if len(head) else x).astype(np.int32) for f, x in ends]
+        return pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(first[at]), lists, *(pa.array(x) for x in spans)],
+                                          names=["doc", "first", "runs", "i0", "i1", "j0", "j1"])
 
+    def run(parts):
+        held, count, enough = [], 0, MATCHES
         for part in parts:
-            out = []
-            for doc, first, at, first_at, n in zip(*(part.column(k).to_pylist() for k in range(5))):
-                if (doc, first) != key:
-                    out += flush()
-                    key, held = (doc, first), []
-                held.append((at, first_at, n))
-            yield batch(out)
-        yield batch(flush())
+            held.append([part.column(k).to_numpy() for k in range(5)])
+            count += part.num_rows
+            if count >= enough:
+                cols = [np.concatenate(x) for x in zip(*held)]
+                # the last pair may go on
+                last = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]))
+                cut = int(last[-1]) + 1 if len(last) else 0
+                if cut:
+                    yield flush(*(x[:cut] for x in cols))
+                held, count = [[x[cut:].copy() for x in cols]], count - cut
+                enough = max(MATCHES, 2 * count)
+        if count:
+            yield flush(*(np.concatenate(x) for x in zip(*held)))
     return (pairs.select("doc", "first", "at", "first_at", "n").repartition("doc", "first").sortWithinPartitions("doc", "first")
             .mapInArrow(run, f"doc long, first long, runs {RUNS}, i0 int, i1 int, j0 int, j1 int"))
 
@@ -407,39 +530,54 @@ def _word_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("doc").agg(F.min(F.struct("text_hash", "word_hashes")).alias("x")).select("doc", "x.*")
 
 
+#: Pairs with one earlier document from which on its words are broadcast to them.
+HOT = 1 << 15
+
+
 def passages(docs: DataFrame) -> DataFrame:
     """One row per repeated passage: doc_id, start_word, end_word, first_doc_id,
     first_start, first_end, matched (words in order), identity, text_hash."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = stored(seeds(docs), "chain-seeds")
-    found = stored(chained(matched(rows)), "chain-chains")
-    discard(rows)
+    found = stored(chained(matches(docs)), "chain-chains")
     ids = found.select("doc").union(found.select(F.col("first").alias("doc"))).distinct()
-    arrays = stored(_word_arrays(docs, ids), "chain-words")
+    # read by both joins, from one shuffle by id
+    arrays = _word_arrays(docs, ids)
 
     # each side gives only the words around the chains of a pair: 4 bytes a word
     def window(i0: str, i1: str):
         start = F.greatest(F.col(i0) - REACH, F.lit(0))
         return start, F.substring("word_hashes", start * 4 + 1, (F.col(i1) + REACH - start) * 4)
 
-    s, cut = window("i0", "i1")
-    here = found.join(arrays, "doc").select("doc", "text_hash", "first", "runs", "j0", "j1", s.alias("a0"), cut.alias("a"))
-    s, cut = window("j0", "j1")
+    def sides(found: DataFrame, other: DataFrame) -> DataFrame:
+        s, cut = window("i0", "i1")
+        here = found.join(arrays, "doc").select("doc", "text_hash", "first", "runs", "j0", "j1", s.alias("a0"), cut.alias("a"))
+        s, cut = window("j0", "j1")
+        return here.join(other, "first").select("doc", "text_hash", "first", "runs", "a0", "a", s.alias("b0"), cut.alias("b"))
+
     other = arrays.select(F.col("doc").alias("first"), "word_hashes")
-    both = here.join(other, "first").select("doc", "text_hash", "first", "runs", "a0", "a", s.alias("b0"), cut.alias("b"))
+    hot = found.groupBy("first").count().where(F.col("count") > HOT).select("first")
+    if hot.isEmpty():
+        both = sides(found, other)
+    else:  # the pairs of a document that very many repeat stay where they are
+        hot = maybe_broadcast(stored(hot, "chain-hot"), 8)
+        few = stored(other.join(hot, "first", "left_semi"), "chain-hot-words")
+        both = sides(found.join(hot, "first", "left_anti"), other).union(
+            sides(found.join(hot, "first", "left_semi"), maybe_broadcast(few, F.octet_length("word_hashes"))))
 
     def run(part: pa.RecordBatch):
-        out = []
-        for doc, th, first, runs, a0, a, b0, b in zip(*(part.column(k).to_pylist() for k in range(8))):
-            a, b, found = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), set()
-            for chain in runs:
-                chain = [(r["i"], r["j"], r["n"]) for r in chain]
-                # REACH words on either side of the chain
-                i, j = max(0, chain[0][0] - REACH - a0), max(0, chain[0][1] - REACH - b0)
-                x, y = chain[-1][0] + chain[-1][2] + REACH - a0, chain[-1][1] + chain[-1][2] + REACH - b0
-                found.update(align(chain, a[i:x], a0 + i, b[j:y], b0 + j))
-            reached = -1
-            for start, end, f0, f1, matched in sorted(found, key=lambda p: (p[0], -p[1])):
+        out, runs = [], part.column("runs")
+        lists = runs.flatten()
+        flat = lists.flatten()
+        row = np.repeat(np.arange(part.num_rows), runs.value_lengths().to_numpy())
+        size = lists.value_lengths().to_numpy()
+        here, other = Side(part.column("a"), part.column("a0")), Side(part.column("b"), part.column("b0"))
+        found = {}
+        for chain, *piece in align(here, other, row, np.concatenate(([0], np.cumsum(size, dtype=np.int64))), *(flat.field(k).to_numpy().astype(np.int64) for k in range(3))):
+            found.setdefault(int(row[chain]), set()).add(tuple(piece))
+        ids = list(zip(*(part.column(k).to_pylist() for k in ("doc", "text_hash", "first"))))
+        for at, some in found.items():
+            (doc, th, first), reached = ids[at], -1
+            for start, end, f0, f1, matched in sorted(some, key=lambda p: (p[0], -p[1])):
                 if end > reached:  # not inside another passage of this pair
                     reached = end
                     out.append((doc, start, end, first, f0, f1, matched, matched / max(end - start, f1 - f0), th))

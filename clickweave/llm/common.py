@@ -180,14 +180,20 @@ def batches(df: DataFrame, fn, schema: str, piece: int = PIECE_BYTES) -> DataFra
     ship(df.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            rows = max(1, int(part.num_rows * piece / max(1, part.nbytes)))
-            for at in range(0, part.num_rows, rows):
-                yield from fn(part.slice(at, rows))
+        for part in slices(parts, piece):
+            yield from fn(part)
         pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 
+def slices(parts: Iterator[pa.RecordBatch], piece: int) -> Iterator[pa.RecordBatch]:
+    """Record batches cut into pieces of some ``piece`` bytes, a row at least."""
+    for part in parts:
+        rows = max(1, int(part.num_rows * piece / max(1, part.nbytes)))
+        for at in range(0, part.num_rows, rows):
+            yield part.slice(at, rows)
+
+
 def bit_map(keys: DataFrame, bits: int) -> np.ndarray:
     """Bitmap (words of 64 bits) of the column ``bit``, values under
     ``1 << bits``. Bits are merged into words on the executors; the driver gets
@@ -210,3 +216,70 @@ def repeated_keys(keys: DataFrame, bits: int) -> np.ndarray:
     more than once: one thin shuffle of counts."""
     again = keys.groupBy("key").count().where("count > 1")
     return bit_map(again.select(F.shiftrightunsigned(F.col("key"), 32 - bits).cast("long").alias("bit")), bits)
+
+
+#: Ranges that 32-bit keys are dealt over (a power of two), and keys that a task
+#: gathers before it sends them off.
+RANGES, GATHERED = 1024, 1 << 20
+
+
+def repeated_in(df: DataFrame, fn, bits: int, piece: int = PIECE_BYTES) -> np.ndarray:
+    """``repeated_keys`` of the uint32 arrays that ``fn`` gives for the pieces of
+    record batches. Keys travel as sorted blocks by range; a task marks the keys of
+    one range in maps of fixed size, whatever their number, and the driver gets
+    the bitmap alone."""
+    ship(df.sparkSession)
+    span = 2**32 // RANGES
+
+    def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def block():
+            keys = np.sort(np.concatenate(held))
+            # a key is sent twice at most
+            keep = np.ones(len(keys), bool)
+            keep[2:] = keys[2:] != keys[:-2]
+            keys = keys[keep]
+            cut = np.searchsorted(keys, np.arange(RANGES + 1, dtype=np.uint64) * span)
+            some = np.flatnonzero(np.diff(cut))
+            off = np.append(cut[some], len(keys)).astype(np.int32) * 4
+            blocks = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(off), pa.py_buffer(keys)])
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), blocks], names=["range", "keys"])
+
+        for part in slices(parts, piece):
+            held.append(fn(part))
+            count += len(held[-1])
+            if count >= GATHERED:
+                yield block()
+                held, count = [], 0
+        if count:
+            yield block()
+        pa.default_memory_pool().release_unused()
+
+    def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = np.uint32(32 - bits)
+        at, seen, again = None, np.zeros(span, bool), np.zeros(span >> int(low), bool)
+
+        def bitmap():
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(again, bitorder="little").tobytes()], pa.binary())],
+                                              names=["range", "bits"])
+
+        for part in parts:
+            for k, keys in zip(part.column("range").to_pylist(), part.column("keys")):
+                if k != at:
+                    if again.any():
+                        yield bitmap()
+                    at = k
+                    seen[:] = again[:] = False
+                keys = np.frombuffer(keys.as_buffer(), np.uint32) % np.uint32(span)
+                again[keys[seen[keys]] >> low] = True
+                again[keys[1:][keys[1:] == keys[:-1]] >> low] = True
+                seen[keys] = True
+        if again.any():
+            yield bitmap()
+    maps = (df.mapInArrow(deal, "range int, keys binary").repartition("range").sortWithinPartitions("range")
+            .mapInArrow(mark, "range int, bits binary").toArrow())
+    out = np.zeros((RANGES, (1 << bits) // RANGES // 64), np.uint64)
+    for k, found in zip(maps["range"].to_pylist(), maps["bits"]):
+        out[k] = np.frombuffer(found.as_buffer(), np.uint64)
+    return out.reshape(-1)

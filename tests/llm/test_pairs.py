@@ -257,6 +257,157 @@ def test_chains_prefer_collinear_matches():
     assert best[0][:2] == (0, 100) and best[-1][0] + best[-1][2] >= 60
 
 
+def test_seeds_and_words_are_shuffled_once(spark, monkeypatch):
+    """No copy of the seeds or of the words is written to the work folder, and one
+    shuffle of the seeds finds their first occurrences, without a join."""
+    from clickweave.llm import chaining
+    text = prose(9, 100)
+    table = spark.createDataFrame([(k, prose(k, 20) + " " + text) for k in range(20)], "doc_id long, text string").repartition(3)
+    plan = chaining.matches(table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(h") == 1 and "Join" not in plan
+    names, stored = [], chaining.stored
+    monkeypatch.setattr(chaining, "stored", lambda df, name: names.append(name) or stored(df, name))
+    assert chaining.passages(table).select("doc_id").distinct().count() == 19 and names == ["chain-chains"]
+
+
+def test_rows_of_one_id_with_texts_of_different_lengths(spark):
+    """The seeds of an id's longer text lie outside its text of smallest hash."""
+    from clickweave.llm import chaining
+    p = prose(11, 80)
+    for short in ("some few words", prose(12, 55), ""):
+        items = [(1, prose(13, 30) + " " + p), (2, prose(14, 200) + " " + p), (2, short), (3, p)]
+        table = spark.createDataFrame(items, "doc_id long, text string")
+        got = {(r.doc_id, r.first_doc_id) for r in chaining.passages(table).collect()}
+        assert (3, 1) in got and got <= {(3, 1), (2, 1)}
+
+
+def test_no_chain_at_all(spark):
+    """Matches of which no pair has a run or two seeds."""
+    from clickweave.llm import chaining
+    pairs = spark.createDataFrame([(5, 1, 3, 4, 5), (6, 1, 3, 4, 5)], "doc long, first long, at int, first_at int, n int")
+    assert chaining.chained(pairs).count() == 0 and chaining.chains([]) == []
+
+
+def test_a_document_that_many_repeat(spark, monkeypatch):
+    """Pairs of one earlier document beyond HOT meet its words by broadcast, or by
+    a shuffle where the words are too many: the same rows."""
+    from clickweave.llm import chaining
+    text, other = prose(9, 100), prose(10, 70)
+    table = spark.createDataFrame([(k, prose(20 + k, 20) + " " + (text if k % 3 else other)) for k in range(30)], "doc_id long, text string")
+    want = sorted(tuple(r) for r in chaining.passages(table).collect())
+    assert {r[0] for r in want} == set(range(2, 30))
+    monkeypatch.setattr(chaining, "HOT", 12)
+    assert sorted(tuple(r) for r in chaining.passages(table).collect()) == want
+    plain = chaining.maybe_broadcast
+    monkeypatch.setattr(chaining, "maybe_broadcast", lambda side, row_bytes: plain(side, row_bytes, 0))
+    assert sorted(tuple(r) for r in chaining.passages(table).collect()) == want
+
+
+def test_repeated_in_gives_the_map_of_repeated_keys(spark, monkeypatch):
+    from clickweave.llm import common
+    rng = np.random.default_rng(3)
+    keys = np.concatenate((rng.integers(-2**31, 2**31, 3000), rng.integers(0, 500, 600), [2**31 - 1, -2**31, -2**31, -1, -1, -1, 0]))
+    table = spark.createDataFrame([(int(k),) for k in keys], "key int").repartition(7)
+    take = lambda part: part.column("key").to_numpy().view(np.uint32)
+    for gathered in (common.GATHERED, 100):
+        monkeypatch.setattr(common, "GATHERED", gathered)
+        for bits in (28, 24):
+            assert (common.repeated_in(table, take, bits) == common.repeated_keys(table, bits)).all()
+    assert not common.repeated_in(table.limit(0), take, 28).any()
+
+
+def plain_extension(a, b, drop):
+    """(words taken, words equal) word by word."""
+    miss = equal = end = end_equal = 0
+    for k, (x, y) in enumerate(zip(a, b)):
+        miss, equal = (0, equal + 1) if x == y else (miss + 1, equal)
+        if x == y:
+            end, end_equal = k + 1, equal
+        if miss >= drop:
+            break
+    return end, end_equal
+
+
+def plain_pieces(chain, a, a0, b, b0):
+    """The pieces of one chain by all pairs of its runs and whole gaps."""
+    from clickweave.llm import chaining
+    runs, i, j = [], 0, 0
+    for x, y, n in chain:
+        over = max(i - x + a0, j - y + b0, 0) if runs else 0
+        runs.append((x - a0 + over, y - b0 + over, n - over))
+        i, j = x - a0 + n, y - b0 + n
+
+    def common(g, h):
+        row = [0] * (len(h) + 1)
+        for x in g:
+            old, row = row, [0]
+            for k, y in enumerate(h):
+                row.append(old[k] + 1 if x == y else max(old[k + 1], row[k]))
+        return row[-1]
+    out = []
+    for s, (x, y, _) in enumerate(runs):
+        l, l_equal = plain_extension(a[:x][::-1], b[:y][::-1], chaining.DROP)
+        matched = l_equal
+        for e in range(s, len(runs)):
+            u, v, n = runs[e]
+            if e > s:
+                (p, q, m) = runs[e - 1]
+                matched += common(a[p + m:u], b[q + m:v])
+            matched += sum(g == h for g, h in zip(a[u:u + n], b[v:v + n]))
+            r, r_equal = plain_extension(a[u + n:], b[v + n:], chaining.DROP)
+            size = u + n + r - x + l, v + n + r - y + l
+            if min(size) >= chaining.MIN_WORDS and matched + r_equal >= chaining.IDENTITY * max(size):
+                out.append((s, e, (a0 + x - l, a0 + u + n + r, b0 + y - l, b0 + v + n + r, matched + r_equal)))
+    return {p for s, e, p in out if not any(t <= s and e <= f and (t, f) != (s, e) for t, f, _ in out)}
+
+
+def test_alignment_of_many_chains_against_each_by_itself(monkeypatch):
+    """Chains of edited copies, cut out of windows, aligned all at once and word by word."""
+    import pyarrow as pa
+    from clickweave.llm import chaining
+    rng, rows = random.Random(5), []
+    for _ in range(150):
+        a = [rng.randrange(1000) for _ in range(rng.choice((60, 120, 300)))]
+        b, i = [rng.randrange(1000) for _ in range(rng.randrange(20))], 0
+        rate = rng.choice((0.02, 0.1, 0.2))
+        while i < len(a):
+            x = rng.random()
+            if x < rate / 2:
+                b.append(rng.randrange(1000))
+            elif x < rate:
+                b += [rng.randrange(1000) for _ in range(rng.choice((1, 2, 30)))]
+                i -= 1
+            elif x < 1.1 * rate:
+                i += rng.choice((1, 3, 40))
+            if x >= rate and i < len(a):
+                b.append(a[i])
+            i += 1
+        seen = {}
+        for j in range(len(a) - 4):
+            seen.setdefault(tuple(a[j:j + 5]), j)
+        found = [(j, seen[tuple(b[j:j + 5])]) for j in range(len(b) - 4) if tuple(b[j:j + 5]) in seen]
+        if found:
+            rows.append((b, a, chaining.chains(found)))
+    for limit in (chaining.ALIGNED, 200):
+        monkeypatch.setattr(chaining, "ALIGNED", limit)
+        i0 = [max(0, min(c[0][0] for c in cs) - chaining.REACH) for _, _, cs in rows]
+        j0 = [max(0, min(c[0][1] for c in cs) - chaining.REACH) for _, _, cs in rows]
+        sides = [chaining.Side(pa.array([np.array(r[k][at:], np.uint32).tobytes() for r, at in zip(rows, start)], pa.binary()), pa.array(start, pa.int32()))
+                 for k, start in enumerate((i0, j0))]
+        chains = [(r, c) for r, (_, _, cs) in enumerate(rows) for c in cs]
+        first = np.cumsum([0] + [len(c) for _, c in chains])
+        runs = np.array([run for _, c in chains for run in c], np.int64)
+        got = {}
+        for c, *piece in chaining.align(*sides, np.array([r for r, _ in chains]), first, *(np.ascontiguousarray(x) for x in runs.T)):
+            got.setdefault(c, set()).add(tuple(piece))
+        for c, (r, chain) in enumerate(chains):
+            b, a, _ = rows[r]
+            i, j = max(0, chain[0][0] - chaining.REACH), max(0, chain[0][1] - chaining.REACH)
+            x, y = chain[-1][0] + chain[-1][2] + chaining.REACH, chain[-1][1] + chain[-1][2] + chaining.REACH
+            assert got.get(c, set()) == plain_pieces(chain, b[i:x], i, a[j:y], j)
+        assert len(got) > 50
+
+
 def floors(v):
     return [int(np.floor(256 * float(x))) for x in v]
 
