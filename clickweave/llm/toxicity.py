@@ -37,6 +37,8 @@ from .common import LOWER, SPACE, mix, ship, utf8
 WINDOW = 32
 #: Bytes of text that are scored at once; array work takes some fifty times that.
 PIECE = 512 << 10
+#: Bytes of text, and words of the vocabulary, that training takes at once on the driver.
+SAMPLE_PIECE, SAMPLE_WORDS = 64 << 10, 1 << 13
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 
@@ -76,7 +78,7 @@ class Words:
         bound = kept[start] if len(start) else np.zeros(0, np.int64)
         self.size = np.diff(np.concatenate((bound, [kept[-1]]))) + 2
         self.at = np.concatenate(([0], np.cumsum(self.size)[:-1])) if len(start) else np.zeros(0, np.int64)
-        self.bytes = np.full(int(self.size.sum()), ord("<"), np.uint64)
+        self.bytes = np.full(int(self.size.sum()), ord("<"), np.uint8)
         if len(start):
             place = np.ones(len(self.bytes), bool)
             place[self.at] = False
@@ -89,7 +91,9 @@ class Words:
         out = object.__new__(Words)
         out.size = self.size[pick]
         out.at = np.concatenate(([0], np.cumsum(out.size)[:-1])).astype(np.int64)
-        out.bytes = self.bytes[np.repeat(self.at[pick] - out.at, out.size) + np.arange(int(out.size.sum()))]
+        places = np.arange(int(out.size.sum()))
+        places += np.repeat(self.at[pick] - out.at, out.size)
+        out.bytes = self.bytes[places]
         out.first = np.array([0, len(pick)])
         return out
 
@@ -106,7 +110,7 @@ class Words:
         in its word."""
         left = np.repeat(self.at + self.size, self.size) - np.arange(len(self.bytes))
         with np.errstate(over="ignore"):
-            code = self.bytes.copy()
+            code = self.bytes.astype(np.uint64)
             for n in range(2, max(GRAMS) + 1):
                 code = code[:-1] * np.uint64(257) + self.bytes[n - 1:]
                 if n in GRAMS:
@@ -136,6 +140,20 @@ def joined(parts: list[Words]) -> Words:
     return out
 
 
+def entries(words: Words, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words themselves and of their n-grams, and the word of each
+    (the first is number ``at``), in the order of words."""
+    own = np.arange(at, at + len(words.at), dtype=np.int32)
+    word_of = np.repeat(own, words.size)
+    ids, owner = [(words.hashes() % np.uint64(BUCKETS)).astype(np.int32)], [own]
+    for bucket, fits in words.grams():
+        ids.append(bucket[fits].astype(np.int32))
+        owner.append(word_of[: len(bucket)][fits])
+    ids, owner = np.concatenate(ids), np.concatenate(owner)
+    order = np.argsort(owner, kind="stable")
+    return ids[order], owner[order]
+
+
 class Subwords:
     """Joint training of n-gram vectors and the softmax: full batch, Adam.
     n-grams in fewer than ``least`` (word, document) pairs of the sample stay at
@@ -144,25 +162,36 @@ class Subwords:
     def __init__(self, vocabulary: Words, in_class: np.ndarray, least: int = 20, dim: int = 4, seed: int = 7):
         """in_class[c, w]: documents of class c that hold word w."""
         n = len(vocabulary.at)
-        word_of = np.repeat(np.arange(n), vocabulary.size)
-        ids, owner = [(vocabulary.hashes() % np.uint64(BUCKETS)).astype(np.int64)], [np.arange(n)]
-        for bucket, fits in vocabulary.grams():
-            ids.append(bucket[fits])
-            owner.append(word_of[: len(bucket)][fits])
-        ids, owner = np.concatenate(ids), np.concatenate(owner)
-        self.count = np.bincount(owner, minlength=n).astype(np.float32)[:, None]
-        keep = np.bincount(ids, in_class.sum(0)[owner], minlength=BUCKETS)[ids] >= least
-        ids, owner = ids[keep], owner[keep]
-        self.used, ids = np.unique(ids, return_inverse=True)
-        order = np.argsort(owner, kind="stable")
-        self.ids, owner = ids[order], owner[order]
-        self.owner = owner
-        self.words, self.at = np.unique(owner, return_index=True)  # words with any vector
+
+        def parts():
+            for at in range(0, n, SAMPLE_WORDS):
+                yield entries(vocabulary.only(np.arange(at, min(n, at + SAMPLE_WORDS))), at)
+
+        # twice over the words, so that the entries of rare n-grams are never held together
+        in_any, documents, total, count = in_class.sum(0), np.zeros(BUCKETS), np.zeros(BUCKETS, np.int64), np.zeros(n, np.float32)
+        for ids, owner in parts():
+            count += np.bincount(owner, minlength=n).astype(np.float32)
+            total += np.bincount(ids, minlength=BUCKETS)
+            documents += np.bincount(ids, in_any[owner], minlength=BUCKETS)
+        self.count = count[:, None]
+        have = (total > 0) & (documents >= least)
+        self.used, place = np.flatnonzero(have), np.cumsum(have, dtype=np.int32) - 1
+        # n-grams of word w: ids[at[w]:at[w + 1]]
+        self.ids, size, done = np.empty(total[have].sum(), np.int32), np.zeros(n, np.int64), 0
+        seen = np.zeros((2, len(self.used)))
+        for ids, owner in parts():
+            keep = have[ids]
+            ids, owner = place[ids[keep]], owner[keep]
+            self.ids[done:done + len(ids)] = ids
+            done += len(ids)
+            size += np.bincount(owner, minlength=n)
+            for c in (0, 1):
+                seen[c] += np.bincount(ids, in_class[c, owner], minlength=len(self.used))
+        self.at = np.concatenate(([0], np.cumsum(size)))
         rng = np.random.default_rng(seed)
         self.V = rng.normal(0, 0.3, (dim, 2)).astype(np.float32)
         self.b = np.zeros(2, np.float32)
         # start: each vector along the softmax direction by the smoothed log odds of its n-gram
-        seen = [np.bincount(self.ids, c[owner], minlength=len(self.used)) for c in in_class]
         odds = np.log((seen[1] + 5) / (seen[1].sum() + 1)) - np.log((seen[0] + 5 * seen[0].sum() / (seen[1].sum() + 1)) / (seen[0].sum() + 1))
         way = self.V[:, 1] - self.V[:, 0]
         self.E = (odds[:, None] * way / (way @ way)).astype(np.float32)
@@ -171,8 +200,11 @@ class Subwords:
 
     def word_vectors(self) -> np.ndarray:
         out = np.zeros((len(self.count), self.E.shape[1]), np.float32)
-        if len(self.words):
-            out[self.words] = np.add.reduceat(self.E[self.ids], self.at)
+        for k in range(0, len(out), SAMPLE_WORDS):
+            at = self.at[k:k + SAMPLE_WORDS + 1]
+            some = np.flatnonzero(np.diff(at))  # words with any vector
+            if len(some):
+                out[k + some] = np.add.reduceat(self.E[self.ids[at[0]:at[-1]]], at[some] - at[0])
         return out / self.count
 
     def fit(self, bags: list[np.ndarray], labels: np.ndarray, epochs: int, rates: tuple = (0.002, 0.3, 0.3)) -> None:
@@ -187,10 +219,10 @@ class Subwords:
         share = size[:, None].astype(np.float32)
         weight = np.where(labels == 1, 0.3 / max(1, (labels == 1).sum()), 0.7 / max(1, (labels == 0).sum()))
         # only the n-grams of the words in these bags take part
-        place = np.searchsorted(seen, self.owner).clip(max=len(seen) - 1)
-        part = np.flatnonzero(seen[place] == self.owner)
-        ids, owner = self.ids[part], place[part]
-        owners, owner_at = np.unique(owner, return_index=True)
+        grams = self.at[seen + 1] - self.at[seen]
+        owners, before = np.flatnonzero(grams), np.cumsum(grams) - grams
+        owner_at, owner = before[owners], np.repeat(np.arange(len(seen)), grams)
+        ids = self.ids[np.arange(len(owner)) + (self.at[seen] - before)[owner]]
         by_gram = np.argsort(ids, kind="stable")
         used, gram_at = np.unique(ids[by_gram], return_index=True)
         owner_by_gram, count = owner[by_gram], self.count[seen]
@@ -236,34 +268,40 @@ def highest_window(x: np.ndarray) -> tuple[float, int]:
     return float(means[k]), k
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 3) -> tuple[np.ndarray, float] | None:
-    """(bucket margins, bias), or None without both classes."""
-    # in pieces, so that the driver holds the arrays of one piece and of the vocabulary
-    array, pieces, rows, size = pa.array(texts, pa.string()), [], 0, 0
+def numbered(texts: list[str]) -> tuple[Words, list[np.ndarray]]:
+    """The distinct words of the texts by hash, and the numbers of each text's words
+    among them. In pieces, so that the driver holds the arrays of one piece, the
+    vocabulary's bytes and four bytes for each word."""
+    docs, new, known, number, rows, size = [], [], np.zeros(0, np.uint64), np.zeros(0, np.int32), 0, 0
     for k, text in enumerate(texts):
         size += len(text or "")
-        if size >= PIECE or k == len(texts) - 1:
-            pieces.append(array.slice(rows, k + 1 - rows))
-            rows, size = k + 1, 0
-    hashes, first = [], [np.zeros(1, np.int64)]
-    for piece in pieces:
-        found = Words(*utf8(piece))
-        hashes.append(found.hashes())
-        first.append(found.first[1:] + first[-1][-1])
-    first = np.concatenate(first)
-    have = np.flatnonzero(np.diff(first))
-    y = np.array(labels, np.int64)[have]
+        if size < SAMPLE_PIECE and k < len(texts) - 1:
+            continue
+        found = Words(*utf8(pa.array(texts[rows:k + 1], pa.string())))
+        rows, size = k + 1, 0
+        hashes, pick, word = np.unique(found.hashes(), return_index=True, return_inverse=True)
+        place = np.searchsorted(known, hashes)
+        fresh = np.append(known, np.uint64(0))[place] != hashes
+        fresh |= place == len(known)
+        new.append(found.only(pick[fresh]))
+        # numbers as words are first met; known stays sorted
+        number = np.insert(number, place[fresh], np.arange(len(known), len(known) + fresh.sum(), dtype=np.int32))
+        known = np.insert(known, place[fresh], hashes[fresh])
+        word = number[np.searchsorted(known, hashes)][word]
+        docs += [word[a:b] for a, b in zip(found.first[:-1], found.first[1:])]
+    by_hash = np.empty(len(number), np.int32)
+    by_hash[number] = np.arange(len(number))
+    return joined(new).only(number) if new else Words(*utf8(pa.array([], pa.string()))), [by_hash[ids] for ids in docs]
+
+
+def train(texts: list[str], labels: list[int], rounds: int = 3) -> tuple[np.ndarray, float] | None:
+    """(bucket margins, bias), or None without both classes."""
+    vocabulary, docs = numbered(texts)
+    have = [k for k, ids in enumerate(docs) if len(ids)]
+    docs, y = [docs[k] for k in have], np.array(labels, np.int64)[have]
     if len(set(y.tolist())) < 2:
         return None
-    _, pick, word = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    docs = [word[first[r]:first[r + 1]] for r in have]
-    order, at, kept = np.argsort(pick), 0, []
-    for piece, own in zip(pieces, hashes):
-        inside = pick[order][np.searchsorted(pick[order], at):np.searchsorted(pick[order], at + len(own))]
-        kept.append(Words(*utf8(piece)).only(inside - at))
-        at += len(own)
-    vocabulary = joined(kept).only(np.argsort(order))
-    in_class = np.zeros((2, len(pick)))
+    in_class = np.zeros((2, len(vocabulary.at)))
     for ids, label in zip(docs, y):
         in_class[label, np.unique(ids)] += 1
     model = Subwords(vocabulary, in_class)

@@ -96,6 +96,33 @@ def test_toxicity_scores_equal_a_plain_loop(spark):
         assert got[r] == pytest.approx(1 / (1 + np.exp(-(top + bias))), abs=1e-4)
 
 
+def test_toxicity_training_takes_little_of_the_driver():
+    """A sample of many distinct words: memory follows pieces and the n-grams kept."""
+    import tracemalloc
+    from clickweave.llm import toxicity as T
+    r = random.Random(3)
+    parts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(300)]
+    texts = [" ".join(r.choice(parts) + r.choice(parts) + ("" if k % 3 else "zap") for _ in range(300)) for k in range(600)]
+    tracemalloc.start()
+    model = T.train(texts, [int(k % 3 == 0) for k in range(600)], rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model is not None and peak < 60 * sum(map(len, texts))
+
+
+def test_toxicity_training_is_the_same_in_any_pieces(monkeypatch):
+    from clickweave.llm import toxicity as T
+    r = random.Random(4)
+    texts = [None, "", "  "] + [" ".join(r.choice(["bad", "ugly"] if k % 2 and r.random() < 0.3 else ["fine", "day", f"Word{r.randrange(400)}"]) for _ in range(80)) for k in range(120)]
+    labels = [0] * 3 + [k % 2 for k in range(120)]
+    whole = T.train(texts, labels)
+    monkeypatch.setattr(T, "SAMPLE_PIECE", 300)
+    monkeypatch.setattr(T, "SAMPLE_WORDS", 7)
+    cut = T.train(texts, labels)
+    assert whole[1] == cut[1] and (whole[0] == cut[0]).all() and whole[0].any()
+    assert T.train([None, "", " . "], [0, 1, 1]) is None and T.train(["a b", "c"], [1, 1]) is None and T.train([], []) is None
+
+
 def test_stages_on_empty_and_repeated_tables(spark, tmp_path):
     """Every stage on an empty table, nulls, repeated ids and clashing columns."""
     import corpus_pipeline
