@@ -36,11 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, batches, bit_map, marked, mix, stored
-from .tokens import codec, decoder
+from .tokens import Codec, decoder
+from .tokens import codec as codec_of
 
 #: Average chunk: about 5 * 2**CUT_BITS bytes of prose. Longest: LONGEST.
 CUT_BITS = 8
 LONGEST = 1 << 16
+#: Entries of a generation of the memo: workers of long jobs also hold what other steps left.
+MEMO = 250_000
 #: Bits of the map of shared chunk hashes (4 MB, whatever the input).
 MAP_BITS = 25
 
@@ -48,6 +51,10 @@ with np.errstate(over="ignore"):
     _GEAR = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32)
 
 
+def codec(path: str) -> Codec:
+    return codec_of(path, MEMO)
+
+
 def rolling(raw: np.ndarray) -> np.ndarray:
     """Gear hash of the 32 bytes that end at each byte, by doubling."""
     h = _GEAR[raw]

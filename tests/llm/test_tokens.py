@@ -32,6 +32,21 @@ def test_codec_is_the_library(path):
         assert np.frombuffer(c.encode(text), "<u4").tolist() == library_ids(path, text), repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_codec_holds_a_word_once(path):
+    from clickweave.llm.tokens import Codec
+    r = random.Random(6)
+    words = sorted({"".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(300)})
+    c = Codec(path, memo=1000)
+    text = "\n".join(" " + w for w in words)
+    for _ in range(2):
+        assert np.frombuffer(c.encode(text), "<u4").tolist() == library_ids(path, text)
+    spaced = "".join(" " + w for w in words)
+    c = Codec(path, memo=1000)
+    assert np.frombuffer(c.encode(spaced), "<u4").tolist() == library_ids(path, spaced)
+    assert sum(len(x) + len(x.old) for x in vars(c).values() if hasattr(x, "old")) == len(words)
+
+
 def test_token_counts(docs, empty, clashing):
     from clickweave.llm import token_counts
     for table in (docs, clashing):
