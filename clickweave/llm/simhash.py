@@ -3,7 +3,7 @@
 Terms are pairs of neighbouring words (the last word stands alone), weighted by
 the length of the first, up to 15. Each term's hash votes with its weight for or against
 every bit; the sign of the sum is the fingerprint's bit. Four bits share one
-64-bit sum over a segment of 4096 terms, so a term's votes are 32 plain SQL sums;
+64-bit sum over a segment of 2048 terms, so a term's votes are 32 plain SQL sums;
 segments are added up with two bits to a sum.
 
 ``within`` finds all fingerprints inside a Hamming radius of 3: fingerprints are
@@ -53,9 +53,10 @@ def terms(text: Column) -> Column:
         F.least(F.length(a), F.lit(15)).cast("long")))
 
 
-#: Terms whose votes are summed together: four sums of 16 bits share a long, and
-#: a term weighs 15 at most.
-SEGMENT = 4096
+#: Terms whose votes are summed together: four sums of 16 bits share a signed long,
+#: so the uppermost has 15 bits, and a term weighs 15 at most: (2**15 - 1) // 15 = 2184
+#: terms never overflow, whatever they vote.
+SEGMENT = 2048
 
 
 def segment_votes() -> list[Column]:
@@ -68,7 +69,8 @@ def segment_votes() -> list[Column]:
 
 
 def votes() -> list[Column]:
-    """64 sums of two bits' votes each, from the segments' sums, and the total."""
+    """64 sums of two bits' votes each, from the segments' sums, and the total. A
+    term weighs no more than its bytes, so a text (under 2**31 bytes) never overflows."""
     out = []
     for part in range(2):
         for i in range(32):

@@ -57,6 +57,20 @@ def test_bits_equal_brute_force(spark, monkeypatch):
         assert (r.near_edited, r.near_next) == (pytest.approx(same[0]), pytest.approx(same[1]))
 
 
+def test_repeated_long_words(spark):
+    """Terms that all vote alike with the highest weight, over several segments."""
+    from clickweave.llm import simhash
+    line = "Gemeinschaftsordnung und Verantwortungsbereich Zusammenarbeitsvertrag der Bundesverfassung "
+    rows = [(1, "abcdefghijklmnop " * 3000), (2, line * 1300), (3, "abcdefghijklmno " * 9000), (4, "a " * 9000)]
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r for r in simhash.edited_likeness(table).collect()}
+    texts = [t for _, t in rows]
+    for k, (i, own) in enumerate(rows):
+        half = len(own) // 2
+        edited = own[:len(own) - half] + texts[(k + 1) % len(texts)][:half]
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (brute_fingerprint(own), brute_fingerprint(edited))
+
+
 @pytest.mark.parametrize("many", [0, 64])
 def test_block_tables_find_all_pairs(spark, monkeypatch, many):
     """With and without the keys of more bits for values that many share."""
